@@ -284,20 +284,28 @@ def verdict_column(shared, least: float):
         model = shared.value
         scores = WordScores(model)
         for texts in batches:
-            words = [LETTERS.findall(t) if isinstance(t, str) else [] for t in texts]
             out: list[bool] = []
-            at = 0
-            while at < len(words):
-                end, held = at, 0
-                while end < len(words) and (end == at or held + len(words[end]) <= BLOCK_WORDS):
-                    held += len(words[end])
-                    end += 1
-                found = [scores.indexes(w) if model.languages else np.zeros(0, np.int64) for w in words[at:end]]
-                for w, path in zip(words[at:end], viterbi(scores.table, found), strict=True):
-                    letters = np.bincount(path, weights=np.fromiter(map(len, w), np.int64, len(w))[: len(path)]) if len(path) else np.zeros(1)
+            found: list[np.ndarray] = []
+            sizes: list[np.ndarray] = []
+
+            def close() -> None:
+                for size, path in zip(sizes, viterbi(scores.table, found), strict=True):
+                    letters = np.bincount(path, weights=size[: len(path)]) if len(path) else np.zeros(1)
                     out.append(bool(letters.max() > 0 and letters.max() >= least * letters.sum()))
+                found.clear()
+                sizes.clear()
                 scores.trim()
-                at = end
+
+            held = 0
+            for t in texts:
+                words = LETTERS.findall(t) if isinstance(t, str) else []
+                found.append(scores.indexes(words) if model.languages else np.zeros(0, np.int64))
+                sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
+                held += len(words)
+                if held >= BLOCK_WORDS:
+                    close()
+                    held = 0
+            close()
             yield pd.Series(out)
 
     return keeps
