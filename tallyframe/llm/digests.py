@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, quality_rules, rule_ensemble, sharding, simhash, url_filter
+from . import ann, bpe, language, lm_score, packing, quality_rules, rule_ensemble, sharding, simhash, url_filter
 from .common import read_table
 
 
@@ -36,10 +36,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec") % 50 == 0)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes: the page is bad if the label of the same number marks low quality."""
     outcomes = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
-    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), outcomes)
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), outcomes).withColumn("bound", F.round("bound", 6))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.stupid_backoff(read_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", "n_backed_off", "n_unseen", F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,4 +61,4 @@ def byte_files() -> dict[str, str]:
     return {"json_path": public_tokenizers.path("byte_bpe_50k.json"), "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_bpe, op3_packing, op4_hilbert_shards, op5_language, op6_simhash, op8_url_filter, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_bpe, op3_packing, op4_hilbert_shards, op5_language, op6_simhash, op7_ann, op8_url_filter, op9_lm_score, op10_quality_classifier)}

@@ -1,3 +1,118 @@
 """DuckDB SQL for those queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from . import lm_score, quality_rules, url_filter
+
+#: Words of a text as DuckDB writes them: runs of characters other than U+0020 and U+0009 to U+000D.
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _count(column: str, letters: str) -> str:
+    """How many characters of `column` are among letters."""
+    return f"(length({column}) - length(translate({column}, {_quoted(letters)}, '')))"
+
+
+def quality_rules_sql() -> str:
+    q = quality_rules
+    white = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    phrases = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in q.BOILERPLATE)
+    marks = " OR ".join(f"contains(line, {_quoted(m)})" for m in q.SENTENCE_MARKS)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS (
+  SELECT r, doc_id, text, regexp_extract_all(text, '{WORD}') AS words,
+    length(text) - length(text) + length(translate(text, {white}, '')) AS word_chars, {_count("text", q.SYMBOLS)} AS n_symbols,
+    CASE WHEN text = '' THEN 0 ELSE length(text) - length(translate(text, chr(10), '')) + 1 END AS n_lines FROM docs),
+places AS (SELECT r, unnest(generate_series(1, len(words) - 2)) AS i, words FROM base WHERE len(words) >= 4),
+windows AS (SELECT r, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c FROM places),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(*) AS n FROM (SELECT r, i FROM again UNION SELECT r, i + 1 FROM again UNION SELECT r, i + 2 FROM again) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM base WHERE text <> ''),
+filled AS (
+  SELECT r, line, length(translate(line, {white}, '')) AS chars, len(regexp_extract_all(line, '{WORD}')) AS words,
+    {_count("line", q.NAVIGATION_MARKS)} AS bars, {_count("line", q.SYMBOLS)} AS symbols FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+judged AS (
+  SELECT r, line, chars, CASE WHEN bars >= 2 AND bars * {q.NAVIGATION_WORDS} >= words THEN 'n'
+    WHEN symbols > 0 AND 100 * symbols > {q.MAX_SYMBOL_PERCENT} * chars THEN 'b'
+    WHEN {phrases} THEN 'b' WHEN {marks} THEN '' ELSE 'p' END AS verdict FROM filled),
+per_doc AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (verdict = 'p') AS p, count(*) FILTER (verdict = 'n') AS n,
+    count(*) FILTER (verdict = 'b') AS b, coalesce(sum(chars) FILTER (verdict <> ''), 0) AS lost FROM judged GROUP BY r),
+whole AS (
+  SELECT doc_id, len(words) AS n_words, word_chars, n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+    n_lines, coalesce(p, 0) AS p, coalesce(per_doc.n, 0) AS n, coalesce(b, 0) AS b, coalesce(lost, 0) AS lost
+  FROM base LEFT JOIN covered USING (r) LEFT JOIN per_doc USING (r)),
+failed AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM whole)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, CAST(n_lines AS BIGINT) AS n_lines,
+  CAST(p AS BIGINT) AS n_punctuation_lines, CAST(n AS BIGINT) AS n_navigation_lines, CAST(b AS BIGINT) AS n_boilerplate_lines,
+  CAST(lost AS BIGINT) AS lost_chars, NOT base_failed AND 100 * lost <= {q.MAX_LOST_PERCENT} * word_chars AS kept
+FROM failed"""
+
+
+def url_filter_sql() -> str:
+    u = url_filter
+    rules = sorted(u.RULES, key=lambda r: (-len(r.name), -len(r.host)))
+
+    def fit(r) -> str:
+        return f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+
+    rule = "CASE " + " ".join(f"WHEN {fit(r)} THEN '{r.name}'" for r in rules) + " END"
+    ruled = "CASE " + " ".join(f"WHEN {fit(r)} THEN '{r.verdict}'" for r in rules) + " END"
+
+    def strength(table: str) -> str:
+        return f"""(SELECT greatest({u.WEAKEST}, least({u.STRONGEST}, coalesce(CASE WHEN between_ > 0 THEN (within_ - between_) / between_ ELSE {u.STRONGEST} END, {u.STRONGEST}))) FROM (
+    SELECT within_, (spread - (g - 1) * within_) / nullif(n - squares / nullif(n, 0), 0) AS between_ FROM (
+      SELECT sum(n) AS n, count(*) AS g, sum(n * n) AS squares, sum(bad) / nullif(sum(n), 0) * (1 - sum(bad) / nullif(sum(n), 0)) AS within_,
+        sum(bad * bad / n) - sum(bad) * sum(bad) / nullif(sum(n), 0) AS spread FROM {table})))"""
+
+    return f"""
+WITH read AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+hosts AS (
+  SELECT host, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain, string_split(host, '.')[-1] AS suffix,
+    CAST(count(*) AS DOUBLE) AS n, CAST(sum(1 - quality) AS DOUBLE) AS bad
+  FROM read JOIN labels ON doc_id = page_id WHERE quality IN (0, 1) GROUP BY 1, 2, 3),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
+k AS (SELECT {strength("suffixes")} AS ks, {strength("domains")} AS kd, {strength("hosts")} AS kh, coalesce((SELECT sum(bad) / sum(n) FROM suffixes), 0.0) AS m),
+s AS (SELECT suffix, (bad + ks * m) / (n + ks) AS suffix_mean FROM suffixes, k),
+d AS (SELECT domain, (bad + kd * suffix_mean) / (n + kd) AS domain_mean FROM domains JOIN s USING (suffix), k),
+h AS (SELECT host, (bad + kh * domain_mean) / (n + kh) AS mean, n + kh + 1 AS size FROM hosts JOIN d USING (domain), k),
+bounds AS (SELECT host, mean - {u.BOUND} * sqrt(mean * (1 - mean) / size) AS bound FROM h)
+SELECT page_id, host, path, {rule} AS rule, coalesce({ruled}, CASE WHEN bound > {u.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, round(bound, 6) AS bound
+FROM read LEFT JOIN bounds USING (host)"""
+
+
+def lm_score_sql() -> str:
+    a = lm_score.ALPHA
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+places AS (SELECT r, words, unnest(generate_series(1, len(words))) AS i FROM docs WHERE len(words) > 0),
+tokens AS (SELECT r, i, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS v, len(words) AS n FROM places),
+own1 AS (SELECT r, w, count(*) AS c FROM tokens GROUP BY 1, 2),
+all1 AS (SELECT w, sum(c) AS c FROM own1 GROUP BY 1),
+own2 AS (SELECT r, v, w, count(*) AS c FROM tokens WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+all2 AS (SELECT v, w, sum(c) AS c FROM own2 GROUP BY 1, 2),
+total AS (SELECT count(*) AS t FROM tokens),
+counted AS (
+  SELECT tokens.r, tokens.v, tokens.n, t - tokens.n AS rest, a1.c - o1.c AS u, a2.c - o2.c AS b, av.c - ov.c AS x
+  FROM tokens CROSS JOIN total JOIN own1 o1 USING (r, w) JOIN all1 a1 USING (w)
+  LEFT JOIN own2 o2 ON o2.r = tokens.r AND o2.v = tokens.v AND o2.w = tokens.w LEFT JOIN all2 a2 ON a2.v = tokens.v AND a2.w = tokens.w
+  LEFT JOIN own1 ov ON ov.r = tokens.r AND ov.w = tokens.v LEFT JOIN all1 av ON av.w = tokens.v),
+single AS (
+  SELECT r, v, b, u, CASE WHEN u > 0 THEN ln(u / greatest(rest, 1)) ELSE ln({a}::DOUBLE / (rest + 1)) END AS s1, CASE WHEN b > 0 THEN ln(b / x) END AS s2 FROM counted),
+summed AS (
+  SELECT r, count(*) AS n, sum(CASE WHEN v IS NULL THEN s1 WHEN b > 0 THEN s2 ELSE ln({a}::DOUBLE) + s1 END) AS s,
+    count(*) FILTER (v IS NOT NULL AND b <= 0) AS backed, count(*) FILTER (u <= 0) AS unseen FROM single GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(backed, 0) AS BIGINT) AS n_backed_off, CAST(coalesce(unseen, 0) AS BIGINT) AS n_unseen, round(s / n, 6) AS mean_log_score
+FROM docs LEFT JOIN summed USING (r)"""
+
+
+ORACLES = {"op1_quality_rules": quality_rules_sql(), "op8_url_filter": url_filter_sql(), "op9_lm_score": lm_score_sql()}
