@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
+MODULES = ("votes", "graphs")
+
 _BUILDERS: dict[str, Builder] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -27,8 +30,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
 
 
 def queries() -> dict[str, Builder]:
+    _load()
     return dict(_BUILDERS)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)
+
+
+def _load() -> None:
+    """Modules register their queries as they are imported."""
+    for name in MODULES:
+        import_module(f"tallyframe.plans.{name}")
