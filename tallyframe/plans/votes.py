@@ -197,22 +197,22 @@ def quarterly_series(spark, sf):
     return cal.join(q, "quarter", "left").select(F.concat(F.year("quarter"), F.lit("Q"), F.quarter("quarter")).alias("quarter"), n.alias("divisions"), (n >= 12).alias("scored"))
 
 
-@query("decode_positions", """WITH coded AS (SELECT l_suppkey AS member, string_agg(CASE l_returnflag WHEN 'A' THEN 'P' WHEN 'R' THEN 'C' ELSE '-' END, '' ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS codes FROM lineitem WHERE l_partkey % 10 = 0 GROUP BY 1),
+@query("decode_positions", """WITH coded AS (SELECT l_suppkey AS member, string_agg(CASE l_returnflag WHEN 'A' THEN 'P' WHEN 'R' THEN 'C' ELSE '-' END, '' ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS codes FROM lineitem GROUP BY 1),
 letters AS (SELECT member, unnest(generate_series(1, length(codes))) AS i, codes FROM coded), ids AS (SELECT p_partkey AS vote, row_number() OVER (ORDER BY p_partkey) AS i FROM part)
 SELECT member, vote, CASE codes[letters.i] WHEN 'P' THEN 'pour' ELSE 'contre' END AS position FROM letters JOIN ids ON ids.i = letters.i WHERE codes[letters.i] <> '-'""")
 def decode_positions(spark, sf):
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", F.translate("l_returnflag", "ARN", "PC-").alias("c"))
-    coded = load(spark, sf, "lineitem").where("l_partkey % 10 = 0").groupBy(F.col("l_suppkey").alias("member")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["c"]), "").alias("codes"))
+    coded = load(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("member")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["c"]), "").alias("codes"))
     ids = load(spark, sf, "part").select(F.col("p_partkey").alias("vote"), (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("p_partkey")) - 1).alias("i"))
     letters = coded.select("member", F.posexplode(F.split("codes", "")).alias("i", "c"))
     return letters.join(ids, "i").where("c IN ('P', 'C')").select("member", "vote", F.when(F.col("c") == "P", "pour").otherwise("contre").alias("position"))
 
 
-@query("encode_positions", f"""WITH {POSITIONS}, grid AS (SELECT member, division FROM (SELECT DISTINCT member FROM pos), (SELECT DISTINCT division FROM pos WHERE division < 40))
+@query("encode_positions", f"""WITH {POSITIONS}, grid AS (SELECT member, division FROM (SELECT DISTINCT member FROM pos), (SELECT DISTINCT division FROM pos))
 SELECT member, string_agg(CASE flag WHEN 'A' THEN 'P' WHEN 'R' THEN 'C' WHEN 'N' THEN 'A' ELSE '-' END, '' ORDER BY division) AS codes FROM grid LEFT JOIN pos USING (member, division) GROUP BY 1""")
 def encode_positions(spark, sf):
     p = positions(spark, sf)
-    grid = p.select("member").distinct().crossJoin(F.broadcast(p.where("division < 40").select("division").distinct()))
+    grid = p.select("member").distinct().crossJoin(F.broadcast(p.select("division").distinct()))
     code = F.coalesce(F.translate("flag", "ARN", "PCA"), F.lit("-"))
     listed = F.array_sort(F.collect_list(F.struct("division", code.alias("c"))))
     return grid.join(p, ["member", "division"], "left").groupBy("member").agg(F.array_join(F.transform(listed, lambda x: x["c"]), "").alias("codes"))
