@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 #: Arabic letters that are folded, each to the one below it, and marks that are removed.
 ARABIC_FROM = "أإآٱىةؤئ"
 ARABIC_TO = "اااايهوي"
-ARABIC_MARKS = "[ؐ-ًؚ-ٰٟۖ-ۭـ]"
+ARABIC_MARKS = r"[\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06ED}\x{0640}]"
+NOT_ARABIC = r"[^\x{0600}-\x{06FF} ]"
 ARABIC_PARTICLES = ("بن", "ابن", "بنت", "ولد", "ابو", "عبد")
 #: Arabic letters and their Latin spelling.
 ROMAN = {
@@ -80,7 +81,7 @@ def balanced_json(c: Column) -> Column:
 def normalize_arabic(c: Column) -> Column:
     """NFKC, without marks, letters folded, a leading article dropped from each word, everything else a space."""
     folded = F.translate(F.regexp_replace(normal_form(c, "NFKC"), ARABIC_MARKS, ""), ARABIC_FROM, ARABIC_TO)
-    letters = F.regexp_replace(folded, "[^؀-ۿ ]", " ")
+    letters = F.regexp_replace(folded, NOT_ARABIC, " ")
     return squeeze(F.regexp_replace(letters, r"(?<=^|\s)ال(?=[^\s]{2,})", ""))
 
 

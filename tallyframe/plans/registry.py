@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("votes", "graphs", "spells", "relational", "entities")
+MODULES = ("votes", "graphs", "spells", "relational", "entities", "texts")
 
 _BUILDERS: dict[str, Builder] = {}
 _ORACLES: dict[str, str] = {}
