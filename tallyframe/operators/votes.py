@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-YES = F.col("side") == 1
-
 
 def contested(sides: DataFrame, min_cast: int = 40, min_minority: float = 0.025) -> DataFrame:
     """Sides of those divisions in which enough were cast and the minority is no formality."""
@@ -85,7 +83,7 @@ def cross_cutting(sides: DataFrame, in_group: DataFrame, by: list[str] | None =
     t = sides.join(in_group, "member").groupBy(*by, "division").agg(
         F.sum("side").alias("net"),
         *[F.sum(F.when(F.col("inside") == g, 1).otherwise(0)).alias(f"n{int(g)}") for g in (True, False)],
-        *[F.sum(F.when((F.col("inside") == g) & YES, 1).otherwise(0)).alias(f"y{int(g)}") for g in (True, False)],
+        *[F.sum(F.when((F.col("inside") == g) & (F.col("side") == 1), 1).otherwise(0)).alias(f"y{int(g)}") for g in (True, False)],
     )
     with_winner = [F.when(F.col("net") >= 0, F.col(f"y{g}")).otherwise(F.col(f"n{g}") - F.col(f"y{g}")) for g in (1, 0)]
     scored = t.where("n1 > 0 AND n0 > 0")
