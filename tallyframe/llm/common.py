@@ -29,9 +29,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Sizes from here on are the optimizer's stand-in for one that it does not know.
+UNKNOWN_BYTES = 1 << 50
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's own estimate of df's size. It only sizes partitions, never decides a result."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's estimate of df's size or, where it has none, the length of its texts. It only sizes partitions, never decides a result."""
+    guess = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if guess < UNKNOWN_BYTES:
+        return guess
+    texts = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    each = sum(texts, F.lit(16)).cast("long")
+    return df.agg(F.coalesce(F.sum(each), F.lit(0))).first()[0]
 
 
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
