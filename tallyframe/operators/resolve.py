@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import global_rank
+
 
 def content_id(prefix: str, *parts: Column) -> Column:
     """PREFIX- and the first 12 digits of SHA-1 over the parts joined by '|'; a null part is empty."""
@@ -25,7 +27,7 @@ def golden_record(rows: DataFrame, key: list[str], fields: list[str], priority:
 def mint_ids(keys: DataFrame, known: DataFrame, key: str, prefix: str, digits: int = 5) -> DataFrame:
     """(key, id): known ids stay, new keys are numbered on from the largest known number, in key order."""
     top = known.agg(F.coalesce(F.max(F.regexp_extract("id", r"(\d+)$", 1).cast("long")), F.lit(0)).alias("top"))
-    new = keys.select(key).distinct().join(known, key, "left_anti").withColumn("n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key)))
+    new = global_rank(keys.select(key).distinct().join(known, key, "left_anti"), [key], "n")
     minted = new.crossJoin(F.broadcast(top)).select(key, F.concat(F.lit(f"{prefix}-"), F.lpad((F.col("top") + F.col("n")).cast("string"), digits, "0")).alias("id"))
     return known.select(key, "id").unionByName(minted)
 

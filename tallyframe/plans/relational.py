@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators import stats as T
+from tallyframe.operators.ranking import global_rank, running_sum
 from tallyframe.sources.tables import load, project_to, render_cell
 
 from .registry import query
@@ -66,7 +67,8 @@ def render_cells(spark, sf):
 
 @query("batch_rows", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 400 AS batch FROM orders")
 def batch_rows(spark, sf):
-    return load(spark, sf, "orders").select("o_orderkey", F.floor((F.row_number().over(whole().orderBy("o_orderkey")) - 1) / 400).alias("batch"))
+    ranked = global_rank(load(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
+    return ranked.select("o_orderkey", F.floor((F.col("rank") - 1) / 400).alias("batch"))
 
 
 @query("filter_eq", "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -108,7 +110,7 @@ def largest_per_month(spark, sf):
 @query("even_sample", "WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents), k AS (SELECT DISTINCT round_even(j * (n - 1) / 36.0, 0)::BIGINT AS i FROM range(37) r(j), (SELECT max(n) AS n FROM d)) SELECT doc_id FROM d SEMI JOIN k USING (i)")
 def even_sample(spark, sf):
     """37 rows: the first, the last and evenly spaced ones between."""
-    d = load(spark, sf, "documents").select("doc_id").withColumn("i", (F.row_number().over(whole().orderBy("doc_id")) - 1).cast("long"))
+    d = global_rank(load(spark, sf, "documents").select("doc_id"), ["doc_id"]).select("doc_id", (F.col("rank") - 1).alias("i"))
     n = d.agg(F.count("*").alias("n"))
     k = n.select(F.explode(F.expr("sequence(0, 36)")).alias("j"), "n").select(F.bround((F.col("j") * (F.col("n") - 1) / 36.0).cast("double"), 0).cast("long").alias("i")).distinct()
     return d.join(F.broadcast(k), "i", "left_semi").select("doc_id")
@@ -203,7 +205,8 @@ def conditional_share(spark, sf):
 @query("top_share", "WITH t AS (SELECT count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS r, count(*) OVER () AS c FROM orders GROUP BY o_custkey) SELECT round(sum(n) FILTER (r <= 20) / sum(n)::DOUBLE, 6) AS top20, round(sum(n) FILTER (r <= greatest(1, c // 10)) / sum(n)::DOUBLE, 6) AS busiest_tenth FROM t")
 def top_share(spark, sf):
     t = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    t = t.withColumn("r", F.row_number().over(whole().orderBy(F.desc("n"), "o_custkey"))).withColumn("c", F.count("*").over(whole()))
+    t = global_rank(t, [F.desc("n"), "o_custkey"], "r")
+    t = t.crossJoin(F.broadcast(t.agg(F.count("*").alias("c"))))
     part = lambda cond: F.round(F.sum(F.when(cond, F.col("n"))) / F.sum("n"), 6)
     return t.agg(part(F.col("r") <= 20).alias("top20"), part(F.col("r") <= F.greatest(F.lit(1), F.floor(F.col("c") / 10))).alias("busiest_tenth"))
 
@@ -223,8 +226,9 @@ def arg_extreme(spark, sf):
 @query("fold_to_other", "WITH c AS (SELECT p_type, count(*) AS n FROM part GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, p_type) AS rn FROM c) SELECT CASE WHEN rn <= 4 THEN p_type ELSE 'Other' END AS kind, sum(n)::BIGINT AS n FROM r GROUP BY 1")
 def fold_to_other(spark, sf):
     c = load(spark, sf, "part").groupBy("p_type").agg(F.count("*").alias("n"))
-    r = c.withColumn("rn", F.row_number().over(whole().orderBy(F.desc("n"), "p_type")))
-    return r.groupBy(F.when(F.col("rn") <= 4, F.col("p_type")).otherwise("Other").alias("kind")).agg(F.sum("n").alias("n"))
+    top = c.orderBy(F.desc("n"), "p_type").limit(4).select("p_type", F.lit(True).alias("kept"))
+    r = c.join(F.broadcast(top), "p_type", "left")
+    return r.groupBy(F.when(F.col("kept"), F.col("p_type")).otherwise("Other").alias("kind")).agg(F.sum("n").alias("n"))
 
 
 @query("histogram", "SELECT least(floor(l_discount / 0.01), 9)::BIGINT AS bin, count(*) AS n FROM lineitem WHERE l_discount BETWEEN 0 AND 0.1 GROUP BY 1")
@@ -241,7 +245,8 @@ def band_counts(spark, sf):
 @query("rank_top", "SELECT o_custkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS place FROM orders GROUP BY 1 QUALIFY place <= 25")
 def rank_top(spark, sf):
     c = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    return c.withColumn("place", F.row_number().over(whole().orderBy(F.desc("n"), "o_custkey")).cast("long")).where("place <= 25")
+    order = [F.desc("n"), "o_custkey"]
+    return c.orderBy(*order).limit(25).withColumn("place", F.row_number().over(whole().orderBy(*order)).cast("long"))
 
 
 @query("lorenz_gini", "WITH c AS (SELECT c_mktsegment AS series, o_custkey, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2), r AS (SELECT series, n, sum(n) OVER (PARTITION BY series ORDER BY n ROWS UNBOUNDED PRECEDING)::DOUBLE AS c, sum(n) OVER (PARTITION BY series)::DOUBLE AS t, count(*) OVER (PARTITION BY series) AS k FROM c) SELECT series, count(*) AS n, round(1 - sum((2 * c - n) / t / k), 6) AS gini FROM r GROUP BY 1")
@@ -266,13 +271,14 @@ def last_non_null(spark, sf):
 
 @query("sort_multi", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) AS place FROM orders")
 def sort_multi(spark, sf):
-    return load(spark, sf, "orders").select("o_orderkey", F.row_number().over(whole().orderBy("o_orderpriority", F.desc("o_totalprice"), "o_orderkey")).cast("long").alias("place"))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return global_rank(o, ["o_orderpriority", F.desc("o_totalprice"), "o_orderkey"], "place").select("o_orderkey", "place")
 
 
 @query("sort_fallback", "WITH t AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS a, CASE WHEN s_suppkey % 2 > 0 THEN 'z' || s_name END AS b FROM supplier) SELECT s_suppkey, row_number() OVER (ORDER BY coalesce(a, b, '9999'), s_suppkey) AS place FROM t")
 def sort_fallback(spark, sf):
     t = load(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).alias("a"), F.when(F.col("s_suppkey") % 2 > 0, F.concat(F.lit("z"), "s_name")).alias("b"))
-    return t.select("s_suppkey", F.row_number().over(whole().orderBy(F.coalesce("a", "b", F.lit("9999")), "s_suppkey")).cast("long").alias("place"))
+    return global_rank(t.select("s_suppkey", F.coalesce("a", "b", F.lit("9999")).alias("key")), ["key", "s_suppkey"], "place").select("s_suppkey", "place")
 
 
 @query("topk", "SELECT l_partkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1 ORDER BY q DESC, l_partkey LIMIT 18")
@@ -358,8 +364,8 @@ def kde(spark, sf):
 def superiority(spark, sf):
     """The chance that a value of one group exceeds one of the other, ties a half, from rank sums."""
     c = load(spark, sf, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).groupBy("c_acctbal").agg(count(F.col("c_mktsegment") == "BUILDING").alias("a"), count(F.col("c_mktsegment") == "MACHINERY").alias("b"))
-    below = F.sum("b").over(whole().orderBy("c_acctbal").rowsBetween(Window.unboundedPreceding, 0)) - F.col("b") / 2
-    return c.withColumn("below", below).agg(F.round(F.sum(F.col("a") * F.col("below")) / (F.sum("a").cast("double") * F.sum("b")), 6).alias("superiority"))
+    c = running_sum(c, ["c_acctbal"], "b", "upto")
+    return c.withColumn("below", F.col("upto") - F.col("b") / 2).agg(F.round(F.sum(F.col("a") * F.col("below")) / (F.sum("a").cast("double") * F.sum("b")), 6).alias("superiority"))
 
 
 @query("two_group_summary", "WITH t AS (SELECT c_mktsegment = 'BUILDING' AS g, c_acctbal AS x FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) SELECT round(median(x) FILTER (g) - median(x) FILTER (NOT g), 6) AS median_gap, count(*) FILTER (g) AS n_a, count(*) FILTER (NOT g) AS n_b, round(greatest(min(x) FILTER (g), min(x) FILTER (NOT g)), 6) AS overlap_low, round(least(max(x) FILTER (g), max(x) FILTER (NOT g)), 6) AS overlap_high FROM t")

@@ -210,7 +210,8 @@ def transitions(spark, sf):
 def transition_matrix(spark, sf):
     t = S.transitions(moves(spark, sf))
     ends = t.select(F.explode(F.array("bloc_from", "bloc_to")).alias("bloc")).groupBy("bloc").agg(F.count("*").alias("involvement"))
-    return ends.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("involvement"), "bloc")).cast("long")).where("rank <= 11")
+    order = [F.desc("involvement"), "bloc"]
+    return ends.orderBy(*order).limit(11).withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long"))
 
 
 @query("party_flows", TRANS + ", f AS (SELECT bloc_from AS bloc, 1 AS lost, 0 AS gained FROM m WHERE bloc_from <> bloc_to UNION ALL SELECT bloc_to, 0, 1 FROM m WHERE bloc_from <> bloc_to) SELECT bloc, sum(lost)::BIGINT AS lost, sum(gained)::BIGINT AS gained, (sum(gained) - sum(lost))::BIGINT AS net FROM f GROUP BY 1 HAVING count(*) >= 3")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators import votes as V
+from tallyframe.operators.ranking import global_rank
 from tallyframe.sources.tables import load
 
 from .inputs import AGREEMENT, BLOCS, CONTESTED, POSITIONS, blocs, positions, sides
@@ -203,7 +204,7 @@ SELECT member, vote, CASE codes[letters.i] WHEN 'P' THEN 'pour' ELSE 'contre' EN
 def decode_positions(spark, sf):
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", F.translate("l_returnflag", "ARN", "PC-").alias("c"))
     coded = load(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("member")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["c"]), "").alias("codes"))
-    ids = load(spark, sf, "part").select(F.col("p_partkey").alias("vote"), (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("p_partkey")) - 1).alias("i"))
+    ids = global_rank(load(spark, sf, "part").select(F.col("p_partkey").alias("vote")), ["vote"]).select("vote", (F.col("rank") - 1).alias("i"))
     letters = coded.select("member", F.posexplode(F.split("codes", "")).alias("i", "c"))
     return letters.join(ids, "i").where("c IN ('P', 'C')").select("member", "vote", F.when(F.col("c") == "P", "pour").otherwise("contre").alias("position"))
 
