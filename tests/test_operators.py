@@ -206,3 +206,27 @@ def test_validation(spark):
     assert found == {(1, "id", "required"), (1, "n", "integer"), (1, "day", "date"), (1, "ok", "boolean"), (2, "id", "required")}
     refs = spark.createDataFrame([("1;9",), ("",), ("2",)], "ids string")
     assert {tuple(r) for r in Q.missing_references(refs, "ids", spark.createDataFrame([("1",), ("2",)], "id string"), "id").collect()} == {("9", 1)}
+
+
+def test_documentation(spark):
+    from tallyframe.operators import documentation as doc
+
+    spec = IO.TableSpec("t", (IO.ColumnSpec("id", required=True, description="key"), IO.ColumnSpec("kind", "enum", values=("a", "b"))), ("id",), unit="one thing")
+    rows = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "")], "id string, kind string")
+    page = doc.codebook(rows, spec)
+    assert "| kind | enum | 66.7 % |" in page and "| kind | a | 2 |" in page
+    assert doc.schema_differences(rows.drop("kind"), spec) == [("error", "t: missing column kind")]
+    summary = Q.summary({"x": ("error", rows), "y": ("warn", rows.limit(0))})
+    assert doc.exit_code(summary) == 1 and doc.exit_code(summary.where("check = 'y'")) == 0
+    with pytest.raises(ValueError):
+        doc.corresponds(spark.createDataFrame([(0.1,)], "r double"), "r")
+
+
+def test_global_ranks(spark):
+    from tallyframe.operators.ranking import global_rank, running_sum
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.lit(1).alias("one"))
+    assert all(r["rank"] == r["k"] + 1 for r in global_rank(df, ["k"]).collect())
+    assert all(r["rank"] == 1000 - r["k"] for r in global_rank(df, [F.desc("k")]).collect())
+    assert all(r["s"] == r["k"] + 1 for r in running_sum(df, ["k"], "one", "s").collect())
+    assert global_rank(df.limit(0), ["k"]).count() == 0
