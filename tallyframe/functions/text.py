@@ -15,11 +15,14 @@ ARABIC_FROM = "أإآٱىةؤئ"
 ARABIC_TO = "اااايهوي"
 ARABIC_MARKS = r"[\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06ED}\x{0640}]"
 NOT_ARABIC = r"[^\x{0600}-\x{06FF} ]"
-ARABIC_PARTICLES = ("بن", "ابن", "بنت", "ولد", "ابو", "عبد")
+#: Prefixes of family names that sources attach or leave out, and those that bind to the last word of a name.
+ARABIC_PARTICLES = ("بن", "بو", "ابن", "اولاد", "ولد", "عبد")
+SURNAME_PARTICLES = (*ARABIC_PARTICLES, "ابو", "أبو")
 #: Arabic letters and their Latin spelling.
 ROMAN = {
-    "ا": "a", "ب": "b", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r", "ز": "z", "س": "s", "ش": "ch", "ص": "s",
-    "ض": "dh", "ط": "t", "ظ": "dh", "ع": "a", "غ": "gh", "ف": "f", "ق": "k", "ك": "k", "ل": "l", "م": "m", "ن": "n", "ه": "h", "و": "ou", "ي": "i",
+    "ا": "a", "ب": "b", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r", "ز": "z", "س": "s", "ش": "sh", "ص": "s",
+    "ض": "d", "ط": "t", "ظ": "z", "ع": "a", "غ": "gh", "ف": "f", "ق": "q", "ك": "k", "ل": "l", "م": "m", "ن": "n", "ه": "h", "و": "w", "ي": "y",
+    "ء": "", "ة": "a", "ى": "a", "ـ": "",
 }
 
 
@@ -53,11 +56,12 @@ def similarity(a: Column, b: Column) -> Column:
     return ratio(a, b)
 
 
-def balanced_json(c: Column) -> Column:
-    """The first balanced {...} of a text, brackets inside strings not counted; null without one."""
+def balanced_json(c: Column, marker: str = "") -> Column:
+    """The first balanced {...} after a marker, brackets inside strings not counted; null without one."""
 
     def first(text: str) -> str | None:
-        at = text.find("{")
+        begin = text.find(marker)
+        at = text.find("{", begin) if begin >= 0 else -1
         depth, quoted, escaped = 0, False, False
         for i in range(at, len(text)) if at >= 0 else ():
             ch = text[i]
@@ -82,7 +86,7 @@ def normalize_arabic(c: Column) -> Column:
     """NFKC, without marks, letters folded, a leading article dropped from each word, everything else a space."""
     folded = F.translate(F.regexp_replace(normal_form(c, "NFKC"), ARABIC_MARKS, ""), ARABIC_FROM, ARABIC_TO)
     letters = F.regexp_replace(folded, NOT_ARABIC, " ")
-    return squeeze(F.regexp_replace(letters, r"(?<=^|\s)ال(?=[^\s]{2,})", ""))
+    return squeeze(F.regexp_replace(letters, r"(?<=^|\s)ال(?=[^\s])", ""))
 
 
 def normalize_latin(c: Column) -> Column:
@@ -92,7 +96,7 @@ def normalize_latin(c: Column) -> Column:
 
 
 def latin_rules(c: Column) -> Column:
-    plain = F.lower(F.translate(F.regexp_replace(c, "['’ʼ`]", ""), "-_.", "   "))
+    plain = F.lower(F.translate(F.regexp_replace(c, "['’`]", ""), "-_.", "   "))
     letters = F.regexp_replace(plain, "[^a-z ]", " ")
     for a, b in (("ou", "u"), ("kh", "k"), ("ch", "sh")):
         letters = F.replace(letters, F.lit(a), F.lit(b))
@@ -107,8 +111,9 @@ def match_key(normal: Column, drop: tuple[str, ...] = ()) -> Column:
 
 def romanize(c: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in ROMAN.items() for x in pair])
-    letters = F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(table, x), F.when(x.rlike("[ A-Za-z]"), x).otherwise("")))
-    return F.initcap(F.regexp_replace(F.array_join(letters, ""), r"(.)\1+", "$1"))
+    bare = F.regexp_replace(normal_form(c, "NFKC"), ARABIC_MARKS, "")
+    letters = F.transform(F.split(bare, ""), lambda x: F.coalesce(F.element_at(table, x), F.when(x.rlike(r"[\s\p{L}\p{N}]"), x).otherwise("")))
+    return F.initcap(squeeze(F.regexp_replace(F.array_join(letters, ""), r"(\S)\1+", "$1")))
 
 
 def slug(c: Column) -> Column:
@@ -128,11 +133,13 @@ def percent(c: Column) -> Column:
     return F.round(F.replace(F.regexp_extract(c, r"(\d+(?:[.,]\d+)?)\s*%", 1), F.lit(","), F.lit(".")).try_cast("double") / 100, 4)
 
 
-#: Names of months.
+#: Names of months, French in full and shortened, Arabic in the Tunisian and the eastern way.
 MONTHS = {
-    "janvier": 1, "février": 2, "mars": 3, "avril": 4, "mai": 5, "juin": 6, "juillet": 7, "août": 8, "septembre": 9, "octobre": 10, "novembre": 11, "décembre": 12,
-    "janv": 1, "févr": 2, "avr": 4, "juil": 7, "sept": 9, "oct": 10, "nov": 11, "déc": 12,
+    "janvier": 1, "février": 2, "fevrier": 2, "mars": 3, "avril": 4, "mai": 5, "juin": 6, "juillet": 7, "août": 8, "aout": 8, "septembre": 9,
+    "octobre": 10, "novembre": 11, "décembre": 12, "decembre": 12,
+    "janv": 1, "févr": 2, "fevr": 2, "avr": 4, "juil": 7, "sept": 9, "oct": 10, "nov": 11, "déc": 12, "dec": 12,
     "جانفي": 1, "فيفري": 2, "مارس": 3, "أفريل": 4, "ماي": 5, "جوان": 6, "جويلية": 7, "أوت": 8, "سبتمبر": 9, "أكتوبر": 10, "نوفمبر": 11, "ديسمبر": 12,
+    "يناير": 1, "فبراير": 2, "إبريل": 4, "أبريل": 4, "مايو": 5, "يونيو": 6, "يوليو": 7, "أغسطس": 8,
 }
 
 

@@ -51,22 +51,35 @@ def too_far_apart(a_year: Column, b_year: Column, born: Column, most: int = 40)
     return born.isNull() & F.coalesce(F.abs(a_year - b_year) > most, F.lit(False))
 
 
-def resolve_in_rounds(rows: DataFrame, sources: list[str], key: str = "source", block: str = "match_key", chamber: str = "chamber", year: str = "year", seq: str = "seq") -> DataFrame:
-    """(source, seq, person, how): sources in order of trust, each matched as a set against the persons known so far.
+def resolve_in_rounds(rows: DataFrame, sources: list[str], most_years: int = 40) -> DataFrame:
+    """(source, seq, person, method, confidence): sources in order of trust, each matched as a set against the persons known so far.
 
-    A row joins the first known person of the same block that is not of its chamber and not too far apart in time; rows without one are persons of
-    their own, named by their place (source rank and seq). One round for each source.
+    rows: source, seq, ar_key, lat_key (null if unknown), chamber, year, born. A row joins the person of the first known row with its Arabic
+    key or, failing that, its Latin one, that is not of its chamber and not too far apart in time; where the row and the person both have a
+    Latin key, an Arabic match must agree with it. Rows that match no one are persons of their own, named by their place (source rank, seq).
+    One round of joins for each source, so rows of a source never match each other.
     """
-    out, known = None, None
+    known = None
     for rank, source in enumerate(sources):
-        r = rows.where(F.col(key) == source).withColumn("own", F.lit(rank).cast("long") * 1_000_000_000 + F.col(seq))
+        r = rows.where(F.col("source") == source).withColumn("own", F.lit(rank).cast("long") * 1_000_000_000 + F.col("seq"))
         if known is None:
-            found = r.withColumn("person", F.lit(None).cast("long"))
+            found = r.withColumn("hit", F.lit(None).cast("struct<k_own:long,person:long,method:string>"))
         else:
-            k = known.select(F.col(block), F.col("person").alias("k_person"), F.col(chamber).alias("k_chamber"), F.col(year).alias("k_year"))
-            near = r.join(k, block).where((F.col(chamber) != F.col("k_chamber")) & ~too_far_apart(F.col(year), F.col("k_year"), F.lit(None)))
-            found = r.join(near.groupBy("own").agg(F.min("k_person").alias("person")), "own", "left")
-        resolved = found.select(key, seq, block, chamber, year, F.coalesce("person", "own").alias("person"), F.when(F.col("person").isNull(), "new").otherwise("block").alias("how"))
-        out = resolved if out is None else out.unionByName(resolved)
+            lat = F.min_by("lat_key", F.when(F.col("lat_key").isNotNull(), F.col("own"))).alias("p_lat")
+            born = F.min_by("born", F.when(F.col("born").isNotNull(), F.col("own"))).alias("p_born")
+            people = known.groupBy("person").agg(lat, born)
+            k = known.select("ar_key", "lat_key", F.col("own").alias("k_own"), "person", F.col("chamber").alias("k_chamber"), F.col("year").alias("k_year")).join(people, "person")
+            fits = (F.col("chamber") != F.col("k_chamber")) & ~too_far_apart(F.col("year"), F.col("k_year"), F.col("p_born"), most_years)
+            both = r["lat_key"].isNotNull() & F.col("p_lat").isNotNull()
+
+            def first(pairs: DataFrame, method: Column, name: str) -> DataFrame:
+                return pairs.groupBy("own").agg(F.min(F.struct("k_own", "person", method.alias("method"))).alias(name))
+
+            ar = r.join(k.drop("lat_key"), "ar_key").where(fits & (~both | (r["lat_key"] == F.col("p_lat"))))
+            ar = first(ar, F.when(both, "normalised_name_ar+lat").otherwise("normalised_name_ar"), "ar_hit")
+            lt = first(r.join(k.drop("ar_key"), "lat_key").where(fits), F.lit("normalised_name_lat"), "lat_hit")
+            found = r.join(ar, "own", "left").join(lt, "own", "left").withColumn("hit", F.coalesce("ar_hit", "lat_hit"))
+        method = F.coalesce("hit.method", F.lit("source_id"))
+        resolved = found.select("source", "seq", "own", "ar_key", "lat_key", "chamber", "year", "born", F.coalesce("hit.person", "own").alias("person"), method.alias("method"))
         known = resolved if known is None else known.unionByName(resolved)
-    return out
+    return known.select("source", "seq", "person", "method", F.when(F.col("method").isin("source_id", "normalised_name_ar+lat"), "high").otherwise("medium").alias("confidence"))

@@ -27,25 +27,36 @@ def golden_record(spark, sf):
     return R.golden_record(staged(spark, sf), ["entity"], ["lang", "source"], "priority", "seq")
 
 
-RESOLVE = """WITH rows_ AS (SELECT CASE c_nationkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, c_nationkey || c_mktsegment AS match_key, c_custkey % 4 AS chamber, 1950 + (c_custkey % 9 * 8)::INTEGER AS year FROM customer),
-keyed AS (SELECT source, seq, regexp_replace(match_key, '^[0-9]+', '') AS match_key, chamber, year FROM rows_),
-a AS (SELECT source, seq, match_key, chamber, year, seq AS person, 'new' AS how FROM keyed WHERE source = 'a'),
-b AS (SELECT k.source, k.seq, any_value(k.match_key) AS match_key, any_value(k.chamber) AS chamber, any_value(k.year) AS year, coalesce(min(a.person), 1000000000 + k.seq) AS person, CASE WHEN count(a.person) > 0 THEN 'block' ELSE 'new' END AS how
-  FROM keyed k LEFT JOIN a ON a.match_key = k.match_key AND a.chamber <> k.chamber AND abs(a.year - k.year) <= 40 WHERE k.source = 'b' GROUP BY 1, 2),
-ab AS (SELECT * FROM a UNION ALL SELECT * FROM b),
-c AS (SELECT k.source, k.seq, any_value(k.match_key) AS match_key, any_value(k.chamber) AS chamber, any_value(k.year) AS year, coalesce(min(ab.person), 2000000000 + k.seq) AS person, CASE WHEN count(ab.person) > 0 THEN 'block' ELSE 'new' END AS how
-  FROM keyed k LEFT JOIN ab ON ab.match_key = k.match_key AND ab.chamber <> k.chamber AND abs(ab.year - k.year) <= 40 WHERE k.source = 'c' GROUP BY 1, 2)"""
+ROUND = """
+{n}_all AS (SELECT * FROM {k}), {n}_people AS (SELECT person, arg_min(lat_key, own) FILTER (lat_key IS NOT NULL) AS p_lat, arg_min(born, own) FILTER (born IS NOT NULL) AS p_born FROM {n}_all GROUP BY 1),
+{n}_k AS (SELECT k.*, p_lat, p_born FROM {n}_all k JOIN {n}_people USING (person)),
+{n}_ar AS (SELECT r.own, min((k.own, k.person, CASE WHEN r.lat_key IS NOT NULL AND p_lat IS NOT NULL THEN 'normalised_name_ar+lat' ELSE 'normalised_name_ar' END)) AS hit FROM keyed r JOIN {n}_k k ON k.ar_key = r.ar_key AND k.chamber <> r.chamber
+  AND (p_born IS NOT NULL OR abs(k.year - r.year) <= 40) AND (r.lat_key IS NULL OR p_lat IS NULL OR r.lat_key = p_lat) WHERE r.source = '{n}' GROUP BY 1),
+{n}_lat AS (SELECT r.own, min((k.own, k.person, 'normalised_name_lat')) AS hit FROM keyed r JOIN {n}_k k ON k.lat_key = r.lat_key AND k.chamber <> r.chamber AND (p_born IS NOT NULL OR abs(k.year - r.year) <= 40) WHERE r.source = '{n}' GROUP BY 1),
+{n} AS (SELECT r.*, coalesce(a.hit[2], l.hit[2], r.own) AS person, coalesce(a.hit[3], l.hit[3], 'source_id') AS method FROM keyed r LEFT JOIN {n}_ar a USING (own) LEFT JOIN {n}_lat l USING (own) WHERE r.source = '{n}'),"""
+RESOLVE = """WITH keyed AS (SELECT CASE c_nationkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, (c_nationkey % 3) * 1000000000 + c_custkey AS own, c_mktsegment || c_custkey % 50 AS ar_key,
+  CASE WHEN c_custkey % 7 > 0 THEN 'l' || c_custkey % 120 END AS lat_key, c_custkey % 4 AS chamber, 1950 + c_custkey % 9 * 8 AS year, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS born FROM customer),
+a AS (SELECT *, own AS person, 'source_id' AS method FROM keyed WHERE source = 'a'),""" + ROUND.format(n="b", k="a") + ROUND.format(n="c", k="(SELECT * FROM a UNION ALL SELECT * FROM b)") + """
+every AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)"""
 
 
 def people(spark, sf):
-    c = load(spark, sf, "customer")
+    c, k = load(spark, sf, "customer"), F.col("c_custkey")
     source = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("c_nationkey") % 3 + 1).cast("int"))
-    return c.select(source.alias("source"), F.col("c_custkey").alias("seq"), F.col("c_mktsegment").alias("match_key"), (F.col("c_custkey") % 4).alias("chamber"), (1950 + F.col("c_custkey") % 9 * 8).alias("year"))
+    return c.select(
+        source.alias("source"),
+        k.alias("seq"),
+        F.concat("c_mktsegment", (k % 50).cast("string")).alias("ar_key"),
+        F.when(k % 7 > 0, F.concat(F.lit("l"), (k % 120).cast("string"))).alias("lat_key"),
+        (k % 4).alias("chamber"),
+        (1950 + k % 9 * 8).alias("year"),
+        F.when(k % 10 == 0, "known").alias("born"),
+    )
 
 
-@query("resolve_entities", RESOLVE + " SELECT source, seq, person, how FROM ab UNION ALL SELECT source, seq, person, how FROM c")
+@query("resolve_entities", RESOLVE + " SELECT source, seq, person, method, CASE WHEN method IN ('source_id', 'normalised_name_ar+lat') THEN 'high' ELSE 'medium' END AS confidence FROM every")
 def resolve_entities(spark, sf):
-    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"]).select("source", "seq", "person", "how")
+    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])
 
 
 @query("merge_veto", "WITH t AS (SELECT o_custkey AS person, min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS b, min(o_orderstatus) AS s FROM orders GROUP BY 1) SELECT person, a, b, s <> 'F' AND b - a > 5 AS refused FROM t")
@@ -113,11 +124,11 @@ def provenance_unpivot(spark, sf):
     return R.provenance(t, "supplier", "s_suppkey", ["s_name", "s_nationkey"], F.col("source"))
 
 
-@query("mint_ids", "WITH known AS (SELECT n_name AS key, 'TNP-' || lpad((n_nationkey + 1)::VARCHAR, 5, '0') AS id FROM nation WHERE n_regionkey < 2), new AS (SELECT n_name AS key, row_number() OVER (ORDER BY n_name) AS n FROM nation WHERE n_name NOT IN (SELECT key FROM known)) SELECT key, id FROM known UNION ALL SELECT key, 'TNP-' || lpad(((SELECT max(substr(id, 5)::BIGINT) FROM known) + n)::VARCHAR, 5, '0') FROM new")
+@query("mint_ids", "WITH known AS (SELECT n_name AS key, 'PER-' || lpad((n_nationkey + 1)::VARCHAR, 5, '0') AS id FROM nation WHERE n_regionkey < 2), new AS (SELECT n_name AS key, row_number() OVER (ORDER BY n_name) AS n FROM nation WHERE n_name NOT IN (SELECT key FROM known)) SELECT key, id FROM known UNION ALL SELECT key, 'PER-' || lpad(((SELECT max(substr(id, 5)::BIGINT) FROM known) + n)::VARCHAR, 5, '0') FROM new")
 def mint_ids(spark, sf):
     n = load(spark, sf, "nation").withColumnRenamed("n_name", "key")
-    known = n.where("n_regionkey < 2").select("key", F.concat(F.lit("TNP-"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 5, "0")).alias("id"))
-    return R.mint_ids(n, known, "key", "TNP")
+    known = n.where("n_regionkey < 2").select("key", F.concat(F.lit("PER-"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 5, "0")).alias("id"))
+    return R.mint_ids(n, known, "key", "PER")
 
 
 @query("content_id", "SELECT o_orderkey, 'ORD-' || substr(sha1(o_custkey || '|' || CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END), 1, 12) AS id, substr(sha1(o_orderpriority), 1, 12) AS value_hash FROM orders")

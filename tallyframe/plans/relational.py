@@ -40,7 +40,7 @@ def json_embedded(spark, sf):
     from tallyframe.functions.text import balanced_json
 
     script = F.concat(F.lit("var a = 1; window.data = "), "props", F.lit("; track({\"x\": \"}\"});"))
-    return load(spark, sf, "events").select("event_id", F.from_json(balanced_json(script), "k long")["k"].alias("k"))
+    return load(spark, sf, "events").select("event_id", F.from_json(balanced_json(script, "window.data"), "k long")["k"].alias("k"))
 
 
 @query("json_map_explode", "SELECT event_type AS party_from, user_id % 3 AS party_to, user_id AS member FROM (SELECT DISTINCT event_type, user_id FROM events)")

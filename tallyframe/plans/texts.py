@@ -23,7 +23,7 @@ def arabic_name(c):
 AR = f"'ال' || translate(x::VARCHAR, '0123456789', '{DIGITS_AR}') || ' بن ' || reverse(translate(x::VARCHAR, '0123456789', '{DIGITS_AR}')) || 'ـ 1'"
 ARABIC = f"""raw AS (SELECT c_custkey AS id, 1000 + c_custkey * 7 AS x FROM customer), named AS (SELECT id, {AR} AS name FROM raw),
 folded AS (SELECT id, trim(regexp_replace(regexp_replace(translate(regexp_replace(name, '{X.ARABIC_MARKS}', '', 'g'), '{X.ARABIC_FROM}', '{X.ARABIC_TO}'), '{X.NOT_ARABIC}', ' ', 'g'), '\\s+', ' ', 'g')) AS f FROM named),
-norm AS (SELECT id, array_to_string(list_transform(string_split(f, ' '), lambda w: CASE WHEN starts_with(w, 'ال') AND length(w) >= 4 THEN substr(w, 3) ELSE w END), ' ') AS name FROM folded)"""
+norm AS (SELECT id, array_to_string(list_transform(string_split(f, ' '), lambda w: CASE WHEN starts_with(w, 'ال') AND length(w) >= 3 THEN substr(w, 3) ELSE w END), ' ') AS name FROM folded)"""
 
 
 def names(spark, sf):
@@ -44,7 +44,7 @@ LATIN = "lower(translate(strip_accents(nfc_normalize({0})), '-_.', '   '))"
 DOUBLES = "{0}"
 for _c in "abcdefghijklmnopqrstuvwxyz":
     DOUBLES = f"regexp_replace({DOUBLES}, '{_c}{_c}+', '{_c}', 'g')"
-NORMAL_LATIN = "trim(regexp_replace(" + DOUBLES.format("replace(replace(replace(regexp_replace(" + LATIN.format("regexp_replace({0}, '[''’ʼ`]', '', 'g')") + ", '[^a-z ]', ' ', 'g'), 'ou', 'u'), 'kh', 'k'), 'ch', 'sh')") + ", ' +', ' ', 'g'))"
+NORMAL_LATIN = "trim(regexp_replace(" + DOUBLES.format("replace(replace(replace(regexp_replace(" + LATIN.format("regexp_replace({0}, '[''’`]', '', 'g')") + ", '[^a-z ]', ' ', 'g'), 'ou', 'u'), 'kh', 'k'), 'ch', 'sh')") + ", ' +', ' ', 'g'))"
 
 
 def first_line(c):
@@ -65,12 +65,12 @@ def romanize(spark, sf):
     return load(spark, sf, "supplier").select(k.alias("id"), X.romanize(name).alias("name"))
 
 
-@query("last_token", f"WITH {ARABIC}, t AS (SELECT id, string_split(f, ' ') AS w FROM folded) SELECT id, CASE WHEN len(w) > 1 AND w[-2] IN ({', '.join(repr(p) for p in X.ARABIC_PARTICLES)}) THEN w[-2] || ' ' || w[-1] ELSE w[-1] END AS surname FROM t")
+@query("last_token", f"WITH {ARABIC}, t AS (SELECT id, string_split(name, ' ') AS w FROM norm) SELECT id, CASE WHEN len(w) > 1 AND w[-2] IN ({', '.join(repr(p) for p in X.SURNAME_PARTICLES)}) THEN w[-2] || ' ' || w[-1] ELSE w[-1] END AS surname FROM t")
 def last_token(spark, sf):
-    folded = X.squeeze(F.regexp_replace(F.translate(F.regexp_replace(F.col("name"), X.ARABIC_MARKS, ""), X.ARABIC_FROM, X.ARABIC_TO), X.NOT_ARABIC, " "))
-    w = names(spark, sf).select("id", F.split(folded, " ").alias("w"))
+    """The family element of a normalised name: the last word, with a particle before it."""
+    w = names(spark, sf).select("id", F.split(X.normalize_arabic(F.col("name")), " ").alias("w"))
     last, before = F.element_at("w", -1), F.try_element_at("w", F.lit(-2))
-    return w.select("id", F.when(before.isin(*X.ARABIC_PARTICLES), F.concat(before, F.lit(" "), last)).otherwise(last).alias("surname"))
+    return w.select("id", F.when(before.isin(*X.SURNAME_PARTICLES), F.concat(before, F.lit(" "), last)).otherwise(last).alias("surname"))
 
 
 @query("token_positions", "WITH w AS (SELECT string_split(p_name, ' ') AS w FROM part), e AS (SELECT w[1] AS token, 1 AS f, 0 AS l FROM w UNION ALL SELECT w[-1], 0, 1 FROM w) SELECT token, sum(f)::BIGINT AS first_count, sum(l)::BIGINT AS last_count FROM e GROUP BY 1")

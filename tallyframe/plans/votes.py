@@ -293,12 +293,12 @@ def cluster_bootstrap(spark, sf):
 
 
 @query("stratified_sample", """WITH d AS (SELECT o_orderkey AS id, o_orderdate::DATE AS day, row_number() OVER (PARTITION BY o_orderdate::DATE ORDER BY md5('day|' || o_orderkey), o_orderkey) AS r FROM orders),
-q AS (SELECT greatest(500 // count(DISTINCT day), 1) AS quota FROM d), o AS (SELECT id, day, row_number() OVER (ORDER BY CASE WHEN r <= quota THEN 0 ELSE 1 END, r, md5('day|' || id), id) AS place FROM d, q)
+q AS (SELECT 500 // count(DISTINCT day) AS quota FROM d), o AS (SELECT id, day, row_number() OVER (ORDER BY CASE WHEN r <= quota THEN 0 ELSE 1 END, md5('day|' || id), id) AS place FROM d, q)
 SELECT id, strftime(day, '%Y-%m-%d') AS day FROM o WHERE place <= 500""")
 def stratified_sample(spark, sf):
-    """500 ids, days in equal quotas by md5 rank, the rest filled by further ranks."""
+    """500 ids, days in equal quotas by md5 rank, the rest filled by md5 from all other days."""
     d = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("day"))
     mixed = F.md5(F.concat(F.lit("day|"), F.col("id").cast("string")))
     d = d.withColumn("m", mixed).withColumn("r", F.row_number().over(Window.partitionBy("day").orderBy("m", "id")))
-    q = d.agg(F.greatest(F.expr("500 div count(distinct day)"), F.lit(1)).alias("quota"))
-    return d.crossJoin(F.broadcast(q)).orderBy(F.when(F.col("r") <= F.col("quota"), 0).otherwise(1), "r", "m", "id").limit(500).select("id", F.col("day").cast("string").alias("day"))
+    q = d.agg(F.expr("500 div count(distinct day)").alias("quota"))
+    return d.crossJoin(F.broadcast(q)).orderBy(F.when(F.col("r") <= F.col("quota"), 0).otherwise(1), "m", "id").limit(500).select("id", F.col("day").cast("string").alias("day"))

@@ -153,15 +153,20 @@ def test_golden_record_prefers_trust_then_order(spark):
 
 
 def test_resolution_rounds(spark):
-    rows = [("a", 1, "k", 1, 1950), ("a", 2, "k", 2, 1960), ("b", 1, "k", 1, 1955), ("b", 2, "k", 3, 2010), ("b", 3, "j", 1, 1955)]
-    got = {(r["source"], r["seq"]): (r["person"], r["how"]) for r in R.resolve_in_rounds(spark.createDataFrame(rows, "source string, seq long, match_key string, chamber int, year int"), ["a", "b"]).collect()}
-    assert got["b", 1] == (2, "block") and got["b", 2][1] == "new" and got["b", 3][1] == "new"
+    rows = [("a", 1, "k", None, 1, 1950, None), ("a", 2, "k", "l", 2, 1960, None), ("a", 3, "q", "m", 1, 1900, "known"), ("b", 1, "k", "l", 1, 1955, None), ("b", 2, "k", None, 3, 2010, None), ("b", 3, "k", "z", 2, 1955, None), ("b", 4, "q", "n", 2, 2000, None), ("b", 5, "x", "m", 2, 2000, None)]
+    df = spark.createDataFrame(rows, "source string, seq long, ar_key string, lat_key string, chamber int, year int, born string")
+    got = {(r["source"], r["seq"]): (r["person"], r["method"], r["confidence"]) for r in R.resolve_in_rounds(df, ["a", "b"]).collect()}
+    assert got["b", 1] == (2, "normalised_name_ar+lat", "high")  # not 1, which is of its own chamber
+    assert got["b", 2][1] == "source_id"  # over forty years from both
+    assert got["b", 3] == (1, "normalised_name_ar", "medium")  # 2 has another Latin name
+    assert got["b", 4][1] == "source_id"  # Latin names differ
+    assert got["b", 5] == (3, "normalised_name_lat", "medium")  # a birth date lifts the limit of years
 
 
 def test_mint_and_fill(spark):
-    known = spark.createDataFrame([("x", "TNP-00007")], "key string, id string")
-    ids = {r["key"]: r["id"] for r in R.mint_ids(spark.createDataFrame([("b",), ("x",), ("a",)], "key string"), known, "key", "TNP").collect()}
-    assert ids == {"x": "TNP-00007", "a": "TNP-00008", "b": "TNP-00009"}
+    known = spark.createDataFrame([("x", "PER-00007")], "key string, id string")
+    ids = {r["key"]: r["id"] for r in R.mint_ids(spark.createDataFrame([("b",), ("x",), ("a",)], "key string"), known, "key", "PER").collect()}
+    assert ids == {"x": "PER-00007", "a": "PER-00008", "b": "PER-00009"}
     kept = spark.createDataFrame([("1", ""), ("2", "n")], "id string, name string")
     staged = spark.createDataFrame([("1", "s"), ("2", "t"), ("3", "u")], "id string, name string")
     assert {tuple(r) for r in R.fill_blanks(kept, staged, "id", ["name"]).collect()} == {("1", "s"), ("2", "n"), ("3", "u")}
