@@ -47,6 +47,12 @@ SCRIPT_NAMES = tuple(dict.fromkeys(SCRIPTS))
 SCRIPT_OF_RANGE = tuple(SCRIPT_NAMES.index(s) for s in SCRIPTS)
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters. Python's word characters also hold numbers such as a half, which make no word on their own."""
+    words = LETTERS.findall(text or "")
+    return words if not text or text.isascii() else [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
+
+
 def script_of(word: str) -> int:
     return SCRIPT_OF_RANGE[bisect_right(SCRIPT_STARTS, ord(word[0])) - 1]
 
@@ -180,7 +186,7 @@ def train(docs: DataFrame, where=None, text: str = "text", label: str = "lang",
         scripts: dict[str, np.ndarray] = {}
         for texts, labels in slices:
             for t, l in zip(texts, labels, strict=True):
-                words = LETTERS.findall(t)
+                words = words_of(t)
                 if not words:
                     continue
                 if l not in grams:
@@ -237,7 +243,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", id: str
                 cuts = np.nonzero(np.diff(path))[0] + 1
                 counts.append(len(cuts) + 1)
                 if spans:
-                    at = [m.span() for m in LETTERS.finditer(t)]
+                    at = [m.span() for m in LETTERS.finditer(t) if any(map(str.isalpha, m[0]))]
                     bounds = [0, *cuts.tolist(), len(path)]
                     listed.append([{"start": at[a][0], "end": at[b - 1][1], "lang": model.languages[path[a]]} for a, b in zip(bounds, bounds[1:], strict=False)])
             scores.trim()
@@ -246,7 +252,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", id: str
         ids, texts, found, sizes, held = [], [], [], [], 0
         for more, slice_texts in slices:
             for i, t in zip(more, slice_texts, strict=True):
-                words = LETTERS.findall(t or "")
+                words = words_of(t)
                 index = scores.indexes(words) if len(names) else np.zeros(0, np.int64)
                 known = any(model.readable[script_of(w)] for w in words) if len(index) else False
                 ids.append(i)
@@ -298,7 +304,7 @@ def verdict_column(shared, least: float):
 
             held = 0
             for t in texts:
-                words = LETTERS.findall(t) if isinstance(t, str) else []
+                words = words_of(t) if isinstance(t, str) else []
                 found.append(scores.indexes(words) if model.languages else np.zeros(0, np.int64))
                 sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
                 held += len(words)

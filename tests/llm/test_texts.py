@@ -198,11 +198,11 @@ def test_language_spans_and_scripts(spark):
     docs = spark.createDataFrame([(i, t * 20, l) for i, (t, l) in enumerate([(en, "en"), (fr, "fr"), (ru, "ru")] * 6)], "doc_id long, text string, lang string")
     model = language.train(docs)
     text = en * 3 + ru * 2 + fr * 3
-    got = language.identify(spark.createDataFrame([(1, text), (2, None), (3, "12 34"), (4, "中文字"), (5, "кошка")], "doc_id long, text string"), model)
+    got = language.identify(spark.createDataFrame([(1, text), (2, None), (3, "12 34"), (4, "中文字"), (5, "кошка"), (6, "½ ²")], "doc_id long, text string"), model)
     by = {r["doc_id"]: r for r in got.collect()}
     assert [s["lang"] for s in by[1]["spans"]] == ["en", "ru", "fr"] and 0 < by[1]["score"] < 1
     assert text[by[1]["spans"][1]["start"] : by[1]["spans"][1]["end"]].strip() == (ru * 2).strip()
-    assert by[2]["lang_pred"] == by[3]["lang_pred"] == "und" and by[4]["lang_pred"] in model.languages and by[4]["score"] == 0
+    assert by[2]["lang_pred"] == by[3]["lang_pred"] == by[6]["lang_pred"] == "und" and by[4]["lang_pred"] in model.languages and by[4]["score"] == 0
     assert by[5]["lang_pred"] == "ru" and by[5]["score"] == 1
 
 
