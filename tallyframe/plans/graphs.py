@@ -208,7 +208,7 @@ TRIANGLES = ", tri AS (SELECT count(*) AS n FROM strong a JOIN strong b ON a.tar
 
 @query("transitivity", f"WITH {STRONG}{BOTH}{TRIANGLES} SELECT n AS triangles, round(3 * n / nullif(open, 0), 6) AS transitivity FROM tri, deg")
 def transitivity(spark, sf):
-    t = strong(spark, sf).select("source", "target").cache()
+    t = G.reliable(strong(spark, sf).select("source", "target"))
     a, b, c = t.toDF("x", "y"), t.toDF("y", "z"), t.toDF("x", "z")
     tri = a.join(b, "y").join(c, ["x", "z"]).agg(F.count("*").alias("triangles"))
     deg = G.both_ways(t.withColumn("weight", F.lit(1))).groupBy("source").count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2).alias("open"))
