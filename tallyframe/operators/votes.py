@@ -17,9 +17,11 @@ def agreement(sides: DataFrame, min_shared: int = 30, by: list[str] | None = Non
     """(by..., source, target, shared, agreed) for pairs source < target that took sides in enough common divisions.
 
     Divisions are numbered and packed into 63-bit words, one of yes and one of no for each member, so that the pair join
-    handles one row for 63 divisions. Two shuffles: words, then pairs (summed before they move).
+    handles one row for 63 divisions. Two shuffles: words, then pairs (summed before they move). Words are few, so sources
+    are dealt to salts and targets copied to each, which spreads a word's pairs over many tasks.
     """
     by = by or []
+    salts = min(64, int(sides.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     numbered = sides.select(*by, "division").distinct().withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("division") if by else Window.partitionBy(F.lit(0)).orderBy("division")) - 1)
     bit = F.expr("shiftleft(1L, cast(n % 63 AS int))")
     words = (
@@ -27,9 +29,9 @@ def agreement(sides: DataFrame, min_shared: int = 30, by: list[str] | None = Non
         .groupBy(*by, F.floor(F.col("n") / 63).alias("word"), "member")
         .agg(F.bit_or(F.when(F.col("side") == 1, bit).otherwise(0)).alias("yes"), F.bit_or(F.when(F.col("side") == -1, bit).otherwise(0)).alias("no"))
     )
-    a = words.select(*by, "word", F.col("member").alias("source"), F.col("yes").alias("ya"), F.col("no").alias("na"))
-    b = words.select(*by, "word", F.col("member").alias("target"), F.col("yes").alias("yb"), F.col("no").alias("nb"))
-    pairs = a.join(b, [*by, "word"]).where(F.col("source") < F.col("target"))
+    a = words.select(*by, "word", F.pmod(F.xxhash64("member"), F.lit(salts)).cast("int").alias("salt"), F.col("member").alias("source"), F.col("yes").alias("ya"), F.col("no").alias("na"))
+    b = words.select(*by, "word", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col("member").alias("target"), F.col("yes").alias("yb"), F.col("no").alias("nb"))
+    pairs = a.join(b, [*by, "word", "salt"]).where(F.col("source") < F.col("target"))
     both = F.bit_count(F.col("ya").bitwiseOR(F.col("na")).bitwiseAND(F.col("yb").bitwiseOR(F.col("nb"))))
     same = F.bit_count(F.col("ya").bitwiseAND(F.col("yb")).bitwiseOR(F.col("na").bitwiseAND(F.col("nb"))))
     return pairs.groupBy(*by, "source", "target").agg(F.sum(both).alias("shared"), F.sum(same).alias("agreed")).where(F.col("shared") >= min_shared)

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators import votes as V
+from tallyframe.operators.graph import reliable
 from tallyframe.operators.ranking import global_rank
 from tallyframe.sources.tables import load
 
@@ -19,7 +20,8 @@ chunks AS (SELECT division, least(rn // greatest(n // {0}, 1), {0} - 1) AS chunk
 
 
 def kept(spark, sf):
-    return V.contested(sides(spark, sf), MIN_CAST)
+    """Contested sides. All sides are written once, since the queries read them several times and each time would sort the line items anew."""
+    return V.contested(reliable(sides(spark, sf)), MIN_CAST)
 
 
 def days(spark, sf):
