@@ -2,7 +2,8 @@
 
 Rules decide first. Elsewhere a host's chance of a bad page is estimated from labelled pages: a beta-binomial
 posterior whose prior is shrunk from the host to its registered domain, from there to its suffix and from there to
-the whole. Prior strengths are estimated from the spread of the groups at each level. A host is blocked where the
+the whole. Prior strengths are estimated from the spread of the labelled groups at each level. Every host of the pages
+has a posterior: without labelled pages it is its domain's, its suffix's or the whole's. A host is blocked where the
 lower bound of its posterior lies above a limit, so that few labels do not block.
 
 DataFrame functions only; nothing runs in Python on the executors.
@@ -96,16 +97,17 @@ def strength(groups: DataFrame) -> Column:
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
-    """One row for each host of outcomes (host, bad: 0 or 1): host, n, bad_pages, mean, bound (of the chance of a bad page).
+    """One row for each host of outcomes (host, bad: 0, 1 or null for no label): host, n, bad_pages, mean, bound (of the chance of a bad page).
 
     Outcomes are summed to hosts before anything else, so that a hot host shuffles one row from each task.
     """
-    hosts = cut_lineage(outcomes.groupBy("host").agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad")).select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"))
+    hosts = cut_lineage(outcomes.groupBy("host").agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad")).select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"))
     domains = cut_lineage(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     suffixes = cut_lineage(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     # One row each: sums over the level's groups.
     overall = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("m")).first()["m"]
-    k = {level: t.agg(strength(t).alias("k")).first()["k"] for level, t in zip(LEVELS, (suffixes, domains, hosts), strict=True)}
+    # Groups without labels tell nothing about the spread.
+    k = {level: t.where("n > 0").agg(strength(t).alias("k")).first()["k"] for level, t in zip(LEVELS, (suffixes, domains, hosts), strict=True)}
 
     def shrunk(mean: Column, level: str) -> Column:
         return (F.col("bad") + F.lit(k[level]) * mean) / (F.col("n") + F.lit(k[level]))
@@ -121,13 +123,15 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...]
     """One row for each row of pages: its id, host, path, rule, verdict and bound.
 
     outcomes: (id, bad) for some pages, bad 0 or 1; nulls are left aside. A null url has an empty host and path
-    and is judged as any host. A host without labelled pages is allowed; its bound is null.
+    and is judged as any host. A host without labelled pages has the bound of its domain's mean at n = 0.
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"rules are compiled into one expression; at most {MAX_RULES} of them")
     read = pages.select(F.col(id).alias("page"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     labelled = outcomes.where(F.col("bad").isin(0, 1)).select(F.col(id).alias("page"), "bad")
-    known = cut_lineage(reputation(read.select("page", "host").join(labelled, "page").select("host", "bad")))
+    judged = read.select("page", "host").join(labelled, "page").select("host", "bad")
+    # All hosts beside the labelled pages, so that no page is left out where its id is null or unlabelled.
+    known = cut_lineage(reputation(judged.unionByName(read.select("host", F.lit(None).cast("int").alias("bad")))))
     rule = first_fit(rules, F.col("host"), F.col("path"), lambda r: r.name)
     ruled = first_fit(rules, F.col("host"), F.col("path"), lambda r: r.verdict)
     method = F.when(F.col("bound") > LIMIT, "block").otherwise("allow")

@@ -203,6 +203,66 @@ def test_url_rules_and_reputation(spark):
         url_filter.judge_urls(df, none, (url_filter.RULES[0],) * 300)
 
 
+def plain_bounds(pages, outcomes):
+    """Host: bound, for every host of pages (id, host), by the formulas of url_filter in plain Python."""
+    u, labels = url_filter, defaultdict(list)
+    for i, bad in outcomes:
+        labels[i].append(bad)
+    cut = lambda host, n: ".".join(host.split(".")[-n:])
+    counts = {level: defaultdict(lambda: [0, 0]) for level in u.LEVELS}
+    for i, host in pages:
+        for level, key in zip(u.LEVELS, (cut(host, 1), cut(host, 2), host), strict=True):
+            for bad in labels[i] or [None]:
+                c = counts[level][key]
+                c[0] += bad is not None
+                c[1] += bad or 0
+
+    def strength(groups):
+        groups = [g for g in groups if g[0]]
+        n, bad = sum(g[0] for g in groups), sum(g[1] for g in groups)
+        rest = n and n - sum(g[0] ** 2 for g in groups) / n
+        if not rest:
+            return u.STRONGEST
+        within = bad / n * (1 - bad / n)
+        between = (sum(g[1] ** 2 / g[0] for g in groups) - bad**2 / n - (len(groups) - 1) * within) / rest
+        return max(u.WEAKEST, min(u.STRONGEST, (within - between) / between)) if between > 0 else u.STRONGEST
+
+    k = {level: strength(counts[level].values()) for level in u.LEVELS}
+    n, bad = (sum(c[x] for c in counts["suffix"].values()) for x in (0, 1))
+    out = {}
+    for host in counts["host"]:
+        mean = bad / n if n else 0.0
+        for level, key in zip(u.LEVELS, (cut(host, 1), cut(host, 2), host), strict=True):
+            c = counts[level][key]
+            mean = (c[1] + k[level] * mean) / (c[0] + k[level])
+        out[host] = mean - u.BOUND * (mean * (1 - mean) / (c[0] + k["host"] + 1)) ** 0.5
+    return out
+
+
+def test_hosts_without_labels(spark):
+    """A fresh subdomain of a bad domain is blocked; domain, suffix and whole stand in where a host has no labelled page."""
+    hosts = {f"h{j}.{name}": bad for name, bad in (("bad.info", 1), ("good.info", 0), ("good.biz", 0), ("bad.dev", 1)) for j in range(6)}
+    pages = [(100 * j + i, host) for j, host in enumerate(hosts) for i in range(40)]
+    outcomes = [(i, hosts[host]) for i, host in pages]
+    unseen = ["fresh.bad.info", "fresh.good.info", "fresh.new.info", "fresh.new.dev", "fresh.new.xyz", "single"]
+    pages += [(10_000 + i, host) for i, host in enumerate(unseen)] + [(None, "no-id.bad.dev")]
+    df = spark.createDataFrame([(i, f"x://{host}/") for i, host in pages], "page_id long, url string")
+    rows = url_filter.judge_urls(df, spark.createDataFrame(outcomes, "page_id long, bad int")).collect()
+    assert len(rows) == len(pages)
+    by = {r["host"]: r for r in rows}
+    want = plain_bounds(pages, outcomes)
+    assert by.keys() == want.keys()
+    assert all(by[h]["bound"] == pytest.approx(want[h]) for h in want)
+    assert [by[h]["verdict"] for h in ("fresh.bad.info", "fresh.good.info", "no-id.bad.dev")] == ["block", "allow", "block"]
+
+
+def test_every_host_has_a_bound(spark, sf):
+    rows = digests.op8_url_filter(spark, sf).collect()
+    outcomes = [(r["doc_id"], 1 - r["quality"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["quality"] in (0, 1)]
+    want = plain_bounds([(r["page_id"], r["host"]) for r in rows], outcomes)
+    assert all(r["bound"] == pytest.approx(want[r["host"]], abs=1e-6) for r in rows)
+
+
 @pytest.mark.parametrize("name", ["op8_url_filter", "op9_lm_score"])
 def test_matches_sql(spark, sf, name):
     df = digests.QUERIES[name](spark, sf)
