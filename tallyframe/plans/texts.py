@@ -47,13 +47,10 @@ for _c in "abcdefghijklmnopqrstuvwxyz":
 NORMAL_LATIN = "trim(regexp_replace(" + DOUBLES.format("replace(replace(replace(regexp_replace(" + LATIN.format("regexp_replace({0}, '[''’`]', '', 'g')") + ", '[^a-z ]', ' ', 'g'), 'ou', 'u'), 'kh', 'k'), 'ch', 'sh')") + ", ' +', ' ', 'g'))"
 
 
-def first_line(c):
-    return F.split(c, "\n")[0]
-
-
 @query("normalize_latin", f"SELECT doc_id, {NORMAL_LATIN.format('string_split(text, chr(10))[1]')} AS line FROM documents")
 def normalize_latin(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", X.normalize_latin(first_line("text")).alias("line"))
+    """Whole texts; the statement above reads first lines only."""
+    return load(spark, sf, "documents").select("doc_id", X.normalize_latin(F.col("text")).alias("text"))
 
 
 @query("romanize", f"""WITH n AS (SELECT s_suppkey AS id, translate((1000 + s_suppkey * 37)::VARCHAR, '0123456789', 'ابتدرسمنلو') || ' ' || translate((s_suppkey + 11)::VARCHAR, '0123456789', 'شخثغعكفطقي') AS name FROM supplier),

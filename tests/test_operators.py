@@ -1,6 +1,8 @@
 """Invariants of the operators on small inputs."""
 
 import datetime as dt
+import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -185,6 +187,25 @@ def test_text_functions(spark):
     assert one(spark, X.classify_longest(F.lit("vice president"), {"president": "p", "vice president": "vp"})) == "vp"
 
 
+def plain_latin(text):
+    """normalize_latin of the reference, in plain Python."""
+    s = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    s = re.sub(r"[^a-z\s]", " ", s.translate(str.maketrans("-_.", "   ", "'’`")).lower())
+    s = re.sub(r"(.)\1+", r"\1", s.replace("ou", "u").replace("kh", "k").replace("ch", "sh"))
+    return re.sub(r"\s+", " ", s).strip()
+
+
+def test_normalize_latin_reads_whole_texts(spark, sf, tmp_path):
+    from tallyframe.plans import registry
+
+    texts = ["Khélil\nBen  Achoûr's\r\n\nKhaddour-o\nuu", "\nafter an empty line", "one line", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    query = registry.queries()["normalize_latin"]
+    assert {r["doc_id"]: r["text"] for r in query(spark, str(tmp_path)).collect()} == {i: plain_latin(t) for i, t in enumerate(texts)}
+    got = {r["doc_id"]: r["text"] for r in query(spark, sf).collect()}
+    assert got == {r["doc_id"]: plain_latin(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+
+
 def test_cells(spark):
     for value, text in ((0.1, "0.1"), (123456789.0, "1.23457e+08"), (1e-5, "1e-05"), (2.0, "2"), (999999.5, "1e+06"), (0.0, "0"), (-1.25, "-1.25"), (100000.0, "100000")):
         assert one(spark, IO.general_digits(F.lit(value))) == text == f"{value:.6g}"
