@@ -57,6 +57,23 @@ def ei_counts(ties: DataFrame, blocs: DataFrame, by: list[str] | None = None) ->
     return t.groupBy(*by, "bloc").agg(F.sum(F.when(same, 1).otherwise(0)).alias("internal"), F.sum(F.when(~same, 1).otherwise(0)).alias("external"))
 
 
+def ei_counts_by_draw(ties: DataFrame, labels: DataFrame) -> DataFrame:
+    """(draw, bloc, internal, external) as ei_counts gives them, for labels (draw, member, bloc) with the same draws for each member.
+
+    A member's labels of all draws travel as one array, so that ties by draws are counted where they are and not shuffled.
+    """
+    names = labels.select("bloc").distinct()
+    numbered = names.withColumn("k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("bloc")).cast("int"))
+    own = labels.join(numbered, labels["bloc"].eqNullSafe(numbered["bloc"])).groupBy("member").agg(F.array_sort(F.collect_list(F.struct("draw", "k"))).alias("of"))
+    own = own.select("member", F.transform("of", lambda x: x["k"]).alias("k"), F.transform("of", lambda x: x["draw"]).alias("draws"))
+    a, b = own.toDF("source", "a", "draws"), own.select("member", "k").toDF("target", "b")
+    pairs = ties.select("source", "target").join(a, "source").join(b, "target")
+    cells = pairs.select(F.inline(F.arrays_zip("draws", "a", "b"))).groupBy(F.col("draws").alias("draw"), "a", "b").agg(F.count("*").alias("n"))
+    ends = cells.select("draw", "a", "b", "n").unionByName(cells.select("draw", F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    counts = ends.groupBy("draw", "a").agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("internal"), F.sum(F.when(F.col("a") != F.col("b"), F.col("n")).otherwise(0)).alias("external"))
+    return counts.join(numbered, counts["a"] == numbered["k"]).select("draw", "bloc", "internal", "external")
+
+
 def shuffled_labels(blocs: DataFrame, draws: int, seed: str) -> DataFrame:
     """(draw, member, bloc): labels dealt anew, bloc sizes kept, by md5 ranks."""
     drawn = blocs.crossJoin(F.broadcast(blocs.sparkSession.range(draws).withColumnRenamed("id", "draw")))

@@ -55,18 +55,19 @@ def rice(sides: DataFrame, blocs: DataFrame, min_cast: int = 5) -> DataFrame:
     return tally.where(F.col("cast") >= min_cast).select("bloc", "division", "cast", (F.col("lead") / F.col("cast")).alias("score"))
 
 
-def phi(sides: DataFrame, min_overlap: int = 30) -> DataFrame:
-    """(d1, d2, n, phi): absolute phi between divisions over members who took sides in both; degenerate tables are left out."""
-    a = sides.select("member", F.col("division").alias("d1"), F.col("side").alias("s1"))
-    b = sides.select("member", F.col("division").alias("d2"), F.col("side").alias("s2"))
-    cells = a.join(b, "member").where("d1 < d2").groupBy("d1", "d2").agg(
+def phi(sides: DataFrame, min_overlap: int = 30, by: list[str] | None = None) -> DataFrame:
+    """(by..., d1, d2, n, phi): absolute phi between divisions over members who took sides in both; degenerate tables are left out."""
+    by = by or []
+    a = sides.select(*by, "member", F.col("division").alias("d1"), F.col("side").alias("s1"))
+    b = sides.select(*by, "member", F.col("division").alias("d2"), F.col("side").alias("s2"))
+    cells = a.join(b, [*by, "member"]).where("d1 < d2").groupBy(*by, "d1", "d2").agg(
         F.count("*").alias("n"),
         *[F.sum(F.when((F.col("s1") == x) & (F.col("s2") == y), 1).otherwise(0)).alias(f"n{int(x > 0)}{int(y > 0)}") for x in (1, -1) for y in (1, -1)],
     )
     row1, row0 = F.col("n11") + F.col("n10"), F.col("n01") + F.col("n00")
     col1, col0 = F.col("n11") + F.col("n01"), F.col("n10") + F.col("n00")
     margin = row1.cast("double") * row0 * col1 * col0
-    return cells.where((F.col("n") >= min_overlap) & (margin > 0)).select("d1", "d2", "n", (F.abs(F.col("n11") * F.col("n00") - F.col("n10") * F.col("n01")) / F.sqrt(margin)).alias("phi"))
+    return cells.where((F.col("n") >= min_overlap) & (margin > 0)).select(*by, "d1", "d2", "n", (F.abs(F.col("n11") * F.col("n00") - F.col("n10") * F.col("n01")) / F.sqrt(margin)).alias("phi"))
 
 
 def permuted_sides(sides: DataFrame, draws: int, seed: str) -> DataFrame:

@@ -67,6 +67,8 @@ def modularity(spark, sf):
     return G.modularity(strong(spark, sf), blocs(spark, sf))
 
 
+#: Shuffles of the labels, as in the reference.
+EI_DRAWS = 400
 EI = "SELECT {0}x.bloc, count(*) FILTER (x.bloc = y.bloc) AS internal, count(*) FILTER (x.bloc <> y.bloc) AS external FROM both_ JOIN {1} x ON x.member = source JOIN {1} y ON y.member = target{2} GROUP BY ALL"
 
 
@@ -80,8 +82,8 @@ def ei_index(spark, sf):
 mixed AS (SELECT a.draw, a.member, b.bloc FROM drawn a JOIN drawn b ON a.draw = b.draw AND a.place = b.other), c AS ({EI.format('x.draw, ', 'mixed', ' AND y.draw = x.draw')}),
 v AS (SELECT draw, bloc, (external - internal) / (external + internal)::DOUBLE AS ei FROM c)
 SELECT bloc, count(*) AS draws, round(avg(ei), 6) AS mean, round(quantile_cont(ei, 0.025), 6) AS p2_5, round(quantile_cont(ei, 0.975), 6) AS p97_5 FROM v GROUP BY 1""")
-def ei_null(spark, sf):
-    c = G.ei_counts(strong(spark, sf), G.shuffled_labels(blocs(spark, sf), 40, "ei"), ["draw"])
+def ei_null(spark, sf, draws=EI_DRAWS):
+    c = G.ei_counts_by_draw(strong(spark, sf), G.shuffled_labels(blocs(spark, sf), draws, "ei"))
     v = c.withColumn("ei", (F.col("external") - F.col("internal")) / (F.col("external") + F.col("internal")))
     return v.groupBy("bloc").agg(F.count("*").alias("draws"), F.round(F.avg("ei"), 6).alias("mean"), F.round(F.percentile("ei", 0.025), 6).alias("p2_5"), F.round(F.percentile("ei", 0.975), 6).alias("p97_5"))
 

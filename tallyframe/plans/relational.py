@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,12 @@ from tallyframe.sources.tables import load, project_to, render_cell
 
 from .registry import query
 
+#: Draws of the permutation test, as in the reference.
+N_PERM = 10_000
+#: Rows by draws for each partition; standard deviations and spare rows around the k-th md5 value that are ranked.
+ROWS_EACH, RANK_SIGMAS, RANK_SPARE = 5_000_000, 8, 40
+
+
 def whole():
     """A window over all rows, for ranks of small tables."""
     return Window.partitionBy(F.lit(0))
@@ -378,11 +386,25 @@ def two_group_summary(spark, sf):
 @query("permutation_test", """WITH c AS (SELECT c_custkey AS id, c_acctbal AS x, c_mktsegment = 'BUILDING' AS g FROM customer), k AS (SELECT count(*) FILTER (g) AS k, avg(x) FILTER (g) AS observed FROM c),
 r AS (SELECT draw, x, row_number() OVER (PARTITION BY draw ORDER BY md5('perm|' || draw || '|' || id), id) AS rn FROM c, range(200) d(draw)), m AS (SELECT draw, avg(x) FILTER (rn <= k) AS mean FROM r, k GROUP BY 1)
 SELECT count(*) AS draws, round((max(observed) - avg(mean)) / stddev_pop(mean), 6) AS z, round((count(*) FILTER (mean >= observed) + 1) / (count(*) + 1)::DOUBLE, 6) AS p FROM m, k""")
-def permutation_test(spark, sf):
-    """Draws without replacement by md5 ranks; p = (k + 1) / (n + 1)."""
+def permutation_test(spark, sf, draws=N_PERM):
+    """Draws without replacement by md5 ranks; p = (k + 1) / (n + 1).
+
+    md5 values are uniform, so the k-th smallest of n lies close to k / n of their range. Values clearly below are summed where they are, those
+    clearly above are left, and only those around it are shuffled and ranked. A draw whose k-th value lies elsewhere stops the query.
+    """
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("x"), (F.col("c_mktsegment") == "BUILDING").alias("g"))
-    k = c.agg(F.count_if("g").alias("k"), F.avg(F.when(F.col("g"), F.col("x"))).alias("observed"))
-    mixed = F.md5(F.concat_ws("|", F.lit("perm"), "draw", "id"))
-    r = c.crossJoin(F.broadcast(spark.range(200).withColumnRenamed("id", "draw"))).withColumn("rn", F.row_number().over(Window.partitionBy("draw").orderBy(mixed, "id")))
-    m = r.crossJoin(F.broadcast(k)).groupBy("draw", "observed").agg(F.avg(F.when(F.col("rn") <= F.col("k"), F.col("x"))).alias("mean"))
-    return m.agg(F.count("*").alias("draws"), F.round((F.max("observed") - F.avg("mean")) / F.stddev_pop("mean"), 6).alias("z"), F.round((count(F.col("mean") >= F.col("observed")) + 1) / (F.count("*") + 1), 6).alias("p"))
+    n, k, observed = c.agg(F.count("*"), F.count_if("g"), F.avg(F.when(F.col("g"), F.col("x")))).first()
+    share = k / max(n, 1)
+    slack = (RANK_SIGMAS * math.sqrt(n * share * (1 - share)) + RANK_SPARE) / max(n, 1)
+    low, high = (f"{int(f * 16**8):08x}" if f < 1 else "g" for f in (max(share - slack, 0.0), share + slack))
+    spread = c.select("id", "x").repartition(max(1, math.ceil(n * draws / ROWS_EACH)), "id")
+    drawn = spread.crossJoin(F.broadcast(spark.range(draws).withColumnRenamed("id", "draw")))
+    near = drawn.withColumn("m", F.md5(F.concat_ws("|", F.lit("perm"), "draw", "id"))).where(F.col("m") < high)
+    kept = lambda c: F.when(F.col("m") >= low, c)
+    sums = near.groupBy("draw", kept(F.unhex("m")).alias("m"), kept(F.col("id")).alias("id")).agg(F.count("*").alias("rows"), F.count("x").alias("values"), F.sum("x").alias("total"))
+    upto = F.sum("rows").over(Window.partitionBy("draw").orderBy(F.asc_nulls_first("m"), "id"))
+    taken = lambda c: F.sum(F.when(F.col("upto") <= k, F.col(c)))
+    m = sums.withColumn("upto", upto).groupBy("draw").agg(F.coalesce(taken("rows"), F.lit(0)).alias("rows"), F.try_divide(taken("total"), taken("values")).alias("mean"))
+    m = m.withColumn("mean", F.when(F.col("rows") == k, F.col("mean")).otherwise(F.raise_error(F.lit("the k-th md5 value lies outside the ranked range")).cast("double")))
+    observed = F.lit(observed).cast("double")
+    return m.agg(F.count("*").alias("draws"), F.round((observed - F.avg("mean")) / F.stddev_pop("mean"), 6).alias("z"), F.round((count(F.col("mean") >= observed) + 1) / (F.count("*") + 1), 6).alias("p"))

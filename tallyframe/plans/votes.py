@@ -14,6 +14,8 @@ from .inputs import AGREEMENT, BLOCS, CONTESTED, POSITIONS, blocs, positions, si
 from .registry import query
 
 MIN_CAST, MIN_SHARED = 8, 30
+#: Draws of the bootstraps and shuffles of the phi null, as in the reference.
+BOOTSTRAP, NULLS = 400, 10
 DAYS = ", days AS (SELECT l_partkey % 200 AS division, min(l_shipdate)::DATE AS day FROM lineitem GROUP BY 1)"
 CHUNKS = DAYS + """, numbered AS (SELECT division, row_number() OVER (ORDER BY day, division) - 1 AS rn, count(*) OVER () AS n FROM days SEMI JOIN kept USING (division)),
 chunks AS (SELECT division, least(rn // greatest(n // {0}, 1), {0} - 1) AS chunk FROM numbered)"""
@@ -144,10 +146,10 @@ def mean_phi(spark, sf):
 @query("phi_bootstrap", f"""WITH {CONTESTED}, {PHI.format('cast_', '')}, n AS (SELECT row_number() OVER (ORDER BY division) - 1 AS i, division, count(*) OVER () AS n FROM kept),
 picks AS (SELECT DISTINCT draw, b.division FROM range(20) d(draw), n JOIN n b ON b.i = ('0x' || substr(md5('phi|' || draw || '|' || n.i), 1, 8))::BIGINT % n.n)
 SELECT x.draw, count(*) AS pairs, round(avg(phi), 6) AS mean_phi FROM phis JOIN picks x ON x.division = d1 JOIN picks y ON y.division = d2 AND y.draw = x.draw GROUP BY 1""")
-def phi_bootstrap(spark, sf):
+def phi_bootstrap(spark, sf, draws=BOOTSTRAP):
     s = kept(spark, sf)
     n = s.select("division").distinct().withColumn("i", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("division")) - 1).withColumn("n", F.count("*").over(Window.partitionBy(F.lit(0))))
-    drawn = n.crossJoin(spark.range(20).withColumnRenamed("id", "draw"))
+    drawn = n.crossJoin(spark.range(draws).withColumnRenamed("id", "draw"))
     pick = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("phi"), "draw", "i")), 1, 8), 16, 10).cast("long") % F.col("n")
     picks = drawn.select("draw", pick.alias("i")).join(n.select("i", "division"), "i").select("draw", "division").distinct()
     p = V.phi(s, 15)
@@ -161,8 +163,10 @@ mixed AS (SELECT a.draw, a.division, a.member, b.side FROM drawn a JOIN drawn b
 
 
 @query("phi_null", f"""WITH {CONTESTED}, {SHUFFLED.format('null', 1)}, {PHI.format('mixed', '')} SELECT count(*) AS pairs, round(avg(phi), 6) AS mean_phi FROM phis""")
-def phi_null(spark, sf):
-    return V.phi(V.permuted_sides(kept(spark, sf), 1, "null").drop("draw"), 15).agg(F.count("*").alias("pairs"), F.round(F.avg("phi"), 6).alias("mean_phi"))
+def phi_null(spark, sf, draws=NULLS):
+    """The mean of the shuffles' mean phis; pairs of all shuffles."""
+    each = V.phi(V.permuted_sides(kept(spark, sf), draws, "null"), 15, ["draw"]).groupBy("draw").agg(F.count("*").alias("pairs"), F.avg("phi").alias("mean_phi"))
+    return each.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.round(F.avg("mean_phi"), 6).alias("mean_phi"))
 
 
 WINS = """tally AS (SELECT {0}division, sum(side) AS net, count(*) FILTER (inside) AS n1, count(*) FILTER (NOT inside) AS n0, count(*) FILTER (inside AND side = 1) AS y1,
@@ -281,14 +285,16 @@ picks AS (SELECT draw, b.member, count(*) AS mult FROM range(40) d(draw), m JOIN
 means AS (SELECT x.draw, sum(weight * x.mult * y.mult) / sum(x.mult * y.mult) AS mean FROM ties JOIN picks x ON x.member = source JOIN picks y ON y.member = target AND y.draw = x.draw GROUP BY 1),
 ranked AS (SELECT mean, row_number() OVER (ORDER BY mean) - 1 AS r, count(*) OVER () AS n FROM means)
 SELECT round(min(mean) FILTER (r = floor(0.025 * n)), 6) AS low, round(min(mean) FILTER (r = floor(0.975 * n)), 6) AS high, count(*) AS draws FROM ranked""")
-def cluster_bootstrap(spark, sf):
+def cluster_bootstrap(spark, sf, draws=BOOTSTRAP):
+    """Each draw's mean is summed over a member's ties first, so that ties by draws are not shuffled."""
     s = kept(spark, sf)
     w0 = Window.partitionBy(F.lit(0))
     m = s.select("member").distinct().withColumn("i", F.row_number().over(w0.orderBy("member")) - 1).withColumn("n", F.count("*").over(w0))
     pick = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("cluster"), "draw", "i")), 1, 8), 16, 10).cast("long") % F.col("n")
-    picks = m.crossJoin(spark.range(40).withColumnRenamed("id", "draw")).select("draw", pick.alias("i")).join(m.select("i", "member"), "i").groupBy("draw", "member").agg(F.count("*").alias("mult"))
-    t = V.agreement_ties(s, MIN_SHARED).join(picks.toDF("draw", "source", "mx"), "source").join(picks.toDF("draw", "target", "my"), ["draw", "target"])
-    means = t.groupBy("draw").agg((F.sum(F.col("weight") * F.col("mx") * F.col("my")) / F.sum(F.col("mx") * F.col("my"))).alias("mean"))
+    picks = m.crossJoin(spark.range(draws).withColumnRenamed("id", "draw")).select("draw", pick.alias("i")).join(m.select("i", "member"), "i").groupBy("draw", "member").agg(F.count("*").alias("mult"))
+    t = V.agreement_ties(s, MIN_SHARED).join(picks.toDF("draw", "target", "my"), "target")
+    t = t.groupBy("source", "draw").agg(F.sum(F.col("weight") * F.col("my")).alias("top"), F.sum("my").alias("bottom")).join(picks.toDF("draw", "source", "mx"), ["draw", "source"])
+    means = t.groupBy("draw").agg((F.sum(F.col("top") * F.col("mx")) / F.sum(F.col("bottom") * F.col("mx"))).alias("mean"))
     r = means.withColumn("r", F.row_number().over(w0.orderBy("mean")) - 1).withColumn("n", F.count("*").over(w0))
     at = lambda q: F.round(F.min(F.when(F.col("r") == F.floor(F.col("n") * q), F.col("mean"))), 6)
     return r.agg(at(0.025).alias("low"), at(0.975).alias("high"), F.count("*").alias("draws"))

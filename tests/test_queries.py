@@ -37,3 +37,34 @@ def test_flagship(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+FEW = {"permutation_test": 200, "ei_null": 40, "cluster_bootstrap": 40, "phi_bootstrap": 20, "phi_null": 1}
+
+
+@pytest.fixture(scope="module")
+def larger(sf):
+    """Tables in which members share enough divisions."""
+    return sf.replace("sf0.001", "sf0.01")
+
+
+@pytest.mark.parametrize("name", FEW)
+def test_few_draws(spark, larger, name):
+    """The statements have few draws; with as many, the query gives their rows."""
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{larger}/{t}.parquet'")
+    sql = c.sql(registry.oracle_sql()[name])
+    got = rows(registry.queries()[name](spark, larger, draws=FEW[name]).select(*sql.columns).collect())
+    assert got and got == rows(sql.fetchall())
+
+
+@pytest.mark.parametrize("name, draws", [("permutation_test", 10_000), ("ei_null", 400), ("cluster_bootstrap", 400), ("phi_bootstrap", 400)])
+def test_draws_of_the_reference(spark, larger, name, draws):
+    got = registry.queries()[name](spark, larger).collect()
+    assert len(got) == draws if name == "phi_bootstrap" else {r["draws"] for r in got} == {draws}
+
+
+def test_phi_null_shuffles_ten_times(spark, larger):
+    ten, one = (registry.queries()["phi_null"](spark, larger, **few).first()["pairs"] for few in ({}, {"draws": 1}))
+    assert 8 * one < ten < 12 * one
