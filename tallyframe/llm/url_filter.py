@@ -25,6 +25,18 @@ LIMIT = 0.5
 WEAKEST, STRONGEST = 2.0, 200.0
 MAX_RULES = 256
 
+#: Common public suffixes of two labels. Any other suffix counts as one label.
+SUFFIXES = tuple(
+    f"{second}.{top}"
+    for top, seconds in {
+        "uk": "ac co gov ltd me net org plc", "au": "com edu gov id net org", "nz": "ac co geek govt net org", "za": "ac co gov net org", "jp": "ac co go ne or",
+        "kr": "ac co go ne or", "in": "ac co edu gov net org", "il": "ac co gov net org", "br": "com edu gov net org", "ar": "com edu gob net org", "mx": "com edu gob net org",
+        "tr": "com edu gov net org", "cn": "ac com edu gov net org", "tw": "com edu gov net org", "hk": "com edu gov net org", "sg": "com edu gov net org", "my": "com edu gov net org",
+        "th": "ac co go in or", "id": "ac co go or web", "ua": "com edu gov net org", "pl": "com edu gov net org", "eg": "com edu gov net org", "tn": "com gov net org",
+    }.items()
+    for second in seconds.split()
+)
+
 LEVELS = ("suffix", "domain", "host")
 
 
@@ -64,12 +76,15 @@ def path_of(url: Column) -> Column:
 
 
 def domain_of(host: Column) -> Column:
-    """The registered domain: the last two labels, a host of one label itself."""
-    return F.substring_index(host, ".", -2)
+    """The registered domain: the suffix and the label before it, a host without one itself."""
+    last = F.substring_index(host, ".", -2)
+    return F.when(last.isin(*SUFFIXES), F.substring_index(host, ".", -3)).otherwise(last)
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """The last two labels where they are among SUFFIXES, else the last one."""
+    last = F.substring_index(host, ".", -2)
+    return F.when(last.isin(*SUFFIXES), last).otherwise(F.substring_index(host, ".", -1))
 
 
 def fits(rule: UrlRule, host: Column, path: Column) -> Column:

@@ -186,6 +186,12 @@ def test_url_parts(spark):
     assert {r["url"]: (r["h"], r["p"]) for r in got} == urls
 
 
+def test_suffixes_of_two_labels(spark):
+    hosts = {"www.a.co.uk": ("a.co.uk", "co.uk"), "a.co.uk": ("a.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "m.b.com.au": ("b.com.au", "com.au"), "x.a.uk": ("a.uk", "uk"), "a.b.com": ("b.com", "com"), "h": ("h", "h"), "": ("", "")}
+    got = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", url_filter.domain_of(F.col("host")).alias("d"), url_filter.suffix_of(F.col("host")).alias("s")).collect()
+    assert {r["host"]: (r["d"], r["s"]) for r in got} == hosts
+
+
 def test_url_rules_and_reputation(spark):
     pages = [(1, "x://a.com/en/1"), (2, "x://www.example.com/en/77"), (3, "x://a.net/de/8"), (4, "x://example.net/de/8"), (5, "x://xcom/en/"), (6, "x://b.org/es"), (7, None)]
     pages += [(100 + i, f"x://bad.info/{i}") for i in range(80)] + [(300 + i, f"x://good.info/{i}") for i in range(80)] + [(500, "x://one.info/"), (501, "x://new.info/"), (501, "x://new.info/")]
