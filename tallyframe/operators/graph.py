@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.sources.shared import reliable, release
+
 
 def both_ways(ties: DataFrame) -> DataFrame:
     return ties.select("source", "target", "weight").unionByName(ties.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight"))
@@ -83,24 +83,18 @@ def shuffled_labels(blocs: DataFrame, draws: int, seed: str) -> DataFrame:
     return ranked.select("draw", "place", "member").join(ranked.select("draw", F.col("other").alias("place"), "bloc"), ["draw", "place"]).select("draw", "member", "bloc")
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage in the folder of spark.checkpoint.dir."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
-
-
 def components(ties: DataFrame, nodes: DataFrame) -> DataFrame:
     """(member, component): the smallest member that ties reach. Labels spread along ties and jump through their own labels until none changes."""
     edges = reliable(both_ways(ties.withColumn("weight", F.lit(1))).select("source", "target").distinct())
-    labels = reliable(nodes.select("member", F.col("member").alias("component")))
+    labels = held = reliable(nodes.select("member", F.col("member").alias("component")))
     while True:
         near = edges.join(labels.withColumnRenamed("member", "target"), "target").groupBy("source").agg(F.min("component").alias("near"))
         stepped = labels.join(near, labels["member"] == near["source"], "left").select("member", F.col("component").alias("before"), F.least("component", F.coalesce("near", "component")).alias("component"))
         jump = labels.select(F.col("member").alias("component"), F.col("component").alias("beyond"))
         later = reliable(stepped.join(jump, "component", "left").select("member", "before", F.least("component", F.coalesce("beyond", "component")).alias("component")))
         labels = later.select("member", "component")
+        release(held)
+        held = later
         if later.where("before <> component").isEmpty():
             return labels
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import reliable
+from tallyframe.sources.shared import reliable
 
 PLACE = (1 << 33) - 1
 

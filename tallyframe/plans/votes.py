@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators import votes as V
-from tallyframe.operators.graph import reliable
+from tallyframe.sources.shared import reliable
 from tallyframe.operators.ranking import global_rank
 from tallyframe.sources.tables import load
 
