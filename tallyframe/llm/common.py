@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.sources.shared import reliable, release  # noqa: F401
+
 #: Rows that are turned into Python strings at once; keeps a worker's memory low on long texts.
 SLICE_ROWS = 256
 
@@ -19,14 +20,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, materialised in the shared checkpoint folder (spark.checkpoint.dir).
-
-    A folder of this process's own is used only where the cluster names none, as in tests.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    """df, materialised in the shared checkpoint folder (spark.checkpoint.dir). It is deleted by release(), or when Python ends."""
+    return reliable(df)
 
 
 #: Sizes from here on are the optimizer's stand-in for one that it does not know.
@@ -46,7 +41,21 @@ def estimated_bytes(df: DataFrame) -> int:
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
     """Enough partitions for df's estimated size, and no fewer than the session's shuffle partitions."""
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(100_000, max(floor, math.ceil(estimated_bytes(df) / bytes_each)))
+    return max(floor, math.ceil(estimated_bytes(df) / bytes_each))
+
+
+#: Bytes of input (by the optimizer's estimate) that a task of a costly narrow pass has at least.
+SPREAD_BYTES = 512 << 10
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt anew if a scan of it would leave cores idle, as that of one small file does; larger tables come as they are."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(cores, math.ceil(estimated_bytes(df) / SPREAD_BYTES))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def map_slices(df: DataFrame, fn: Callable[[Iterator[list[list]]], Iterator[list[list]]], schema: str, rows: int = SLICE_ROWS) -> DataFrame:

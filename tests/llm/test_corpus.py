@@ -127,6 +127,7 @@ def test_keep_one(edge):
 
 
 def plain_nearest(rows, k=5):
+    """Query id: [(-score, id)] of all rows but the query's own."""
     out = {}
     x = np.array([v for _, v in rows], float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -137,35 +138,58 @@ def plain_nearest(rows, k=5):
     return out
 
 
+def found_nearest(df, **how):
+    got = defaultdict(list)
+    for r in ann.nearest(df, F.col("vec") % 50 == 0, **how).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((round(-r["score"], 12), r["vec_id"]))
+        assert r["rank"] == len(got[r["query_id"]])
+    return got
+
+
 def test_neighbours_exact_and_edges(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=4).tolist()) for i in range(120)]
     rows += [(200 + i, rows[50][1]) for i in range(9)] + [(300, [2 * v for v in rows[50][1]])]
     odd = [(400, None), (401, [0.0] * 4), (402, [1.0, None, 0.0, 0.0]), (403, [float("nan"), 1.0, 1.0, 1.0]), (404, [float("inf"), 1.0, 1.0, 1.0]), (405, [1.0]), (None, [1.0] * 4), (450, [])]
-    df = spark.createDataFrame(rows + odd + [rows[50]], "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("rank", F.lit(2))
-    got = defaultdict(list)
-    for r in ann.nearest(df, F.col("vec") % 50 == 0).orderBy("query_id", "rank").collect():
-        got[r["query_id"]].append((round(-r["score"], 12), r["vec_id"]))
-        assert r["rank"] == len(got[r["query_id"]])
-    want = plain_nearest(rows)
+    # Repeated rows: each is a candidate, and alike query rows are one query.
+    rows += [rows[7], rows[7], rows[50]]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("rank", F.lit(2))
+    got, want = found_nearest(df, target=1.0), plain_nearest(rows)
     assert got.keys() == want.keys()
     for q in want:
         assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]], abs=1e-9)
         assert [v for _, v in got[q]] == [v for _, v in want[q]]
+    assert [v for _, v in got[50]][0] == 50
     few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>")
     assert ann.nearest(few, F.col("vec") % 50 == 0).count() == 2
     assert ann.nearest(few.limit(0), F.col("vec") % 50 == 0).count() == 0
 
 
-def test_neighbours_recall(spark):
+@pytest.mark.parametrize("n", [500, 3000])
+def test_neighbours_recall(spark, n):
+    """Tables of any size take the same path; the forest has leaves to choose from in both."""
     rng = np.random.default_rng(5)
-    rows = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = defaultdict(set)
-    for r in ann.nearest(df, F.col("vec") % 50 == 0).collect():
-        got[r["query_id"]].add(r["vec_id"])
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(n)]
+    got = found_nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     want = plain_nearest(rows)
-    assert sum(len(got[q] & {v for _, v in w}) for q, w in want.items()) >= 0.9 * 5 * len(want)
+    assert sum(len({v for _, v in got[q]} & {v for _, v in w}) for q, w in want.items()) >= 0.9 * 5 * len(want)
+
+
+def test_parallel_vectors(spark):
+    """Rows of equal score are cut by id inside the search; same ids on unlike vectors are unlike rows."""
+    v = np.random.default_rng(3).normal(size=8)
+    tile = np.arange(1, 10_001)[:, None] * v
+    ids = np.arange(10_000)
+    q, fold, rep, s = ann.search_tile(v[None].repeat(3, 0), np.array([7, 8, 9]), np.array([1, 3, 2]), tile, ids + 50, ids, ids % 2, 6)
+    assert Counter(q.tolist()) == {7: 6, 8: 6, 9: 6} and s == pytest.approx(1) and (fold == rep + 50).all()
+    exact = ann.cosines(v[None].repeat(10_000, 0), tile)
+    order = sorted(range(10_000), key=lambda i: (-exact[i], i))
+    assert [rep[q == 8].tolist(), rep[q == 7].tolist(), rep[q == 9].tolist()] == [order[:6], [i for i in order if i % 2 == 0][:6], [i for i in order if i % 2][:6]]
+    rows = [(i, (2.0 ** (i % 30) * v).tolist()) for i in range(400)] + [(50, (-v).tolist()), (50, (-2 * v).tolist())]
+    got = defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec") == 100).orderBy("rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert got == {100: [0, 1, 2, 3, 4]}
 
 
 def test_forest_search_reaches_every_leaf():
