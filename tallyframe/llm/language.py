@@ -11,6 +11,7 @@ of labelled rows with a documented bound, and only a table of fixed size comes t
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -19,7 +20,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, map_slices, smallest_by_hash
+from .common import crc_bucket, map_slices, smallest_by_hash, spread
+
+
+
+def code_points(*kinds: str) -> str:
+    """Ranges, for a class of a pattern, of the code points whose category starts with one of kinds."""
+    found = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)).startswith(kinds)]
+    starts = [i for i, c in enumerate(found) if not i or found[i - 1] != c - 1]
+    return "".join(f"{chr(found[a])}-{chr(found[b - 1])}" for a, b in zip(starts, [*starts[1:], len(found)], strict=True))
+
 
 #: Labelled rows that a model is trained from, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 6_000
@@ -31,14 +41,18 @@ SWITCH_PENALTY = 12.0
 WORD_CAP = 8.0
 #: A language is a candidate for a script if this share of its training letters is in it.
 SCRIPT_SHARE = 0.02
-#: Most frequent languages a model holds, so that its size is fixed.
-MAX_LANGUAGES = 200
 UNKNOWN = "und"
-#: Words a worker remembers the scores of.
+#: Words a worker remembers the scores of, and words that Viterbi runs over side by side, with so few languages that SCORES allows it.
 CACHE_WORDS = 300_000
-#: Words that Viterbi runs over side by side.
 BLOCK_WORDS = 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Scores (of a word in a language) that a worker holds for either, about; a longer text is still taken whole.
+SCORES = 3_000_000
+#: Combining marks go with the letters before them. Python's word characters also hold numbers such as a half.
+MARKS, NUMBERS = code_points("M"), code_points("No", "Nl")
+HAS_MARK = re.compile(f"[{MARKS}]")
+LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
+MARKED_LETTERS = re.compile(rf"[^\W\d_{NUMBERS}](?:[^\W\d_{NUMBERS}]|[{MARKS}])*")
+ASCII_LETTERS = re.compile("[A-Za-z]+")
 
 #: First code points of script ranges, in order, and their scripts.
 SCRIPT_STARTS = (0x0000, 0x0250, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x0900, 0x0980, 0x0A00, 0x0E00, 0x0E80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB50, 0xFF00, 0x20000)
@@ -47,10 +61,13 @@ SCRIPT_NAMES = tuple(dict.fromkeys(SCRIPTS))
 SCRIPT_OF_RANGE = tuple(SCRIPT_NAMES.index(s) for s in SCRIPTS)
 
 
+def word_pattern(text: str) -> re.Pattern:
+    """Matches the runs of letters of this text, each with its combining marks."""
+    return ASCII_LETTERS if text.isascii() else MARKED_LETTERS if HAS_MARK.search(text) else LETTERS
+
+
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters. Python's word characters also hold numbers such as a half, which make no word on their own."""
-    words = LETTERS.findall(text or "")
-    return words if not text or text.isascii() else [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
+    return word_pattern(text).findall(text) if text else []
 
 
 def script_of(word: str) -> int:
@@ -89,6 +106,8 @@ class LanguageModel:
         self.allowed = scripts >= np.maximum(SCRIPT_SHARE * total, 1)
         self.readable = self.allowed.any(1).tolist()
         self.fallback = int(np.argmax(counts.sum(0))) if languages else -1
+        self.cache_words = min(CACHE_WORDS, SCORES * 10 // max(1, len(languages)))
+        self.block_words = min(BLOCK_WORDS, SCORES // max(1, len(languages)))
 
     def scores(self, words: list[str]) -> np.ndarray:
         """[language, word]: 0 for the best candidate, down to -WORD_CAP; alike for all if the script has no candidate."""
@@ -128,13 +147,13 @@ class WordScores:
         return np.array(found, np.int64)
 
     def trim(self) -> None:
-        if len(self.ids) > CACHE_WORDS:
+        if len(self.ids) > self.model.cache_words:
             self.ids.clear()
 
 
 def viterbi(table: np.ndarray, sequences: list[np.ndarray], penalty: float = SWITCH_PENALTY) -> list[np.ndarray]:
     """For each sequence of indexes into table [language, index], its best path of languages. Ties take the first language."""
-    paths: list[np.ndarray] = [np.zeros(0, np.int8)] * len(sequences)
+    paths: list[np.ndarray] = [np.zeros(0, np.int32)] * len(sequences)
     order = sorted((i for i in range(len(sequences)) if len(sequences[i])), key=lambda i: -len(sequences[i]))
     if not order:
         return paths
@@ -146,7 +165,7 @@ def viterbi(table: np.ndarray, sequences: list[np.ndarray], penalty: float = SWI
     value = table[:, flat[offsets]].astype(np.float64)
     stays: list[np.ndarray] = []
     bests: list[np.ndarray] = []
-    final = np.zeros(len(order), np.int8)
+    final = np.zeros(len(order), np.int32)
     for t in range(1, int(lengths[0])):
         n = int(active[t])
         if n < value.shape[1]:
@@ -157,9 +176,9 @@ def viterbi(table: np.ndarray, sequences: list[np.ndarray], penalty: float = SWI
         stay = value >= leave
         value = np.where(stay, value, leave) + table[:, flat[offsets[:n] + t]]
         stays.append(stay)
-        bests.append(best.astype(np.int8))
+        bests.append(best.astype(np.int32))
     final[: value.shape[1]] = value.argmax(0)
-    path = np.zeros(len(flat), np.int8)
+    path = np.zeros(len(flat), np.int32)
     path[offsets + lengths - 1] = final
     now = final[: int(active[-1])].astype(np.int64)
     for t in range(int(lengths[0]) - 1, 0, -1):
@@ -175,11 +194,14 @@ def viterbi(table: np.ndarray, sequences: list[np.ndarray], penalty: float = SWI
 
 
 def train(docs: DataFrame, where=None, text: str = "text", label: str = "lang", id: str = "doc_id", rows: int = TRAIN_ROWS) -> LanguageModel:
-    """A model from the rows of docs that `where` admits and whose label and text are not null, `rows` ids at most."""
+    """A model from the rows of docs that `where` admits and whose label and text are not null, `rows` ids at most.
+
+    It learns every language of those rows, so that its size is bounded by BUCKETS times their languages. Without such rows it knows none.
+    """
     usable = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.lit(True) if where is None else where))
     chosen = smallest_by_hash(usable, id, rows, seed=5)
     sample = usable.join(F.broadcast(chosen), id, "left_semi").select(text, label)
-    names = [r[0] for r in sample.groupBy(label).count().orderBy(F.desc("count"), label).limit(MAX_LANGUAGES).collect()]
+    names = [r[0] for r in sample.groupBy(label).count().orderBy(F.desc("count"), label).collect()]
 
     def count(slices: Iterator[list[list]]) -> Iterator[list[list]]:
         grams: dict[str, np.ndarray] = {}
@@ -200,7 +222,7 @@ def train(docs: DataFrame, where=None, text: str = "text", label: str = "lang",
             more = np.nonzero(scripts[l])[0]
             yield [[l] * (len(hit) + len(more)), [*hit.tolist(), *(-1 - more).tolist()], [*g[hit].tolist(), *scripts[l][more].tolist()]]
 
-    counted = map_slices(sample.where(F.col(label).isin(names)) if names else sample.limit(0), count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = map_slices(sample, count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     grams, scripts = np.zeros((BUCKETS, len(names))), np.zeros((len(SCRIPT_NAMES), len(names)))
     column = counted["lang"].map({l: i for i, l in enumerate(names)}).to_numpy(np.int64)
     bucket, n = counted["bucket"].to_numpy(np.int64), counted["n"].to_numpy(np.float64)
@@ -212,7 +234,7 @@ def train(docs: DataFrame, where=None, text: str = "text", label: str = "lang",
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", id: str = "doc_id", spans: bool = True) -> DataFrame:
     """One row for each row of docs: its id, lang_pred, score (the share of letters in that language), n_spans and, if asked for, spans.
 
-    A null text, or one without a letter, is 'und' with score 0 and no spans. A text whose scripts no language
+    A null text, or one without a letter, is 'und' with score 0 and no spans, and so is every text if the model knows no language. A text whose scripts no language
     was trained in takes the most frequent one with score 0. spans: [start, end) in characters, and the language.
     Narrow; only id and text are read.
     """
@@ -243,7 +265,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", id: str
                 cuts = np.nonzero(np.diff(path))[0] + 1
                 counts.append(len(cuts) + 1)
                 if spans:
-                    at = [m.span() for m in LETTERS.finditer(t) if any(map(str.isalpha, m[0]))]
+                    at = [m.span() for m in word_pattern(t).finditer(t)]
                     bounds = [0, *cuts.tolist(), len(path)]
                     listed.append([{"start": at[a][0], "end": at[b - 1][1], "lang": model.languages[path[a]]} for a, b in zip(bounds, bounds[1:], strict=False)])
             scores.trim()
@@ -260,14 +282,14 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", id: str
                 found.append(index)
                 sizes.append((np.fromiter(map(len, words), np.int64, len(words)), known))
                 held += len(words)
-                if held >= BLOCK_WORDS:
+                if held >= model.block_words:
                     yield close(ids, texts, found, sizes)
                     ids, texts, found, sizes, held = [], [], [], [], 0
         if ids:
             yield close(ids, texts, found, sizes)
 
     kind = docs.schema[id].dataType.simpleString()
-    return map_slices(docs.select(id, text), run, f"`{id}` {kind}, lang_pred string, score double, n_spans int" + ", spans array<struct<start:int,end:int,lang:string>>" * spans)
+    return map_slices(spread(docs.select(id, text)), run, f"`{id}` {kind}, lang_pred string, score double, n_spans int" + ", spans array<struct<start:int,end:int,lang:string>>" * spans)
 
 
 def held_out(id: str = "doc_id"):
@@ -276,7 +298,10 @@ def held_out(id: str = "doc_id"):
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """docs without texts that have no letter and those where no language holds `least` of the letters."""
+    """docs without texts that have no letter and those where no language holds `least` of the letters.
+
+    If docs have no label to learn from, nothing can be said against a text with letters, and all of those stay.
+    """
     model = train(docs, ~held_out(id), text=text, id=id)
     verdict = verdict_column(docs.sparkSession.sparkContext.broadcast(model), least)
     return docs.where(verdict(F.col(text)))
@@ -296,8 +321,8 @@ def verdict_column(shared, least: float):
 
             def close() -> None:
                 for size, path in zip(sizes, viterbi(scores.table, found), strict=True):
-                    letters = np.bincount(path, weights=size[: len(path)]) if len(path) else np.zeros(1)
-                    out.append(bool(letters.max() > 0 and letters.max() >= least * letters.sum()))
+                    letters = np.bincount(path, weights=size) if len(path) else size
+                    out.append(bool(len(size) and (not model.languages or letters.max() >= least * letters.sum())))
                 found.clear()
                 sizes.clear()
                 scores.trim()
@@ -308,7 +333,7 @@ def verdict_column(shared, least: float):
                 found.append(scores.indexes(words) if model.languages else np.zeros(0, np.int64))
                 sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
                 held += len(words)
-                if held >= BLOCK_WORDS:
+                if held >= model.block_words:
                     close()
                     held = 0
             close()

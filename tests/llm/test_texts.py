@@ -1,7 +1,9 @@
 """Quality rules, tokenization, packing and language, against plain versions."""
 
 import hashlib
+import math
 import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -220,3 +222,107 @@ def test_language_on_edges(edge, empty):
     assert {r["lang_pred"] for r in language.identify(edge, language.train(empty)).collect()} == {"und"}
     kept = language.keep_identified(edge)
     assert kept.columns == edge.columns and 0 < kept.count() < len(edge_rows())
+
+
+def plain_words(text):
+    """Runs of letters with the marks that follow them, by Unicode category."""
+    words, word = [], ""
+    for c in [*(text or ""), " "]:
+        kind = unicodedata.category(c)[0]
+        if kind == "L" or (kind == "M" and word):
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    return words
+
+
+def plain_grams(word):
+    """Buckets of a word's n-grams within its bounds."""
+    padded = "\x02" + word.lower() + "\x02"
+    for n in range(1, language.MAX_GRAM + 1):
+        for i in range(len(padded) - n + 1):
+            gram = padded[i : i + n]
+            if gram != "\x02":
+                h = 0
+                for c in gram:
+                    h = (h * 1_000_003 + ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+                yield (h >> 40) % language.BUCKETS
+
+
+def plain_model(rows):
+    """rows (text, lang): languages by falling count, logs of shares by language and bucket, candidates of each script."""
+    names = [l for l, _ in sorted(Counter(l for _, l in rows).items(), key=lambda x: (-x[1], x[0]))]
+    grams, scripts = {l: Counter() for l in names}, {l: Counter() for l in names}
+    for text, l in rows:
+        for w in plain_words(text):
+            grams[l].update(plain_grams(w))
+            scripts[l][language.script_of(w)] += len(w)
+    logs = {l: (lambda g, whole: lambda b: math.log((g[b] + 0.2) / whole))(grams[l], sum(grams[l].values()) + 0.2 * language.BUCKETS) for l in names}
+    return names, logs, {l: {s for s, n in scripts[l].items() if n >= max(1, language.SCRIPT_SHARE * sum(scripts[l].values()))} for l in names}
+
+
+def plain_identify(text, model):
+    names, logs, allowed = model
+    words = plain_words(text)
+    if not words or not names:
+        return "und", 0.0
+    value, back = {l: 0.0 for l in names}, []
+    for t, w in enumerate(words):
+        some = [l for l in names if language.script_of(w) in allowed[l]]
+        raw = {l: sum(map(logs[l], plain_grams(w))) for l in some}
+        own = {l: max(raw[l] - max(raw.values()), -language.WORD_CAP) if l in raw else (-language.WORD_CAP if some else 0.0) for l in names}
+        if t:
+            top = max(names, key=lambda l: value[l])
+            back.append({l: l if value[l] >= value[top] - language.SWITCH_PENALTY else top for l in names})
+            value = {l: max(value[l], value[top] - language.SWITCH_PENALTY) + own[l] for l in names}
+        else:
+            value = own
+    path = [max(names, key=lambda l: value[l])]
+    for step in reversed(back):
+        path.append(step[path[-1]])
+    letters = Counter()
+    for w, l in zip(words, reversed(path), strict=True):
+        letters[l] += len(w)
+    best = max(names, key=lambda l: letters[l])
+    return best, letters[best] / sum(letters.values())
+
+
+def test_identify_is_the_plain_version(spark, documents):
+    docs = documents.where("length(text) < 2500").limit(60).collect()
+    extra = ["हिन्दी भाषा में लिखा हुआ एक वाक्य", "e\u0301te\u0301 un deux trois", "one two 3four ½ ² five"]
+    train = [(r["doc_id"], r["text"], r["lang"]) for r in docs if r["lang"]] + [(9000 + i, extra[0] * 5, "hi") for i in range(3)]
+    model = language.train(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    plain = plain_model([(t, l) for _, t, l in train])
+    assert model.languages == plain[0]
+    texts = [r["text"] for r in docs] + extra + [extra[0] + docs[0]["text"][:300] + extra[0], "", None]
+    got = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in got:
+        want, score = plain_identify(texts[r["doc_id"]], plain)
+        assert r["lang_pred"] == want and r["score"] == pytest.approx(score, abs=1e-9)
+    assert len(got) == len(texts)
+
+
+def test_words_hold_their_marks():
+    assert language.words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"] == plain_words("हिन्दी भाषा")
+    for text in ["ภาษาไทย", "e\u0301a\u0300 \u0301x", "à½b ⅷ ²", "العَرَبِيَّة"]:
+        assert language.words_of(text) == plain_words(text) == [m[0] for m in language.word_pattern(text).finditer(text)]
+
+
+def test_many_languages(spark):
+    """Over 256 languages; each text is named by its own."""
+    rng = random.Random(9)
+    letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0xE0, 0xF7), *range(0x430, 0x450))]
+    words = ["".join(rng.choice(letters) for _ in range(8)) for _ in range(3000)]
+    texts = [(i, " ".join(words[10 * i : 10 * i + 10] * 3), f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert len(model.languages) == 300 and model.block_words == language.SCORES // 300
+    assert all(r["lang_pred"] == f"l{r['doc_id']:03}" and r["score"] == 1 for r in language.identify(docs, model).collect())
+
+
+def test_no_label_rejects_no_letters(spark):
+    rows = [(i, "some words here", None) for i in range(20)] + [(30, "12 34", None), (31, None, None), (32, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in language.keep_identified(docs.where("lang IS NULL")).collect()} == set(range(20))
+    assert {r["doc_id"] for r in language.keep_identified(docs).collect()} >= set(range(20))
