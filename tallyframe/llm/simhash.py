@@ -18,11 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, map_slices
+from .common import cut_lineage, map_slices, release, spread
 
 SEED = 42
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
+#: Rows to drop, of three numbers each, that are broadcast at most; more of them are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -47,14 +49,15 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = 3) -> DataFrame:
-    """id and fp (the fingerprint as a signed 64-bit integer) for each row of docs. Narrow; reads only id and text."""
+def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), words: int = 3) -> DataFrame:
+    """The columns `keep` and fp (the fingerprint as a signed 64-bit integer) for each row of docs. Narrow; reads nothing else but text."""
 
     def run(slices: Iterator[list[list]]) -> Iterator[list[list]]:
-        for ids, texts in slices:
-            yield [ids, np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)]
+        for *kept, texts in slices:
+            yield [*kept, np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)]
 
-    return map_slices(docs.select(id, text), run, f"`{id}` {docs.schema[id].dataType.simpleString()}, fp long")
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return map_slices(spread(docs.select(*keep, text)), run, f"{kinds}fp long")
 
 
 def ball_links(fps: DataFrame, radius: int = 2) -> DataFrame:
@@ -77,7 +80,7 @@ def components(links: DataFrame) -> DataFrame:
     carries links over to those; components stay connected and shrink by a constant factor, whatever their
     shape. Tables are cut at the shared checkpoint folder between rounds; only their sizes come to the driver.
     """
-    links = cut_lineage(links.where("a <> b"))
+    links = held = cut_lineage(links.where("a <> b"))
     rounds: list[DataFrame] = []
     while not links.isEmpty():
         seed = F.lit(len(rounds))
@@ -90,10 +93,22 @@ def components(links: DataFrame) -> DataFrame:
         a = links.join(moves.select(F.col("node").alias("a"), F.col("to").alias("ta")), "a")
         ends = a.join(moves.select(F.col("node").alias("b"), F.col("to").alias("tb")), "b")
         links = cut_lineage(ends.where("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
+        release(held)
+        held = links
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = reduce(lambda done, later: done.join(later.select(F.col("node").alias("root"), F.col("to").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root")), rounds[1:], rounds[0].withColumnRenamed("to", "root"))
-    return cut_lineage(roots)
+    roots = cut_lineage(roots)
+    release(held, *rounds)
+    return roots
+
+
+def group_roots(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, root) of those fingerprints of marked that are linked to others: linked ones have the same root."""
+    distinct = cut_lineage(marked.select("fp").distinct())
+    roots = components(ball_links(distinct, radius)).withColumnRenamed("node", "fp")
+    release(distinct)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = 3, radius: int = 2) -> DataFrame:
@@ -102,22 +117,44 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", wor
     Null and empty texts have fingerprint zero and are linked as any other. A null id never names a component,
     unless it has no other member (component_id is then null).
     """
-    marked = cut_lineage(fingerprints(docs, text, id, words))
+    marked = cut_lineage(fingerprints(docs, text, (id,), words))
     folded = cut_lineage(marked.groupBy("fp").agg(F.min(id).alias("least")))
-    roots = components(ball_links(folded.select("fp"), radius))
-    linked = roots.join(folded, roots["node"] == folded["fp"]).select("fp", "root", "least")
-    groups = linked.groupBy("root").agg(F.min("least").alias("group_least"))
-    named = linked.join(cut_lineage(groups), "root").select("fp", "group_least")
+    roots = group_roots(marked, radius)
+    linked = roots.join(folded, "fp").select("fp", "root", "least")
+    groups = cut_lineage(linked.groupBy("root").agg(F.min("least").alias("group_least")))
+    named = linked.join(groups, "root").select("fp", "group_least")
     least = cut_lineage(folded.join(named, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id")))
+    release(folded, roots, groups)
     return marked.join(least, "fp").select(id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", id: str = "doc_id", **how) -> DataFrame:
-    """docs with one row of each group of near-duplicates, the one with the smallest id (of equal ids, one).
+def keep_one(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = 3, radius: int = 2) -> DataFrame:
+    """docs with one row of each group of near-duplicates: the one with the smallest id, ids before nulls, then that with the smallest hash.
 
-    Rows without an id cannot be told apart by it and all stay.
+    A row is told by its id, a hash of its text and one of all its columns, so that neither repeated nor null ids lose a text, and
+    the choice depends on the rows alone. Rows alike in all columns are copies of which one stays. Only hashes are
+    shuffled; texts move where the rows to drop are too many for a broadcast, or to fold rows alike in all columns.
     """
-    groups = near_duplicates(docs.where(F.col(id).isNotNull()), text, id, **how)
-    stay = groups.where(F.col(id) == F.col("component_id")).select(F.col(id).alias("stays")).distinct()
-    kept = docs.join(stay, F.col(id) == F.col("stays"), "left_semi").dropDuplicates([id])
-    return kept.unionAll(docs.where(F.col(id).isNull()))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c.lower(): n for c, n in zip(docs.columns, names, strict=True)}
+    hashed = [f"`{n}`" for n, (_, kind) in zip(names, docs.dtypes, strict=True) if not kind.startswith("map")]
+    keyed = docs.toDF(*names).select("*", F.col(at[id.lower()]).alias("k"), F.xxhash64(at[text.lower()]).alias("h"), F.xxhash64(*hashed).alias("r"))
+    key = ["k", "h", "r"]
+    marked = cut_lineage(fingerprints(keyed, at[text.lower()], tuple(key), words).groupBy(*key, "fp").agg(F.count("*").alias("copies")))
+    roots = group_roots(marked, radius)
+    rows = marked.join(roots, "fp", "left").select(*key, "copies", F.coalesce("root", "fp").alias("root"))
+    first = cut_lineage(rows.groupBy("root").agg(F.min(F.struct(F.col("k").isNull().alias("none"), *key)).alias("first")))
+    stays = F.col("first.k").eqNullSafe(F.col("k")) & (F.col("first.h") == F.col("h")) & (F.col("first.r") == F.col("r"))
+    marks = cut_lineage(rows.join(first, "root").select(*key, "copies", stays.alias("stays")).where("NOT stays OR copies > 1"))
+    release(marked, roots, first)
+
+    def told(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(*[F.col(c).alias(f"m{c}") for c in key])
+        right = F.broadcast(right) if right.count() <= BROADCAST_ROWS else right
+        return left.join(right, left["k"].eqNullSafe(right["mk"]) & (left["h"] == right["mh"]) & (left["r"] == right["mr"]), how)
+
+    kept = told(keyed, marks, "left_anti")
+    folded = marks.where("stays")
+    if not folded.isEmpty():
+        kept = kept.unionByName(told(keyed, folded, "left_semi").dropDuplicates(key))
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])

@@ -118,12 +118,36 @@ def test_ball_links_and_components(spark, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-def test_keep_one(edge):
-    kept = simhash.keep_one(edge)
-    assert kept.columns == edge.columns
-    groups = plain_groups([r[0] for r in edge_rows()], [plain_fingerprint(r[1]) for r in edge_rows() if True])
-    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
-    assert ids.count(None) == 2 and len(set(ids)) == len(ids) - 1 and set(ids) - {None} <= set(groups)
+def plain_keep_one(rows, text=1):
+    """The rows that stay: of each group the one with the smallest (null last, id); of several such, any, so a set of texts and a count."""
+    groups = plain_groups(list(range(len(rows))), [plain_fingerprint(r[text]) for r in rows])
+    out = {}
+    for r, g in zip(rows, groups, strict=True):
+        out.setdefault(g, []).append(r)
+    return [(min((x[0] is None, x[0] or 0) for x in members), members) for members in out.values()]
+
+
+def check_keep_one(docs):
+    rows = list(map(tuple, docs.collect()))
+    kept = list(map(tuple, simhash.keep_one(docs).collect()))
+    groups = plain_keep_one(rows, docs.columns.index("text"))
+    assert len(kept) == len(groups)
+    for (none, least), members in groups:
+        own = [r for r in kept if r in members]
+        assert len(own) == 1 and (own[0][0] is None, own[0][0] or 0) == (none, least)
+    assert sorted(map(tuple, simhash.keep_one(docs.repartition(5)).collect()), key=repr) == sorted(kept, key=repr)
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_keep_one(spark, edge, empty, documents, monkeypatch, most):
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", most)
+    assert simhash.keep_one(edge).columns == edge.columns and simhash.keep_one(empty).count() == 0
+    check_keep_one(edge)
+    words = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcdef"]
+    # Ids that clash on unlike texts, null ids, copies alike in all columns and copies unlike in another one.
+    rows = [(5, words[0], "x"), (5, words[1], "x"), (3, words[1], "x"), (5, words[2], "y"), (5, words[2], "y"), (5, words[2], "z"), (None, words[3], "x"), (None, words[3], "x"), (None, words[3], None), (None, words[4], "x"), (8, words[4], "x"), (None, None, None), (9, "", "k")]
+    check_keep_one(spark.createDataFrame(rows, "doc_id long, text string, h string"))
+    check_keep_one(documents)
 
 
 def plain_nearest(rows, k=5):
