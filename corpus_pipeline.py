@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyframe.llm import language, packing, rule_ensemble, simhash
 from tallyframe.llm.common import read_table
 from tallyframe.llm.digests import byte_files
+from tallyframe.sources.shared import delete, delete_at_exit, shared_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and those in which no language holds half of the letters."""
+    """Rejects texts without letters and those in which no language holds half of the letters; without any label, only the first."""
     return language.keep_identified(docs)
 
 
@@ -26,7 +27,7 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near-duplicates."""
+    """Keeps one row of each group of near-duplicates, that with the smallest doc_id."""
     return simhash.keep_one(docs)
 
 
@@ -46,15 +47,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over documents. What a stage returns is written to the shared folder and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows over documents. What a stage returns is written to the shared folder and read again, and deleted once the next is written."""
+    docs, path = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = rewritten(spark, stage(spark, docs, sf_dir), name)
+        before = path
+        docs, path = rewritten(spark, stage(spark, docs, sf_dir), name)
+        if before:
+            delete(spark.sparkContext, before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-def rewritten(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{shared.rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
+def rewritten(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df, written to the shared folder and read again, and where; deleted when Python ends at the latest."""
+    path = f"{shared_folder(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
+    delete_at_exit(spark.sparkContext, path)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
