@@ -382,7 +382,7 @@ def test_pipeline(spark, sf, documents):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, sf)
         assert out.columns == documents.columns
-        docs = corpus_pipeline.rewritten(spark, out, name)
+        docs, _ = corpus_pipeline.rewritten(spark, out, name)
         kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
     whole = {r["doc_id"]: r["text"] for r in documents.collect()}
     assert all(any(c.isalpha() for c in t) for t in kept["language"].values()) and len(kept["language"]) >= 0.98 * len(whole)
@@ -402,5 +402,22 @@ def test_pipeline(spark, sf, documents):
 
 def test_pipeline_stages_on_edges(spark, sf, edge, empty):
     for _, stage in corpus_pipeline.STAGES:
-        stage(spark, edge, sf).count()
+        assert stage(spark, edge, sf).count() > 0
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_pipeline_without_labels(spark, sf, documents, tmp_path):
+    """No language and no quality label: nothing can be learned, so that only texts without letters go before copies do. Clashing ids lose no text."""
+    rows = documents.withColumn("lang", F.lit(None).cast("string")).withColumn("doc_id", F.col("doc_id") % 7)
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{sf}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = [r["text"] for r in docs.collect() if any(map(str.isalpha, r["text"] or ""))]
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs, _ = corpus_pipeline.rewritten(spark, stage(spark, docs, str(tmp_path)), name)
+        assert sorted(r["text"] for r in docs.collect()) == sorted(kept)
+    groups = plain_keep_one([(i, t) for i, t in enumerate(kept)])
+    total = sum(r["length"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    tokenizer = packing.byte_tokenizer(**digests.byte_files())
+    sizes = [[len(tokenizer.encode(t)) + 1 for _, t in members] for _, members in groups]
+    assert sum(map(min, sizes)) <= total <= sum(map(max, sizes))
