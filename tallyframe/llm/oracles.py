@@ -65,20 +65,27 @@ def url_filter_sql() -> str:
     rule = "CASE " + " ".join(f"WHEN {fit(r)} THEN '{r.name}'" for r in rules) + " END"
     ruled = "CASE " + " ".join(f"WHEN {fit(r)} THEN '{r.verdict}'" for r in rules) + " END"
 
+    suffixes = ", ".join(map(_quoted, u.SUFFIXES))
+
     def strength(table: str) -> str:
         return f"""(SELECT greatest({u.WEAKEST}, least({u.STRONGEST}, coalesce(CASE WHEN between_ > 0 THEN (within_ - between_) / between_ ELSE {u.STRONGEST} END, {u.STRONGEST}))) FROM (
     SELECT within_, (spread - (g - 1) * within_) / nullif(n - squares / nullif(n, 0), 0) AS between_ FROM (
       SELECT sum(n) AS n, count(*) AS g, sum(n * n) AS squares, sum(bad) / nullif(sum(n), 0) * (1 - sum(bad) / nullif(sum(n), 0)) AS within_,
-        sum(bad * bad / n) - sum(bad) * sum(bad) / nullif(sum(n), 0) AS spread FROM {table})))"""
+        sum(bad * bad / n) - sum(bad) * sum(bad) / nullif(sum(n), 0) AS spread FROM {table} WHERE n > 0)))"""
 
     return f"""
 WITH read AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+outcomes AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(1 - quality) AS DOUBLE) AS bad FROM read JOIN labels ON doc_id = page_id WHERE quality IN (0, 1) GROUP BY 1),
+names AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM (SELECT DISTINCT host FROM read)),
+labelled AS (
+  SELECT host, name, string_split(name, '.') AS labels, array_to_string(string_split(name, '.')[-2:], '.') AS two,
+    starts_with(name, '[') OR regexp_full_match(name, '([0-9]{{1,3}}[.]){{3}}[0-9]{{1,3}}') AS address FROM names),
 hosts AS (
-  SELECT host, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain, string_split(host, '.')[-1] AS suffix,
-    CAST(count(*) AS DOUBLE) AS n, CAST(sum(1 - quality) AS DOUBLE) AS bad
-  FROM read JOIN labels ON doc_id = page_id WHERE quality IN (0, 1) GROUP BY 1, 2, 3),
+  SELECT host, CASE WHEN address THEN name WHEN two IN ({suffixes}) THEN array_to_string(labels[-3:], '.') ELSE two END AS domain,
+    CASE WHEN address THEN '{u.ADDRESS}' WHEN two IN ({suffixes}) THEN two ELSE labels[-1] END AS suffix, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad
+  FROM labelled LEFT JOIN outcomes USING (host)),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
 k AS (SELECT {strength("suffixes")} AS ks, {strength("domains")} AS kd, {strength("hosts")} AS kh, coalesce((SELECT sum(bad) / sum(n) FROM suffixes), 0.0) AS m),

@@ -4,7 +4,8 @@ Rules decide first. Elsewhere a host's chance of a bad page is estimated from la
 posterior whose prior is shrunk from the host to its registered domain, from there to its suffix and from there to
 the whole. Prior strengths are estimated from the spread of the labelled groups at each level. Every host of the pages
 has a posterior: without labelled pages it is its domain's, its suffix's or the whole's. A host is blocked where the
-lower bound of its posterior lies above a limit, so that few labels do not block.
+lower bound of its posterior lies above a limit, so that few labels do not block. The bound is the posterior's mean less a
+multiple of its standard deviation: Spark has no beta quantile.
 
 DataFrame functions only; nothing runs in Python on the executors.
 """
@@ -23,7 +24,10 @@ BOUND = 1.645
 LIMIT = 0.5
 #: Range of a prior's strength, in pages.
 WEAKEST, STRONGEST = 2.0, 200.0
-MAX_RULES = 256
+#: So many rules are compiled into one expression; more are a table that is joined to the suffixes of hosts.
+COMPILED_RULES = 256
+#: The suffix of all addresses, which have no domain above them.
+ADDRESS = "[address]"
 
 #: Common public suffixes of two labels. Any other suffix counts as one label.
 SUFFIXES = tuple(
@@ -75,16 +79,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def name_of(host: Column) -> Column:
+    """host without credentials and port."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+
+
+def is_address(name: Column) -> Column:
+    return name.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$") | name.startswith("[")
+
+
 def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and the label before it, a host without one itself."""
-    last = F.substring_index(host, ".", -2)
-    return F.when(last.isin(*SUFFIXES), F.substring_index(host, ".", -3)).otherwise(last)
+    """The registered domain: the suffix and the label before it; a host without one, or an address, itself."""
+    name = name_of(host)
+    last = F.substring_index(name, ".", -2)
+    return F.when(is_address(name), name).when(last.isin(*SUFFIXES), F.substring_index(name, ".", -3)).otherwise(last)
 
 
 def suffix_of(host: Column) -> Column:
-    """The last two labels where they are among SUFFIXES, else the last one."""
-    last = F.substring_index(host, ".", -2)
-    return F.when(last.isin(*SUFFIXES), last).otherwise(F.substring_index(host, ".", -1))
+    """The last two labels where they are among SUFFIXES, else the last one; ADDRESS for an address."""
+    name = name_of(host)
+    last = F.substring_index(name, ".", -2)
+    return F.when(is_address(name), ADDRESS).when(last.isin(*SUFFIXES), last).otherwise(F.substring_index(name, ".", -1))
 
 
 def fits(rule: UrlRule, host: Column, path: Column) -> Column:
@@ -99,6 +114,16 @@ def first_fit(rules: tuple[UrlRule, ...], host: Column, path: Column, value) ->
     return out
 
 
+def rules_of_hosts(hosts: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
+    """(host, fitting): for hosts that rules fit, those rules as structs, the longest first."""
+    rows = [(r.host, -len(r.name), -len(r.host), -i, r.path, r.name, r.verdict) for i, r in enumerate(rules)]
+    table = hosts.sparkSession.createDataFrame(rows, "of string, l int, h int, i int, path string, name string, verdict string")
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda at: F.array_join(F.slice(labels, at, F.size(labels)), "."))
+    fitting = F.array_sort(F.collect_list(F.struct("l", "h", "i", "path", "name", "verdict")))
+    return hosts.select("host", F.explode(suffixes).alias("of")).join(table, "of").groupBy("host").agg(fitting.alias("fitting"))
+
+
 def strength(groups: DataFrame) -> Column:
     """Prior strength by moments, from the groups' n and bad: how much their shares spread beyond what chance gives."""
     n, bad, g = F.sum("n"), F.sum("bad"), F.count("*")
@@ -140,15 +165,19 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...]
     outcomes: (id, bad) for some pages, bad 0 or 1; nulls are left aside. A null url has an empty host and path
     and is judged as any host. A host without labelled pages has the bound of its domain's mean at n = 0.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"rules are compiled into one expression; at most {MAX_RULES} of them")
     read = pages.select(F.col(id).alias("page"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     labelled = outcomes.where(F.col("bad").isin(0, 1)).select(F.col(id).alias("page"), "bad")
     judged = read.select("page", "host").join(labelled, "page").select("host", "bad")
     # All hosts beside the labelled pages, so that no page is left out where its id is null or unlabelled.
     known = cut_lineage(reputation(judged.unionByName(read.select("host", F.lit(None).cast("int").alias("bad")))))
-    rule = first_fit(rules, F.col("host"), F.col("path"), lambda r: r.name)
-    ruled = first_fit(rules, F.col("host"), F.col("path"), lambda r: r.verdict)
+    known = known.select("host", "bound")
+    if len(rules) <= COMPILED_RULES:
+        rule = first_fit(rules, F.col("host"), F.col("path"), lambda r: r.name)
+        ruled = first_fit(rules, F.col("host"), F.col("path"), lambda r: r.verdict)
+    else:
+        known = known.join(rules_of_hosts(known.select("host"), rules), "host", "left")
+        longest = F.get(F.filter("fitting", lambda r: F.startswith(F.col("path"), r["path"])), F.lit(0))
+        rule, ruled = longest["name"], longest["verdict"]
     method = F.when(F.col("bound") > LIMIT, "block").otherwise("allow")
     # Joined on both sides' own exchanges, so that adaptive execution can split a hot host.
-    return read.join(known.select("host", "bound"), "host", "left").select(F.col("page").alias(id), "host", "path", rule.alias("rule"), F.coalesce(ruled, method).alias("verdict"), "bound")
+    return read.join(known, "host", "left").select(F.col("page").alias(id), "host", "path", rule.alias("rule"), F.coalesce(ruled, method).alias("verdict"), "bound")

@@ -236,6 +236,7 @@ def test_url_parts(spark):
 
 def test_suffixes_of_two_labels(spark):
     hosts = {"www.a.co.uk": ("a.co.uk", "co.uk"), "a.co.uk": ("a.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "m.b.com.au": ("b.com.au", "com.au"), "x.a.uk": ("a.uk", "uk"), "a.b.com": ("b.com", "com"), "h": ("h", "h"), "": ("", "")}
+    hosts |= {"a.b.com:8080": ("b.com", "com"), "user@x.b.co.uk:1": ("b.co.uk", "co.uk"), "192.168.0.1": ("192.168.0.1", "[address]"), "10.0.0.2:81": ("10.0.0.2", "[address]"), "[::1]:80": ("[::1]", "[address]"), "1.2.3": ("2.3", "3")}
     got = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", url_filter.domain_of(F.col("host")).alias("d"), url_filter.suffix_of(F.col("host")).alias("s")).collect()
     assert {r["host"]: (r["d"], r["s"]) for r in got} == hosts
 
@@ -253,8 +254,27 @@ def test_url_rules_and_reputation(spark):
     none = spark.createDataFrame([], "page_id long, bad int")
     assert {r["verdict"] for r in url_filter.judge_urls(df.where("page_id >= 100"), none).collect()} == {"allow"}
     assert url_filter.judge_urls(df.limit(0), none).count() == 0
-    with pytest.raises(ValueError):
-        url_filter.judge_urls(df, none, (url_filter.RULES[0],) * 300)
+
+
+def test_many_rules(spark, monkeypatch):
+    """More rules than an expression takes: a table of them gives what plain Python and the compiled rules give."""
+    rng = np.random.default_rng(12)
+    labels = ["a", "b", "c", "com", "net", "x-y"]
+    hosts = [".".join(rng.choice(labels, rng.integers(1, 5))) for _ in range(400)] + [""]
+    paths = ["/" + "/".join(rng.choice(["en", "de", "7"], rng.integers(0, 4))) for _ in range(400)] + [""]
+    rules = tuple(url_filter.UrlRule(str(rng.choice(["block", "allow"])), ".".join(rng.choice(labels, rng.integers(1, 4))), paths[i]) for i in range(300))
+    df = spark.createDataFrame([(i, f"x://{h}{p}") for i, (h, p) in enumerate(zip(hosts, paths, strict=True))] + [(None, None)], "page_id long, url string")
+    none = spark.createDataFrame([], "page_id long, bad int")
+
+    def plain(host, path):
+        fit = [(len(r.name), len(r.host), i, r) for i, r in enumerate(rules) if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return (max(fit)[3].name, max(fit)[3].verdict) if fit else (None, "allow")
+
+    got = url_filter.judge_urls(df, none, rules).collect()
+    assert len(got) == 402 and all((r["rule"], r["verdict"]) == plain(r["host"], r["path"]) for r in got)
+    assert any(r["rule"] for r in got)
+    monkeypatch.setattr(url_filter, "COMPILED_RULES", 1000)
+    assert sorted(map(tuple, url_filter.judge_urls(df, none, rules).collect()), key=repr) == sorted(map(tuple, got), key=repr)
 
 
 def plain_bounds(pages, outcomes):
