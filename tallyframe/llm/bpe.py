@@ -17,7 +17,7 @@ from functools import lru_cache
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_slices
+from .common import map_slices, spread
 
 #: Words in each of the two generations whose encodings a worker remembers. Results do not depend on it.
 CACHE_WORDS = 250_000
@@ -146,7 +146,7 @@ class WordBpe:
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and the decoded text: the tokens, joined by spaces, for a file without a decoder."""
         ids, shown = [], []
-        for k, part in enumerate(self.cut.split(text) if self.cut and "<|" in text else [text]):
+        for k, part in enumerate(self.cut.split(text) if self.cut and any(map(text.__contains__, self.special)) else [text]):
             if k % 2:
                 found = [(self.special[part].to_bytes(4, "little"), part)]
             else:
@@ -182,4 +182,4 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", id: str = "doc_
             yield out + ([[np.frombuffer(i, "<u4").tolist() for i, _ in coded], [d for _, d in coded]] if outputs else [])
 
     kind = docs.schema[id].dataType.simpleString()
-    return map_slices(docs.select(id, text), run, f"`{id}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs)
+    return map_slices(spread(docs.select(id, text)), run, f"`{id}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs)

@@ -20,7 +20,8 @@ def _count(column: str, letters: str) -> str:
 def quality_rules_sql() -> str:
     q = quality_rules
     white = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-    phrases = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in q.BOILERPLATE)
+    phrases = " + ".join(f"CASE WHEN regexp_matches(lower(line), {_quoted(rf'\b{p}\b')}) THEN {q.word_chars(p)} ELSE 0 END" for p in q.BOILERPLATE)
+    some = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in q.BOILERPLATE)
     marks = " OR ".join(f"contains(line, {_quoted(m)})" for m in q.SENTENCE_MARKS)
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -39,7 +40,7 @@ filled AS (
 judged AS (
   SELECT r, line, chars, CASE WHEN bars >= 2 AND bars * {q.NAVIGATION_WORDS} >= words THEN 'n'
     WHEN symbols > 0 AND 100 * symbols > {q.MAX_SYMBOL_PERCENT} * chars THEN 'b'
-    WHEN {phrases} THEN 'b' WHEN {marks} THEN '' ELSE 'p' END AS verdict FROM filled),
+    WHEN ({some}) AND ({phrases}) > 0 AND 100 * ({phrases}) >= {q.MIN_PHRASE_PERCENT} * chars THEN 'b' WHEN {marks} THEN '' ELSE 'p' END AS verdict FROM filled),
 per_doc AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (verdict = 'p') AS p, count(*) FILTER (verdict = 'n') AS n,
     count(*) FILTER (verdict = 'b') AS b, coalesce(sum(chars) FILTER (verdict <> ''), 0) AS lost FROM judged GROUP BY r),

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import estimated_bytes, map_slices
+from .common import estimated_bytes, map_slices, spread
 
 WINDOW = 2048
 #: Longest piece of a rest; short pieces let differencing come close to equal windows.
@@ -121,11 +121,12 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
 
     A null or empty text is its end id alone. Rows with the same id are packed each on its own. sequence_id is
     unique over the whole result and offsets in a sequence run gapless from 0. Only id and text are read.
-    Very small input partitions are joined (without a shuffle), since each ends with one part-filled window.
+    Very small input partitions are joined (without a shuffle), since each ends with one part-filled window. Which pieces share a
+    window, and its number, follow the input's partitions, hence its file layout; pieces themselves do not.
     """
     df = docs.select(id, text)
     few = max(1, math.ceil(estimated_bytes(df) / TASK_BYTES))
-    df = df.coalesce(few)
+    df = spread(df).coalesce(few)
 
     def run(slices: Iterator[list[list]]) -> Iterator[list[list]]:
         model = byte_tokenizer(json_path, ranks_path, pattern)

@@ -9,12 +9,13 @@ and an empty cleaned text, and fails the base rule on word count, as an empty te
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import map_slices
+from .common import map_slices, spread
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
@@ -34,6 +35,8 @@ BOILERPLATE = (
     "terms of service",
     "terms of use",
 )
+#: A line is boilerplate if phrases, as whole words, hold this share of its word characters.
+MIN_PHRASE_PERCENT = 20
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A line fails if over this share of its word characters are symbols.
@@ -43,6 +46,8 @@ NAVIGATION_WORDS = 4
 #: A document is rejected if the removed lines hold over this share of its word characters.
 MAX_LOST_PERCENT = 50
 
+PHRASES = {p: re.compile(rf"\b{p}\b", re.ASCII) for p in BOILERPLATE}
+
 FIELDS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
     "n_lines long, n_punctuation_lines long, n_navigation_lines long, n_boilerplate_lines long, lost_chars long, kept boolean"
@@ -86,7 +91,9 @@ def line_verdict(line: str) -> str:
     if symbols and 100 * symbols > MAX_SYMBOL_PERCENT * word_chars(line):
         return "boilerplate"
     low = line.lower()
-    if any(p in low for p in BOILERPLATE):
+    found = [p for p in BOILERPLATE if p in low]
+    held = sum(word_chars(p) for p in found if PHRASES[p].search(low))
+    if held and 100 * held >= MIN_PHRASE_PERCENT * word_chars(line):
         return "boilerplate"
     return "" if any(m in line for m in SENTENCE_MARKS) else "punctuation"
 
@@ -130,4 +137,4 @@ def line_first_rules(docs: DataFrame, text: str = "text", id: str = "doc_id", cl
             yield [ids, *map(list, zip(*(x for x, _ in judged), strict=True)), *([[t for _, t in judged]] if cleaned else [])]
 
     kind = docs.schema[id].dataType.simpleString()
-    return map_slices(docs.select(id, text), run, f"`{id}` {kind}, {FIELDS}" + ", cleaned_text string" * cleaned)
+    return map_slices(spread(docs.select(id, text)), run, f"`{id}` {kind}, {FIELDS}" + ", cleaned_text string" * cleaned)

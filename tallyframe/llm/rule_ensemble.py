@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, map_slices, smallest_by_hash, with_columns_of
+from .common import crc_bucket, map_slices, smallest_by_hash, spread, with_columns_of
 
 #: Labelled rows that a model is fitted to, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
@@ -92,7 +92,7 @@ def text_statistics(docs: DataFrame, keep: list[str], text: str = "text") -> Dat
         for *kept, texts in slices:
             yield [*kept, *map(list, zip(*map(statistics, texts), strict=True))]
 
-    return map_slices(docs.select(*keep, text), run, f"{kinds}, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return map_slices(spread(docs.select(*keep, text)), run, f"{kinds}, " + ", ".join(f"{s} double" for s in STATISTICS))
 
 
 @dataclass(frozen=True)
@@ -221,7 +221,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     chosen = smallest_by_hash(usable, id, rows, seed=10)
     # An id that is labelled twice counts with the lower label.
     marked = usable.join(F.broadcast(chosen), id, "left_semi").groupBy(id).agg(F.min("y").alias("y"))
-    found = text_statistics(with_columns_of(docs, ["y"]).join(F.broadcast(marked), id), ["y"], text).toPandas()
+    # An id with several texts counts once, with the smallest statistics, so that the rows that come to the driver are bounded.
+    each = text_statistics(with_columns_of(docs, ["y"]).join(F.broadcast(marked), id), [id, "y"], text)
+    found = each.groupBy(id).agg(F.min(F.struct("y", *STATISTICS)).alias("x")).select("x.*").toPandas()
     return fit(found[list(STATISTICS)].to_numpy(float).reshape(-1, len(STATISTICS)), found["y"].to_numpy(int))
 
 

@@ -36,9 +36,25 @@ def check_shards(docs, shards):
     counts = [len(by[s]) for s in range(shards)]
     assert not counts or max(counts) - min(counts) <= 1
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    # Shards are runs of the curve, and copies of a text stand together on it.
+    order = sorted(rows, key=lambda r: (r["shard"], r["slot"]))
+    assert [r["curve"] for r in order] == sorted(r["curve"] for r in order)
+    texts = [(r["text_crc32"], r["size"]) for r in order]
+    assert sum(a != b for a, b in zip(texts, texts[1:], strict=False)) + 1 == len(set(texts)) or not rows
     return rows
 
 
+def test_curve_is_the_cells_index(spark, documents):
+    """curve is the Hilbert index of the cells of a row's size, language and source, those of its first document for a copy."""
+    cells = lambda d: [sharding.log_cell(F.octet_length(F.coalesce("text", F.lit(""))) + sharding.ROW_BYTES), *[sharding.hash_cell(F.col(c)) for c in d]]
+    plain = documents.select("doc_id", "text", *[c.cast("int").alias(f"c{i}") for i, c in enumerate(cells(("lang", "source")))]).collect()
+    first = {}
+    for r in sorted(plain, key=lambda r: r["doc_id"]):
+        first.setdefault(r["text"] or "", r)
+    want = {r["doc_id"]: int(sharding.hilbert_index(np.array([[r["c0"], first[r["text"] or ""]["c1"], first[r["text"] or ""]["c2"]]]), sharding.BITS)[0]) for r in plain}
+    assert {r["doc_id"]: r["curve"] for r in sharding.assign_shards(documents).collect()} == want
+
+
 def test_shards(edge, empty, documents):
     check_shards(edge, 5)
     check_shards(edge, 40)
@@ -362,6 +378,49 @@ def test_backoff_by_hand(spark, edge, empty):
     assert three["log_score"] == pytest.approx(np.log(1 / 4) + np.log(1 / 1) + np.log(1 / 1) + np.log(0.4 * 0.4 * 0.4 / 5))
 
 
+def plain_statistics(text):
+    """STATISTICS character by character."""
+    words, lines = (text or "").split(), [x for x in (text or "").split("\n") if x.strip()]
+    if not words:
+        return [0.0] * len(rule_ensemble.STATISTICS)
+    n, chars = len(words), sum(len(w) for w in words)
+    count = lambda signs: sum(c in signs for c in text)
+    distinct = sum(len(set(words[i : i + rule_ensemble.WINDOW_WORDS])) for i in range(0, n, rule_ensemble.WINDOW_WORDS))
+    return [
+        np.log1p(n), chars / n, count("#*$%&|<>~^_=+@\\{}") / chars, sum("A" <= c <= "Z" for c in text) / chars, sum("0" <= c <= "9" for c in text) / chars,
+        count(".,;:") / n, count("!?") / n, count("|") / n, distinct / n, Counter(words).most_common(1)[0][1] / n, sum(len(w) > 1 and w.isupper() for w in words) / n,
+        np.log1p(n / max(1, len(lines))), 1 - len(set(lines)) / max(1, len(lines)), sum(not any(c.isalpha() for c in w) for w in set(words)) / len(set(words)),
+    ]
+
+
+def test_statistics_are_the_plain_ones(documents, edge):
+    for docs in (documents, edge):
+        for r in docs.select("text").collect():
+            assert rule_ensemble.statistics(r["text"]) == pytest.approx(plain_statistics(r["text"]), abs=1e-6)
+
+
+def test_tree_splits_where_gini_falls_most():
+    """One split on one statistic: the threshold is the best of all by brute force, and both sides become rules."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 20, (400, 1)).astype(float)
+    y = ((x[:, 0] > 12) ^ (rng.random(400) < 0.1)).astype(float)
+    out = set()
+    rule_ensemble.grow(x, y, rng, 1, (), out)
+    gini = lambda s: len(s) * s.mean() * (1 - s.mean()) if len(s) else 0.0
+    best = min((t for t in range(20) if rule_ensemble.LEAF_ROWS <= (x[:, 0] <= t).sum() <= 400 - rule_ensemble.LEAF_ROWS), key=lambda t: gini(y[x[:, 0] <= t]) + gini(y[x[:, 0] > t]))
+    assert {r.terms for r in out} == {((0, False, float(best)),), ((0, True, float(best)),)}
+    deep = set()
+    rule_ensemble.grow(rng.normal(size=(600, 4)), rng.integers(0, 2, 600).astype(float), rng, 3, (), deep)
+    assert all(1 <= len(r.terms) <= 3 for r in deep) and all(rule_ensemble.Rule(r.terms[:-1]) in deep for r in deep if len(r.terms) > 1)
+
+
+def test_fit_takes_each_id_once(spark, documents, sf):
+    """An id that many rows share comes to the driver once."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    many = documents.where("doc_id < 40")
+    assert rule_ensemble.train(many.unionAll(many).unionAll(many), labels) == rule_ensemble.train(many, labels)
+
+
 def test_rule_ensemble_learns(spark, sf, documents):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     model = rule_ensemble.train(documents, labels)
