@@ -99,26 +99,33 @@ FROM read LEFT JOIN bounds USING (host)"""
 
 
 def lm_score_sql() -> str:
+    """Order 3: c1, c2, c3 are the counts of a word, of the pair and of the triple that end with it, p1 and p2 those of the last two without it."""
     a = lm_score.ALPHA
+
+    def others(n: int, words: str) -> str:
+        cut = f"i >= {n}"
+        return f"""own{n} AS (SELECT r, {words}, count(*) AS c FROM tokens WHERE {cut} GROUP BY ALL),
+all{n} AS (SELECT {words}, sum(c) AS c FROM own{n} GROUP BY ALL),
+rest{n} AS (SELECT own{n}.*, all{n}.c - own{n}.c AS o FROM own{n} JOIN all{n} USING ({words}))"""
+
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
 places AS (SELECT r, words, unnest(generate_series(1, len(words))) AS i FROM docs WHERE len(words) > 0),
-tokens AS (SELECT r, i, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS v, len(words) AS n FROM places),
-own1 AS (SELECT r, w, count(*) AS c FROM tokens GROUP BY 1, 2),
-all1 AS (SELECT w, sum(c) AS c FROM own1 GROUP BY 1),
-own2 AS (SELECT r, v, w, count(*) AS c FROM tokens WHERE v IS NOT NULL GROUP BY 1, 2, 3),
-all2 AS (SELECT v, w, sum(c) AS c FROM own2 GROUP BY 1, 2),
+tokens AS (SELECT r, i, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS v, CASE WHEN i > 2 THEN words[i - 2] END AS u, len(words) AS n FROM places),
+{others(1, "w")},
+{others(2, "v, w")},
+{others(3, "u, v, w")},
 total AS (SELECT count(*) AS t FROM tokens),
 counted AS (
-  SELECT tokens.r, tokens.v, tokens.n, t - tokens.n AS rest, a1.c - o1.c AS u, a2.c - o2.c AS b, av.c - ov.c AS x
-  FROM tokens CROSS JOIN total JOIN own1 o1 USING (r, w) JOIN all1 a1 USING (w)
-  LEFT JOIN own2 o2 ON o2.r = tokens.r AND o2.v = tokens.v AND o2.w = tokens.w LEFT JOIN all2 a2 ON a2.v = tokens.v AND a2.w = tokens.w
-  LEFT JOIN own1 ov ON ov.r = tokens.r AND ov.w = tokens.v LEFT JOIN all1 av ON av.w = tokens.v),
-single AS (
-  SELECT r, v, b, u, CASE WHEN u > 0 THEN ln(u / greatest(rest, 1)) ELSE ln({a}::DOUBLE / (rest + 1)) END AS s1, CASE WHEN b > 0 THEN ln(b / x) END AS s2 FROM counted),
+  SELECT x.r, x.i, t - x.n AS rest, r1.o AS c1, r2.o AS c2, r3.o AS c3, q1.o AS p1, q2.o AS p2
+  FROM tokens x CROSS JOIN total JOIN rest1 r1 ON r1.r = x.r AND r1.w = x.w
+  LEFT JOIN rest2 r2 ON r2.r = x.r AND r2.v = x.v AND r2.w = x.w LEFT JOIN rest3 r3 ON r3.r = x.r AND r3.u = x.u AND r3.v = x.v AND r3.w = x.w
+  LEFT JOIN rest1 q1 ON q1.r = x.r AND q1.w = x.v LEFT JOIN rest2 q2 ON q2.r = x.r AND q2.v = x.u AND q2.w = x.v),
+one AS (SELECT *, CASE WHEN c1 > 0 THEN ln(c1 / greatest(rest, 1)) ELSE ln({a}::DOUBLE / (rest + 1)) END AS s1 FROM counted),
+two AS (SELECT *, CASE WHEN i = 1 THEN s1 WHEN c2 > 0 THEN ln(c2 / p1) ELSE ln({a}::DOUBLE) + s1 END AS s2 FROM one),
 summed AS (
-  SELECT r, count(*) AS n, sum(CASE WHEN v IS NULL THEN s1 WHEN b > 0 THEN s2 ELSE ln({a}::DOUBLE) + s1 END) AS s,
-    count(*) FILTER (v IS NOT NULL AND b <= 0) AS backed, count(*) FILTER (u <= 0) AS unseen FROM single GROUP BY r)
+  SELECT r, count(*) AS n, sum(CASE WHEN i < 3 THEN s2 WHEN c3 > 0 THEN ln(c3 / p2) ELSE ln({a}::DOUBLE) + s2 END) AS s,
+    count(*) FILTER (CASE WHEN i = 2 THEN c2 <= 0 WHEN i > 2 THEN c3 <= 0 END) AS backed, count(*) FILTER (c1 <= 0) AS unseen FROM two GROUP BY r)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(backed, 0) AS BIGINT) AS n_backed_off, CAST(coalesce(unseen, 0) AS BIGINT) AS n_unseen, round(s / n, 6) AS mean_log_score
 FROM docs LEFT JOIN summed USING (r)"""
 

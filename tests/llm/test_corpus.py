@@ -364,16 +364,57 @@ def test_matches_sql(spark, sf, name):
     assert sorted(map(tuple, df.select(*columns).collect()), key=repr) == sorted(want, key=repr)
 
 
-def test_backoff_by_hand(spark, edge, empty):
+def plain_backoff(texts, order, alpha=0.4):
+    """(n_words, n_backed_off, n_unseen, log_score) of each text, by counts of the others."""
+    docs = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    grams = [[Counter(zip(*[d[j:] for j in range(k)], strict=False)) for k in range(1, order + 1)] for d in docs]
+    whole = [sum((g[k] for g in grams), Counter()) for k in range(order)]
+    out = []
+    for d, own in zip(docs, grams, strict=True):
+        rest, logs, backed = sum(map(len, docs)) - len(d), 0.0, 0
+        count = lambda g: whole[len(g) - 1][g] - own[len(g) - 1][g]  # noqa: B023, E731
+        for i in range(len(d)):
+            longest, factor = min(order, i + 1), 0.0
+            for k in range(longest, 0, -1):
+                gram = tuple(d[i - k + 1 : i + 1])
+                if count(gram) > 0:
+                    logs += factor + np.log(count(gram) / (count(gram[:-1]) if k > 1 else rest))
+                    break
+                factor += np.log(alpha)
+            else:
+                logs += factor - np.log(rest + 1)
+            backed += longest > 1 and count(tuple(d[i - longest + 1 : i + 1])) <= 0
+        out.append((len(d), backed, sum(count((w,)) <= 0 for w in d), logs))
+    return out
+
+
+def check_backoff(docs, order, **how):
+    rows = docs.select("doc_id", "text").collect()
+    want = sorted(((r["doc_id"] is None, r["doc_id"] or 0, *p) for r, p in zip(rows, plain_backoff([r["text"] for r in rows], order), strict=True)))
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_words"], r["n_backed_off"], r["n_unseen"], r["log_score"]) for r in lm_score.stupid_backoff(docs, order=order, **how).collect())
+    assert [x[:5] for x in got] == [x[:5] for x in want] and [x[5] for x in got] == pytest.approx([x[5] for x in want])
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_is_the_plain_one(spark, edge, empty, monkeypatch, order):
+    monkeypatch.setattr(lm_score, "BATCH_BYTES", 2_000)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 3_000)
+    monkeypatch.setattr(lm_score, "HELD_WORDS", 50)
+    check_backoff(edge, order)
+    assert lm_score.stupid_backoff(empty, order=order).count() == 0
+    rng = np.random.default_rng(order)
+    docs = [(i, " ".join(rng.choice(list("abcdefgh"), rng.integers(0, 30)))) for i in range(60)]
+    check_backoff(spark.createDataFrame(docs + docs[:20], "doc_id long, text string").repartition(3), order)
+
+
+def test_backoff_by_hand(spark):
     docs = [(1, "a b a b"), (2, "a b c"), (3, "z a c"), (4, None), (4, " ")]
-    got = {r["doc_id"]: r for r in lm_score.stupid_backoff(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: r for r in lm_score.stupid_backoff(spark.createDataFrame(docs, "doc_id long, text string"), order=2).collect()}
     # Document 2 among the others: a 3, b 2, c 1, z 1 of 7 words; a b 2, b a 1, z a 1, a c 1.
     assert got[2]["log_score"] == pytest.approx(np.log(3 / 7) + np.log(2 / 3) + np.log(0.4 * 1 / 7))
     assert (got[2]["n_words"], got[2]["n_backed_off"], got[2]["n_unseen"]) == (3, 1, 0)
     assert got[3]["n_unseen"] == 1 and got[3]["log_score"] == pytest.approx(np.log(0.4 / 8) + np.log(0.4 * 3 / 7) + np.log(0.4 * 1 / 7))
     assert got[4]["mean_log_score"] is None and got[4]["log_score"] == 0
-    assert lm_score.stupid_backoff(edge).count() == len(edge_rows())
-    assert lm_score.stupid_backoff(empty).count() == 0
     three = lm_score.stupid_backoff(spark.createDataFrame([(1, "a b c d"), (2, "x a b c")], "doc_id long, text string"), order=3).where("doc_id = 1").first()
     assert three["log_score"] == pytest.approx(np.log(1 / 4) + np.log(1 / 1) + np.log(1 / 1) + np.log(0.4 * 0.4 * 0.4 / 5))
 
