@@ -2,39 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import global_rank
+
+
+def contested_divisions(sides: DataFrame, min_cast: int = 40, min_minority: float = 0.025) -> DataFrame:
+    """(division, cast_votes, yes) of those divisions in which enough were cast and the minority is no formality. One pass."""
+    counts = sides.groupBy("division").agg(F.count("*").alias("cast_votes"), F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("yes"))
+    return counts.where((F.col("cast_votes") >= min_cast) & (F.least("yes", F.col("cast_votes") - F.col("yes")) / F.col("cast_votes") >= min_minority))
+
 
 def contested(sides: DataFrame, min_cast: int = 40, min_minority: float = 0.025) -> DataFrame:
-    """Sides of those divisions in which enough were cast and the minority is no formality."""
-    yes, cast = F.sum(F.when(F.col("side") == 1, 1).otherwise(0)), F.count("*")
-    kept = sides.groupBy("division").agg(yes.alias("yes"), cast.alias("cast")).where((F.col("cast") >= min_cast) & (F.least("yes", F.col("cast") - F.col("yes")) / F.col("cast") >= min_minority))
-    return sides.join(kept.select("division"), "division", "left_semi")
+    """Sides of contested divisions."""
+    return sides.join(contested_divisions(sides, min_cast, min_minority).select("division"), "division", "left_semi")
+
+
+def packed(sides: DataFrame, key: str, over: str, numbers: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., word, key, yes, no): what each key did over 63 of the things that numbers (over, n, and perhaps by) counts from 0."""
+    bit = F.expr("shiftleft(1L, cast(n % 63 AS int))")
+    return (
+        sides.join(numbers, [c for c in [*by, over] if c in numbers.columns])
+        .groupBy(*by, F.floor(F.col("n") / 63).alias("word"), key)
+        .agg(F.bit_or(F.when(F.col("side") == 1, bit).otherwise(0)).alias("yes"), F.bit_or(F.when(F.col("side") == -1, bit).otherwise(0)).alias("no"))
+    )
+
+
+def word_pairs(words: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """(by..., word, source, target, ya, na, yb, nb) for keys source < target that share a word.
+
+    Words are few, so sources are dealt to salts and targets copied to each, which spreads a word's pairs over many tasks.
+    """
+    salts = min(64, int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    a = words.select(*by, "word", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("salt"), F.col(key).alias("source"), F.col("yes").alias("ya"), F.col("no").alias("na"))
+    b = words.select(*by, "word", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col(key).alias("target"), F.col("yes").alias("yb"), F.col("no").alias("nb"))
+    return a.join(b, [*by, "word", "salt"]).where(F.col("source") < F.col("target"))
+
+
+def bits(*words: str) -> Column:
+    """How many bits are set in all the words."""
+    return F.bit_count(reduce(lambda a, b: a.bitwiseAND(b), map(F.col, words)))
 
 
 def agreement(sides: DataFrame, min_shared: int = 30, by: list[str] | None = None) -> DataFrame:
     """(by..., source, target, shared, agreed) for pairs source < target that took sides in enough common divisions.
 
     Divisions are numbered and packed into 63-bit words, one of yes and one of no for each member, so that the pair join
-    handles one row for 63 divisions. Two shuffles: words, then pairs (summed before they move). Words are few, so sources
-    are dealt to salts and targets copied to each, which spreads a word's pairs over many tasks.
+    handles one row for 63 divisions. Two shuffles: words, then pairs (summed before they move).
     """
     by = by or []
-    salts = min(64, int(sides.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    numbered = sides.select(*by, "division").distinct().withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("division") if by else Window.partitionBy(F.lit(0)).orderBy("division")) - 1)
-    bit = F.expr("shiftleft(1L, cast(n % 63 AS int))")
-    words = (
-        sides.join(numbered, [*by, "division"])
-        .groupBy(*by, F.floor(F.col("n") / 63).alias("word"), "member")
-        .agg(F.bit_or(F.when(F.col("side") == 1, bit).otherwise(0)).alias("yes"), F.bit_or(F.when(F.col("side") == -1, bit).otherwise(0)).alias("no"))
-    )
-    a = words.select(*by, "word", F.pmod(F.xxhash64("member"), F.lit(salts)).cast("int").alias("salt"), F.col("member").alias("source"), F.col("yes").alias("ya"), F.col("no").alias("na"))
-    b = words.select(*by, "word", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col("member").alias("target"), F.col("yes").alias("yb"), F.col("no").alias("nb"))
-    pairs = a.join(b, [*by, "word", "salt"]).where(F.col("source") < F.col("target"))
-    both = F.bit_count(F.col("ya").bitwiseOR(F.col("na")).bitwiseAND(F.col("yb").bitwiseOR(F.col("nb"))))
-    same = F.bit_count(F.col("ya").bitwiseAND(F.col("yb")).bitwiseOR(F.col("na").bitwiseAND(F.col("nb"))))
-    return pairs.groupBy(*by, "source", "target").agg(F.sum(both).alias("shared"), F.sum(same).alias("agreed")).where(F.col("shared") >= min_shared)
+    numbers = sides.select(*by, "division").distinct().withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("division") if by else Window.partitionBy(F.lit(0)).orderBy("division")) - 1)
+    same = bits("ya", "yb") + bits("na", "nb")
+    sums = word_pairs(packed(sides, "member", "division", numbers, by), "member", by).groupBy(*by, "source", "target").agg(F.sum(same + bits("ya", "nb") + bits("na", "yb")).alias("shared"), F.sum(same).alias("agreed"))
+    return sums.where(F.col("shared") >= min_shared)
 
 
 def agreement_ties(sides: DataFrame, min_shared: int = 30) -> DataFrame:
@@ -56,18 +79,19 @@ def rice(sides: DataFrame, blocs: DataFrame, min_cast: int = 5) -> DataFrame:
 
 
 def phi(sides: DataFrame, min_overlap: int = 30, by: list[str] | None = None) -> DataFrame:
-    """(by..., d1, d2, n, phi): absolute phi between divisions over members who took sides in both; degenerate tables are left out."""
+    """(by..., d1, d2, n, phi): absolute phi between divisions over members who took sides in both; degenerate tables are left out.
+
+    Members are numbered and packed as agreement() packs divisions, so that the four cells are bit counts.
+    """
     by = by or []
-    a = sides.select(*by, "member", F.col("division").alias("d1"), F.col("side").alias("s1"))
-    b = sides.select(*by, "member", F.col("division").alias("d2"), F.col("side").alias("s2"))
-    cells = a.join(b, [*by, "member"]).where("d1 < d2").groupBy(*by, "d1", "d2").agg(
-        F.count("*").alias("n"),
-        *[F.sum(F.when((F.col("s1") == x) & (F.col("s2") == y), 1).otherwise(0)).alias(f"n{int(x > 0)}{int(y > 0)}") for x in (1, -1) for y in (1, -1)],
-    )
+    numbers = global_rank(sides.select("member").distinct(), ["member"], "n").withColumn("n", F.col("n") - 1)
+    words = packed(sides, "division", "member", numbers, by)
+    cells = word_pairs(words, "division", by).groupBy(*by, F.col("source").alias("d1"), F.col("target").alias("d2")).agg(*[F.sum(bits(x, y)).alias(f"n{i}{j}") for x, i in (("ya", 1), ("na", 0)) for y, j in (("yb", 1), ("nb", 0))])
     row1, row0 = F.col("n11") + F.col("n10"), F.col("n01") + F.col("n00")
     col1, col0 = F.col("n11") + F.col("n01"), F.col("n10") + F.col("n00")
     margin = row1.cast("double") * row0 * col1 * col0
-    return cells.where((F.col("n") >= min_overlap) & (margin > 0)).select(*by, "d1", "d2", "n", (F.abs(F.col("n11") * F.col("n00") - F.col("n10") * F.col("n01")) / F.sqrt(margin)).alias("phi"))
+    kept = cells.withColumn("n", row1 + row0).where((F.col("n") >= min_overlap) & (margin > 0))
+    return kept.select(*by, "d1", "d2", "n", (F.abs(F.col("n11") * F.col("n00") - F.col("n10") * F.col("n01")) / F.sqrt(margin)).alias("phi"))
 
 
 def permuted_sides(sides: DataFrame, draws: int, seed: str) -> DataFrame:

@@ -16,6 +16,8 @@ from .registry import query
 MIN_CAST, MIN_SHARED = 8, 30
 #: Draws of the bootstraps and shuffles of the phi null, as in the reference.
 BOOTSTRAP, NULLS = 400, 10
+#: Members whose eigenvectors the driver finds, at most.
+MOST_SCALED = 4_000
 DAYS = ", days AS (SELECT l_partkey % 200 AS division, min(l_shipdate)::DATE AS day FROM lineitem GROUP BY 1)"
 CHUNKS = DAYS + """, numbered AS (SELECT division, row_number() OVER (ORDER BY day, division) - 1 AS rn, count(*) OVER () AS n FROM days SEMI JOIN kept USING (division)),
 chunks AS (SELECT division, least(rn // greatest(n // {0}, 1), {0} - 1) AS chunk FROM numbered)"""
@@ -38,7 +40,7 @@ def with_chunk(spark, sf, n):
 
 @query("contested_filter", f"WITH {CONTESTED} SELECT division, count(*) AS cast_votes, count(*) FILTER (side = 1) AS yes FROM cast_ GROUP BY 1")
 def contested_filter(spark, sf):
-    return kept(spark, sf).groupBy("division").agg(F.count("*").alias("cast_votes"), F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("yes"))
+    return V.contested_divisions(sides(spark, sf), MIN_CAST)
 
 
 @query("active_members", f"WITH {CONTESTED} SELECT member, count(*) AS votes FROM cast_ GROUP BY 1 HAVING count(*) >= 30")
@@ -242,9 +244,9 @@ def gram(spark, sf):
     means = c.groupBy("division").agg(F.sum("side").alias("t")).crossJoin(F.broadcast(n)).select("division", (F.col("t") / F.col("n")).alias("mean"))
     own = c.join(means, "division").groupBy("member").agg(F.sum(F.col("side") * F.col("mean")).alias("s"))
     sq = means.agg(F.sum(F.col("mean") * F.col("mean")).alias("q"))
-    raw = c.select("division", F.col("member").alias("source"), F.col("side").alias("sa"))
-    other = c.select("division", F.col("member").alias("target"), F.col("side").alias("sb"))
-    raw = raw.join(other, "division").where("source <= target").groupBy("source", "target").agg(F.sum(F.col("sa") * F.col("sb")).alias("g"))
+    # Sides alike less sides unlike; with oneself all are alike.
+    pairs = V.agreement(c, 1).select("source", "target", (2 * F.col("agreed") - F.col("shared")).alias("g"))
+    raw = pairs.unionByName(c.groupBy(F.col("member").alias("source")).agg(F.count("*").alias("g")).withColumn("target", F.col("source")))
     x = own.select(F.col("member").alias("source"), F.col("s").alias("x"))
     y = own.select(F.col("member").alias("target"), F.col("s").alias("y"))
     return raw.join(x, "source").join(y, "target").crossJoin(F.broadcast(sq)).select("source", "target", (F.col("g") - F.col("x") - F.col("y") + F.col("q")).alias("gram"))
@@ -255,10 +257,11 @@ def rollcall_scaling(spark, sf):
     """Two dimensions from the eigenvectors of the centred Gram matrix (members, at most a few thousand); the first member's are non-negative."""
     import numpy as np
 
+    active = kept(spark, sf).groupBy("member").count().where("count >= 30").select("member")
+    members = sorted(r["member"] for r in active.limit(MOST_SCALED + 1).collect())
+    if len(members) > MOST_SCALED:
+        raise ValueError(f"roll-call scaling solves on the driver for at most {MOST_SCALED} members")
     g = gram(spark, sf).collect()
-    members = sorted({r["source"] for r in g})
-    if len(members) > 4_000:
-        raise ValueError("roll-call scaling solves on the driver for at most 4,000 members")
     at = {m: i for i, m in enumerate(members)}
     a = np.zeros((len(members), len(members)))
     for r in g:
@@ -289,7 +292,8 @@ def cluster_bootstrap(spark, sf, draws=BOOTSTRAP):
     """Each draw's mean is summed over a member's ties first, so that ties by draws are not shuffled."""
     s = kept(spark, sf)
     w0 = Window.partitionBy(F.lit(0))
-    m = s.select("member").distinct().withColumn("i", F.row_number().over(w0.orderBy("member")) - 1).withColumn("n", F.count("*").over(w0))
+    members = global_rank(s.select("member").distinct(), ["member"], "i").withColumn("i", F.col("i") - 1)
+    m = members.crossJoin(F.broadcast(members.agg(F.count("*").alias("n"))))
     pick = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("cluster"), "draw", "i")), 1, 8), 16, 10).cast("long") % F.col("n")
     picks = m.crossJoin(spark.range(draws).withColumnRenamed("id", "draw")).select("draw", pick.alias("i")).join(m.select("i", "member"), "i").groupBy("draw", "member").agg(F.count("*").alias("mult"))
     t = V.agreement_ties(s, MIN_SHARED).join(picks.toDF("draw", "target", "my"), "target")
