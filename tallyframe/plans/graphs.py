@@ -78,7 +78,7 @@ def ei_index(spark, sf):
     return c.select("bloc", "internal", "external", F.round(F.try_divide((F.col("external") - F.col("internal")).cast("double"), F.col("external") + F.col("internal")), 6).alias("ei"))
 
 
-@query("ei_null", f"""WITH {STRONG}{BOTH}, {BLOCS}, drawn AS (SELECT draw, member, bloc, row_number() OVER (PARTITION BY draw ORDER BY member) AS place, row_number() OVER (PARTITION BY draw ORDER BY md5('ei|' || draw || '|' || member), member) AS other FROM blocs, range(40) d(draw)),
+@query("ei_null", f"""WITH {STRONG}{BOTH}, {BLOCS}, drawn AS (SELECT draw, member, bloc, row_number() OVER (PARTITION BY draw ORDER BY member) AS place, row_number() OVER (PARTITION BY draw ORDER BY md5('ei|' || draw || '|' || member), member) AS other FROM blocs, range({EI_DRAWS}) d(draw)),
 mixed AS (SELECT a.draw, a.member, b.bloc FROM drawn a JOIN drawn b ON a.draw = b.draw AND a.place = b.other), c AS ({EI.format('x.draw, ', 'mixed', ' AND y.draw = x.draw')}),
 v AS (SELECT draw, bloc, (external - internal) / (external + internal)::DOUBLE AS ei FROM c)
 SELECT bloc, count(*) AS draws, round(avg(ei), 6) AS mean, round(quantile_cont(ei, 0.025), 6) AS p2_5, round(quantile_cont(ei, 0.975), 6) AS p97_5 FROM v GROUP BY 1""")

@@ -383,8 +383,8 @@ def two_group_summary(spark, sf):
     return t.agg(F.round(F.median(a) - F.median(b), 6).alias("median_gap"), F.count(a).alias("n_a"), F.count(b).alias("n_b"), F.round(F.greatest(F.min(a), F.min(b)), 6).alias("overlap_low"), F.round(F.least(F.max(a), F.max(b)), 6).alias("overlap_high"))
 
 
-@query("permutation_test", """WITH c AS (SELECT c_custkey AS id, c_acctbal AS x, c_mktsegment = 'BUILDING' AS g FROM customer), k AS (SELECT count(*) FILTER (g) AS k, avg(x) FILTER (g) AS observed FROM c),
-r AS (SELECT draw, x, row_number() OVER (PARTITION BY draw ORDER BY md5('perm|' || draw || '|' || id), id) AS rn FROM c, range(200) d(draw)), m AS (SELECT draw, avg(x) FILTER (rn <= k) AS mean FROM r, k GROUP BY 1)
+@query("permutation_test", f"""WITH c AS (SELECT c_custkey AS id, c_acctbal AS x, c_mktsegment = 'BUILDING' AS g FROM customer), k AS (SELECT count(*) FILTER (g) AS k, avg(x) FILTER (g) AS observed FROM c),
+r AS (SELECT draw, x, row_number() OVER (PARTITION BY draw ORDER BY md5('perm|' || draw || '|' || id), id) AS rn FROM c, range({N_PERM}) d(draw)), m AS (SELECT draw, avg(x) FILTER (rn <= k) AS mean FROM r, k GROUP BY 1)
 SELECT count(*) AS draws, round((max(observed) - avg(mean)) / stddev_pop(mean), 6) AS z, round((count(*) FILTER (mean >= observed) + 1) / (count(*) + 1)::DOUBLE, 6) AS p FROM m, k""")
 def permutation_test(spark, sf, draws=N_PERM):
     """Draws without replacement by md5 ranks; p = (k + 1) / (n + 1).

@@ -47,9 +47,8 @@ for _c in "abcdefghijklmnopqrstuvwxyz":
 NORMAL_LATIN = "trim(regexp_replace(" + DOUBLES.format("replace(replace(replace(regexp_replace(" + LATIN.format("regexp_replace({0}, '[''’`]', '', 'g')") + ", '[^a-z ]', ' ', 'g'), 'ou', 'u'), 'kh', 'k'), 'ch', 'sh')") + ", ' +', ' ', 'g'))"
 
 
-@query("normalize_latin", f"SELECT doc_id, {NORMAL_LATIN.format('string_split(text, chr(10))[1]')} AS line FROM documents")
+@query("normalize_latin", f"SELECT doc_id, {NORMAL_LATIN.format('text')} AS text FROM documents")
 def normalize_latin(spark, sf):
-    """Whole texts; the statement above reads first lines only."""
     return load(spark, sf, "documents").select("doc_id", X.normalize_latin(F.col("text")).alias("text"))
 
 

@@ -146,7 +146,7 @@ def mean_phi(spark, sf):
 
 
 @query("phi_bootstrap", f"""WITH {CONTESTED}, {PHI.format('cast_', '')}, n AS (SELECT row_number() OVER (ORDER BY division) - 1 AS i, division, count(*) OVER () AS n FROM kept),
-picks AS (SELECT DISTINCT draw, b.division FROM range(20) d(draw), n JOIN n b ON b.i = ('0x' || substr(md5('phi|' || draw || '|' || n.i), 1, 8))::BIGINT % n.n)
+picks AS (SELECT DISTINCT draw, b.division FROM range({BOOTSTRAP}) d(draw), n JOIN n b ON b.i = ('0x' || substr(md5('phi|' || draw || '|' || n.i), 1, 8))::BIGINT % n.n)
 SELECT x.draw, count(*) AS pairs, round(avg(phi), 6) AS mean_phi FROM phis JOIN picks x ON x.division = d1 JOIN picks y ON y.division = d2 AND y.draw = x.draw GROUP BY 1""")
 def phi_bootstrap(spark, sf, draws=BOOTSTRAP):
     s = kept(spark, sf)
@@ -164,7 +164,8 @@ SHUFFLED = """drawn AS (SELECT draw, division, member, side, row_number() OVER (
 mixed AS (SELECT a.draw, a.division, a.member, b.side FROM drawn a JOIN drawn b ON a.draw = b.draw AND a.division = b.division AND a.place = b.other)"""
 
 
-@query("phi_null", f"""WITH {CONTESTED}, {SHUFFLED.format('null', 1)}, {PHI.format('mixed', '')} SELECT count(*) AS pairs, round(avg(phi), 6) AS mean_phi FROM phis""")
+@query("phi_null", f"""WITH {CONTESTED}, {SHUFFLED.format('null', NULLS)}, {PHI.format('mixed', ' AND a.draw = b.draw').replace('SELECT a.division', 'SELECT a.draw, a.division').replace('SELECT d1', 'SELECT draw, d1').replace('BY 1, 2', 'BY 1, 2, 3')},
+means AS (SELECT draw, count(*) AS pairs, avg(phi) AS mean FROM phis GROUP BY 1) SELECT coalesce(sum(pairs), 0)::BIGINT AS pairs, round(avg(mean), 6) AS mean_phi FROM means""")
 def phi_null(spark, sf, draws=NULLS):
     """The mean of the shuffles' mean phis; pairs of all shuffles."""
     each = V.phi(V.permuted_sides(kept(spark, sf), draws, "null"), 15, ["draw"]).groupBy("draw").agg(F.count("*").alias("pairs"), F.avg("phi").alias("mean_phi"))
@@ -284,7 +285,7 @@ def corr_dummy(spark, sf):
 
 
 @query("cluster_bootstrap", f"""WITH {AGREEMENT}, m AS (SELECT member, row_number() OVER (ORDER BY member) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT member FROM cast_)),
-picks AS (SELECT draw, b.member, count(*) AS mult FROM range(40) d(draw), m JOIN m b ON b.i = ('0x' || substr(md5('cluster|' || draw || '|' || m.i), 1, 8))::BIGINT % m.n GROUP BY 1, 2),
+picks AS (SELECT draw, b.member, count(*) AS mult FROM range({BOOTSTRAP}) d(draw), m JOIN m b ON b.i = ('0x' || substr(md5('cluster|' || draw || '|' || m.i), 1, 8))::BIGINT % m.n GROUP BY 1, 2),
 means AS (SELECT x.draw, sum(weight * x.mult * y.mult) / sum(x.mult * y.mult) AS mean FROM ties JOIN picks x ON x.member = source JOIN picks y ON y.member = target AND y.draw = x.draw GROUP BY 1),
 ranked AS (SELECT mean, row_number() OVER (ORDER BY mean) - 1 AS r, count(*) OVER () AS n FROM means)
 SELECT round(min(mean) FILTER (r = floor(0.025 * n)), 6) AS low, round(min(mean) FILTER (r = floor(0.975 * n)), 6) AS high, count(*) AS draws FROM ranked""")
