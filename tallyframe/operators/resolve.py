@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.sources.shared import reliable
+
 from .ranking import global_rank
 
 
@@ -51,35 +55,51 @@ def too_far_apart(a_year: Column, b_year: Column, born: Column, most: int = 40)
     return born.isNull() & F.coalesce(F.abs(a_year - b_year) > most, F.lit(False))
 
 
-def resolve_in_rounds(rows: DataFrame, sources: list[str], most_years: int = 40) -> DataFrame:
-    """(source, seq, person, method, confidence): sources in order of trust, each matched as a set against the persons known so far.
+def resolve_in_rounds(rows: DataFrame, sources: list[str], most_years: int = 40) -> tuple[DataFrame, DataFrame]:
+    """(resolved, refused): rows joined to persons, in order of trust of their sources and then chamber by chamber.
 
-    rows: source, seq, ar_key, lat_key (null if unknown), chamber, year, born. A row joins the person of the first known row with its Arabic
-    key or, failing that, its Latin one, that is not of its chamber and not too far apart in time; where the row and the person both have a
-    Latin key, an Arabic match must agree with it. Rows that match no one are persons of their own, named by their place (source rank, seq).
-    One round of joins for each source, so rows of a source never match each other.
+    rows: source, seq, ar_key, lat_key (null if unknown), chamber, year, born. A row is held against all rows before it, those of other chambers
+    of its own source among them. It joins the person of the first one with its Arabic key or, failing that, its Latin one, that is not of its chamber
+    and not too far apart in time; where the row and the person both have a Latin key, an Arabic match must agree with it. Rows that match no one are
+    persons of their own. A person is named by the source and seq of the first row, as 'source:seq'.
+
+    resolved: source, seq, chamber, person, method, confidence. refused: person, source, seq, chamber_a, chamber_b, years_apart, for each earlier row
+    that a row met on its way to its match and that lies too far apart. There is one round of joins for each chamber of each source, since
+    rows of one chamber never match each other; what a round sees of a person is what was known before it. Rows of other sources are left out.
     """
-    known = None
-    for rank, source in enumerate(sources):
-        r = rows.where(F.col("source") == source).withColumn("own", F.lit(rank).cast("long") * 1_000_000_000 + F.col("seq"))
-        if known is None:
-            found = r.withColumn("hit", F.lit(None).cast("struct<k_own:long,person:long,method:string>"))
+    ranked = rows.where(F.col("source").isin(*sources)).select("source", "chamber").distinct().collect()
+    rounds = sorted(((sources.index(r["source"]), r["chamber"]) for r in ranked), key=lambda x: (x[0], x[1] is not None, x[1]))
+    known, refusals = [], []
+    for i, (rank, chamber) in enumerate(rounds):
+        r = rows.where((F.col("source") == sources[rank]) & F.col("chamber").eqNullSafe(F.lit(chamber))).withColumn("own", F.struct(F.lit(i).alias("round"), F.col("seq")))
+        name = F.concat("source", F.lit(":"), F.col("seq").cast("string"))
+        if not known:
+            found = r.select("*", name.alias("person"), F.lit("source_id").alias("method"))
         else:
+            before = reduce(DataFrame.unionByName, known)
             lat = F.min_by("lat_key", F.when(F.col("lat_key").isNotNull(), F.col("own"))).alias("p_lat")
             born = F.min_by("born", F.when(F.col("born").isNotNull(), F.col("own"))).alias("p_born")
-            people = known.groupBy("person").agg(lat, born)
-            k = known.select("ar_key", "lat_key", F.col("own").alias("k_own"), "person", F.col("chamber").alias("k_chamber"), F.col("year").alias("k_year")).join(people, "person")
-            fits = (F.col("chamber") != F.col("k_chamber")) & ~too_far_apart(F.col("year"), F.col("k_year"), F.col("p_born"), most_years)
+            k = before.select("ar_key", "lat_key", F.col("own").alias("k_own"), "person", F.col("chamber").alias("k_chamber"), F.col("year").alias("k_year")).join(before.groupBy("person").agg(lat, born), "person")
+            far = too_far_apart(F.col("year"), F.col("k_year"), F.col("p_born"), most_years)
             both = r["lat_key"].isNotNull() & F.col("p_lat").isNotNull()
-
-            def first(pairs: DataFrame, method: Column, name: str) -> DataFrame:
-                return pairs.groupBy("own").agg(F.min(F.struct("k_own", "person", method.alias("method"))).alias(name))
-
-            ar = r.join(k.drop("lat_key"), "ar_key").where(fits & (~both | (r["lat_key"] == F.col("p_lat"))))
-            ar = first(ar, F.when(both, "normalised_name_ar+lat").otherwise("normalised_name_ar"), "ar_hit")
-            lt = first(r.join(k.drop("ar_key"), "lat_key").where(fits), F.lit("normalised_name_lat"), "lat_hit")
-            found = r.join(ar, "own", "left").join(lt, "own", "left").withColumn("hit", F.coalesce("ar_hit", "lat_hit"))
-        method = F.coalesce("hit.method", F.lit("source_id"))
-        resolved = found.select("source", "seq", "own", "ar_key", "lat_key", "chamber", "year", "born", F.coalesce("hit.person", "own").alias("person"), method.alias("method"))
-        known = resolved if known is None else known.unionByName(resolved)
-    return known.select("source", "seq", "person", "method", F.when(F.col("method").isin("source_id", "normalised_name_ar+lat"), "high").otherwise("medium").alias("confidence"))
+            tried = ["own", "k_own", "person", "k_chamber", F.abs(F.col("year") - F.col("k_year")).alias("years_apart"), far.alias("far")]
+            ar = r.join(k.drop("lat_key"), "ar_key").select(*tried, F.lit(0).alias("by"), (~both | (r["lat_key"] == F.col("p_lat"))).alias("agrees"), F.when(both, "normalised_name_ar+lat").otherwise("normalised_name_ar").alias("method"), "chamber")
+            lt = r.join(k.drop("ar_key"), "lat_key").select(*tried, F.lit(1).alias("by"), F.lit(True).alias("agrees"), F.lit("normalised_name_lat").alias("method"), "chamber")
+            # Met in this order: by the Arabic key before the Latin one, earlier rows first.
+            met = reliable(ar.unionByName(lt).where(~F.col("k_chamber").eqNullSafe(F.col("chamber"))))
+            hits = reliable(met.where("NOT far AND agrees").groupBy("own").agg(F.min(F.struct("by", "k_own", "person", "method")).alias("hit")))
+            refused = met.where("far").join(hits, "own", "left").where(F.col("hit").isNull() | (F.struct("by", "k_own") < F.struct("hit.by", "hit.k_own")))
+            refusals.append(refused.select("person", F.lit(sources[rank]).alias("source"), F.col("own.seq").alias("seq"), F.col("k_chamber").alias("chamber_a"), F.col("chamber").alias("chamber_b"), "years_apart"))
+            found = r.join(hits, "own", "left").select(*r.columns, F.coalesce("hit.person", name).alias("person"), F.coalesce("hit.method", F.lit("source_id")).alias("method"))
+        known.append(reliable(found))
+    if not known:
+        known = [rows.limit(0).select("source", "seq", "chamber", F.lit("").alias("person"), F.lit("source_id").alias("method"))]
+    confidence = F.when(F.col("method").isin("source_id", "normalised_name_ar+lat"), "high").otherwise("medium").alias("confidence")
+    resolved = reduce(DataFrame.unionByName, known).select("source", "seq", "chamber", "person", "method", confidence)
+    none = rows.limit(0).select(F.lit("").alias("person"), "source", "seq", F.col("chamber").alias("chamber_a"), F.col("chamber").alias("chamber_b"), F.abs("year").alias("years_apart"))
+    return resolved, reduce(DataFrame.unionByName, refusals, none)
+
+
+def match_review(resolved: DataFrame) -> DataFrame:
+    """The matches by name, each to be confirmed."""
+    return resolved.where("method <> 'source_id'").select("person", "source", "seq", "chamber", "method", "confidence", F.lit("confirm this is the same person").alias("action_required"))

@@ -27,17 +27,22 @@ def golden_record(spark, sf):
     return R.golden_record(staged(spark, sf), ["entity"], ["lang", "source"], "priority", "seq")
 
 
+#: Sources a, b, c and chambers 0 to 2: a round for each, in this order.
+ROUNDS = 9
 ROUND = """
-{n}_all AS (SELECT * FROM {k}), {n}_people AS (SELECT person, arg_min(lat_key, own) FILTER (lat_key IS NOT NULL) AS p_lat, arg_min(born, own) FILTER (born IS NOT NULL) AS p_born FROM {n}_all GROUP BY 1),
-{n}_k AS (SELECT k.*, p_lat, p_born FROM {n}_all k JOIN {n}_people USING (person)),
-{n}_ar AS (SELECT r.own, min((k.own, k.person, CASE WHEN r.lat_key IS NOT NULL AND p_lat IS NOT NULL THEN 'normalised_name_ar+lat' ELSE 'normalised_name_ar' END)) AS hit FROM keyed r JOIN {n}_k k ON k.ar_key = r.ar_key AND k.chamber <> r.chamber
-  AND (p_born IS NOT NULL OR abs(k.year - r.year) <= 40) AND (r.lat_key IS NULL OR p_lat IS NULL OR r.lat_key = p_lat) WHERE r.source = '{n}' GROUP BY 1),
-{n}_lat AS (SELECT r.own, min((k.own, k.person, 'normalised_name_lat')) AS hit FROM keyed r JOIN {n}_k k ON k.lat_key = r.lat_key AND k.chamber <> r.chamber AND (p_born IS NOT NULL OR abs(k.year - r.year) <= 40) WHERE r.source = '{n}' GROUP BY 1),
-{n} AS (SELECT r.*, coalesce(a.hit[2], l.hit[2], r.own) AS person, coalesce(a.hit[3], l.hit[3], 'source_id') AS method FROM keyed r LEFT JOIN {n}_ar a USING (own) LEFT JOIN {n}_lat l USING (own) WHERE r.source = '{n}'),"""
-RESOLVE = """WITH keyed AS (SELECT CASE c_nationkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, (c_nationkey % 3) * 1000000000 + c_custkey AS own, c_mktsegment || c_custkey % 50 AS ar_key,
-  CASE WHEN c_custkey % 7 > 0 THEN 'l' || c_custkey % 120 END AS lat_key, c_custkey % 4 AS chamber, 1950 + c_custkey % 9 * 8 AS year, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS born FROM customer),
-a AS (SELECT *, own AS person, 'source_id' AS method FROM keyed WHERE source = 'a'),""" + ROUND.format(n="b", k="a") + ROUND.format(n="c", k="(SELECT * FROM a UNION ALL SELECT * FROM b)") + """
-every AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)"""
+k{i} AS MATERIALIZED ({known}), p{i} AS MATERIALIZED (SELECT person, arg_min(lat_key, own) FILTER (lat_key IS NOT NULL) AS p_lat, arg_min(born, own) FILTER (born IS NOT NULL) AS p_born FROM k{i} GROUP BY 1),
+c{i} AS MATERIALIZED (SELECT r.own, 0 AS nth, k.own AS k_own, person, k.chamber AS k_chamber, abs(k.year - r.year) AS years, p_born IS NULL AND abs(k.year - r.year) > 40 AS far, r.lat_key IS NULL OR p_lat IS NULL OR r.lat_key = p_lat AS agrees,
+    CASE WHEN r.lat_key IS NOT NULL AND p_lat IS NOT NULL THEN 'normalised_name_ar+lat' ELSE 'normalised_name_ar' END AS method FROM keyed r JOIN k{i} k ON k.ar_key = r.ar_key JOIN p{i} USING (person) WHERE r.round = {i} AND k.chamber <> r.chamber
+  UNION ALL SELECT r.own, 1, k.own, person, k.chamber, abs(k.year - r.year), p_born IS NULL AND abs(k.year - r.year) > 40, true, 'normalised_name_lat' FROM keyed r JOIN k{i} k ON k.lat_key = r.lat_key JOIN p{i} USING (person) WHERE r.round = {i} AND k.chamber <> r.chamber),
+h{i} AS MATERIALIZED (SELECT own, min((nth, k_own, person, method)) AS hit FROM c{i} WHERE NOT far AND agrees GROUP BY 1),
+f{i} AS (SELECT own, person, k_chamber, years FROM c{i} LEFT JOIN h{i} USING (own) WHERE far AND (hit IS NULL OR (nth, k_own) < (hit[1], hit[2]))),
+r{i} AS MATERIALIZED (SELECT keyed.*, coalesce(hit[3], source || ':' || seq) AS person, coalesce(hit[4], 'source_id') AS method FROM keyed LEFT JOIN h{i} USING (own) WHERE round = {i}),"""
+RESOLVE = """WITH customers AS (SELECT *, c_nationkey % 3 AS rank, c_custkey % 3 AS chamber FROM customer),
+keyed AS MATERIALIZED (SELECT CASE rank WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, rank * 3 + chamber AS round, (rank * 3 + chamber) * 1000000000000 + c_custkey AS own, c_mktsegment || c_custkey % 50 AS ar_key,
+  CASE WHEN c_custkey % 7 > 0 THEN 'l' || c_custkey % 120 END AS lat_key, chamber, 1950 + c_custkey % 9 * 8 AS year, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS born FROM customers),
+r0 AS MATERIALIZED (SELECT *, source || ':' || seq AS person, 'source_id' AS method FROM keyed WHERE round = 0),""" + "".join(ROUND.format(i=i, known=" UNION ALL ".join(f"SELECT * FROM r{j}" for j in range(i))) for i in range(1, ROUNDS)) + f"""
+every AS (SELECT *, CASE WHEN method IN ('source_id', 'normalised_name_ar+lat') THEN 'high' ELSE 'medium' END AS confidence FROM ({" UNION ALL ".join(f"SELECT * FROM r{j}" for j in range(ROUNDS))})),
+far AS ({" UNION ALL ".join(f"SELECT * FROM f{j}" for j in range(1, ROUNDS))})"""
 
 
 def people(spark, sf):
@@ -48,15 +53,25 @@ def people(spark, sf):
         k.alias("seq"),
         F.concat("c_mktsegment", (k % 50).cast("string")).alias("ar_key"),
         F.when(k % 7 > 0, F.concat(F.lit("l"), (k % 120).cast("string"))).alias("lat_key"),
-        (k % 4).alias("chamber"),
+        (k % 3).alias("chamber"),
         (1950 + k % 9 * 8).alias("year"),
         F.when(k % 10 == 0, "known").alias("born"),
     )
 
 
-@query("resolve_entities", RESOLVE + " SELECT source, seq, person, method, CASE WHEN method IN ('source_id', 'normalised_name_ar+lat') THEN 'high' ELSE 'medium' END AS confidence FROM every")
+@query("resolve_entities", RESOLVE + " SELECT source, seq, person, method, confidence FROM every")
 def resolve_entities(spark, sf):
-    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])
+    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])[0].drop("chamber")
+
+
+@query("match_review", RESOLVE + " SELECT person, source, seq, chamber, method, confidence, 'confirm this is the same person' AS action_required FROM every WHERE method <> 'source_id'")
+def match_review(spark, sf):
+    return R.match_review(R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])[0])
+
+
+@query("match_refusals", RESOLVE + " SELECT far.person, source, seq, k_chamber AS chamber_a, chamber AS chamber_b, years AS years_apart FROM far JOIN keyed USING (own)")
+def match_refusals(spark, sf):
+    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])[1]
 
 
 @query("merge_veto", "WITH t AS (SELECT o_custkey AS person, min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS b, min(o_orderstatus) AS s FROM orders GROUP BY 1) SELECT person, a, b, s <> 'F' AND b - a > 5 AS refused FROM t")

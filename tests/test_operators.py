@@ -157,12 +157,22 @@ def test_golden_record_prefers_trust_then_order(spark):
 def test_resolution_rounds(spark):
     rows = [("a", 1, "k", None, 1, 1950, None), ("a", 2, "k", "l", 2, 1960, None), ("a", 3, "q", "m", 1, 1900, "known"), ("b", 1, "k", "l", 1, 1955, None), ("b", 2, "k", None, 3, 2010, None), ("b", 3, "k", "z", 2, 1955, None), ("b", 4, "q", "n", 2, 2000, None), ("b", 5, "x", "m", 2, 2000, None)]
     df = spark.createDataFrame(rows, "source string, seq long, ar_key string, lat_key string, chamber int, year int, born string")
-    got = {(r["source"], r["seq"]): (r["person"], r["method"], r["confidence"]) for r in R.resolve_in_rounds(df, ["a", "b"]).collect()}
-    assert got["b", 1] == (2, "normalised_name_ar+lat", "high")  # not 1, which is of its own chamber
-    assert got["b", 2][1] == "source_id"  # over forty years from both
-    assert got["b", 3] == (1, "normalised_name_ar", "medium")  # 2 has another Latin name
+    resolved, refused = R.resolve_in_rounds(df, ["a", "b"])
+    got = {(r["source"], r["seq"]): (r["person"], r["method"], r["confidence"]) for r in resolved.collect()}
+    assert got["a", 1] == ("a:1", "source_id", "high")
+    assert got["a", 2] == ("a:1", "normalised_name_ar", "medium")  # another chamber of the same source
+    assert got["b", 1] == ("a:1", "normalised_name_ar+lat", "high")  # by the second row, the first is of its own chamber
+    assert got["b", 2] == ("b:2", "source_id", "high")  # over forty years from all
+    assert got["b", 3] == ("b:3", "source_id", "high")  # the person has another Latin name by now
     assert got["b", 4][1] == "source_id"  # Latin names differ
-    assert got["b", 5] == (3, "normalised_name_lat", "medium")  # a birth date lifts the limit of years
+    assert got["b", 5] == ("a:3", "normalised_name_lat", "medium")  # a birth date lifts the limit of years
+    assert sorted(map(tuple, refused.collect())) == [("a:1", "b", 2, 1, 3, 55), ("a:1", "b", 2, 1, 3, 60), ("a:1", "b", 2, 2, 3, 50), ("b:3", "b", 2, 2, 3, 55)]
+    assert {(r["source"], r["seq"]) for r in R.match_review(resolved).collect()} == {("a", 2), ("b", 1), ("b", 5)}
+    none, no_refusal = R.resolve_in_rounds(df.limit(0), ["a", "b"])
+    assert none.count() == 0 and no_refusal.count() == 0
+    # Numbers beyond a billion do not run into another source's.
+    big = spark.createDataFrame([("a", 1_000_000_002, "k", None, 1, 1950, None), ("b", 2, "z", None, 1, 1950, None)], df.schema)
+    assert {r["person"] for r in R.resolve_in_rounds(big, ["a", "b"])[0].collect()} == {"a:1000000002", "b:2"}
 
 
 def test_mint_and_fill(spark):
