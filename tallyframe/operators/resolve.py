@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.functions.text import match_key, normalize_latin, romanize, similarity, slug
 from tallyframe.sources.shared import reliable
 
 from .ranking import global_rank
@@ -103,3 +104,66 @@ def resolve_in_rounds(rows: DataFrame, sources: list[str], most_years: int = 40)
 def match_review(resolved: DataFrame) -> DataFrame:
     """The matches by name, each to be confirmed."""
     return resolved.where("method <> 'source_id'").select("person", "source", "seq", "chamber", "method", "confidence", F.lit("confirm this is the same person").alias("action_required"))
+
+
+def letter_tokens(df: DataFrame, key: str) -> DataFrame:
+    """(key, token, size): the letters of each key, the second of a kind told from the first, and their number."""
+    letters = df.select(key, F.posexplode(F.split(key, "")).alias("at", "letter")).where("letter <> ''")
+    nth = F.row_number().over(Window.partitionBy(key, "letter").orderBy("at"))
+    return letters.select(key, F.concat("letter", nth.cast("string")).alias("token"), F.length(key).alias("size"))
+
+
+def alike(names: DataFrame, roster: DataFrame, least: float) -> DataFrame:
+    """(a, b, ratio) of names a and roster names b whose matching ratio is `least` or more. Both: distinct texts in their one column.
+
+    The ratio is twice the matched letters over all letters, so that such pairs share at least `least` / (2 - `least`) of either's letters.
+    Hence the rarest of each's letters, as many as can be missing and one more, have one in common (prefix filtering), and only
+    such pairs, of lengths that can reach the ratio, are compared. No pair is lost.
+    """
+    a, b = names.toDF("a"), roster.toDF("b")
+    part = least / (2 - least)
+    tokens = letter_tokens(b, "b")
+    rarity = tokens.groupBy("token").agg(F.count("*").alias("n"))
+
+    def prefix(t: DataFrame, key: str) -> DataFrame:
+        ranked = t.join(rarity, "token", "left").withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce("n", F.lit(0)), "token")))
+        return ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * part - 1e-9) + 1).select(key, "token", F.col("size").alias(f"size_{key}"))
+
+    met = prefix(letter_tokens(a, "a"), "a").join(prefix(tokens, "b"), "token")
+    close = met.where(2 * F.least("size_a", "size_b") >= least * (F.col("size_a") + F.col("size_b")) - 1e-9).select("a", "b").distinct()
+    return close.withColumn("ratio", similarity(F.col("a"), F.col("b"))).where(F.col("ratio") >= least - 1e-9)
+
+
+def fuzzy_resolve(names: DataFrame, roster: DataFrame, min_score: float = 0.7, min_margin: float = 0.1) -> DataFrame:
+    """(name, resolved, how): each distinct name's seat. names: name; roster: seat, name (seat is the slug of the seat's name).
+
+    The seat whose slug is the name's; else that with its folded key (of several the smallest); else that of the best matching ratio of the normalised
+    names, if it is at least min_score and min_margin above the next seat's (of equal ratios the largest seat comes first); else ''.
+    """
+    n = reliable(names.select("name").where("name IS NOT NULL").distinct().select("name", slug(F.col("name")).alias("slug"), match_key(normalize_latin(F.col("name"))).alias("key"), normalize_latin(F.col("name")).alias("plain")))
+    r = reliable(roster.select("seat", match_key(normalize_latin(F.col("name"))).alias("key"), normalize_latin(F.col("name")).alias("plain")))
+    exact = n.join(r, n["slug"] == r["seat"]).select("name", F.col("seat").alias("exact"))
+    folded = n.where("key <> ''").join(r.drop("plain"), "key").groupBy("name").agg(F.min("seat").alias("folded"))
+    ratios = alike(n.select("plain").distinct(), r.select("plain").distinct(), min_score - min_margin)
+    scored = n.join(ratios, n["plain"] == ratios["a"]).join(r.select("seat", F.col("plain").alias("b")), "b").select("name", "ratio", "seat")
+    place = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("ratio"), F.desc("seat")))
+    top = scored.withColumn("place", place).where("place <= 2").groupBy("name").agg(F.max(F.when(F.col("place") == 1, F.struct("ratio", "seat"))).alias("top"), F.max(F.when(F.col("place") == 2, F.col("ratio"))).alias("next"))
+    sure = (F.col("top.ratio") >= min_score) & (F.col("top.ratio") - F.coalesce("next", F.lit(0.0)) >= min_margin)
+    best = top.where(sure).select("name", F.col("top.seat").alias("near"))
+    found = n.select("name").join(exact, "name", "left").join(folded, "name", "left").join(best, "name", "left")
+    how = F.when(F.col("exact").isNotNull(), "slug").when(F.col("folded").isNotNull(), "key").when(F.col("near").isNotNull(), "ratio").otherwise("")
+    return found.select("name", F.coalesce("exact", "folded", "near", F.lit("")).alias("resolved"), how.alias("how"))
+
+
+def pair_assign(lists: DataFrame, min_margin: float = 0.1) -> DataFrame:
+    """(place, assignment, margin): how two Arabic names go with two Latin ones. lists: place, arabic and latin (arrays).
+
+    'direct' or 'swapped', by the similarity of romanised and Latin names; 'open' if the two orders lie within min_margin, 'unequal' if
+    the lists differ in length, and 'direct' for lists of one or none, whose margin is null. Of longer lists only the first two are weighed.
+    """
+    one = lists.withColumns({f"{c}{i}": normalize_latin(romanize(F.get(c, F.lit(i)))) if c == "arabic" else normalize_latin(F.get(c, F.lit(i))) for c in ("arabic", "latin") for i in (0, 1)})
+    sims = {(i, j): similarity(F.col(f"arabic{i}"), F.col(f"latin{j}")) for i in (0, 1) for j in (0, 1)}
+    margin = (sims[0, 0] + sims[1, 1]) - (sims[0, 1] + sims[1, 0])
+    t = one.withColumn("margin", F.when((F.size("arabic") == F.size("latin")) & (F.size("arabic") >= 2), margin))
+    verdict = F.when(F.size("arabic") != F.size("latin"), "unequal").when(F.size("arabic") < 2, "direct").when(F.abs("margin") < min_margin, "open").when(F.col("margin") > 0, "direct").otherwise("swapped")
+    return t.select("place", verdict.alias("assignment"), F.round("margin", 6).alias("margin"))

@@ -12,6 +12,7 @@ from tallyframe.sources.tables import ColumnSpec, TableSpec, load
 
 from .inputs import SPELLS, spells
 from .registry import query
+from .texts import arabic_name
 
 #: Sources in order of trust: the documents' own, by name.
 STAGED = "staged AS (SELECT md5(text) AS entity, doc_id AS seq, source, lang, n_chars, CASE WHEN source = 'src0' THEN 0 WHEN source = 'src1' THEN 1 ELSE 9 END AS priority FROM documents)"
@@ -104,26 +105,33 @@ def fill_blanks(spark, sf):
     return R.fill_blanks(k, g, "id", ["name"])
 
 
+def spelled(n, way):
+    """A name as another page might spell it: as it is, in another case and joined by dashes, words swapped, a letter lost, doubled or exchanged, cut short, or another thing altogether."""
+    words = F.split(n, " ")
+    ways = (n, F.replace(F.initcap(n), F.lit(" "), F.lit("-")), F.array_join(F.reverse(words), " "), F.concat(F.substring(n, 1, 2), F.substring(n, 4, 99)), F.concat(F.substring(n, 1, 3), F.substring(n, 3, 99)), F.translate(n, "aeiou", "eioua"), F.substring(n, 1, 4), F.concat(F.lit("member of "), F.reverse(n)))
+    return F.element_at(F.array(*ways), (way + 1).cast("int"))
+
+
 @query("fuzzy_resolve")
 def fuzzy_resolve(spark, sf):
-    """Part names against brands' types: exact key, else the best match of ratio 0.7 and 0.1 above the next, else nothing."""
-    p = load(spark, sf, "part").select("p_name").distinct()
-    types = load(spark, sf, "nation").select(F.lower("n_name").alias("name"))
-    pairs = p.withColumn("key", F.lower(F.split("p_name", " ")[0])).crossJoin(F.broadcast(types)).withColumn("ratio", X.similarity(F.col("key"), F.col("name")))
-    best = pairs.groupBy("p_name").agg(F.max(F.struct("ratio", "name")).alias("top"), F.slice(F.sort_array(F.collect_list("ratio"), asc=False), 2, 1).alias("next"))
-    sure = (F.col("top.ratio") >= 0.7) & (F.col("top.ratio") - F.coalesce(F.get("next", F.lit(0)), F.lit(0.0)) >= 0.1)
-    return best.select("p_name", F.when(sure, F.col("top.name")).otherwise("").alias("resolved"))
+    """Names of parts in eight spellings against the roster of names."""
+    p = load(spark, sf, "part")
+    roster = p.select("p_name").distinct().select(X.slug(F.col("p_name")).alias("seat"), F.col("p_name").alias("name"))
+    return R.fuzzy_resolve(p.select(spelled(F.col("p_name"), F.col("p_partkey") % 8).alias("name")), roster)
+
+
+def paired_lists(spark, sf):
+    """Two Arabic names for each supplier and their Latin forms, of which some lists are swapped, some misspelled, some of names too near to tell and some too short."""
+    k = F.col("s_suppkey")
+    x, y = arabic_name(1000 + k * 37), arabic_name(F.when(k % 7 == 0, 1000 + k * 37).otherwise(20000 + k * 91))
+    latin = F.transform(F.array(X.romanize(x), X.romanize(y)), lambda w: F.when(k % 5 == 0, F.replace(w, F.lit("a"), F.lit("e"))).otherwise(w))
+    shown = F.when(k % 11 == 0, F.slice(latin, 1, 1)).when(k % 2 == 0, F.reverse(latin)).otherwise(latin)
+    return load(spark, sf, "supplier").select(k.alias("place"), F.array(x, y).alias("arabic"), shown.alias("latin"))
 
 
 @query("pair_assign")
 def pair_assign(spark, sf):
-    """Two names of one list against two of another: as they stand or swapped, by similarity; within 0.1 it is left open."""
-    n = load(spark, sf, "nation").select("n_regionkey", "n_name")
-    ranked = n.withColumn("i", F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_name"))).where("i <= 2")
-    two = ranked.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("a")).where("size(a) = 2").withColumn("b", F.reverse("a"))
-    sims = {f"s{i}{j}": X.similarity(F.lower(F.col("a")[i]), F.lower(F.col("b")[j])) for i in (0, 1) for j in (0, 1)}
-    t = two.withColumns(sims).withColumn("margin", F.col("s00") + F.col("s11") - F.col("s01") - F.col("s10"))
-    return t.select("n_regionkey", F.when(F.abs("margin") < 0.1, "open").when(F.col("margin") > 0, "direct").otherwise("swapped").alias("assignment"), F.round("margin", 6).alias("margin"))
+    return R.pair_assign(paired_lists(spark, sf))
 
 
 @query("conflict_report", "WITH a AS (SELECT o_custkey AS k, arg_min(o_orderpriority, o_orderkey) AS v FROM orders GROUP BY 1), b AS (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS v FROM orders GROUP BY 1) SELECT k, a.v AS inline_value, b.v AS list_value FROM a JOIN b USING (k) WHERE a.v <> b.v")

@@ -178,11 +178,21 @@ def text_vote_rule(spark, sf):
     return load(spark, sf, "documents").select("doc_id", F.when(low.rlike(r"(?:^|[^\p{L}])(der|die)(?:[^\p{L}]|$)"), "de").when(the > que, "en").when(que > the, "es").otherwise("").alias("vote"))
 
 
-@query("extract_personal", "SELECT doc_id, list_distinct(regexp_extract_all(text, '[\\w.]+@[\\w.]+\\w')) <> [] AS has_mail, coalesce(TRY_CAST(regexp_extract(text, '\\b(\\d{16})\\b', 1) AS BIGINT), 0) AS number, CASE WHEN regexp_matches(text, '(?i)licen[cs]ed') THEN 'licence' ELSE '' END AS sign FROM documents")
+#: Numbers in words.
+NUMBER_WORDS = {"un": 1, "une": 1, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "six": 6, "sept": 7, "huit": 8, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "seven": 7, "eight": 8}
+IN_WORDS = rf"(?i)\b({'|'.join(NUMBER_WORDS)})\b"
+PERSONAL = rf"""SELECT doc_id, coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[\w.]+@[\w.]+\w'))), ';'), '') AS mails, coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(text, '\b\d{{16}}\b'))), ';'), '') AS numbers,
+coalesce(CASE lower(regexp_extract(text, '{IN_WORDS}', 1)) {" ".join(f"WHEN '{w}' THEN {n}" for w, n in NUMBER_WORDS.items())} END, 0) AS in_words, CASE WHEN regexp_matches(text, '(?i)licen[cs]ed') THEN 'licence' ELSE '' END AS sign FROM documents"""
+
+
+@query("extract_personal", PERSONAL)
 def extract_personal(spark, sf):
-    mails = F.array_distinct(F.regexp_extract_all("text", F.lit(r"[\w.]+@[\w.]+\w"), 0))
-    number = F.regexp_extract("text", r"\b(\d{16})\b", 1).try_cast("long")
-    return load(spark, sf, "documents").select("doc_id", (F.size(mails) > 0).alias("has_mail"), F.coalesce(number, F.lit(0)).alias("number"), F.when(F.col("text").rlike("(?i)licen[cs]ed"), "licence").otherwise("").alias("sign"))
+    """All distinct addresses and 16-digit numbers, and the first number in words."""
+    every = lambda p: F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit(p), 0))), ";"), F.lit(""))
+    words = F.create_map(*[F.lit(x) for pair in NUMBER_WORDS.items() for x in pair])
+    number = F.coalesce(F.element_at(words, F.lower(F.regexp_extract("text", IN_WORDS, 1))), F.lit(0))
+    sign = F.when(F.col("text").rlike("(?i)licen[cs]ed"), "licence").otherwise("")
+    return load(spark, sf, "documents").select("doc_id", every(r"[\w.]+@[\w.]+\w").alias("mails"), every(r"\b\d{16}\b").alias("numbers"), number.alias("in_words"), sign.alias("sign"))
 
 
 RULES = (("licence", "(?i)licensed under (?:the )?([A-Za-z ]{3,20})"), ("release", "(?i)released under (?:the )?([A-Za-z ]{3,20})"), ("number", "([0-9]{6,})"))

@@ -1,6 +1,8 @@
 """Invariants of the operators on small inputs."""
 
 import datetime as dt
+import difflib
+import random
 import re
 import unicodedata
 
@@ -266,3 +268,57 @@ def test_global_ranks(spark):
     assert all(r["rank"] == 1000 - r["k"] for r in global_rank(df, [F.desc("k")]).collect())
     assert all(r["s"] == r["k"] + 1 for r in running_sum(df, ["k"], "one", "s").collect())
     assert global_rank(df.limit(0), ["k"]).count() == 0
+
+
+def plain_fuzzy(name, roster):
+    """(seat, how) of a name by trying every seat. roster: [(seat, normalised, key)]; name: (slug, normalised, key)."""
+    slug, plain, key = name
+    if slug in {seat for seat, _, _ in roster}:
+        return slug, "slug"
+    if folded := sorted(seat for seat, _, k in roster if key and k == key):
+        return folded[0], "key"
+    scored = sorted(((difflib.SequenceMatcher(None, plain, p).ratio(), seat) for seat, p, _ in roster), reverse=True)
+    (best, seat), (after, _) = scored[0], scored[1]
+    return (seat, "ratio") if best >= 0.7 and best - after >= 0.1 else ("", "")
+
+
+def test_fuzzy_resolve_is_brute_force(spark, sf):
+    from tallyframe.plans import entities
+
+    def folded(df, *first):
+        plain = X.normalize_latin(F.col("name"))
+        return [tuple(r) for r in df.select(*first, plain.alias("p"), X.match_key(plain).alias("k")).collect()]
+
+    got = entities.fuzzy_resolve(spark, sf)
+    roster = folded(spark.read.parquet(f"{sf}/part.parquet").select(X.slug(F.col("p_name")).alias("seat"), F.col("p_name").alias("name")).distinct(), "seat")
+    names = folded(got, "name", X.slug(F.col("name")))
+    want = {n: plain_fuzzy(rest, roster) for n, *rest in names}
+    rows = {r["name"]: (r["resolved"], r["how"]) for r in got.collect()}
+    assert rows == want and len({how for _, how in rows.values()}) == 4
+
+
+def test_alike_loses_no_pair(spark):
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(120)})
+    a, b = words[::2], words[1::2]
+    got = {(r["a"], r["b"]): r["ratio"] for r in R.alike(spark.createDataFrame([(x,) for x in a], "n string"), spark.createDataFrame([(x,) for x in b], "n string"), 0.6).collect()}
+    want = {(x, y): difflib.SequenceMatcher(None, x, y).ratio() for x in a for y in b}
+    assert got == {k: v for k, v in want.items() if v >= 0.6} and got
+
+
+def test_pair_assign_is_brute_force(spark, sf):
+    from tallyframe.plans import entities
+
+    lists = entities.paired_lists(spark, sf.replace("sf0.001", "sf0.01"))
+    plain = lists.select("place", F.transform("arabic", lambda x: x).alias("arabic"), "latin", *[X.normalize_latin(X.romanize(F.get("arabic", F.lit(i)))).alias(f"a{i}") for i in (0, 1)], *[X.normalize_latin(F.get("latin", F.lit(i))).alias(f"l{i}") for i in (0, 1)]).collect()
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    want = {}
+    for r in plain:
+        if len(r["latin"]) != 2:
+            want[r["place"]] = ("unequal", None)
+            continue
+        margin = ratio(r["a0"], r["l0"]) + ratio(r["a1"], r["l1"]) - ratio(r["a0"], r["l1"]) - ratio(r["a1"], r["l0"])
+        want[r["place"]] = ("open" if abs(margin) < 0.1 else "direct" if margin > 0 else "swapped", round(margin, 6))
+    got = {r["place"]: (r["assignment"], r["margin"]) for r in R.pair_assign(lists).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and {v[0] for v in got.values()} == {"direct", "swapped", "open", "unequal"}
+    assert all(got[k][1] == pytest.approx(v[1]) for k, v in want.items() if v[1] is not None)
