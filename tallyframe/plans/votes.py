@@ -237,36 +237,46 @@ def scaling_inputs(spark, sf):
 
 
 def gram(spark, sf):
-    """Inner products of members' sides, columns centred with non-votes as zeros: one row for source <= target."""
+    """Inner products of members' sides, columns centred with non-votes as zeros: one row for source <= target that share a division."""
+    raw, own, q = gram_parts(spark, sf)
+    x, y = own.toDF("source", "x"), own.toDF("target", "y")
+    return raw.join(x, "source").join(y, "target").select("source", "target", (F.col("g") - F.col("x") - F.col("y") + F.lit(q)).alias("gram"))
+
+
+def gram_parts(spark, sf):
+    """(source, target, g): inner products before centring; (member, s): what centring takes off for each member; and the sum of squared means."""
     s = kept(spark, sf)
     active = s.groupBy("member").count().where("count >= 30").select("member")
-    c = s.join(active, "member", "left_semi")
-    n = active.agg(F.count("*").alias("n"))
-    means = c.groupBy("division").agg(F.sum("side").alias("t")).crossJoin(F.broadcast(n)).select("division", (F.col("t") / F.col("n")).alias("mean"))
+    c = reliable(s.join(active, "member", "left_semi"))
+    n = c.select("member").distinct().count()
+    means = reliable(c.groupBy("division").agg((F.sum("side") / F.lit(max(n, 1))).alias("mean")))
     own = c.join(means, "division").groupBy("member").agg(F.sum(F.col("side") * F.col("mean")).alias("s"))
-    sq = means.agg(F.sum(F.col("mean") * F.col("mean")).alias("q"))
+    q = means.agg(F.coalesce(F.sum(F.col("mean") * F.col("mean")), F.lit(0.0)).alias("q")).first()["q"]
     # Sides alike less sides unlike; with oneself all are alike.
     pairs = V.agreement(c, 1).select("source", "target", (2 * F.col("agreed") - F.col("shared")).alias("g"))
-    raw = pairs.unionByName(c.groupBy(F.col("member").alias("source")).agg(F.count("*").alias("g")).withColumn("target", F.col("source")))
-    x = own.select(F.col("member").alias("source"), F.col("s").alias("x"))
-    y = own.select(F.col("member").alias("target"), F.col("s").alias("y"))
-    return raw.join(x, "source").join(y, "target").crossJoin(F.broadcast(sq)).select("source", "target", (F.col("g") - F.col("x") - F.col("y") + F.col("q")).alias("gram"))
+    return pairs.unionByName(c.groupBy(F.col("member").alias("source")).agg(F.count("*").alias("g")).withColumn("target", F.col("source"))), own, q
 
 
 @query("rollcall_scaling")
 def rollcall_scaling(spark, sf):
-    """Two dimensions from the eigenvectors of the centred Gram matrix (members, at most a few thousand); the first member's are non-negative."""
+    """Two dimensions from the eigenvectors of the centred Gram matrix; the first member's are non-negative.
+
+    The driver solves it, for MOST_SCALED members at most; more are refused before anything is collected.
+    """
     import numpy as np
 
-    active = kept(spark, sf).groupBy("member").count().where("count >= 30").select("member")
-    members = sorted(r["member"] for r in active.limit(MOST_SCALED + 1).collect())
-    if len(members) > MOST_SCALED:
+    raw, own, q = gram_parts(spark, sf)
+    off = {r["member"]: r["s"] for r in own.limit(MOST_SCALED + 1).collect()}
+    if len(off) > MOST_SCALED:
         raise ValueError(f"roll-call scaling solves on the driver for at most {MOST_SCALED} members")
-    g = gram(spark, sf).collect()
+    members = sorted(off)
     at = {m: i for i, m in enumerate(members)}
-    a = np.zeros((len(members), len(members)))
-    for r in g:
-        a[at[r["source"]], at[r["target"]]] = a[at[r["target"]], at[r["source"]]] = r["gram"]
+    x = np.array([off[m] for m in members])
+    a = q - x[:, None] - x[None, :]
+    for r in raw.collect():
+        i, j = at[r["source"]], at[r["target"]]
+        a[i, j] += r["g"]
+        a[j, i] += r["g"] * (i != j)
     values, vectors = np.linalg.eigh(a)
     top = np.argsort(-values)[:2]
     xy = vectors[:, top] * np.sqrt(np.maximum(values[top], 0))
