@@ -162,3 +162,19 @@ def text_nodes(c: Column) -> Column:
     """The texts between tags, in order, blank ones left out."""
     body = F.regexp_replace(c, r"(?is)<(script|style|head)\b.*?</\1\s*>", "<p>")
     return F.filter(F.transform(F.split(F.regexp_replace(body, r"(?s)<[^>]*>", "\u0001"), "\u0001"), squeeze), lambda x: x != "")
+
+
+def reference_id(c: Column) -> Column:
+    """The id of a reference that stands as JSON [id, name], or false where there is none: then empty text."""
+    return F.coalesce(F.get_json_object(c, "$[0]"), F.lit(""))
+
+
+def reference_name(c: Column) -> Column:
+    """The trimmed name of such a reference; empty text where there is none."""
+    name = F.get_json_object(c, "$[1]")
+    return F.coalesce(F.when(name != "false", F.trim(name)), F.lit(""))
+
+
+def clean_value(c: Column) -> Column:
+    """Trimmed text of a JSON scalar whose emptiness is written false or null."""
+    return F.coalesce(F.when(c.isin("false", "null"), "").otherwise(F.trim(F.regexp_replace(c, '^"|"$', ""))), F.lit(""))

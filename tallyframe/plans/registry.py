@@ -9,21 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("votes", "graphs", "spells", "relational", "entities", "texts")
+#: Last the one that writes tables of the others' queries.
+MODULES = ("votes", "graphs", "spells", "relational", "entities", "texts", "frames")
 
-_BUILDERS: dict[str, Builder] = {}
-_ORACLES: dict[str, str] = {}
+BUILDERS: dict[str, Builder] = {}
+ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
     """Register a builder under a name, with its oracle."""
 
     def put(f: Builder) -> Builder:
-        if name in _BUILDERS:
+        if name in BUILDERS:
             raise ValueError(f"{name} is registered twice")
-        _BUILDERS[name] = f
+        BUILDERS[name] = f
         if sql:
-            _ORACLES[name] = sql
+            ORACLES[name] = sql
         return f
 
     return put
@@ -31,12 +32,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
 
 def queries() -> dict[str, Builder]:
     _load()
-    return dict(_BUILDERS)
+    return dict(BUILDERS)
 
 
 def oracle_sql() -> dict[str, str]:
     _load()
-    return dict(_ORACLES)
+    return dict(ORACLES)
 
 
 def _load() -> None:

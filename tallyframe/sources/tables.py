@@ -83,9 +83,11 @@ def general_digits(value: Column, digits: int = 6) -> Column:
     return F.when(F.isnan(value), "nan").when((exponent < -4) | (exponent >= digits), F.concat(mantissa, power)).otherwise(trimmed)
 
 
-def write_csv(df: DataFrame, path: str, spec: TableSpec | None = None, columns: list[str] | None = None) -> None:
-    """Write rendered cells. With a spec, columns it does not declare are an error and missing ones stay empty."""
+def write_csv(df: DataFrame, path: str, spec: TableSpec | None = None, columns: list[str] | None = None, extra: str = "error") -> None:
+    """Write rendered cells. Missing columns stay empty; those that neither spec nor columns name are an error, or with extra='ignore' left out."""
     names = [c.name for c in spec.columns] if spec else (columns or df.columns)
+    if extra == "ignore":
+        df = df.select(*[c for c in df.columns if c in names])
     if unknown := sorted(set(df.columns) - set(names)):
         raise KeyError(f"undeclared columns: {', '.join(unknown)}")
     df = df.select(*[render_cell(F.col(c), df.schema[c].dataType).alias(c) if c in df.columns else F.lit("").alias(c) for c in names])
@@ -104,3 +106,22 @@ def write_staging(df: DataFrame, path: str) -> None:
 def project_to(df: DataFrame, names: list[str]) -> DataFrame:
     """The named columns in order; those that df lacks are empty text."""
     return df.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) if n in df.columns else F.lit("").alias(n) for n in names])
+
+
+def reference_table(spark: SparkSession, spec: TableSpec, rows: list[dict]) -> DataFrame:
+    """A table of rows that are written down in the code, in the declared columns and kinds; what a row lacks is null. Undeclared fields are an error."""
+    names = [c.name for c in spec.columns]
+    if unknown := sorted({k for r in rows for k in r} - set(names)):
+        raise KeyError(f"undeclared columns: {', '.join(unknown)}")
+    text = spark.createDataFrame([tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows], spec.text_schema())
+    return text.select(*[F.expr(f"try_cast(`{c.name}` AS {KINDS[c.kind].simpleString()})").alias(c.name) for c in spec.columns])
+
+
+def write_tables(tables: dict[str, DataFrame], folder: str) -> DataFrame:
+    """Write each table as Parquet under the folder and return (table_name, row_count) of what was written."""
+    spark = next(iter(tables.values())).sparkSession
+    counts = []
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        counts.append((name, spark.read.parquet(f"{folder}/{name}").count()))
+    return spark.createDataFrame(counts, "table_name string, row_count long")

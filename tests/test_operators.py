@@ -322,3 +322,32 @@ def test_pair_assign_is_brute_force(spark, sf):
     got = {r["place"]: (r["assignment"], r["margin"]) for r in R.pair_assign(lists).collect()}
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and {v[0] for v in got.values()} == {"direct", "swapped", "open", "unequal"}
     assert all(got[k][1] == pytest.approx(v[1]) for k, v in want.items() if v[1] is not None)
+
+
+def test_csv_sink_may_ignore_extra_columns(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, True)], "k string, n int, extra boolean")
+    with pytest.raises(KeyError):
+        IO.write_csv(df, str(tmp_path / "x"), columns=["n", "k"])
+    IO.write_csv(df, str(tmp_path / "x"), columns=["n", "k", "missing"], extra="ignore")
+    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "x"), header=True).collect()] == [("1", "a", None)]
+
+
+def test_reference_table_refuses_undeclared_fields(spark):
+    from tallyframe.plans import frames
+
+    with pytest.raises(KeyError):
+        IO.reference_table(spark, frames.SOURCES, [{"source_id": "a", "colour": "red"}])
+    row = IO.reference_table(spark, frames.ASSEMBLIES, [{"assembly": "9", "seats": 12}]).first()
+    assert (row["assembly"], row["seats"], row["opened"]) == ("9", 12, None)
+
+
+def test_intermediate_tables_go(spark):
+    from tallyframe.sources import shared
+
+    df = shared.reliable(spark.range(5))
+    path = shared._path(df)
+    assert df.count() == 5 and len(df.inputFiles()) == 0
+    shared.release(df, spark.range(3))
+    with pytest.raises(Exception, match="(?i)exist|checkpoint"):
+        df.count()
+    assert path
