@@ -18,6 +18,9 @@ NOT_ARABIC = r"[^\x{0600}-\x{06FF} ]"
 #: Prefixes of family names that sources attach or leave out, and those that bind to the last word of a name.
 ARABIC_PARTICLES = ("بن", "بو", "ابن", "اولاد", "ولد", "عبد")
 SURNAME_PARTICLES = (*ARABIC_PARTICLES, "ابو", "أبو")
+#: Apostrophes that are removed, dashes that part words, and Latin spellings of one sound.
+APOSTROPHES, DASHES = "['’`]", "-_."
+LATIN_SPELLINGS = (("ou", "u"), ("kh", "k"), ("ch", "sh"))
 #: Arabic letters and their Latin spelling.
 ROMAN = {
     "ا": "a", "ب": "b", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r", "ز": "z", "س": "s", "ش": "sh", "ص": "s",
@@ -85,8 +88,9 @@ def balanced_json(c: Column, marker: str = "") -> Column:
 def normalize_arabic(c: Column) -> Column:
     """NFKC, without marks, letters folded, a leading article dropped from each word, everything else a space."""
     folded = F.translate(F.regexp_replace(normal_form(c, "NFKC"), ARABIC_MARKS, ""), ARABIC_FROM, ARABIC_TO)
-    letters = F.regexp_replace(folded, NOT_ARABIC, " ")
-    return squeeze(F.regexp_replace(letters, r"(?<=^|\s)ال(?=[^\s])", ""))
+    # The article goes while what stands before it can still be seen.
+    bare = F.regexp_replace(folded, r"(?U)(?<!\w)ال(?=[\x{0600}-\x{06FF}])", "")
+    return squeeze(F.regexp_replace(bare, NOT_ARABIC, " "))
 
 
 def normalize_latin(c: Column) -> Column:
@@ -96,9 +100,9 @@ def normalize_latin(c: Column) -> Column:
 
 
 def latin_rules(c: Column) -> Column:
-    plain = F.lower(F.translate(F.regexp_replace(c, "['’`]", ""), "-_.", "   "))
+    plain = F.lower(F.translate(F.regexp_replace(c, APOSTROPHES, ""), DASHES, "   "))
     letters = F.regexp_replace(plain, "[^a-z ]", " ")
-    for a, b in (("ou", "u"), ("kh", "k"), ("ch", "sh")):
+    for a, b in LATIN_SPELLINGS:
         letters = F.replace(letters, F.lit(a), F.lit(b))
     return squeeze(F.regexp_replace(letters, r"([a-z])\1+", "$1"))
 

@@ -186,6 +186,11 @@ def test_mint_and_fill(spark):
     assert {tuple(r) for r in R.fill_blanks(kept, staged, "id", ["name"]).collect()} == {("1", "s"), ("2", "n"), ("3", "u")}
 
 
+def test_article_goes_only_where_a_word_begins(spark):
+    for text, want in {"aالف": "الف", "الف": "ف", "(الف) الباب": "ف باب", "قالب": "قالب"}.items():
+        assert one(spark, X.normalize_arabic(F.lit(text))) == want
+
+
 def test_text_functions(spark):
     assert one(spark, X.normalize_latin(F.lit("  Khélil-Ben  Achoûr's"))) == "kelil ben ashurs"
     assert one(spark, X.match_key(F.lit("zeta a ben alpha"), ("ben",))) == "alpha zeta"
