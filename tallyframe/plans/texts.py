@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions import text as X
-from tallyframe.sources.tables import load
+from tallyframe.sources.tables import load, spread
 
 from .registry import query
 
@@ -49,7 +49,7 @@ NORMAL_LATIN = "trim(regexp_replace(" + DOUBLES.format("replace(replace(replace(
 
 @query("normalize_latin", f"SELECT doc_id, {NORMAL_LATIN.format('text')} AS text FROM documents")
 def normalize_latin(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", X.normalize_latin(F.col("text")).alias("text"))
+    return spread(load(spark, sf, "documents").select("doc_id", "text")).select("doc_id", X.normalize_latin(F.col("text")).alias("text"))
 
 
 @query("romanize", f"""WITH n AS (SELECT s_suppkey AS id, translate((1000 + s_suppkey * 37)::VARCHAR, '0123456789', 'ابتدرسمنلو') || ' ' || translate((s_suppkey + 11)::VARCHAR, '0123456789', 'شخثغعكفطقي') AS name FROM supplier),

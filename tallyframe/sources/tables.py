@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -45,6 +46,21 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+#: Bytes of input (by the optimizer's estimate) that a task of a costly narrow pass has at least.
+SPREAD_BYTES = 512 << 10
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt anew if a scan of it would leave cores idle, as that of one small file does; larger tables and results of shuffles come as they are."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan or "Scan" not in plan:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(cores, math.ceil(size / SPREAD_BYTES))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def read_csv(spark: SparkSession, path: str, spec: TableSpec, strict: bool = False, typed: bool = False) -> DataFrame:
     """A CSV table as text columns (or typed ones). A missing file is an empty table, unless strict."""
     try:
