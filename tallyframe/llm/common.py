@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.sources.shared import reliable, release  # noqa: F401
+from tallyframe.sources.tables import spread  # noqa: F401
 
 #: Rows that are turned into Python strings at once; keeps a worker's memory low on long texts.
 SLICE_ROWS = 256
@@ -44,20 +45,6 @@ def partitions_for(df: DataFrame, bytes_each: int) -> int:
     return max(floor, math.ceil(estimated_bytes(df) / bytes_each))
 
 
-#: Bytes of input (by the optimizer's estimate) that a task of a costly narrow pass has at least.
-SPREAD_BYTES = 512 << 10
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """df, dealt anew if a scan of it would leave cores idle, as that of one small file does; larger tables come as they are."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = min(cores, math.ceil(estimated_bytes(df) / SPREAD_BYTES))
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 def map_slices(df: DataFrame, fn: Callable[[Iterator[list[list]]], Iterator[list[list]]], schema: str, rows: int = SLICE_ROWS) -> DataFrame:
     """mapInArrow over slices of a few rows.
 
