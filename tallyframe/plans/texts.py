@@ -180,7 +180,7 @@ def text_vote_rule(spark, sf):
 
 #: Numbers in words.
 NUMBER_WORDS = {"un": 1, "une": 1, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "six": 6, "sept": 7, "huit": 8, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "seven": 7, "eight": 8}
-IN_WORDS = rf"(?i)\b({'|'.join(NUMBER_WORDS)})\b"
+IN_WORDS = rf"(?i)(?:^|[^\p{{L}}])({'|'.join(NUMBER_WORDS)})(?:[^\p{{L}}]|$)"
 PERSONAL = rf"""SELECT doc_id, coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[\w.]+@[\w.]+\w'))), ';'), '') AS mails, coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(text, '\b\d{{16}}\b'))), ';'), '') AS numbers,
 coalesce(CASE lower(regexp_extract(text, '{IN_WORDS}', 1)) {" ".join(f"WHEN '{w}' THEN {n}" for w, n in NUMBER_WORDS.items())} END, 0) AS in_words, CASE WHEN regexp_matches(text, '(?i)licen[cs]ed') THEN 'licence' ELSE '' END AS sign FROM documents"""
 
