@@ -137,7 +137,7 @@ def percent(c: Column) -> Column:
     return F.round(F.replace(F.regexp_extract(c, r"(\d+(?:[.,]\d+)?)\s*%", 1), F.lit(","), F.lit(".")).try_cast("double") / 100, 4)
 
 
-#: Names of months, French in full and shortened, Arabic in the Tunisian and the eastern way.
+#: Names of months, French in full and shortened, Arabic in the western and the eastern way.
 MONTHS = {
     "janvier": 1, "février": 2, "fevrier": 2, "mars": 3, "avril": 4, "mai": 5, "juin": 6, "juillet": 7, "août": 8, "aout": 8, "septembre": 9,
     "octobre": 10, "novembre": 11, "décembre": 12, "decembre": 12,
