@@ -48,6 +48,8 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 #: Bytes of input (by the optimizer's estimate) that a task of a costly narrow pass has at least.
 SPREAD_BYTES = 512 << 10
+#: A table with fewer bytes for each core is dealt anew in any case.
+SMALL_BYTES = 4 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -58,7 +60,9 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = min(cores, math.ceil(size / SPREAD_BYTES))
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    # A file is split by bytes, but a row group is read by one task: of a small table's tasks most may be empty.
+    idle = size < cores * SMALL_BYTES or df.rdd.getNumPartitions() < wanted
+    return df.repartition(wanted) if wanted > 1 and idle else df
 
 
 def read_csv(spark: SparkSession, path: str, spec: TableSpec, strict: bool = False, typed: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ import difflib
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -356,3 +357,46 @@ def test_intermediate_tables_go(spark):
     with pytest.raises(Exception, match="(?i)exist|checkpoint"):
         df.count()
     assert path
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1024]"])
+def test_a_cluster_needs_a_shared_folder(master):
+    from types import SimpleNamespace as N
+
+    from tallyframe.sources import shared
+
+    none = N(isEmpty=lambda: True)
+    sc = N(master=master, _jsc=N(sc=lambda: N(getCheckpointDir=lambda: none)))
+    with pytest.raises(ValueError):
+        shared.shared_folder(N(conf=N(get=lambda key, other: other), sparkContext=sc))
+    assert shared.shared_folder(N(conf=N(get=lambda key, other: "hdfs://x/y"), sparkContext=sc)) == "hdfs://x/y"
+
+
+def test_spread_deals_only_what_leaves_cores_idle(spark, sf, tmp_path):
+    large = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.1')}/documents.parquet").select("doc_id", "text")
+    dealt = IO.spread(large)
+    filled = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    assert filled(large) == 1 and filled(dealt) == 4 and dealt.count() == large.count()
+    small = spark.read.parquet(f"{sf}/nation.parquet")
+    assert IO.spread(small) is small
+    shuffled = large.groupBy("text").count()
+    assert IO.spread(shuffled) is shuffled
+
+
+def test_projection_salts_large_groups(spark, monkeypatch):
+    """A group dealt to many salts gives the edges that it gives in one piece, open bounds and spells that end before they start among them."""
+    rng = random.Random(7)
+    day = lambda: D(2000, 1, 1) + dt.timedelta(days=rng.randint(0, 900))
+    rows = [(f"p{rng.randint(0, 40):02}", "A", rng.choice("gh"), day() if rng.random() < 0.9 else None, day() if rng.random() < 0.8 else None) for _ in range(150)]
+    whole = sorted(map(tuple, P.project(spell_rows(spark, rows)).collect()))
+    monkeypatch.setattr(P, "SALT_SPELLS", 7)
+    monkeypatch.setattr(P, "TASK_PAIRS", 500)
+    assert sorted(map(tuple, P.project(spell_rows(spark, rows)).collect())) == whole
+    pairs = Counter((a, b) for a, *_ in rows for b, *_ in rows if a < b)
+    assert whole and all((a, b) in pairs for _, a, b, *_ in whole)
+    want = Counter()
+    for p, _, g, s, e in rows:
+        for q, _, h, t, f in rows:
+            lo, hi = max(s or D.min, t or D.min), min(e or D.max, f or D.max)
+            want[p, q] += g == h and p < q and lo <= hi and (s or D.min) <= (e or D.max) and (t or D.min) <= (f or D.max)
+    assert {(r[1], r[2]): r[3] for r in whole} == {k: n for k, n in want.items() if n}
