@@ -28,8 +28,8 @@ def golden_record(spark, sf):
     return R.golden_record(staged(spark, sf), ["entity"], ["lang", "source"], "priority", "seq")
 
 
-#: Sources a, b, c and chambers 0 to 2: a round for each, in this order.
-ROUNDS = 9
+#: Sources a, b, c and chambers 0 to 3: a round for each, in this order.
+ROUNDS = 12
 ROUND = """
 k{i} AS MATERIALIZED ({known}), p{i} AS MATERIALIZED (SELECT person, arg_min(lat_key, own) FILTER (lat_key IS NOT NULL) AS p_lat, arg_min(born, own) FILTER (born IS NOT NULL) AS p_born FROM k{i} GROUP BY 1),
 c{i} AS MATERIALIZED (SELECT r.own, 0 AS nth, k.own AS k_own, person, k.chamber AS k_chamber, abs(k.year - r.year) AS years, p_born IS NULL AND abs(k.year - r.year) > 40 AS far, r.lat_key IS NULL OR p_lat IS NULL OR r.lat_key = p_lat AS agrees,
@@ -38,8 +38,8 @@ c{i} AS MATERIALIZED (SELECT r.own, 0 AS nth, k.own AS k_own, person, k.chamber
 h{i} AS MATERIALIZED (SELECT own, min((nth, k_own, person, method)) AS hit FROM c{i} WHERE NOT far AND agrees GROUP BY 1),
 f{i} AS (SELECT own, person, k_chamber, years FROM c{i} LEFT JOIN h{i} USING (own) WHERE far AND (hit IS NULL OR (nth, k_own) < (hit[1], hit[2]))),
 r{i} AS MATERIALIZED (SELECT keyed.*, coalesce(hit[3], source || ':' || seq) AS person, coalesce(hit[4], 'source_id') AS method FROM keyed LEFT JOIN h{i} USING (own) WHERE round = {i}),"""
-RESOLVE = """WITH customers AS (SELECT *, c_nationkey % 3 AS rank, c_custkey % 3 AS chamber FROM customer),
-keyed AS MATERIALIZED (SELECT CASE rank WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, rank * 3 + chamber AS round, (rank * 3 + chamber) * 1000000000000 + c_custkey AS own, c_mktsegment || c_custkey % 50 AS ar_key,
+RESOLVE = """WITH customers AS (SELECT *, c_nationkey % 3 AS rank, c_custkey % 4 AS chamber FROM customer),
+keyed AS MATERIALIZED (SELECT CASE rank WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, rank * 4 + chamber AS round, (rank * 4 + chamber) * 1000000000000 + c_custkey AS own, c_mktsegment || c_custkey % 50 AS ar_key,
   CASE WHEN c_custkey % 7 > 0 THEN 'l' || c_custkey % 120 END AS lat_key, chamber, 1950 + c_custkey % 9 * 8 AS year, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS born FROM customers),
 r0 AS MATERIALIZED (SELECT *, source || ':' || seq AS person, 'source_id' AS method FROM keyed WHERE round = 0),""" + "".join(ROUND.format(i=i, known=" UNION ALL ".join(f"SELECT * FROM r{j}" for j in range(i))) for i in range(1, ROUNDS)) + f"""
 every AS (SELECT *, CASE WHEN method IN ('source_id', 'normalised_name_ar+lat') THEN 'high' ELSE 'medium' END AS confidence FROM ({" UNION ALL ".join(f"SELECT * FROM r{j}" for j in range(ROUNDS))})),
@@ -54,7 +54,7 @@ def people(spark, sf):
         k.alias("seq"),
         F.concat("c_mktsegment", (k % 50).cast("string")).alias("ar_key"),
         F.when(k % 7 > 0, F.concat(F.lit("l"), (k % 120).cast("string"))).alias("lat_key"),
-        (k % 3).alias("chamber"),
+        (k % 4).alias("chamber"),
         (1950 + k % 9 * 8).alias("year"),
         F.when(k % 10 == 0, "known").alias("born"),
     )
