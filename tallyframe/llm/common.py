@@ -86,3 +86,20 @@ def with_columns_of(df: DataFrame, columns: list[str]) -> DataFrame:
     """df without columns that a result will bring under the same name (case-insensitive, as Spark resolves them)."""
     names = {c.lower() for c in columns}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
+
+
+#: Bytes as words of [0-9a-z] and what lies beyond ASCII have them: A-Z become a-z, all else becomes a space.
+WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+#: Bytes of a text whose words are held at once, about.
+PIECE_BYTES = 1 << 20
+
+
+def word_pieces(text: str | None, piece: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of a text with A-Z lower-cased, as UTF-8, some at a time; none of null."""
+    data = (text or "").encode("utf-8", "surrogatepass").translate(WORD_BYTES)
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + piece)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, language, lm_score, packing, quality_rules, rule_ensemble, sharding, simhash, url_filter
+from . import ann, bpe, hard_negatives, language, license_scan, lm_score, packing, quality_rules, resampling, rule_ensemble, sharding, simhash, url_filter
 from .common import read_table
 
 
@@ -57,8 +57,27 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.classify(docs, model, outputs=False).select("doc_id", rule_ensemble.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"), spans=False).withColumn("score", F.round("score", 6))
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are dealt on where the id is divisible by seven, so that near rows of other labels exist."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec") % 100 == 0)
+
+
 def byte_files() -> dict[str, str]:
     return {"json_path": public_tokenizers.path("byte_bpe_50k.json"), "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_bpe, op3_packing, op4_hilbert_shards, op5_language, op6_simhash, op7_ann, op8_url_filter, op9_lm_score, op10_quality_classifier)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_bpe, op3_packing, op4_hilbert_shards, op5_language, op6_simhash, op7_ann, op8_url_filter, op9_lm_score, op10_quality_classifier, op11_license_scan, op12_importance_resample, op13_hard_negatives,
+    )
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lm_score, quality_rules, url_filter
+from . import license_scan, lm_score, quality_rules, resampling, url_filter
 
 #: Words of a text as DuckDB writes them: runs of characters other than U+0020 and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -130,4 +130,82 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(backed, 0) A
 FROM docs LEFT JOIN summed USING (r)"""
 
 
-ORACLES = {"op1_quality_rules": quality_rules_sql(), "op8_url_filter": url_filter_sql(), "op9_lm_score": lm_score_sql()}
+#: Words of op11 and op12, of a text in which A-Z are lower-cased.
+PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PLAIN_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{PLAIN_WORD}')"
+
+
+def license_scan_sql() -> str:
+    templates = [*license_scan.BASE, *license_scan.NOTICES]
+    names = ", ".join(f"({t}, {_quoted(x.label)}, {x.slack}, {len(x.text.split())}, {t < len(license_scan.BASE)})" for t, x in enumerate(templates))
+    words = ", ".join(f"({t}, {p}, {_quoted(w)})" for t, x in enumerate(templates) for p, w in enumerate(x.text.split()))
+    keys = ", ".join(f"({t}, {k}, {p}, {_quoted(w)}, {len(key.split())}, {len(x.keys)})" for t, x in enumerate(templates) for k, key in enumerate(x.keys) for p, w in enumerate(key.split()))
+    return f"""
+WITH template(t, label, slack, size, base) AS (VALUES {names}), posting(t, p, w) AS (VALUES {words}), keyed(t, k, p, w, size, n_keys) AS (VALUES {keys}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS words FROM documents),
+places AS (SELECT r, words, unnest(generate_series(1, len(words))) AS i FROM docs WHERE len(words) > 0),
+hits AS (SELECT r, i - 1 AS i, words[i] AS w FROM places WHERE words[i] IN (SELECT w FROM posting)),
+present AS (SELECT DISTINCT r, w FROM hits),
+idf AS (SELECT w, ln(((SELECT count(*) FROM docs) + 1) / (count(r) + 1)::DOUBLE) AS idf FROM (SELECT DISTINCT w FROM posting) LEFT JOIN present USING (w) GROUP BY w),
+needed AS (SELECT t, count(DISTINCT w) AS n FROM keyed GROUP BY t),
+able AS (SELECT r, t FROM (SELECT r, t, count(*) AS n FROM present JOIN (SELECT DISTINCT t, w FROM keyed) USING (w) GROUP BY r, t) JOIN needed USING (t, n)),
+looked AS (SELECT r, t, w FROM able JOIN (SELECT DISTINCT t, w FROM posting) USING (t) JOIN present USING (r, w) JOIN idf USING (w)
+  QUALIFY row_number() OVER (PARTITION BY r, t ORDER BY idf DESC, w) <= {license_scan.LOOKED_UP}),
+begins AS (SELECT DISTINCT r, t, w, i - p AS s FROM looked JOIN posting USING (t, w) JOIN hits USING (r, w)),
+voted AS (SELECT a.r, a.t, a.s, count(DISTINCT b.w) AS votes FROM (SELECT DISTINCT r, t, s FROM begins) a JOIN template USING (t)
+  JOIN begins b ON b.r = a.r AND b.t = a.t AND b.s BETWEEN a.s - slack AND a.s + slack GROUP BY ALL),
+aligned AS (SELECT r, t, s FROM voted JOIN (SELECT r, t, count(*) AS n FROM looked GROUP BY r, t) USING (r, t) JOIN template USING (t) WHERE CASE WHEN slack = 0 THEN votes = n ELSE 2 * votes > n END),
+keyplaces AS (SELECT r, t, k, i - p AS s FROM able JOIN keyed USING (t) JOIN hits USING (r, w) GROUP BY ALL HAVING count(*) = any_value(size)),
+verified AS (SELECT a.r, a.t, a.s FROM aligned a JOIN template USING (t) JOIN keyed ON keyed.t = a.t AND keyed.p = 0
+  JOIN keyplaces b ON b.r = a.r AND b.t = a.t AND b.k = keyed.k AND b.s BETWEEN a.s - slack AND a.s + template.size - keyed.size + slack
+  GROUP BY a.r, a.t, a.s HAVING count(DISTINCT keyed.k) = any_value(keyed.n_keys)),
+held AS (SELECT DISTINCT v.r, v.t, v.s, p, posting.w FROM verified v JOIN template USING (t) JOIN posting USING (t) JOIN hits h ON h.r = v.r AND h.w = posting.w AND h.i BETWEEN v.s + p - slack AND v.s + p + slack),
+weight AS (SELECT t, sum(idf) AS whole FROM posting JOIN idf USING (w) GROUP BY t),
+share AS (SELECT r, t, s, sum(idf) / any_value(whole) AS share FROM held JOIN idf USING (w) JOIN weight USING (t) GROUP BY r, t, s),
+matched AS (SELECT r, t, s, label, base, CASE WHEN base THEN 1.0 ELSE share END AS share FROM share JOIN template USING (t)),
+found AS (SELECT r, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+  list_sort(list(DISTINCT label) FILTER (base)) AS bases, list_sort(list(DISTINCT label)) AS every, max(share) AS score FROM matched GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(array_to_string(bases, ','), '') AS base_labels, coalesce(array_to_string(every, ','), '') AS labels, coalesce(round(score, 6), 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN found USING (r)"""
+
+
+def resampling_sql(percent: int = 10, least_words: int = 20, seed: int = 2024) -> str:
+    k = resampling.BUCKETS
+    crc = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(w)), '..'), lambda x: ('0x' || x)::BIGINT)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+    return f"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS words FROM documents),
+features AS (SELECT r, unnest(words) AS w FROM docs),
+wanted AS (SELECT unnest({PLAIN_WORDS}) AS w FROM benchmark),
+bucket AS (SELECT w, {crc} % {k} AS b FROM (SELECT w FROM features UNION SELECT w FROM wanted), crc),
+source AS (SELECT b, count(*) AS s FROM features JOIN bucket USING (w) GROUP BY b),
+target AS (SELECT b, count(*) AS t FROM wanted JOIN bucket USING (w) GROUP BY b),
+totals AS (SELECT (SELECT count(*) FROM features)::DOUBLE AS ss, (SELECT count(*) FROM wanted)::DOUBLE AS tt),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (ss + {k}) / ((coalesce(s, 0) + 1)::DOUBLE * (tt + {k}))))::BIGINT AS g FROM (SELECT DISTINCT b FROM bucket) LEFT JOIN source USING (b) LEFT JOIN target USING (b), totals),
+summed AS (SELECT r, count(*) AS n, sum(g)::BIGINT AS g FROM features JOIN bucket USING (w) JOIN gain USING (b) GROUP BY r),
+weighed AS (SELECT docs.r, doc_id, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (g - ((g % n) + n) % n) // n ELSE 0 END AS weight,
+  ('0x' || substr(sha256('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM docs LEFT JOIN summed USING (r)),
+scored AS (SELECT r, doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weighed),
+drawn AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank FROM scored WHERE n_features >= {least_words}
+  QUALIFY rank <= {percent} * count(*) OVER () // 100)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score, CAST(rank AS BIGINT) AS rank FROM scored LEFT JOIN drawn USING (r)"""
+
+
+HARD_NEGATIVES = """
+WITH rows_ AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM rows_ a JOIN rows_ b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5"""
+
+
+ORACLES = {
+    "op1_quality_rules": quality_rules_sql(),
+    "op8_url_filter": url_filter_sql(),
+    "op9_lm_score": lm_score_sql(),
+    "op11_license_scan": license_scan_sql(),
+    "op12_importance_resample": resampling_sql(),
+    "op13_hard_negatives": HARD_NEGATIVES,
+}
