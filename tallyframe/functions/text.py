@@ -49,12 +49,29 @@ def unescape(c: Column) -> Column:
     return plain(c)
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """difflib's matching ratio of two texts."""
+def common_letters(a: str, b: str) -> int:
+    """The length of the longest common subsequence, by one bit for each letter of a."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full = left = (1 << len(a)) - 1
+    for c in b:
+        hit = left & at.get(c, 0)
+        left = ((left + hit) | (left - hit)) & full
+    return len(a) - left.bit_count()
+
+
+def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
+    """difflib's matching ratio of two texts; null where their longest common subsequence, which bounds it, shows that it lies below `least`."""
+
+    def of(p: str | None, q: str | None) -> float | None:
+        if p is None or q is None or least and 2 * common_letters(p, q) < least * (len(p) + len(q)) - 1e-9:
+            return None
+        return difflib.SequenceMatcher(None, p, q).ratio()
 
     @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else difflib.SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y, strict=True)], dtype="float64")
+        return pd.Series([of(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
 
     return ratio(a, b)
 

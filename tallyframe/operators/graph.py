@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,68 +96,3 @@ def components(ties: DataFrame, nodes: DataFrame) -> DataFrame:
         held = later
         if later.where("before <> component").isEmpty():
             return labels
-
-
-def dense_matrix(ties: DataFrame, most: int = 4_000) -> tuple[list, np.ndarray]:
-    """Members in order and their weights as a matrix on the driver, for eigenvectors of small graphs. Larger ones are refused."""
-    members = [r[0] for r in both_ways(ties).select("source").distinct().orderBy("source").limit(most + 1).collect()]
-    if len(members) > most:
-        raise ValueError(f"more than {most} members")
-    at = {m: i for i, m in enumerate(members)}
-    out = np.zeros((len(members), len(members)))
-    for a, b, w in ties.select("source", "target", "weight").collect():
-        out[at[a], at[b]] = out[at[b], at[a]] = w
-    return members, out
-
-
-def fiedler_order(members: list, weights: np.ndarray) -> list:
-    """Members along the Fiedler vector of the Laplacian, the first member on the low side; as given if there is none."""
-    if len(members) < 3:
-        return members
-    values, vectors = np.linalg.eigh(np.diag(weights.sum(1)) - weights)
-    v = vectors[:, 1]
-    if v[0] > 0:
-        v = -v
-    return [members[i] for i in sorted(range(len(members)), key=lambda i: (round(float(v[i]), 9), i))]
-
-
-def classical_mds(distances: np.ndarray) -> np.ndarray:
-    """Two coordinates from double-centred squared distances; the first row's are made non-negative."""
-    n = len(distances)
-    centre = np.eye(n) - 1 / max(1, n)
-    values, vectors = np.linalg.eigh(-centre @ (distances**2) @ centre / 2)
-    top = np.argsort(-values)[:2]
-    out = vectors[:, top] * np.sqrt(np.maximum(values[top], 0))
-    return out * np.where(out[0] < 0, -1, 1)
-
-
-def greedy_communities(members: list, weights: np.ndarray) -> dict:
-    """Louvain moves in a fixed order until modularity no longer rises, then on the merged graph."""
-    label = np.arange(len(members))
-    graph = weights.copy()
-    while True:
-        own, moved = np.arange(len(graph)), True
-        strength, total = graph.sum(1), graph.sum()
-        if total <= 0:
-            break
-        while moved:
-            moved = False
-            for i in range(len(graph)):
-                links = np.bincount(own, weights=graph[i], minlength=len(graph))
-                links[own[i]] -= graph[i, i]
-                sums = np.bincount(own, weights=strength, minlength=len(graph))
-                sums[own[i]] -= strength[i]
-                gain = links - strength[i] * sums / total
-                best = int(np.argmax(gain))
-                if gain[best] > gain[own[i]] + 1e-12:
-                    own[i], moved = best, True
-        kept, own = np.unique(own, return_inverse=True)
-        label = own[label]
-        if len(kept) == len(graph):
-            break
-        one = np.eye(len(kept))[own]
-        graph = one.T @ graph @ one
-    first: dict[int, object] = {}
-    for m, c in zip(members, label.tolist(), strict=True):
-        first.setdefault(c, m)
-    return {m: first[c] for m, c in zip(members, label.tolist(), strict=True)}

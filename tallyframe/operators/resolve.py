@@ -117,8 +117,8 @@ def alike(names: DataFrame, roster: DataFrame, least: float) -> DataFrame:
     """(a, b, ratio) of names a and roster names b whose matching ratio is `least` or more. Both: distinct texts in their one column.
 
     The ratio is twice the matched letters over all letters, so that such pairs share at least `least` / (2 - `least`) of either's letters.
-    Hence the rarest of each's letters, as many as can be missing and one more, have one in common (prefix filtering), and only
-    such pairs, of lengths that can reach the ratio, are compared. No pair is lost.
+    Hence the rarest of each's letters, as many as can be missing and one more, have one in common (prefix filtering). Of pairs that meet so, those whose
+    lengths and common letters cannot reach the ratio go at once, then those whose longest common subsequence cannot; the rest is compared. No pair is lost.
     """
     a, b = names.toDF("a"), roster.toDF("b")
     part = least / (2 - least)
@@ -130,8 +130,16 @@ def alike(names: DataFrame, roster: DataFrame, least: float) -> DataFrame:
         return ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * part - 1e-9) + 1).select(key, "token", F.col("size").alias(f"size_{key}"))
 
     met = prefix(letter_tokens(a, "a"), "a").join(prefix(tokens, "b"), "token")
-    close = met.where(2 * F.least("size_a", "size_b") >= least * (F.col("size_a") + F.col("size_b")) - 1e-9).select("a", "b").distinct()
-    return close.withColumn("ratio", similarity(F.col("a"), F.col("b"))).where(F.col("ratio") >= least - 1e-9)
+    reach = least * (F.col("size_a") + F.col("size_b")) - 1e-9
+    close = met.where(2 * F.least("size_a", "size_b") >= reach).select("a", "b", "size_a", "size_b").distinct()
+    shared = F.size(F.array_intersect(numbered_letters("a"), numbered_letters("b")))
+    return close.where(2 * shared >= reach).select("a", "b", similarity(F.col("a"), F.col("b"), least).alias("ratio")).where(F.col("ratio") >= least - 1e-9)
+
+
+def numbered_letters(column: str) -> Column:
+    """The letters of a text, the second of a kind told from the first."""
+    letters = F.array_sort(F.filter(F.split(column, ""), lambda x: x != ""))
+    return F.transform(letters, lambda x, i: F.concat(x, (i - F.array_position(letters, x)).cast("string")))
 
 
 def fuzzy_resolve(names: DataFrame, roster: DataFrame, min_score: float = 0.7, min_margin: float = 0.1) -> DataFrame:
@@ -139,20 +147,27 @@ def fuzzy_resolve(names: DataFrame, roster: DataFrame, min_score: float = 0.7, m
 
     The seat whose slug is the name's; else that with its folded key (of several the smallest); else that of the best matching ratio of the normalised
     names, if it is at least min_score and min_margin above the next seat's (of equal ratios the largest seat comes first); else ''.
+    Only names without slug and key are compared: with ratios of min_score or more, and those whose best one lies less than the margin above it once more for what
+    comes close below.
     """
     n = reliable(names.select("name").where("name IS NOT NULL").distinct().select("name", slug(F.col("name")).alias("slug"), match_key(normalize_latin(F.col("name"))).alias("key"), normalize_latin(F.col("name")).alias("plain")))
     r = reliable(roster.select("seat", match_key(normalize_latin(F.col("name"))).alias("key"), normalize_latin(F.col("name")).alias("plain")))
     exact = n.join(r, n["slug"] == r["seat"]).select("name", F.col("seat").alias("exact"))
     folded = n.where("key <> ''").join(r.drop("plain"), "key").groupBy("name").agg(F.min("seat").alias("folded"))
-    ratios = alike(n.select("plain").distinct(), r.select("plain").distinct(), min_score - min_margin)
-    scored = n.join(ratios, n["plain"] == ratios["a"]).join(r.select("seat", F.col("plain").alias("b")), "b").select("name", "ratio", "seat")
-    place = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("ratio"), F.desc("seat")))
-    top = scored.withColumn("place", place).where("place <= 2").groupBy("name").agg(F.max(F.when(F.col("place") == 1, F.struct("ratio", "seat"))).alias("top"), F.max(F.when(F.col("place") == 2, F.col("ratio"))).alias("next"))
-    sure = (F.col("top.ratio") >= min_score) & (F.col("top.ratio") - F.coalesce("next", F.lit(0.0)) >= min_margin)
-    best = top.where(sure).select("name", F.col("top.seat").alias("near"))
-    found = n.select("name").join(exact, "name", "left").join(folded, "name", "left").join(best, "name", "left")
+    sure = reliable(n.join(exact, "name", "left").join(folded, "name", "left"))
+    open_, seats = sure.where("exact IS NULL AND folded IS NULL").select("name", "plain"), r.select("plain").distinct()
+    high = reliable(alike(open_.select("plain").distinct(), seats, min_score))
+    several = high.join(r.select(F.col("plain").alias("b"), "seat"), "b").groupBy("a").agg(F.max("ratio").alias("best"))
+    unsure = several.where(F.col("best") - min_margin < min_score).select(F.col("a").alias("plain"))
+    low = alike(unsure, seats, min_score - min_margin).where(F.col("ratio") < min_score - 1e-9)
+    scored = high.unionByName(low).join(r.select("seat", F.col("plain").alias("b")), "b")
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("ratio"), F.desc("seat")))
+    top = scored.withColumn("place", place).where("place <= 2").groupBy("a").agg(F.max(F.when(F.col("place") == 1, F.struct("ratio", "seat"))).alias("top"), F.max(F.when(F.col("place") == 2, F.col("ratio"))).alias("next"))
+    clear = (F.col("top.ratio") >= min_score) & (F.col("top.ratio") - F.coalesce("next", F.lit(0.0)) >= min_margin)
+    best = top.where(clear).select(F.col("a").alias("plain"), F.col("top.seat").alias("near"))
+    found = sure.join(best, "plain", "left")
     how = F.when(F.col("exact").isNotNull(), "slug").when(F.col("folded").isNotNull(), "key").when(F.col("near").isNotNull(), "ratio").otherwise("")
-    return found.select("name", F.coalesce("exact", "folded", "near", F.lit("")).alias("resolved"), how.alias("how"))
+    return found.select("name", F.coalesce("exact", "folded", F.when(how == "ratio", F.col("near")), F.lit("")).alias("resolved"), how.alias("how"))
 
 
 def pair_assign(lists: DataFrame, min_margin: float = 0.1) -> DataFrame:

@@ -7,7 +7,9 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyframe.operators import communities as C
 from tallyframe.operators import graph as G
+from tallyframe.operators import spectral
 from tallyframe.operators import votes as V
 
 from .inputs import AGREEMENT, BLOCS, blocs
@@ -115,8 +117,7 @@ def components(spark, sf):
 
 @query("communities")
 def communities(spark, sf):
-    members, w = G.dense_matrix(strong(spark, sf))
-    return spark.createDataFrame([(m, c) for m, c in G.greedy_communities(members, w).items()], "member long, community long")
+    return C.communities(strong(spark, sf))
 
 
 @query("crosstab_purity", f"""WITH {STRONG}{BOTH}, {BLOCS}, best AS (SELECT source AS member, min_by(target, (-weight, target)) AS community FROM both_ GROUP BY 1),
@@ -225,18 +226,20 @@ def transitivity(spark, sf):
 @query("seriation")
 def seriation(spark, sf):
     """Members along the Fiedler vector of the strong graph."""
-    members, w = G.dense_matrix(strong(spark, sf))
-    return spark.createDataFrame([(m, i) for i, m in enumerate(G.fiedler_order(members, w))], "member long, place int")
+    return spectral.seriate(strong(spark, sf))
 
 
 @query("mds")
 def mds(spark, sf):
-    members, w = G.dense_matrix(ties(spark, sf))
-    distances = 1 - w
-    for i in range(len(members)):
-        distances[i, i] = 0
-    xy = G.classical_mds(distances) if members else []
-    return spark.createDataFrame([(m, float(p[0]), float(p[1])) for m, p in zip(members, xy, strict=True)], "member long, x double, y double")
+    xy = spectral.classical_mds(ties(spark, sf))
+    return xy.select("member", F.col("v")[0].alias("x"), F.col("v")[1].alias("y"))
+
+
+@query("landmark_mds")
+def landmark_mds(spark, sf):
+    """As mds, from 100 landmarks."""
+    xy = spectral.landmark_mds(ties(spark, sf), 100)
+    return xy.select("member", F.col("v")[0].alias("x"), F.col("v")[1].alias("y"), "landmark")
 
 
 @query("radial_layout", f"""WITH {BLOCS}, o AS (SELECT member, bloc, row_number() OVER (PARTITION BY bloc ORDER BY member) AS i FROM blocs)

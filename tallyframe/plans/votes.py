@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyframe.operators import spectral
 from tallyframe.operators import votes as V
-from tallyframe.sources.shared import reliable
 from tallyframe.operators.ranking import global_rank
+from tallyframe.sources.shared import reliable
 from tallyframe.sources.tables import load
 
 from .inputs import AGREEMENT, BLOCS, CONTESTED, POSITIONS, blocs, positions, sides
@@ -16,8 +17,6 @@ from .registry import query
 MIN_CAST, MIN_SHARED = 8, 30
 #: Draws of the bootstraps and shuffles of the phi null, as in the reference.
 BOOTSTRAP, NULLS = 400, 10
-#: Members whose eigenvectors the driver finds, at most.
-MOST_SCALED = 4_000
 DAYS = ", days AS (SELECT l_partkey % 200 AS division, min(l_shipdate)::DATE AS day FROM lineitem GROUP BY 1)"
 CHUNKS = DAYS + """, numbered AS (SELECT division, row_number() OVER (ORDER BY day, division) - 1 AS rn, count(*) OVER () AS n FROM days SEMI JOIN kept USING (division)),
 chunks AS (SELECT division, least(rn // greatest(n // {0}, 1), {0} - 1) AS chunk FROM numbered)"""
@@ -259,31 +258,10 @@ def gram_parts(spark, sf):
 
 @query("rollcall_scaling")
 def rollcall_scaling(spark, sf):
-    """Two dimensions from the eigenvectors of the centred Gram matrix; the first member's are non-negative.
-
-    The driver solves it, for MOST_SCALED members at most; more are refused before anything is collected.
-    """
-    import numpy as np
-
-    raw, own, q = gram_parts(spark, sf)
-    off = {r["member"]: r["s"] for r in own.limit(MOST_SCALED + 1).collect()}
-    if len(off) > MOST_SCALED:
-        raise ValueError(f"roll-call scaling solves on the driver for at most {MOST_SCALED} members")
-    members = sorted(off)
-    at = {m: i for i, m in enumerate(members)}
-    x = np.array([off[m] for m in members])
-    a = q - x[:, None] - x[None, :]
-    for r in raw.collect():
-        i, j = at[r["source"]], at[r["target"]]
-        a[i, j] += r["g"]
-        a[j, i] += r["g"] * (i != j)
-    values, vectors = np.linalg.eigh(a)
-    top = np.argsort(-values)[:2]
-    xy = vectors[:, top] * np.sqrt(np.maximum(values[top], 0))
-    xy = xy * np.where(xy[0] < 0, -1, 1) if len(members) else xy
-    shares = values[top] / values.sum() if len(members) else []
-    rows = [(m, float(p[0]), float(p[1]), float(shares[0]), float(shares[1])) for m, p in zip(members, xy, strict=True)]
-    return spark.createDataFrame(rows, "member long, dim1 double, dim2 double, share1 double, share2 double")
+    """Two dimensions of the active members' sides; the first member's are non-negative."""
+    s = kept(spark, sf)
+    active = s.groupBy("member").count().where("count >= 30").select("member")
+    return spectral.scale_sides(s.join(active, "member", "left_semi"))
 
 
 @query("corr_dummy", f"""WITH {CONTESTED}, {INSIDE}, s AS (SELECT member, avg(side) AS score FROM cast_ GROUP BY 1)

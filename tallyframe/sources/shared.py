@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import uuid
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list = []
+#: What is left to delete, by path.
+_written: dict[str, tuple] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,20 +39,36 @@ def reliable(df: DataFrame) -> DataFrame:
     return out
 
 
+def tabled(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder as Parquet and read again; deleted as what reliable() writes.
+
+    For loops: a checkpoint hands on the optimizer's estimate of its size, which joins multiply round by round until it stops the
+    optimizer; a table is as large as its files.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    delete_at_exit(spark.sparkContext, path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tallyframe_path = path
+    return out
+
+
 def release(*frames: DataFrame) -> None:
-    """Delete what reliable() wrote for these frames. Nothing that is still to be computed may read them."""
+    """Delete what reliable() or tabled() wrote for these frames. Nothing that is still to be computed may read them."""
     for df in frames:
-        path = _path(df)
+        path = getattr(df, "_tallyframe_path", None) or _path(df)
         if path is not None:
             delete(df.sparkSession.sparkContext, path)
 
 
 def delete(sc: SparkContext, path: str) -> None:
     _delete(sc._jvm, sc._jsc.hadoopConfiguration(), path)
+    _written.pop(path, None)
 
 
 def delete_at_exit(sc: SparkContext, path: str) -> None:
-    _written.append((sc._jvm, sc._jsc.hadoopConfiguration(), path))
+    _written[path] = (sc._jvm, sc._jsc.hadoopConfiguration())
 
 
 def _path(df: DataFrame) -> str | None:
@@ -68,7 +86,7 @@ def _delete(jvm, conf, path: str) -> None:
 
 @atexit.register
 def _delete_all() -> None:
-    for jvm, conf, path in _written:
+    for path, (jvm, conf) in _written.items():
         try:
             _delete(jvm, conf, path)
         except Exception:  # noqa: BLE001 - the JVM has gone, so nothing can be deleted any more

@@ -129,20 +129,6 @@ def test_long_path_is_one_component(spark):
     assert {r["component"] for r in G.components(path, nodes).collect()} == {0}
 
 
-def test_eigen_helpers():
-    w = np.zeros((6, 6))
-    for i in range(5):
-        w[i, i + 1] = w[i + 1, i] = 1
-    assert G.fiedler_order(list("abcdef"), w) in (list("abcdef"), list("fedcba"))
-    blocks = np.kron(np.eye(2), np.ones((3, 3))) - np.eye(6)
-    parts = G.greedy_communities(list(range(6)), blocks)
-    assert len(set(parts.values())) == 2 and parts[0] == parts[2] != parts[3]
-    points = np.array([[0.0, 0], [3, 0], [0, 4]])
-    d = np.linalg.norm(points[:, None] - points[None], axis=2)
-    xy = G.classical_mds(d)
-    assert np.allclose(np.linalg.norm(xy[:, None] - xy[None], axis=2), d)
-
-
 def test_wilson_and_gini(spark):
     low, high = spark.range(1).select(*T.wilson(F.lit(5), F.lit(10))).first()
     assert low == pytest.approx(0.2366, abs=1e-3) and high == pytest.approx(0.7634, abs=1e-3)
