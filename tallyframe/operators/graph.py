@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.sources.shared import reliable, release
+from tallyframe.sources.shared import reliable, release, tabled
 
 
 def both_ways(ties: DataFrame) -> DataFrame:
@@ -82,17 +85,60 @@ def shuffled_labels(blocs: DataFrame, draws: int, seed: str) -> DataFrame:
     return ranked.select("draw", "place", "member").join(ranked.select("draw", F.col("other").alias("place"), "bloc"), ["draw", "place"]).select("draw", "member", "bloc")
 
 
+#: So many links are left to one task at most.
+FEW_LINKS = 100_000
+
+
+def contract(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
+    """(node, root) for each node of links (a, b), whole numbers: nodes have the same root if and only if links connect them.
+
+    Each round sends every node to that neighbour (or itself) which comes first in a fresh random order and carries links over, so that
+    they shrink by a constant factor whatever their shape, and what is connected leaves the rounds as soon as it is one node. The last `few` links
+    are merged by one task, which saves rounds and changes nothing else.
+    """
+    links = tabled(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rounds: list[DataFrame] = []
+    while n := links.count():
+        if n <= few:
+            rounds.append(tabled(links.coalesce(1).mapInArrow(merged, "node long, to long")))
+            break
+        seed = F.lit(len(rounds))
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy("a").agg(F.min(F.struct(F.xxhash64(seed, "b").alias("o"), F.col("b").alias("n"))).alias("m"))
+        moves = tabled(near.select(F.col("a").alias("node"), F.least("m", F.struct(F.xxhash64(seed, "a").alias("o"), F.col("a").alias("n")))["n"].alias("to")))
+        rounds.append(moves)
+        ends = links.join(moves.toDF("a", "ta"), "a").join(moves.toDF("b", "tb"), "b").where("ta <> tb")
+        left = tabled(ends.select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
+        release(links)
+        links = left
+    out = links.select(F.col("a").alias("node"), F.col("b").alias("root")) if not rounds else rounds[0].withColumnRenamed("to", "root")
+    for later in rounds[1:]:
+        out = out.join(later.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    out = tabled(out)
+    release(links, *rounds)
+    return out
+
+
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, to) for all links (a, b) of a task, by trees whose roots are merged."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (above := up.setdefault(x, x)) != x:
+            up[x] = up[above]
+            x = above
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            x, y = root(a), root(b)
+            up[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([root(x) for x in list(up)], pa.int64())], names=["node", "to"])
+
+
 def components(ties: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(member, component): the smallest member that ties reach. Labels spread along ties and jump through their own labels until none changes."""
-    edges = reliable(both_ways(ties.withColumn("weight", F.lit(1))).select("source", "target").distinct())
-    labels = held = reliable(nodes.select("member", F.col("member").alias("component")))
-    while True:
-        near = edges.join(labels.withColumnRenamed("member", "target"), "target").groupBy("source").agg(F.min("component").alias("near"))
-        stepped = labels.join(near, labels["member"] == near["source"], "left").select("member", F.col("component").alias("before"), F.least("component", F.coalesce("near", "component")).alias("component"))
-        jump = labels.select(F.col("member").alias("component"), F.col("component").alias("beyond"))
-        later = reliable(stepped.join(jump, "component", "left").select("member", "before", F.least("component", F.coalesce("beyond", "component")).alias("component")))
-        labels = later.select("member", "component")
-        release(held)
-        held = later
-        if later.where("before <> component").isEmpty():
-            return labels
+    """(member, component): the smallest member that ties reach. Members are whole numbers."""
+    roots = contract(ties.select(F.col("source").alias("a"), F.col("target").alias("b")))
+    least = roots.groupBy("root").agg(F.min("node").alias("component"))
+    named = roots.join(least, "root").select(F.col("node").alias("member"), "component")
+    return nodes.select("member").join(named, "member", "left").select("member", F.coalesce("component", "member").alias("component"))

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyframe.functions.text import match_key, normalize_latin, romanize, similarity, slug
-from tallyframe.sources.shared import reliable
+from tallyframe.sources.shared import delete_at_exit, release, reliable, shared_folder, tabled
 
+from .graph import contract
 from .ranking import global_rank
 
 
@@ -56,54 +62,166 @@ def too_far_apart(a_year: Column, b_year: Column, born: Column, most: int = 40)
     return born.isNull() & F.coalesce(F.abs(a_year - b_year) > most, F.lit(False))
 
 
-def resolve_in_rounds(rows: DataFrame, sources: list[str], most_years: int = 40) -> tuple[DataFrame, DataFrame]:
-    """(resolved, refused): rows joined to persons, in order of trust of their sources and then chamber by chamber.
+#: Rows of a component that one task resolves in order, at most; larger components take one round of joins for each chamber of each source.
+IN_ORDER = 1_000_000
 
-    rows: source, seq, ar_key, lat_key (null if unknown), chamber, year, born. A row is held against all rows before it, those of other chambers
-    of its own source among them. It joins the person of the first one with its Arabic key or, failing that, its Latin one, that is not of its chamber
-    and not too far apart in time; where the row and the person both have a Latin key, an Arabic match must agree with it. Rows that match no one are
-    persons of their own. A person is named by the source and seq of the first row, as 'source:seq'.
+
+def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order: int = IN_ORDER) -> tuple[DataFrame, DataFrame]:
+    """(resolved, refused): rows joined to persons, one after another in order of trust of their sources and then of seq.
+
+    rows: source, seq, source_key, ar_key, lat_key (null if unknown), chamber, year, born. A row with the source and source_key of an earlier one is that
+    one's person. Else it is held against all rows before it, those of its own source among them, but not those that came by their source_key: it joins
+    the person of the first one with its Arabic key or, failing that, its Latin one, that is not of its chamber and not too far apart in time; where the row
+    and the person both have a Latin key, an Arabic match must agree with it. Rows that match no one are persons of their own. A person is named by
+    the source and seq of the first row, as 'source:seq', and has the first Latin key and birth date that any of its rows brought.
 
     resolved: source, seq, chamber, person, method, confidence. refused: person, source, seq, chamber_a, chamber_b, years_apart, for each earlier row
-    that a row met on its way to its match and that lies too far apart. There is one round of joins for each chamber of each source, since
-    rows of one chamber never match each other; what a round sees of a person is what was known before it. Rows of other sources are left out.
+    that a row met on its way to its match and that lies too far apart. Rows of other sources are left out.
+
+    Rows that share no key never meet: they fall into components, found by contraction, and each component is resolved in order by one task, which reads
+    it sorted and holds its persons and keys. Components of over in_order rows (very common names) go through rounds(), where rows of one round do not see each other.
     """
-    ranked = rows.where(F.col("source").isin(*sources)).select("source", "chamber").distinct().collect()
-    rounds = sorted(((sources.index(r["source"]), r["chamber"]) for r in ranked), key=lambda x: (x[0], x[1] is not None, x[1]))
-    known, refusals = [], []
-    for i, (rank, chamber) in enumerate(rounds):
-        r = rows.where((F.col("source") == sources[rank]) & F.col("chamber").eqNullSafe(F.lit(chamber))).withColumn("own", F.struct(F.lit(i).alias("round"), F.col("seq")))
-        name = F.concat("source", F.lit(":"), F.col("seq").cast("string"))
-        if not known:
-            found = r.select("*", name.alias("person"), F.lit("source_id").alias("method"))
+    known = rows.where(F.col("source").isin(*sources)).select("source", "seq", "source_key", "ar_key", "lat_key", "chamber", "year", "born")
+    rank = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int").alias("rank")
+    keys = [F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), *([F.col("source")] if c == "source_key" else []), F.col(c))) for c in ("ar_key", "lat_key", "source_key")]
+    keyed = tabled(known.select("*", rank, F.array_compact(F.array(*keys)).alias("keys")).withColumn("first", F.coalesce(F.get("keys", F.lit(0)), F.xxhash64("source", "seq"))))
+    roots = contract(keyed.select(F.col("first").alias("a"), F.explode("keys").alias("b")))
+    placed = tabled(keyed.join(roots, keyed["first"] == roots["node"], "left").withColumn("component", F.coalesce("root", "first")).drop("keys", "first", "node", "root"))
+    release(keyed, roots)
+    large = tabled(placed.groupBy("component").count().where(F.col("count") > in_order).select("component"))
+    found = tabled(in_turn(placed.join(F.broadcast(large), "component", "left_anti"), most_years))
+    if not large.isEmpty():
+        found = tabled(found.unionByName(rounds(placed.join(F.broadcast(large), "component", "left_semi"), most_years)))
+    release(placed, large)
+    confidence = F.when(F.col("method").isin("source_id", "source_key", "normalised_name_ar+lat"), "high").otherwise("medium").alias("confidence")
+    resolved = found.where("method IS NOT NULL").select("source", "seq", "chamber", "person", "method", confidence)
+    return resolved, found.where("method IS NULL").select("person", "source", "seq", F.col("other").alias("chamber_a"), F.col("chamber").alias("chamber_b"), "years_apart")
+
+
+class Resolver:
+    """The rows of one component, in order."""
+
+    def __init__(self, most_years: int):
+        self.most_years = most_years
+        self.persons: list[list] = []  # name, Latin key, birth date
+        self.by_source_key: dict[tuple, int] = {}
+        self.by_key: dict[tuple, list[tuple]] = {}  # (person, chamber, year) for each row
+
+    def take(self, source, seq, source_key, ar_key, lat_key, chamber, year, born) -> tuple[str, str, list[tuple]]:
+        """(person, method, refusals as (person, chamber, years)) of the next row."""
+        refused: list[tuple] = []
+        person = self.by_source_key.get((source, source_key)) if source_key is not None else None
+        if person is not None:
+            method = "source_key"
         else:
-            before = reduce(DataFrame.unionByName, known)
-            lat = F.min_by("lat_key", F.when(F.col("lat_key").isNotNull(), F.col("own"))).alias("p_lat")
-            born = F.min_by("born", F.when(F.col("born").isNotNull(), F.col("own"))).alias("p_born")
-            k = before.select("ar_key", "lat_key", F.col("own").alias("k_own"), "person", F.col("chamber").alias("k_chamber"), F.col("year").alias("k_year")).join(before.groupBy("person").agg(lat, born), "person")
+            person, method = self._by_name(ar_key, lat_key, chamber, year, refused)
+            if person is None:
+                person, method = len(self.persons), "source_id"
+                self.persons.append([f"{source}:{seq}", None, None])
+            if source_key is not None:
+                self.by_source_key[source, source_key] = person
+            for kind, key in (("ar", ar_key), ("lat", lat_key)):
+                if key is not None:
+                    self.by_key.setdefault((kind, key), []).append((person, chamber, year))
+        own = self.persons[person]
+        own[1] = lat_key if own[1] is None else own[1]
+        own[2] = born if own[2] is None else own[2]
+        return own[0], method, refused
+
+    def _by_name(self, ar_key, lat_key, chamber, year, refused: list[tuple]) -> tuple[int | None, str]:
+        for kind, key in (("ar", ar_key), ("lat", lat_key)):
+            for person, there, then in self.by_key.get((kind, key), ()) if key is not None else ():
+                name, lat, born = self.persons[person]
+                if there == chamber:
+                    continue
+                if born is None and year is not None and then is not None and abs(year - then) > self.most_years:
+                    refused.append((name, there, abs(year - then)))
+                    continue
+                if kind == "lat":
+                    return person, "normalised_name_lat"
+                if lat_key is None or lat is None:
+                    return person, "normalised_name_ar"
+                if lat_key == lat:
+                    return person, "normalised_name_ar+lat"
+        return None, ""
+
+
+def in_turn(placed: DataFrame, most_years: int) -> DataFrame:
+    """(person, source, seq, chamber, method, other, years_apart): every row, and every refusal with a null method. Components stay together, each is read in order."""
+    kinds = dict(placed.dtypes)
+    schema = f"person string, source {kinds['source']}, seq {kinds['seq']}, chamber {kinds['chamber']}, method string, other {kinds['chamber']}, years_apart {kinds['year']}"
+    fields = ("component", "source", "seq", "source_key", "ar_key", "lat_key", "chamber", "year", "born")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, resolver = None, Resolver(most_years)
+        for batch in batches:
+            out: list[tuple] = []
+            for component, *row in zip(*(batch.column(c).to_pylist() for c in fields), strict=True):
+                if component != at:
+                    at, resolver = component, Resolver(most_years)
+                person, method, refused = resolver.take(*row)
+                source, seq, chamber = row[0], row[1], row[5]
+                out.append((person, source, seq, chamber, method, None, None))
+                out += [(p, source, seq, chamber, None, there, years) for p, there, years in refused]
+            arrays = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), target, strict=True)] if out else [pa.array([], f.type) for f in target]
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    target = to_arrow_schema(T.StructType.fromDDL(schema))
+    return placed.repartition("component").sortWithinPartitions("component", "rank", "seq").select(*fields).mapInArrow(run, schema)
+
+
+def rounds(rows: DataFrame, most_years: int) -> DataFrame:
+    """As in_turn(), for components that are too large for a task: one round of joins for each chamber of each source, in order of trust and chamber.
+
+    What a round sees of a person is what was known before it, and of rows with one source_key the first one of a round is resolved and the others follow. Rows are
+    appended to one table and persons carried forward, so that a round reads each once.
+    """
+    spark = rows.sparkSession
+    order = [(r["rank"], r["source"], r["chamber"]) for r in rows.select("rank", "source", "chamber").distinct().collect()]
+    path = f"{shared_folder(spark).rstrip('/')}/rounds-{uuid.uuid4().hex}"
+    delete_at_exit(spark.sparkContext, path)
+    name = F.concat("source", F.lit(":"), F.col("seq").cast("string"))
+    persons, out = None, []
+    for i, (_, source, chamber) in enumerate(sorted(order, key=lambda x: (x[0], x[2] is not None, x[2]))):
+        mine = rows.where((F.col("source") == source) & F.col("chamber").eqNullSafe(F.lit(chamber))).withColumn("own", F.struct(F.lit(i).alias("round"), F.col("seq")))
+        leads = F.coalesce(F.min("own").over(Window.partitionBy("source", "source_key")) == F.col("own"), F.lit(True)) | F.col("source_key").isNull()
+        mine = tabled(mine.withColumn("leads", leads))
+        before = spark.read.parquet(path) if persons is not None else None
+        if before is None:
+            named, refused = mine.where("leads").select("own", name.alias("person"), F.lit("source_id").alias("method")), None
+        else:
+            upstream = before.where(F.col("source") == source).groupBy("source_key").agg(F.min_by("person", "own").alias("person"))
+            by_key = mine.where("leads").join(upstream, "source_key").select("own", "person", F.lit("source_key").alias("method"))
+            open_ = tabled(mine.where("leads").join(by_key.select("own"), "own", "left_anti"))
+            k = before.where("method <> 'source_key'").select("ar_key", "lat_key", F.col("own").alias("k_own"), "person", F.col("chamber").alias("k_chamber"), F.col("year").alias("k_year")).join(persons, "person")
             far = too_far_apart(F.col("year"), F.col("k_year"), F.col("p_born"), most_years)
-            both = r["lat_key"].isNotNull() & F.col("p_lat").isNotNull()
+            both = open_["lat_key"].isNotNull() & F.col("p_lat").isNotNull()
             tried = ["own", "k_own", "person", "k_chamber", F.abs(F.col("year") - F.col("k_year")).alias("years_apart"), far.alias("far")]
-            ar = r.join(k.drop("lat_key"), "ar_key").select(*tried, F.lit(0).alias("by"), (~both | (r["lat_key"] == F.col("p_lat"))).alias("agrees"), F.when(both, "normalised_name_ar+lat").otherwise("normalised_name_ar").alias("method"), "chamber")
-            lt = r.join(k.drop("ar_key"), "lat_key").select(*tried, F.lit(1).alias("by"), F.lit(True).alias("agrees"), F.lit("normalised_name_lat").alias("method"), "chamber")
-            # Met in this order: by the Arabic key before the Latin one, earlier rows first.
-            met = reliable(ar.unionByName(lt).where(~F.col("k_chamber").eqNullSafe(F.col("chamber"))))
-            hits = reliable(met.where("NOT far AND agrees").groupBy("own").agg(F.min(F.struct("by", "k_own", "person", "method")).alias("hit")))
+            ar = open_.join(k.drop("lat_key"), "ar_key").select(*tried, F.lit(0).alias("by"), (~both | (open_["lat_key"] == F.col("p_lat"))).alias("agrees"), F.when(both, "normalised_name_ar+lat").otherwise("normalised_name_ar").alias("method"), "chamber")
+            lt = open_.join(k.drop("ar_key"), "lat_key").select(*tried, F.lit(1).alias("by"), F.lit(True).alias("agrees"), F.lit("normalised_name_lat").alias("method"), "chamber")
+            met = tabled(ar.unionByName(lt).where(~F.col("k_chamber").eqNullSafe(F.col("chamber"))))
+            hits = tabled(met.where("NOT far AND agrees").groupBy("own").agg(F.min(F.struct("by", "k_own", "person", "method")).alias("hit")))
             refused = met.where("far").join(hits, "own", "left").where(F.col("hit").isNull() | (F.struct("by", "k_own") < F.struct("hit.by", "hit.k_own")))
-            refusals.append(refused.select("person", F.lit(sources[rank]).alias("source"), F.col("own.seq").alias("seq"), F.col("k_chamber").alias("chamber_a"), F.col("chamber").alias("chamber_b"), "years_apart"))
-            found = r.join(hits, "own", "left").select(*r.columns, F.coalesce("hit.person", name).alias("person"), F.coalesce("hit.method", F.lit("source_id")).alias("method"))
-        known.append(reliable(found))
-    if not known:
-        known = [rows.limit(0).select("source", "seq", "chamber", F.lit("").alias("person"), F.lit("source_id").alias("method"))]
-    confidence = F.when(F.col("method").isin("source_id", "normalised_name_ar+lat"), "high").otherwise("medium").alias("confidence")
-    resolved = reduce(DataFrame.unionByName, known).select("source", "seq", "chamber", "person", "method", confidence)
-    none = rows.limit(0).select(F.lit("").alias("person"), "source", "seq", F.col("chamber").alias("chamber_a"), F.col("chamber").alias("chamber_b"), F.abs("year").alias("years_apart"))
-    return resolved, reduce(DataFrame.unionByName, refusals, none)
+            named = by_key.unionByName(open_.join(hits, "own", "left").select("own", F.coalesce("hit.person", name).alias("person"), F.coalesce("hit.method", F.lit("source_id")).alias("method")))
+        led = tabled(mine.join(named, "own"))
+        follow = mine.where("NOT leads").join(led.select("source_key", "person"), "source_key").withColumn("method", F.lit("source_key"))
+        done = tabled(led.unionByName(follow))
+        done.write.mode("append").parquet(path)
+        brought = done.groupBy("person").agg(F.min_by("lat_key", F.when(F.col("lat_key").isNotNull(), F.col("own"))).alias("n_lat"), F.min_by("born", F.when(F.col("born").isNotNull(), F.col("own"))).alias("n_born"))
+        if persons is None:
+            persons = tabled(brought.toDF("person", "p_lat", "p_born"))
+        else:
+            persons = tabled(persons.join(brought, "person", "full").select("person", F.coalesce("p_lat", "n_lat").alias("p_lat"), F.coalesce("p_born", "n_born").alias("p_born")))
+        years, other = F.lit(None).cast(rows.schema["year"].dataType), F.lit(None).cast(rows.schema["chamber"].dataType)
+        out.append(done.select("person", "source", "seq", "chamber", "method", other.alias("other"), years.alias("years_apart")))
+        if refused is not None:
+            out.append(refused.select("person", F.lit(source).alias("source"), F.col("own.seq").alias("seq"), "chamber", F.lit(None).cast("string").alias("method"), F.col("k_chamber").alias("other"), "years_apart"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def match_review(resolved: DataFrame) -> DataFrame:
     """The matches by name, each to be confirmed."""
-    return resolved.where("method <> 'source_id'").select("person", "source", "seq", "chamber", "method", "confidence", F.lit("confirm this is the same person").alias("action_required"))
+    return resolved.where("method NOT IN ('source_id', 'source_key')").select("person", "source", "seq", "chamber", "method", "confidence", F.lit("confirm this is the same person").alias("action_required"))
 
 
 def letter_tokens(df: DataFrame, key: str) -> DataFrame:

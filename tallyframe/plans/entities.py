@@ -28,30 +28,36 @@ def golden_record(spark, sf):
     return R.golden_record(staged(spark, sf), ["entity"], ["lang", "source"], "priority", "seq")
 
 
-#: Sources a, b, c and chambers 0 to 3: a round for each, in this order.
-ROUNDS = 12
-ROUND = """
-k{i} AS MATERIALIZED ({known}), p{i} AS MATERIALIZED (SELECT person, arg_min(lat_key, own) FILTER (lat_key IS NOT NULL) AS p_lat, arg_min(born, own) FILTER (born IS NOT NULL) AS p_born FROM k{i} GROUP BY 1),
-c{i} AS MATERIALIZED (SELECT r.own, 0 AS nth, k.own AS k_own, person, k.chamber AS k_chamber, abs(k.year - r.year) AS years, p_born IS NULL AND abs(k.year - r.year) > 40 AS far, r.lat_key IS NULL OR p_lat IS NULL OR r.lat_key = p_lat AS agrees,
-    CASE WHEN r.lat_key IS NOT NULL AND p_lat IS NOT NULL THEN 'normalised_name_ar+lat' ELSE 'normalised_name_ar' END AS method FROM keyed r JOIN k{i} k ON k.ar_key = r.ar_key JOIN p{i} USING (person) WHERE r.round = {i} AND k.chamber <> r.chamber
-  UNION ALL SELECT r.own, 1, k.own, person, k.chamber, abs(k.year - r.year), p_born IS NULL AND abs(k.year - r.year) > 40, true, 'normalised_name_lat' FROM keyed r JOIN k{i} k ON k.lat_key = r.lat_key JOIN p{i} USING (person) WHERE r.round = {i} AND k.chamber <> r.chamber),
-h{i} AS MATERIALIZED (SELECT own, min((nth, k_own, person, method)) AS hit FROM c{i} WHERE NOT far AND agrees GROUP BY 1),
-f{i} AS (SELECT own, person, k_chamber, years FROM c{i} LEFT JOIN h{i} USING (own) WHERE far AND (hit IS NULL OR (nth, k_own) < (hit[1], hit[2]))),
-r{i} AS MATERIALIZED (SELECT keyed.*, coalesce(hit[3], source || ':' || seq) AS person, coalesce(hit[4], 'source_id') AS method FROM keyed LEFT JOIN h{i} USING (own) WHERE round = {i}),"""
-RESOLVE = """WITH customers AS (SELECT *, c_nationkey % 3 AS rank, c_custkey % 4 AS chamber FROM customer),
-keyed AS MATERIALIZED (SELECT CASE rank WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS source, c_custkey AS seq, rank * 4 + chamber AS round, (rank * 4 + chamber) * 1000000000000 + c_custkey AS own, c_mktsegment || c_custkey % 50 AS ar_key,
-  CASE WHEN c_custkey % 7 > 0 THEN 'l' || c_custkey % 120 END AS lat_key, chamber, 1950 + c_custkey % 9 * 8 AS year, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS born FROM customers),
-r0 AS MATERIALIZED (SELECT *, source || ':' || seq AS person, 'source_id' AS method FROM keyed WHERE round = 0),""" + "".join(ROUND.format(i=i, known=" UNION ALL ".join(f"SELECT * FROM r{j}" for j in range(i))) for i in range(1, ROUNDS)) + f"""
-every AS (SELECT *, CASE WHEN method IN ('source_id', 'normalised_name_ar+lat') THEN 'high' ELSE 'medium' END AS confidence FROM ({" UNION ALL ".join(f"SELECT * FROM r{j}" for j in range(ROUNDS))})),
-far AS ({" UNION ALL ".join(f"SELECT * FROM f{j}" for j in range(1, ROUNDS))})"""
+#: One customer after another; recurring holds all that are resolved.
+RESOLVE = """WITH RECURSIVE keyed AS MATERIALIZED (SELECT row_number() OVER (ORDER BY c_nationkey % 3, c_custkey) AS i, substr('abc', (c_nationkey % 3 + 1)::INTEGER, 1) AS source, c_custkey AS seq, CASE WHEN c_custkey % 13 > 0 THEN c_custkey // 2 END AS source_key,
+  c_mktsegment || c_custkey % 50 AS ar_key, CASE WHEN c_custkey % 7 > 0 THEN 'l' || c_custkey % 120 END AS lat_key, c_custkey % 4 AS chamber, 1950 + c_custkey % 9 * 8 AS year, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS born FROM customer),
+every(i, source, seq, source_key, ar_key, lat_key, chamber, year, born, person, method, nth, k_i) USING KEY (i) AS (
+  SELECT keyed.*, source || ':' || seq, 'source_id', NULL::INTEGER, NULL::BIGINT FROM keyed WHERE i = 1
+  UNION
+  SELECT r.*, coalesce(u.person, h.hit.person, r.source || ':' || r.seq), CASE WHEN u.person IS NOT NULL THEN 'source_key' ELSE coalesce(h.hit.method, 'source_id') END, h.hit.nth, h.hit.k_i
+  FROM (SELECT max(i) + 1 AS i FROM every) next JOIN keyed r ON r.i = next.i
+  LEFT JOIN (SELECT source, source_key, arg_min(person, i) AS person FROM recurring.every WHERE source_key IS NOT NULL GROUP BY source, source_key) u ON u.source = r.source AND u.source_key = r.source_key
+  LEFT JOIN (
+    SELECT q.i, min(struct_pack(nth := t.nth, k_i := k.i, person := k.person, method := CASE WHEN t.nth = 1 THEN 'normalised_name_lat' WHEN q.lat_key IS NULL OR p.p_lat IS NULL THEN 'normalised_name_ar' ELSE 'normalised_name_ar+lat' END)) AS hit
+    FROM (SELECT max(i) + 1 AS i FROM every) now JOIN keyed q ON q.i = now.i CROSS JOIN (VALUES (0), (1)) t(nth)
+    JOIN recurring.every k ON k.method <> 'source_key' AND k.chamber <> q.chamber AND CASE WHEN t.nth = 0 THEN k.ar_key = q.ar_key ELSE k.lat_key = q.lat_key END
+    JOIN (SELECT person, arg_min(lat_key, i) FILTER (lat_key IS NOT NULL) AS p_lat, count(born) > 0 AS p_born FROM recurring.every GROUP BY person) p ON p.person = k.person
+    WHERE (p.p_born OR abs(q.year - k.year) <= 40) AND (t.nth = 1 OR q.lat_key IS NULL OR p.p_lat IS NULL OR q.lat_key = p.p_lat) GROUP BY q.i) h ON h.i = r.i),
+resolved AS MATERIALIZED (SELECT *, CASE WHEN method IN ('source_id', 'source_key', 'normalised_name_ar+lat') THEN 'high' ELSE 'medium' END AS confidence FROM every),
+births AS (SELECT person, min(i) FILTER (born IS NOT NULL) AS known_at FROM resolved GROUP BY person),
+far AS (SELECT k.person, r.source, r.seq, k.chamber AS chamber_a, r.chamber AS chamber_b, abs(r.year - k.year) AS years_apart
+  FROM resolved r CROSS JOIN (VALUES (0), (1)) t(nth) JOIN resolved k ON k.i < r.i AND k.method <> 'source_key' AND k.chamber <> r.chamber AND CASE WHEN t.nth = 0 THEN k.ar_key = r.ar_key ELSE k.lat_key = r.lat_key END
+  JOIN births ON births.person = k.person WHERE r.method <> 'source_key' AND abs(r.year - k.year) > 40 AND (known_at IS NULL OR known_at >= r.i) AND (r.nth IS NULL OR t.nth < r.nth OR t.nth = r.nth AND k.i < r.k_i))"""
 
 
 def people(spark, sf):
+    """Customers as rows of three sources. Neighbours in number have a source_key in common, so that some are re-collected."""
     c, k = load(spark, sf, "customer"), F.col("c_custkey")
     source = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("c_nationkey") % 3 + 1).cast("int"))
     return c.select(
         source.alias("source"),
         k.alias("seq"),
+        F.when(k % 13 > 0, F.floor(k / 2)).alias("source_key"),
         F.concat("c_mktsegment", (k % 50).cast("string")).alias("ar_key"),
         F.when(k % 7 > 0, F.concat(F.lit("l"), (k % 120).cast("string"))).alias("lat_key"),
         (k % 4).alias("chamber"),
@@ -60,19 +66,19 @@ def people(spark, sf):
     )
 
 
-@query("resolve_entities", RESOLVE + " SELECT source, seq, person, method, confidence FROM every")
+@query("resolve_entities", RESOLVE + " SELECT source, seq, person, method, confidence FROM resolved")
 def resolve_entities(spark, sf):
-    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])[0].drop("chamber")
+    return R.resolve(people(spark, sf), ["a", "b", "c"])[0].drop("chamber")
 
 
-@query("match_review", RESOLVE + " SELECT person, source, seq, chamber, method, confidence, 'confirm this is the same person' AS action_required FROM every WHERE method <> 'source_id'")
+@query("match_review", RESOLVE + " SELECT person, source, seq, chamber, method, confidence, 'confirm this is the same person' AS action_required FROM resolved WHERE method NOT IN ('source_id', 'source_key')")
 def match_review(spark, sf):
-    return R.match_review(R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])[0])
+    return R.match_review(R.resolve(people(spark, sf), ["a", "b", "c"])[0])
 
 
-@query("match_refusals", RESOLVE + " SELECT far.person, source, seq, k_chamber AS chamber_a, chamber AS chamber_b, years AS years_apart FROM far JOIN keyed USING (own)")
+@query("match_refusals", RESOLVE + " SELECT person, source, seq, chamber_a, chamber_b, years_apart FROM far")
 def match_refusals(spark, sf):
-    return R.resolve_in_rounds(people(spark, sf), ["a", "b", "c"])[1]
+    return R.resolve(people(spark, sf), ["a", "b", "c"])[1]
 
 
 @query("merge_veto", "WITH t AS (SELECT o_custkey AS person, min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS b, min(o_orderstatus) AS s FROM orders GROUP BY 1) SELECT person, a, b, s <> 'F' AND b - a > 5 AS refused FROM t")

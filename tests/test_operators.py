@@ -127,6 +127,10 @@ def test_long_path_is_one_component(spark):
     path = spark.range(300).select(F.col("id").alias("source"), (F.col("id") + 1).alias("target"), F.lit(1.0).alias("weight"))
     nodes = spark.range(301).withColumnRenamed("id", "member")
     assert {r["component"] for r in G.components(path, nodes).collect()} == {0}
+    links = path.select(F.col("source").alias("a"), F.col("target").alias("b")).where("a % 50 <> 49")
+    for few in (0, 40, 1000):
+        roots = {r["node"]: r["root"] for r in G.contract(links, few).collect()}
+        assert len(roots) == 300 and all((roots[a] == roots[b]) == (a // 50 == b // 50) for a in range(0, 300, 7) for b in range(0, 300, 11))
 
 
 def test_wilson_and_gini(spark):
@@ -143,10 +147,62 @@ def test_golden_record_prefers_trust_then_order(spark):
     assert (r["name"], r["town"]) == ("first", "z")
 
 
-def test_resolution_rounds(spark):
-    rows = [("a", 1, "k", None, 1, 1950, None), ("a", 2, "k", "l", 2, 1960, None), ("a", 3, "q", "m", 1, 1900, "known"), ("b", 1, "k", "l", 1, 1955, None), ("b", 2, "k", None, 3, 2010, None), ("b", 3, "k", "z", 2, 1955, None), ("b", 4, "q", "n", 2, 2000, None), ("b", 5, "x", "m", 2, 2000, None)]
-    df = spark.createDataFrame(rows, "source string, seq long, ar_key string, lat_key string, chamber int, year int, born string")
-    resolved, refused = R.resolve_in_rounds(df, ["a", "b"])
+PEOPLE = "source string, seq long, source_key string, ar_key string, lat_key string, chamber int, year int, born string"
+
+
+def literally_resolved(rows, sources, most_years=40):
+    """Every row against all rows before it, one after another."""
+    done, refused, fields = [], [], {}
+    for source, seq, upstream, ar, lat, chamber, year, born in sorted((r for r in rows if r[0] in sources), key=lambda r: (sources.index(r[0]), r[1])):
+        person, method = next((d["person"] for d in done if upstream is not None and (d["source"], d["upstream"]) == (source, upstream)), None), "source_key"
+        for by in ("ar", "lat") if person is None else ():
+            for d in done:
+                if d["method"] == "source_key" or {"ar": ar, "lat": lat}[by] is None or d[by] != {"ar": ar, "lat": lat}[by] or d["chamber"] == chamber:
+                    continue
+                other_lat, other_born = fields[d["person"]]
+                if other_born is None and None not in (year, d["year"]) and abs(year - d["year"]) > most_years:
+                    refused.append((d["person"], source, seq, d["chamber"], chamber, abs(year - d["year"])))
+                    continue
+                if by == "ar" and lat is not None and other_lat is not None and lat != other_lat:
+                    continue
+                person, method = d["person"], "normalised_name_lat" if by == "lat" else "normalised_name_ar" if None in (lat, other_lat) else "normalised_name_ar+lat"
+                break
+            if person is not None:
+                break
+        if person is None:
+            person, method = f"{source}:{seq}", "source_id"
+        before = fields.get(person, (None, None))
+        fields[person] = (lat if before[0] is None else before[0], born if before[1] is None else before[1])
+        done.append({"source": source, "upstream": upstream, "ar": ar, "lat": lat, "chamber": chamber, "year": year, "person": person, "method": method, "seq": seq})
+    return {(d["source"], d["seq"]): (d["person"], d["method"]) for d in done}, sorted(refused, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_resolution_is_one_after_another(spark, seed):
+    rng = random.Random(seed)
+    some = lambda names, none: None if rng.random() < none else rng.choice(names)
+    rows = [(rng.choice("abcd"), i, some([f"u{j}" for j in range(60)], 0.3), some("klmnopqr", 0.2), some("stuvwxyz", 0.4), some([1, 2, 3], 0.1), some([1900, 1930, 1950, 2000], 0.1), some(["known"], 0.8)) for i in range(400)]
+    rng.shuffle(rows)
+    resolved, refused = R.resolve(spark.createDataFrame(rows, PEOPLE), ["c", "a", "b"])
+    want, no = literally_resolved(rows, ["c", "a", "b"])
+    assert {(r["source"], r["seq"]): (r["person"], r["method"]) for r in resolved.collect()} == want and len(want) < 400
+    assert sorted(map(tuple, refused.collect()), key=repr) == no and no
+    assert {m for _, m in want.values()} == {"source_id", "source_key", "normalised_name_ar", "normalised_name_lat", "normalised_name_ar+lat"}
+
+
+def test_a_source_key_stays_one_person(spark):
+    """A key that comes again under another name and in another chamber is the person that it was."""
+    rows = [("a", 1, "1", "k", None, 1, 1950, None), ("a", 2, "2", "z", None, 1, 1950, None), ("a", 3, "1", "z", None, 2, 1950, None), ("b", 1, "1", "z", None, 3, 1950, None)]
+    got = lambda most: {(r["source"], r["seq"]): (r["person"], r["method"]) for r in R.resolve(spark.createDataFrame(rows, PEOPLE), ["a", "b"], in_order=most)[0].collect()}
+    want = {("a", 1): ("a:1", "source_id"), ("a", 2): ("a:2", "source_id"), ("a", 3): ("a:1", "source_key"), ("b", 1): ("a:2", "normalised_name_ar")}
+    assert got(10) == got(0) == want
+
+
+def test_resolution_in_rounds(spark):
+    """What becomes of components too large for one task: chamber by chamber, a round sees what was known before it."""
+    rows = [("a", 1, None, "k", None, 1, 1950, None), ("a", 2, None, "k", "l", 2, 1960, None), ("a", 3, None, "q", "m", 1, 1900, "known"), ("b", 1, None, "k", "l", 1, 1955, None), ("b", 2, None, "k", None, 3, 2010, None), ("b", 3, None, "k", "z", 2, 1955, None), ("b", 4, None, "q", "n", 2, 2000, None), ("b", 5, None, "x", "m", 2, 2000, None)]
+    df = spark.createDataFrame(rows, PEOPLE)
+    resolved, refused = R.resolve(df, ["a", "b"], in_order=0)
     got = {(r["source"], r["seq"]): (r["person"], r["method"], r["confidence"]) for r in resolved.collect()}
     assert got["a", 1] == ("a:1", "source_id", "high")
     assert got["a", 2] == ("a:1", "normalised_name_ar", "medium")  # another chamber of the same source
@@ -157,11 +213,11 @@ def test_resolution_rounds(spark):
     assert got["b", 5] == ("a:3", "normalised_name_lat", "medium")  # a birth date lifts the limit of years
     assert sorted(map(tuple, refused.collect())) == [("a:1", "b", 2, 1, 3, 55), ("a:1", "b", 2, 1, 3, 60), ("a:1", "b", 2, 2, 3, 50), ("b:3", "b", 2, 2, 3, 55)]
     assert {(r["source"], r["seq"]) for r in R.match_review(resolved).collect()} == {("a", 2), ("b", 1), ("b", 5)}
-    none, no_refusal = R.resolve_in_rounds(df.limit(0), ["a", "b"])
+    none, no_refusal = R.resolve(df.limit(0), ["a", "b"])
     assert none.count() == 0 and no_refusal.count() == 0
     # Numbers beyond a billion do not run into another source's.
-    big = spark.createDataFrame([("a", 1_000_000_002, "k", None, 1, 1950, None), ("b", 2, "z", None, 1, 1950, None)], df.schema)
-    assert {r["person"] for r in R.resolve_in_rounds(big, ["a", "b"])[0].collect()} == {"a:1000000002", "b:2"}
+    big = spark.createDataFrame([("a", 1_000_000_002, None, "k", None, 1, 1950, None), ("b", 2, None, "z", None, 1, 1950, None)], df.schema)
+    assert {r["person"] for r in R.resolve(big, ["a", "b"])[0].collect()} == {"a:1000000002", "b:2"}
 
 
 def test_mint_and_fill(spark):
