@@ -2,17 +2,55 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def drawn(people: DataFrame, n: int, draws: int, seed: str) -> DataFrame:
-    """(draw, id, name): n of people (id, name) in each draw, those with the smallest md5 of seed, draw and id."""
-    spark = people.sparkSession
-    each = people.crossJoin(F.broadcast(spark.range(draws).withColumnRenamed("id", "draw")))
+#: md5 values are uniform, so that the n-th smallest of N lies close to n / N of their range: within so many standard deviations and ranks.
+SIGMAS, SPARE = 8, 16
+#: Draws by people that a task hashes, about.
+ROWS_EACH = 1 << 18
+
+
+def md5_range(n: int, size: int) -> tuple[str, str]:
+    """Bounds of the n-th smallest of `size` md5 values: those before the first are surely among the n, those from the second on surely not."""
+    share = min(n / max(size, 1), 1.0)
+    slack = (SIGMAS * math.sqrt(size * share * (1 - share)) + SPARE) / max(size, 1)
+    low, high = (f"{int(f * 16**8):08x}" if f < 1 else "g" for f in (max(share - slack, 0.0), share + slack))
+    return low, high
+
+
+def hashed(people: DataFrame, n: int, draws: int, seed: str) -> tuple[DataFrame, str, int]:
+    """people in each draw with m, the md5 of seed, draw and id, but for those surely beyond the n smallest; the bound of those surely among them; and how many must be found."""
+    size = people.count()
+    low, high = md5_range(n, size)
+    dealt = people.repartition(max(1, math.ceil(size * draws / ROWS_EACH)), "id")
+    each = dealt.crossJoin(F.broadcast(people.sparkSession.range(draws).withColumnRenamed("id", "draw")))
     mixed = F.md5(F.concat_ws("|", F.lit(seed), F.col("draw").cast("string"), F.col("id").cast("string")))
-    place = F.row_number().over(Window.partitionBy("draw").orderBy(mixed, "id"))
-    return each.withColumn("_place", place).where(F.col("_place") <= n).select("draw", "id", "name")
+    return each.withColumn("m", mixed).where(F.col("m") < high), low, min(n, size)
+
+
+def drawn(people: DataFrame, n: int, draws: int, seed: str) -> DataFrame:
+    """(draw, id, name, place): n of people (id, name) in each draw, those with the smallest md5 of seed, draw and id. Only those that can be among them are ranked."""
+    near, _, wanted = hashed(people, n, draws, seed)
+    w = Window.partitionBy("draw")
+    placed = near.withColumn("place", F.row_number().over(w.orderBy("m", "id"))).withColumn("_n", F.count("*").over(w))
+    enough = F.when(F.col("_n") >= wanted, F.col("place")).otherwise(F.raise_error(F.lit("the last md5 value drawn lies outside the ranked range")).cast("int"))
+    return placed.where(enough <= n).select("draw", "id", "name", "place")
+
+
+def drawn_names(people: DataFrame, n: int, draws: int, seed: str) -> DataFrame:
+    """(draw, name, taken): how many of each name drawn() draws. Those surely drawn are counted where they are; only those around the last one are shuffled and ranked."""
+    near, low, wanted = hashed(people, n, draws, seed)
+    kept = lambda c: F.when(F.col("m") >= low, F.col(c)).alias(c)
+    sums = near.groupBy("draw", "name", kept("m"), kept("id")).agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("draw").orderBy(F.asc_nulls_first("m"), "id", "name").rowsBetween(Window.unboundedPreceding, 0))
+    reached = sums.withColumn("upto", upto).where(F.col("upto") <= n)
+    found = F.sum("rows").over(Window.partitionBy("draw"))
+    whole = F.when(found == wanted, F.col("rows")).otherwise(F.raise_error(F.lit("the last md5 value drawn lies outside the ranked range")).cast("long"))
+    return reached.withColumn("rows", whole).groupBy("draw", "name").agg(F.sum("rows").alias("taken"))
 
 
 def coverage(target: DataFrame, names: DataFrame) -> float:
@@ -25,7 +63,7 @@ def coverage_null(target: DataFrame, n: int, draws: int, seed: str = "cover") ->
     """(draw, share): n of the target drawn as a cohort, and the share of the rest whose names the cohort has."""
     totals = target.groupBy("name").agg(F.count("*").alias("total"))
     size = target.count()
-    hit = drawn(target, n, draws, seed).groupBy("draw", "name").agg(F.count("*").alias("taken")).join(totals, "name")
+    hit = drawn_names(target, n, draws, seed).join(totals, "name")
     return hit.groupBy("draw").agg((F.sum(F.col("total") - F.col("taken")) / F.lit(max(size - n, 1))).alias("share"))
 
 
@@ -43,7 +81,7 @@ def positive_control(donors: DataFrame, target: DataFrame, draws: int, samples:
     Cohorts are a third of the target at most. The observed share is the mean over samples of so many donors.
     """
     n = min(donors.count(), max(target.count() // 3, 2))
-    names = drawn(donors, n, samples, "donors").select("draw", "name").distinct()
+    names = drawn_names(donors, n, samples, "donors").select("draw", "name")
     totals = target.groupBy("name").agg(F.count("*").alias("total"))
     covered = names.join(totals, "name").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("s")).first()["s"]
     return against_null(coverage_null(target, n, draws, "control"), covered / max(1, samples * target.count()))
@@ -59,9 +97,7 @@ def power(target: DataFrame, names: DataFrame, null: DataFrame, planted: tuple[i
     threshold = F.lit(float(level["share"]) if level else 1.0)
     ks = [k for k in planted if k <= size]
     # The first k of one order are the k drawn: all k share a simulation's order.
-    order = drawn(marked.select("id", "name"), max(ks, default=0), sims, "power").select("draw", "id").join(marked.select("id", "has"), "id")
-    mixed = F.md5(F.concat_ws("|", F.lit("power"), F.col("draw").cast("string"), F.col("id").cast("string")))
-    placed = order.withColumn("place", F.row_number().over(Window.partitionBy("draw").orderBy(mixed, "id")))
+    placed = drawn(marked.select("id", "name"), max(ks, default=0), sims, "power").select("draw", "id", "place").join(marked.select("id", "has"), "id")
     spark = target.sparkSession
     grid = spark.createDataFrame([(k,) for k in ks], "k int").crossJoin(spark.range(sims).withColumnRenamed("id", "draw"))
     lost = grid.join(placed, (grid["draw"] == placed["draw"]) & (placed["place"] <= grid["k"]), "left").groupBy("k", grid["draw"]).agg(F.coalesce(F.sum("has"), F.lit(0)).alias("lost"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import projection as P
 from tallyframe.operators import spells as S
+from tallyframe.operators import temporal
 from tallyframe.operators.stats import laakso
 from tallyframe.sources.tables import load
 
@@ -255,7 +256,8 @@ def cohort_overlap(spark, sf):
 def range_join_strict(spark, sf):
     t = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("person"), (1992 + F.col("s_suppkey") % 6).alias("start_year"), F.when(F.col("s_suppkey") % 4 != 0, 1994 + F.col("s_suppkey") % 6).alias("end_year"))
     c = load(spark, sf, "nation").select(F.col("n_nationkey").alias("chamber"), (1990 + F.col("n_nationkey")).alias("y0"), (1993 + F.col("n_nationkey")).alias("y1"))
-    return t.join(c, (F.col("start_year") < F.col("y1")) & (F.coalesce("end_year", F.lit(9999)) > F.col("y0"))).select("person", "chamber")
+    t = t.withColumn("end_year", F.coalesce("end_year", F.lit(9999)))
+    return temporal.overlaps(t, c, ("start_year", "end_year"), ("y0", "y1"), 4).select("person", "chamber")
 
 
 @query("nearest_time_join", """WITH v AS (SELECT e.event_id AS version, e.user_id, strftime(e.ts, '%Y%m%d')::BIGINT AS at FROM events e WHERE event_type = 'signup'), q AS (SELECT event_id, user_id, strftime(ts, '%Y%m%d')::BIGINT AS at FROM events WHERE event_type = 'purchase')
@@ -265,4 +267,4 @@ def nearest_time_join(spark, sf):
     e = load(spark, sf, "events").withColumn("at", F.date_format("ts", "yyyyMMdd").cast("long"))
     v = e.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("version"), F.col("at").alias("v_at"))
     q = e.where("event_type = 'purchase'").select("event_id", "user_id", "at")
-    return q.join(v, "user_id").groupBy("event_id").agg(F.min_by("version", F.struct(F.abs(F.col("at") - F.col("v_at")), "version")).alias("version"))
+    return temporal.nearest_in_time(q, v.withColumnRenamed("v_at", "at"), "user_id", "at", "event_id", "version")
