@@ -6,8 +6,8 @@ holds it, the others are empty), and the two partial partitions of largest imbal
 fullest subset of one with the emptiest of the other. k starts at the fewest windows that could hold the
 pieces and rises whenever a window would exceed its capacity.
 
-Blocks are runs of rows within an input partition, so that packing is one narrow pass without a shuffle, and a
-lost executor's partitions are packed again as before.
+Blocks are runs of rows within a partition, so that packing is one narrow pass. A task writes its partition's windows whole, so that a lost
+executor costs only its tasks; where rows were dealt anew (spread()), a task that runs again may meet them in another order and pack other, equally valid windows.
 """
 
 from __future__ import annotations

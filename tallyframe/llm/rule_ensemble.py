@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import crc_bucket, map_slices, smallest_by_hash, spread, with_columns_of
 
+#: Rows of each class that one tree is grown on, at most.
+TREE_ROWS = 1500
 #: Labelled rows that a model is fitted to, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
 TREES = 24
@@ -182,8 +184,12 @@ def lasso_logistic(a: np.ndarray, y: np.ndarray, l1: float = L1, steps: int = ST
     return b, w
 
 
-def fit(x: np.ndarray, y: np.ndarray, seed: int = 10) -> RuleModel:
-    """A model from statistics x and labels y; a constant 0.5 without labels, a constant near y if all are alike."""
+def fit(x: np.ndarray, y: np.ndarray, seed: int = 10, tree_rows: int = TREE_ROWS) -> RuleModel:
+    """A model from statistics x and labels y; a constant 0.5 without labels, a constant near y if all are alike.
+
+    Each tree is grown on a draw with replacement of as many rows of either class as the smaller one has, but 50 at least and tree_rows at most;
+    the weights of the rules are fitted to all rows.
+    """
     if not len(y):
         return RuleModel(0.0, ())
     order = np.lexsort([*x.T, y])
@@ -193,7 +199,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 10) -> RuleModel:
     rng = np.random.default_rng(seed)
     # Both classes get the same weight in the draws, or trees would hardly see the rarer one.
     good, bad = np.nonzero(y == 1)[0], np.nonzero(y == 0)[0]
-    half = min(1500, max(50, min(len(good), len(bad))))
+    half = min(tree_rows, max(50, min(len(good), len(bad))))
     rules: set[Rule] = set()
     for _ in range(TREES):
         rows = np.concatenate([rng.choice(good, half), rng.choice(bad, half)])
@@ -215,8 +221,8 @@ def held_out(id: str = "doc_id") -> Column:
     return F.coalesce(crc_bucket(id, 5) == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", id: str = "doc_id", rows: int = TRAIN_ROWS) -> RuleModel:
-    """A model from at most `rows` labelled ids that are not held out. Labels are 0 or 1; other rows of labels are left aside."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", id: str = "doc_id", rows: int = TRAIN_ROWS, tree_rows: int = TREE_ROWS) -> RuleModel:
+    """A model from at most `rows` labelled ids that are not held out, each tree from at most tree_rows of each class. Labels are 0 or 1; other rows of labels are left aside."""
     usable = labels.where(F.col(label).isin(0, 1) & ~held_out(id)).select(F.col(id), F.col(label).cast("int").alias("y"))
     chosen = smallest_by_hash(usable, id, rows, seed=10)
     # An id that is labelled twice counts with the lower label.
@@ -224,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     # An id with several texts counts once, with the smallest statistics, so that the rows that come to the driver are bounded.
     each = text_statistics(with_columns_of(docs, ["y"]).join(F.broadcast(marked), id), [id, "y"], text)
     found = each.groupBy(id).agg(F.min(F.struct("y", *STATISTICS)).alias("x")).select("x.*").toPandas()
-    return fit(found[list(STATISTICS)].to_numpy(float).reshape(-1, len(STATISTICS)), found["y"].to_numpy(int))
+    return fit(found[list(STATISTICS)].to_numpy(float).reshape(-1, len(STATISTICS)), found["y"].to_numpy(int), tree_rows=tree_rows)
 
 
 def classify(docs: DataFrame, model: RuleModel, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD, outputs: bool = True) -> DataFrame:

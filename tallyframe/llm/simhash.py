@@ -132,7 +132,8 @@ def keep_one(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     """docs with one row of each group of near-duplicates: the one with the smallest id, ids before nulls, then that with the smallest hash.
 
     A row is told by its id, a hash of its text and one of all its columns, so that neither repeated nor null ids lose a text, and
-    the choice depends on the rows alone. Rows alike in all columns are copies of which one stays. Only hashes are
+    the choice depends on the rows alone. Rows alike in all columns are copies of which one stays; map columns do not count, so that rows
+    that differ in nothing else are copies too. Only hashes are
     shuffled; texts move where the rows to drop are too many for a broadcast, or to fold rows alike in all columns.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
