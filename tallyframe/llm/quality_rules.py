@@ -23,6 +23,7 @@ WHITE = " \t\n\v\f\r"
 SENTENCE_MARKS = ".!?:;…。！？"
 #: Signs that set apart the entries of a menu.
 NAVIGATION_MARKS = "|»›•"
+#: Phrases of page frames in English, French, German and Spanish; each begins and ends with an ASCII letter.
 BOILERPLATE = (
     "all rights reserved",
     "click here",
@@ -34,6 +35,26 @@ BOILERPLATE = (
     "skip to content",
     "terms of service",
     "terms of use",
+    "aller au contenu",
+    "cliquez ici",
+    "conditions d'utilisation",
+    "mentions légales",
+    "politique de cookies",
+    "se connecter",
+    "tous droits réservés",
+    "alle rechte vorbehalten",
+    "cookie-richtlinie",
+    "datenschutzerklärung",
+    "klicken sie hier",
+    "nutzungsbedingungen",
+    "zum inhalt springen",
+    "condiciones de uso",
+    "haga clic",
+    "iniciar sesión",
+    "política de cookies",
+    "política de privacidad",
+    "saltar al contenido",
+    "todos los derechos reservados",
 )
 #: A line is boilerplate if phrases, as whole words, hold this share of its word characters.
 MIN_PHRASE_PERCENT = 20

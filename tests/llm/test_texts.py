@@ -55,6 +55,13 @@ def test_line_rules():
     assert verdict("By using this site you agree to our Privacy Policy and Terms of Use.") == "boilerplate"
 
 
+def test_frames_in_four_languages():
+    bad = ["Iniciar sesión para continuar.", "Alle Rechte vorbehalten. Cookie-Richtlinie.", "Tous droits réservés.", "POLÍTICA DE COOKIES.", "Conditions d'utilisation.", "Click here."]
+    good = ["Los derechos de los vecinos quedaron sin respuesta durante años.", "Die Rechte der Bauern wurden im Vertrag lange nicht genannt.", "Le droit de pêche reste aux habitants du village.", "Saltaron al contenido del cofre y hallaron cartas viejas de la abuela."]
+    assert [quality_rules.line_verdict(x) for x in bad] == ["boilerplate"] * len(bad)
+    assert [quality_rules.line_verdict(x) for x in good] == [""] * len(good)
+
+
 def test_rules_reject_what_loses_too_much(spark):
     good = "\n".join(f"Sentence{i} says{i} thing{i} on{i} matter{i} of{i} note{i}." for i in range(20))
     bad = good + "\n" + "\n".join(f"Home | Page{i} | About" for i in range(600))
