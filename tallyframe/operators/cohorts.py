@@ -108,3 +108,9 @@ def power(target: DataFrame, names: DataFrame, null: DataFrame, planted: tuple[i
 def credible(first: Column, last: Column) -> Column:
     """Whether a word stands last in names at least as often as first, as family names do; one that was never seen passes."""
     return last >= first
+
+
+def credible_only(people: DataFrame, places: DataFrame) -> DataFrame:
+    """people without those whose name stands first more often than last. places: word, first_places, last_places; a name that it lacks passes."""
+    named = people.join(places.withColumnRenamed("word", "name"), "name", "left")
+    return named.where(credible(F.coalesce("first_places", F.lit(0)), F.coalesce("last_places", F.lit(0)))).select(*people.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.sources.shared import reliable, release, tabled
@@ -142,3 +142,35 @@ def components(ties: DataFrame, nodes: DataFrame) -> DataFrame:
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
     named = roots.join(least, "root").select(F.col("node").alias("member"), "component")
     return nodes.select("member").join(named, "member", "left").select("member", F.coalesce("component", "member").alias("component"))
+
+
+def disparity(ties: DataFrame) -> DataFrame:
+    """(source, target, weight, p): how likely, at the end where it is less so, a tie's share of all the end's weight is if that were dealt at random over its ties.
+
+    (1 - share) ** (ties - 1) at each end; the smaller one counts. A tie that is an end's only one says nothing there (1). Ties with p below a level are the backbone.
+    """
+    ends = both_ways(ties).groupBy(F.col("source").alias("member")).agg(F.count("*").alias("k"), F.sum("weight").alias("s"))
+    a, b = ends.toDF("source", "ka", "sa"), ends.toDF("target", "kb", "sb")
+    chance = lambda k, s: F.when(F.col(k) > 1, F.pow(1 - F.col("weight") / F.col(s), F.col(k) - 1)).otherwise(1.0)
+    return ties.join(a, "source").join(b, "target").select("source", "target", "weight", F.least(chance("ka", "sa"), chance("kb", "sb")).alias("p"))
+
+
+def pair_correlation(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row on two tables of ties: pairs in either, pairs in both, the correlation of weights over the former (0 where a pair is missing), and, over the pairs of a, that of its weight with being in b at all."""
+    x = a.select("source", "target", F.col("weight").cast("double").alias("x"))
+    y = b.select("source", "target", F.col("weight").cast("double").alias("y"))
+    both = x.join(y, ["source", "target"], "full")
+    ever = F.when(F.col("x").isNotNull(), F.col("y").isNotNull().cast("double"))
+    return both.agg(
+        F.count("*").alias("pairs"),
+        F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("in_both"),
+        F.round(correlation(F.coalesce("x", F.lit(0.0)), F.coalesce("y", F.lit(0.0))), 6).alias("correlation"),
+        F.round(correlation(F.col("x"), ever), 6).alias("with_any"),
+    )
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's, over rows that have both; null where either does not vary."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.sources.shared import reliable
+
 from .ranking import global_rank
 
+#: Pairs of one word for each of its salts, but so many sources at least.
+SALT_PAIRS, LEAST_SOURCES = 1 << 16, 64
+
 
 def contested_divisions(sides: DataFrame, min_cast: int = 40, min_minority: float = 0.025) -> DataFrame:
     """(division, cast_votes, yes) of those divisions in which enough were cast and the minority is no formality. One pass."""
@@ -34,9 +40,11 @@ def packed(sides: DataFrame, key: str, over: str, numbers: DataFrame, by: list[s
 def word_pairs(words: DataFrame, key: str, by: list[str]) -> DataFrame:
     """(by..., word, source, target, ya, na, yb, nb) for keys source < target that share a word.
 
-    Words are few, so sources are dealt to salts and targets copied to each, which spreads a word's pairs over many tasks.
+    Words are few, so sources are dealt to salts and targets copied to each, which spreads a word's pairs over many tasks; small words are not worth it.
     """
-    salts = min(64, int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    words = reliable(words)
+    most = words.groupBy(*by, "word").count().agg(F.max("count")).first()[0] or 0
+    salts = max(1, min(math.ceil(most * most / SALT_PAIRS), most // LEAST_SOURCES))
     a = words.select(*by, "word", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("salt"), F.col(key).alias("source"), F.col("yes").alias("ya"), F.col("no").alias("na"))
     b = words.select(*by, "word", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col(key).alias("target"), F.col("yes").alias("yb"), F.col("no").alias("nb"))
     return a.join(b, [*by, "word", "salt"]).where(F.col("source") < F.col("target"))
@@ -47,22 +55,24 @@ def bits(*words: str) -> Column:
     return F.bit_count(reduce(lambda a, b: a.bitwiseAND(b), map(F.col, words)))
 
 
-def agreement(sides: DataFrame, min_shared: int = 30, by: list[str] | None = None) -> DataFrame:
+def agreement(sides: DataFrame, min_shared: int = 30, by: list[str] | None = None, divisions: DataFrame | None = None) -> DataFrame:
     """(by..., source, target, shared, agreed) for pairs source < target that took sides in enough common divisions.
 
     Divisions are numbered and packed into 63-bit words, one of yes and one of no for each member, so that the pair join
-    handles one row for 63 divisions. Two shuffles: words, then pairs (summed before they move).
+    handles one row for 63 divisions. Two shuffles: words, then pairs (summed before they move). Given divisions (by..., division, each once), only those
+    count, such as contested_divisions(): numbering them then filters the sides by the same join.
     """
     by = by or []
-    numbers = sides.select(*by, "division").distinct().withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("division") if by else Window.partitionBy(F.lit(0)).orderBy("division")) - 1)
+    counted = sides.select(*by, "division").distinct() if divisions is None else divisions.select(*by, "division")
+    numbers = counted.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("division") if by else Window.partitionBy(F.lit(0)).orderBy("division")) - 1)
     same = bits("ya", "yb") + bits("na", "nb")
     sums = word_pairs(packed(sides, "member", "division", numbers, by), "member", by).groupBy(*by, "source", "target").agg(F.sum(same + bits("ya", "nb") + bits("na", "yb")).alias("shared"), F.sum(same).alias("agreed"))
     return sums.where(F.col("shared") >= min_shared)
 
 
-def agreement_ties(sides: DataFrame, min_shared: int = 30) -> DataFrame:
+def agreement_ties(sides: DataFrame, min_shared: int = 30, divisions: DataFrame | None = None) -> DataFrame:
     """(source, target, shared, weight): weight is the share of common divisions on the same side."""
-    return agreement(sides, min_shared).select("source", "target", "shared", F.round(F.col("agreed") / F.col("shared"), 6).alias("weight"))
+    return agreement(sides, min_shared, divisions=divisions).select("source", "target", "shared", F.round(F.col("agreed") / F.col("shared"), 6).alias("weight"))
 
 
 def chunked(divisions: DataFrame, chunks: int, order: list[str]) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions import text as X
 from tallyframe.operators import quality as Q
 from tallyframe.operators import resolve as R
+from tallyframe.sources.shared import delete_at_exit, shared_folder
 from tallyframe.sources.tables import ColumnSpec, TableSpec, load
 
 from .inputs import SPELLS, spells
@@ -257,6 +260,16 @@ def validate_rates(spark, sf):
     return t.groupBy("rate").agg(F.count("*").alias("n"), F.count_if(~F.col("value").between(0, 0.07)).alias("outside"))
 
 
+@query("checked_write", f"""WITH {DIRTY_SQL} SELECT 'birth is a date' AS "check", 'warn' AS severity, count(*) FILTER (birth <> '' AND NOT regexp_matches(birth, '{Q.DATE_RULE}')) AS findings FROM d
+UNION ALL SELECT 'name is there', 'warn', count(*) FILTER (name = '') FROM d UNION ALL SELECT 'key is there', 'error', count(*) FILTER (o_orderkey IS NULL) FROM d UNION ALL SELECT 'rows written', 'info', count(*) FROM d""")
+def checked_write(spark, sf):
+    """Staged orders, checked by the job that writes them to the shared folder; what it found is read back with what it wrote."""
+    path = f"{shared_folder(spark).rstrip('/')}/checked-{uuid.uuid4().hex}"
+    delete_at_exit(spark.sparkContext, path)
+    checks = {"birth is a date": ("warn", Q.broken(ColumnSpec("birth", "date")) == "date"), "name is there": ("warn", F.col("name") == ""), "key is there": ("error", F.col("o_orderkey").isNull())}
+    return Q.checked_write(dirty(spark, sf), path, checks)
+
+
 @query("validation_summary", f"""WITH {DIRTY_SQL} SELECT 'duplicate keys' AS "check", 'error' AS severity, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) AS findings
 UNION ALL SELECT 'orphan documents', 'warn', (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) UNION ALL SELECT 'bad enum', 'error', (SELECT count(*) FROM d WHERE priority NOT IN ('', '1-URGENT', '2-HIGH', '3-MEDIUM'))""")
 def validation_summary(spark, sf):

@@ -47,12 +47,27 @@ def source_register(spark, sf):
 
 
 #: Tables that the driver of the edge tables writes, and the queries that make them.
-EDGE_TABLES = {"nodes": "node_table", "bipartite_person_group": "bipartite_incidence", "edges_comembership": "project_basic", "edges_shared_organisation": "project_cross_period", "edges_cosignature": "cosignature_edges", "edges_cosponsorship": "cosponsor_edges", "edges_vote_agreement": "vote_agreement"}
+EDGE_TABLES = {"nodes": "node_table", "bipartite_person_group": "bipartite_incidence", "edges_comembership": "project_weighted", "edges_shared_organisation": "project_cross_period", "edges_cosignature": "cosignature_edges", "edges_cosponsorship": "cosponsor_edges", "edges_vote_agreement": "vote_agreement"}
+#: Columns of each in order of names; those in millionths are numbers with fractions.
+EDGE_COLUMNS = {
+    "node_table": "assemblies first_assembly last_assembly last_known_end name person sectors",
+    "bipartite_incidence": "assembly group_name grp name person start_date",
+    "project_weighted": "assembly dates_assumed group_ids group_size overlap_end overlap_start source target weight weight_newman~",
+    "project_cross_period": "source target weight weight_newman~",
+    "cosignature_edges": "first_day last_day source target weight weight_newman~",
+    "cosponsor_edges": "documents source target weight weight_newman~",
+    "vote_agreement": "layer shared source target weight~",
+}
 
 
-@query("edge_tables", " UNION ALL ".join(f"SELECT '{table}' AS table_name, (SELECT count(*) FROM ({ORACLES[name]})) AS row_count" for table, name in EDGE_TABLES.items()))
+def content_sql(name):
+    cells = ", ".join(f"coalesce(CAST(round({c[:-1]} * 1000000) AS BIGINT)::VARCHAR, '')" if c.endswith("~") else f"coalesce({c}::VARCHAR, '')" for c in EDGE_COLUMNS[name].split())
+    return f"SELECT count(*) AS row_count, coalesce(sum(('0x' || substr(md5(concat_ws('|', {cells})), 1, 8))::BIGINT), 0)::BIGINT AS content FROM ({ORACLES[name]})"
+
+
+@query("edge_tables", " UNION ALL ".join(f"SELECT '{table}' AS table_name, row_count, content FROM ({content_sql(name)})" for table, name in EDGE_TABLES.items()))
 def edge_tables(spark, sf):
-    """Writes all node and edge tables to the shared folder and returns the rows of each."""
+    """Writes all node and edge tables to the shared folder and returns the rows of each and a hash of what they say."""
     folder = f"{shared_folder(spark).rstrip('/')}/edge-tables-{uuid.uuid4().hex}"
     delete_at_exit(spark.sparkContext, folder)
     return write_tables({table: BUILDERS[name](spark, sf) for table, name in EDGE_TABLES.items()}, folder)
@@ -154,11 +169,34 @@ def power_simulation(spark, sf):
     return C.power(target, founders, reliable(C.coverage_null(target, n, DRAWS)), PLANTED, SIMS)
 
 
+#: Words of parts' names as names: suppliers' third ones are such as stand first, the others' last.
+NAMED = """words AS (SELECT p_partkey AS part, string_split(p_name, ' ') AS w FROM part), profile AS (SELECT word, sum(f) AS f, sum(l) AS l FROM (SELECT w[1] AS word, 1 AS f, 0 AS l FROM words WHERE len(w) > 1 UNION ALL SELECT w[-1], 0, 1 FROM words WHERE len(w) > 1) GROUP BY 1),
+everyone AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN w[1] ELSE w[-1] END AS name, n_regionkey AS cohort FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN words ON part = s_suppkey),
+people AS (SELECT id, name, cohort FROM everyone LEFT JOIN profile ON word = name WHERE coalesce(l, 0) >= coalesce(f, 0)),
+target AS (SELECT id, name FROM people WHERE cohort > 0), founders AS (SELECT id, name FROM people WHERE cohort = 0), size AS (SELECT count(*) AS n FROM target), cohort AS (SELECT least((SELECT count(*) FROM founders), greatest((n - 1) // 2, 1)) AS n FROM size)"""
+
+
+def word_places(spark, sf):
+    """(word, first_places, last_places): how often each word stands first and last in names of parts of several words."""
+    words = load(spark, sf, "part").select(F.split("p_name", " ").alias("w")).where("size(w) > 1")
+    ends = words.select(F.explode(F.array(F.struct(F.get("w", F.lit(0)).alias("word"), F.lit(1).alias("f"), F.lit(0).alias("l")), F.struct(F.element_at("w", -1).alias("word"), F.lit(0).alias("f"), F.lit(1).alias("l")))).alias("e")).select("e.*")
+    return ends.groupBy("word").agg(F.sum("f").alias("first_places"), F.sum("l").alias("last_places"))
+
+
+@query("credible_coverage", f"WITH {NAMED}, {NULL}, {COVERED} {AGAINST.format('cover')}")
+def credible_coverage(spark, sf):
+    """coverage_test over those whose names pass the credibility filter: the founders' and the later members' given-like names are taken out of both sides."""
+    s, n, p = load(spark, sf, "supplier"), load(spark, sf, "nation"), load(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("w"))
+    k = F.col("s_suppkey")
+    everyone = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(p, k == F.col("p_partkey")).select(k.alias("id"), F.when(k % 3 == 0, F.get("w", F.lit(0))).otherwise(F.element_at("w", -1)).alias("name"), F.col("n_regionkey").alias("cohort"))
+    people = reliable(C.credible_only(everyone, word_places(spark, sf)))
+    founders, target = people.where("cohort = 0").select("id", "name"), people.where("cohort > 0").select("id", "name")
+    size = min(founders.count(), max((target.count() - 1) // 2, 1))
+    return C.against_null(C.coverage_null(target, size, DRAWS), C.coverage(target, founders))
+
+
 @query("credibility_filter", """WITH w AS (SELECT string_split(p_name, ' ') AS w FROM part WHERE len(string_split(p_name, ' ')) > 1), p AS (SELECT w[1] AS word, 1 AS first_, 0 AS last_ FROM w UNION ALL SELECT w[-1], 0, 1 FROM w)
 SELECT word, sum(first_)::BIGINT AS first_places, sum(last_)::BIGINT AS last_places, sum(last_) >= sum(first_) AS credible FROM p GROUP BY 1""")
 def credibility_filter(spark, sf):
     """Words of names by how often they stand first and last; those that stand first more often are given names."""
-    words = load(spark, sf, "part").select(F.split("p_name", " ").alias("w")).where("size(w) > 1")
-    ends = words.select(F.explode(F.array(F.struct(F.get("w", F.lit(0)).alias("word"), F.lit(1).alias("f"), F.lit(0).alias("l")), F.struct(F.element_at("w", -1).alias("word"), F.lit(0).alias("f"), F.lit(1).alias("l")))).alias("e")).select("e.*")
-    counts = ends.groupBy("word").agg(F.sum("f").alias("first_places"), F.sum("l").alias("last_places"))
-    return counts.withColumn("credible", C.credible(F.col("first_places"), F.col("last_places")))
+    return word_places(spark, sf).withColumn("credible", C.credible(F.col("first_places"), F.col("last_places")))

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tallyframe.operators import communities as C
 from tallyframe.operators import graph as G
 from tallyframe.operators import spectral
-from tallyframe.operators import votes as V
+from tallyframe.operators.projection import cosign
+from tallyframe.sources.tables import load
 
 from .inputs import AGREEMENT, BLOCS, blocs
 from .registry import query
-from .votes import MIN_SHARED, kept
+from .votes import contested_ties
 
 LEVEL = 0.55
 STRONG = AGREEMENT + f", strong AS (SELECT * FROM ties WHERE weight >= {LEVEL})"
@@ -22,7 +23,7 @@ BOTH = ", both_ AS (SELECT source, target, weight FROM strong UNION ALL SELECT t
 
 
 def ties(spark, sf):
-    return V.agreement_ties(kept(spark, sf), MIN_SHARED)
+    return contested_ties(spark, sf)
 
 
 def strong(spark, sf):
@@ -266,3 +267,29 @@ def effect_size(spark, sf):
     a, b = F.when(F.col("w"), F.col("weight")), F.when(~F.col("w"), F.col("weight"))
     pooled = F.sqrt((F.var_pop(a) * F.count(a) + F.var_pop(b) * F.count(b)) / F.count("*"))
     return t.agg(F.round((F.avg(a) - F.avg(b)) / F.nullif(pooled, F.lit(0.0)), 6).alias("cohens_d"))
+
+
+SPONSORED = """sponsored AS (SELECT a.signer AS source, b.signer AS target, count(*) AS weight FROM signed a JOIN signed b ON a.doc = b.doc AND a.signer < b.signer GROUP BY 1, 2)"""
+SIGNED = "signed AS (SELECT DISTINCT l_orderkey AS doc, l_suppkey AS signer FROM lineitem)"
+
+
+def sponsored(spark, sf):
+    """Ties of suppliers by the orders that both serve."""
+    return cosign(load(spark, sf, "lineitem"), "l_orderkey", "l_suppkey").select("source", "target", "weight")
+
+
+@query("disparity_filter", f"""WITH {SIGNED}, {SPONSORED}, ends AS (SELECT source AS member, weight FROM sponsored UNION ALL SELECT target, weight FROM sponsored), e AS (SELECT member, count(*) AS k, sum(weight) AS s FROM ends GROUP BY 1),
+p AS (SELECT source, target, weight, least(CASE WHEN x.k > 1 THEN pow(1 - weight / x.s::DOUBLE, x.k - 1) ELSE 1 END, CASE WHEN y.k > 1 THEN pow(1 - weight / y.s::DOUBLE, y.k - 1) ELSE 1 END) AS p FROM sponsored JOIN e x ON x.member = source JOIN e y ON y.member = target)
+SELECT source, target, weight, round(p, 6) AS p, p < 0.05 AS kept FROM p""")
+def disparity_filter(spark, sf):
+    """Ties of common orders, and which of them are the backbone at 0.05."""
+    return G.disparity(sponsored(spark, sf)).select("source", "target", "weight", F.round("p", 6).alias("p"), (F.col("p") < 0.05).alias("kept"))
+
+
+@query("pair_correlation", f"""WITH {AGREEMENT}, {SIGNED}, {SPONSORED}, often AS (SELECT * FROM sponsored WHERE weight > (SELECT avg(weight) FROM sponsored)), b AS (SELECT t.weight AS x, s.weight AS y FROM ties t FULL JOIN often s ON s.source = t.source AND s.target = t.target)
+SELECT count(*) AS pairs, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS in_both, round(corr(coalesce(x, 0)::DOUBLE, coalesce(y, 0)::DOUBLE), 6) AS correlation, round(corr(x, (y IS NOT NULL)::INTEGER::DOUBLE) FILTER (x IS NOT NULL), 6) AS with_any FROM b""")
+def pair_correlation(spark, sf):
+    """Do those who vote alike work together? Agreement against pairs that have more common orders than the mean, pair by pair."""
+    s = sponsored(spark, sf)
+    often = s.crossJoin(F.broadcast(s.agg(F.avg("weight").alias("mean")))).where("weight > mean")
+    return G.pair_correlation(ties(spark, sf), often)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyframe.operators import quality as Q
+from tallyframe.operators import sketches as K
 from tallyframe.operators import stats as T
 from tallyframe.operators.ranking import global_rank, running_sum
 from tallyframe.sources.tables import load, project_to, render_cell
@@ -165,12 +167,26 @@ def anti_join(spark, sf):
     return load(spark, sf, "documents").select("doc_id").join(load(spark, sf, "labels"), "doc_id", "left_anti")
 
 
-@query("slot_join", "WITH a AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS slot, text FROM conversations WHERE role = 'user'), b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS slot, text FROM conversations WHERE role = 'assistant') SELECT conv_id, slot, md5(a.text) AS asked, md5(b.text) AS answered FROM a JOIN b USING (conv_id, slot)")
-def slot_join(spark, sf):
-    """Two parallel lists joined by key and place in the list."""
+TURNS = "a AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS slot, text FROM conversations WHERE role = 'user'), b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS slot, text FROM conversations WHERE role = 'assistant'), lens AS (SELECT conv_id, count(*) FILTER (role = 'user') AS n_a, count(*) FILTER (role = 'assistant') AS n_b FROM conversations WHERE role IN ('user', 'assistant') GROUP BY 1)"
+
+
+def turn_lists(spark, sf):
+    """The turns of users and of assistants as two lists for each conversation."""
     c = load(spark, sf, "conversations").withColumn("slot", F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn")).cast("long"))
-    a, b = (c.where(F.col("role") == r).select("conv_id", "slot", F.md5(F.col("text").cast("binary")).alias(n)) for r, n in (("user", "asked"), ("assistant", "answered")))
-    return a.join(b, ["conv_id", "slot"])
+    return [c.where(F.col("role") == r).select("conv_id", "slot", F.md5(F.col("text").cast("binary")).alias(n)) for r, n in (("user", "asked"), ("assistant", "answered"))]
+
+
+@query("slot_join", f"WITH {TURNS} SELECT conv_id, slot, md5(a.text) AS asked, md5(b.text) AS answered FROM a JOIN b USING (conv_id, slot) JOIN lens USING (conv_id) WHERE n_a = n_b")
+def slot_join(spark, sf):
+    """Two parallel lists joined by key and place. Conversations that end with a question are told by slot_mismatches and left out before: unequal lists would be an error."""
+    a, b = turn_lists(spark, sf)
+    odd = Q.unequal_lists(a, b, "conv_id").select("conv_id")
+    return Q.joined_lists(a.join(odd, "conv_id", "left_anti"), b.join(odd, "conv_id", "left_anti"), "conv_id", "slot")
+
+
+@query("slot_mismatches", f"WITH {TURNS} SELECT conv_id, n_a, n_b FROM lens WHERE n_a <> n_b")
+def slot_mismatches(spark, sf):
+    return Q.unequal_lists(*turn_lists(spark, sf), "conv_id")
 
 
 @query("count_by_key", "SELECT lang, count(*) AS n FROM documents GROUP BY 1")
@@ -408,3 +424,19 @@ def permutation_test(spark, sf, draws=N_PERM):
     m = m.withColumn("mean", F.when(F.col("rows") == k, F.col("mean")).otherwise(F.raise_error(F.lit("the k-th md5 value lies outside the ranked range")).cast("double")))
     observed = F.lit(observed).cast("double")
     return m.agg(F.count("*").alias("draws"), F.round((observed - F.avg("mean")) / F.stddev_pop("mean"), 6).alias("z"), F.round((count(F.col("mean") >= observed) + 1) / (F.count("*") + 1), 6).alias("p"))
+
+
+EXACT = """WITH d AS (SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY 1)"""
+
+
+@query("sketch_rollup", f"{EXACT} SELECT event_type, events, users, true AS users_within, true AS median_within FROM d")
+def sketch_rollup(spark, sf):
+    """Users and median value by type of event from daily sketches that are merged, held against exact figures: within the sketches' bounds?"""
+    e = load(spark, sf, "events")
+    daily = K.sketched(e.withColumn("day", F.to_date("ts")), ["day", "event_type"], "user_id", "value")
+    rolled = K.rolled_up(daily, ["event_type"]).withColumnRenamed("rows", "events")
+    exact = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    ranks = e.join(rolled.select("event_type", "median"), "event_type").groupBy("event_type").agg(F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"))
+    near = (F.col("below") <= 0.5 + K.RANK_ERROR) & (F.col("upto") >= 0.5 - K.RANK_ERROR)
+    close = F.abs(F.col("distinct") - F.col("users")) <= F.ceil(K.COUNT_ERROR * F.col("users"))
+    return rolled.join(exact, "event_type").join(ranks, "event_type").select("event_type", "events", "users", close.alias("users_within"), near.alias("median_within"))

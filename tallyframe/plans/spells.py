@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tallyframe.operators import projection as P
 from tallyframe.operators import spells as S
 from tallyframe.operators import temporal
+from tallyframe.operators.ranking import running_sum
 from tallyframe.operators.stats import laakso
+from tallyframe.sources.shared import reliable
 from tallyframe.sources.tables import load
 
 from .inputs import MOVES, SPELLS, spells
@@ -65,9 +67,8 @@ COSIGN = """WITH d AS (SELECT DISTINCT l_orderkey AS doc, l_suppkey AS signer, l
 @query("cosignature_edges", COSIGN + f" SELECT a.signer AS source, b.signer AS target, count(*) AS weight, round(sum(1 / (size - 1)::DOUBLE), 6) AS weight_newman, {DAY.format('min(s.day)')} AS first_day, {DAY.format('max(s.day)')} AS last_day FROM o a JOIN o b ON a.doc = b.doc AND a.signer < b.signer JOIN s ON s.doc = a.doc GROUP BY 1, 2")
 def cosignature_edges(spark, sf):
     signed = load(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc"), F.col("l_suppkey").alias("signer")).agg(F.min("l_shipdate").alias("day"))
-    sizes = signed.groupBy("doc").agg(F.count("*").alias("size"), F.min("day").alias("day")).where("size > 1")
-    a, b = signed.select("doc", F.col("signer").alias("source")), signed.select("doc", F.col("signer").alias("target"))
-    e = a.join(b, "doc").where("source < target").join(sizes, "doc").groupBy("source", "target")
+    days = signed.groupBy("doc").agg(F.min("day").alias("day"))
+    e = P.signer_pairs(signed, "doc", "signer").join(days, "doc").groupBy("source", "target")
     return dates(e.agg(F.count("*").alias("weight"), F.round(F.sum(1 / (F.col("size") - 1)), 6).alias("weight_newman"), F.min("day").alias("first_day"), F.max("day").alias("last_day")), "first_day", "last_day")
 
 
@@ -98,13 +99,15 @@ def node_table(spark, sf):
 @query("spearman_weights", f"""WITH {WITHIN}, e AS (SELECT assembly, source, target, count(*) AS w, round(sum(1 / (size - 1)::DOUBLE), 6) AS v FROM pairs GROUP BY 1, 2, 3),
 r AS (SELECT (rank() OVER (ORDER BY w) + (count(*) OVER (PARTITION BY w) - 1) / 2.0)::DOUBLE AS a, (rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0)::DOUBLE AS b FROM e) SELECT round(corr(a, b), 6) AS spearman, count(*) AS edges FROM r""")
 def spearman_weights(spark, sf):
-    e = P.project(spells(spark, sf)).select(F.col("weight").alias("w"), F.col("weight_newman").alias("v"))
-    # Ranks from the counts of distinct values, so that only those are ordered.
+    # Projected once; pairs of weights are counted, and ranks come from running sums over distinct values.
+    e = reliable(P.project(spells(spark, sf)).groupBy(F.col("weight").alias("w"), F.col("weight_newman").alias("v")).agg(F.count("*").alias("m")))
+    total = e.agg(F.sum("m")).first()[0] or 0
     for c, r in (("w", "a"), ("v", "b")):
-        n = e.groupBy(c).agg(F.count("*").alias("n"))
-        before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
-        e = e.join(n.select(c, (before - (F.col("n") - 1) / 2).alias(r)), c)
-    return e.agg(F.round(F.corr("a", "b"), 6).alias("spearman"), F.count("*").alias("edges"))
+        n = running_sum(e.groupBy(c).agg(F.sum("m").alias("n")), [c], "n", "upto")
+        e = e.join(n.select(c, (F.col("upto") - (F.col("n") - 1) / 2).alias(r)), c)
+    a, b = ((F.col(c) - (total + 1) / 2) for c in ("a", "b"))
+    both = e.agg(F.sum(F.col("m") * a * b).alias("ab"), F.sum(F.col("m") * a * a).alias("aa"), F.sum(F.col("m") * b * b).alias("bb"))
+    return both.select(F.round(F.try_divide("ab", F.sqrt(F.col("aa") * F.col("bb"))), 6).alias("spearman"), F.lit(total).cast("long").alias("edges"))
 
 
 SNAP = "snaps AS (SELECT DISTINCT ts::DATE AS day FROM events), seen AS (SELECT user_id AS member, ts::DATE AS day, arg_max(event_type, (ts, event_id)) AS value FROM events GROUP BY 1, 2), ends AS (SELECT min(day) AS first_day, max(day) AS last_day FROM snaps)"

@@ -37,6 +37,12 @@ def with_chunk(spark, sf, n):
     return s.join(V.chunked(d, n, ["day", "division"]).select("division", "chunk"), "division")
 
 
+def contested_ties(spark, sf):
+    """Agreement over contested divisions."""
+    s = reliable(sides(spark, sf))
+    return V.agreement_ties(s, MIN_SHARED, V.contested_divisions(s, MIN_CAST))
+
+
 @query("contested_filter", f"WITH {CONTESTED} SELECT division, count(*) AS cast_votes, count(*) FILTER (side = 1) AS yes FROM cast_ GROUP BY 1")
 def contested_filter(spark, sf):
     return V.contested_divisions(sides(spark, sf), MIN_CAST)
@@ -49,7 +55,7 @@ def active_members(spark, sf):
 
 @query("vote_agreement", f"WITH {AGREEMENT} SELECT source, target, 'vote_agreement' AS layer, shared, weight FROM ties")
 def vote_agreement(spark, sf):
-    t = V.agreement_ties(kept(spark, sf), MIN_SHARED)
+    t = contested_ties(spark, sf)
     return t.select("source", "target", F.lit("vote_agreement").alias("layer"), "shared", "weight")
 
 

@@ -137,11 +137,19 @@ def reference_table(spark: SparkSession, spec: TableSpec, rows: list[dict]) -> D
     return text.select(*[F.expr(f"try_cast(`{c.name}` AS {KINDS[c.kind].simpleString()})").alias(c.name) for c in spec.columns])
 
 
+def content_hash(df: DataFrame) -> Column:
+    """An aggregate over all rows of df that does not depend on their order: the sum of the first eight digits of each row's md5, whose cells stand by
+    name, numbers with fractions in millionths, nulls as nothing, joined by '|'."""
+    cells = [F.coalesce((F.round(F.col(c) * 1_000_000).cast("long") if kind in ("double", "float") else F.col(c)).cast("string"), F.lit("")) for c, kind in sorted(df.dtypes)]
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("long")), F.lit(0))
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str) -> DataFrame:
-    """Write each table as Parquet under the folder and return (table_name, row_count) of what was written."""
+    """Write each table as Parquet under the folder and return (table_name, row_count, content) of what was written, by content_hash()."""
     spark = next(iter(tables.values())).sparkSession
-    counts = []
+    found = []
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        counts.append((name, spark.read.parquet(f"{folder}/{name}").count()))
-    return spark.createDataFrame(counts, "table_name string, row_count long")
+        back = spark.read.parquet(f"{folder}/{name}")
+        found.append((name, *back.agg(F.count("*"), content_hash(back)).first()))
+    return spark.createDataFrame(found, "table_name string, row_count long, content long")
