@@ -286,8 +286,9 @@ def disparity_filter(spark, sf):
     return G.disparity(sponsored(spark, sf)).select("source", "target", "weight", F.round("p", 6).alias("p"), (F.col("p") < 0.05).alias("kept"))
 
 
-@query("pair_correlation", f"""WITH {AGREEMENT}, {SIGNED}, {SPONSORED}, often AS (SELECT * FROM sponsored WHERE weight > (SELECT avg(weight) FROM sponsored)), b AS (SELECT t.weight AS x, s.weight AS y FROM ties t FULL JOIN often s ON s.source = t.source AND s.target = t.target)
-SELECT count(*) AS pairs, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS in_both, round(corr(coalesce(x, 0)::DOUBLE, coalesce(y, 0)::DOUBLE), 6) AS correlation, round(corr(x, (y IS NOT NULL)::INTEGER::DOUBLE) FILTER (x IS NOT NULL), 6) AS with_any FROM b""")
+@query("pair_correlation", f"""WITH {AGREEMENT}, {SIGNED}, {SPONSORED}, often AS (SELECT * FROM sponsored WHERE weight > (SELECT avg(weight) FROM sponsored)), b AS (SELECT t.weight AS x, s.weight AS y FROM ties t FULL JOIN often s ON s.source = t.source AND s.target = t.target),
+c AS (SELECT count(*) AS pairs, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS in_both, corr(coalesce(x, 0)::DOUBLE, coalesce(y, 0)::DOUBLE) AS r, corr(x, (y IS NOT NULL)::INTEGER::DOUBLE) FILTER (x IS NOT NULL) AS s FROM b)
+SELECT pairs, in_both, CASE WHEN NOT isnan(r) THEN round(r, 6) END AS correlation, CASE WHEN NOT isnan(s) THEN round(s, 6) END AS with_any FROM c""")
 def pair_correlation(spark, sf):
     """Do those who vote alike work together? Agreement against pairs that have more common orders than the mean, pair by pair."""
     s = sponsored(spark, sf)
