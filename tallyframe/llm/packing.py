@@ -35,27 +35,28 @@ BLOCK_PIECES = 1024
 END_ID = 1
 #: Bytes of input (by the optimizer's estimate) for one task, at least, where the session's cores are busy anyway.
 TASK_BYTES = 2 << 20
-LONG_RUN = re.compile(r"\S{2000}")
+LONG_RUN, PART_RUN = re.compile(r"\S{2000}"), re.compile(r"\S{1000}")
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
     """Indexes of sizes in k subsets of near-equal sums."""
     if k == 1 or not sizes:
         return [list(range(len(sizes)))] + [[] for _ in range(k - 1)]
-    zeros = [0] * (k - 1)
-    empty = [None] * (k - 1)
-    # A partial partition: its subsets' sums in rising order, and for each a tree of indexes.
-    heap = [(-s, n, [*zeros, s], [*empty, n]) for n, s in enumerate(sizes)]
+    # A partial partition: the sums of its subsets that are not empty, in rising order, and for each a tree of indexes.
+    heap = [(-s, n, [s], [n]) for n, s in enumerate(sizes)]
     heapq.heapify(heap)
     made = len(sizes)
     while len(heap) > 1:
         _, _, a_sums, a_sets = heapq.heappop(heap)
         _, _, b_sums, b_sets = heapq.heappop(heap)
-        sums = np.add(a_sums, b_sums[::-1])
-        order = np.argsort(sums, kind="stable").tolist()
-        sets = [x if y is None else y if x is None else (x, y) for x, y in zip(a_sets, reversed(b_sets), strict=True)]
-        sums = sums[order]
-        heapq.heappush(heap, (int(sums[0] - sums[-1]), made, sums, [sets[i] for i in order]))
+        # The fullest subsets of one meet the empty ones of the other; so many of either meet one that is not empty.
+        met = max(0, len(a_sums) + len(b_sums) - k)
+        sums = [*b_sums[: met - 1 if met else None : -1], *map(int.__add__, a_sums[:met], b_sums[met - 1 :: -1] if met else []), *a_sums[met:]]
+        sets = [*b_sets[: met - 1 if met else None : -1], *zip(a_sets[:met], b_sets[met - 1 :: -1] if met else [], strict=False), *a_sets[met:]]
+        order = sorted(range(len(sums)), key=sums.__getitem__)
+        sums = [sums[i] for i in order]
+        least = sums[0] if len(sums) == k else 0
+        heapq.heappush(heap, (least - sums[-1], made, sums, [sets[i] for i in order]))
         made += 1
     out = []
     for tree in heap[0][3]:
@@ -67,7 +68,7 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
             else:
                 leaves.append(x)
         out.append(sorted(leaves))
-    return out
+    return [[] for _ in range(k - len(out))] + out
 
 
 def pack_block(sizes: list[int], window: int = WINDOW) -> list[list[int]]:
@@ -103,11 +104,16 @@ class ByteTokenizer:
             self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        if self.fast is None or any(t in text for t in self.special) or LONG_RUN.search(text):
+        if self.fast is None or any(t in text for t in self.special) or has_long_run(text):
             return self.library.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
 
+def has_long_run(text: str) -> bool:
+    """Whether 2,000 characters follow each other without white space: these hold a thousand that begin at a multiple of 1,000, so that texts without such are read in few places."""
+    return any(PART_RUN.match(text, at) for at in range(0, len(text) - 999, 1000)) and LONG_RUN.search(text) is not None
+
+
 @lru_cache(maxsize=2)
 def byte_tokenizer(json_path: str, ranks_path: str | None = None, pattern: str | None = None) -> ByteTokenizer:
     return ByteTokenizer(json_path, ranks_path, pattern)

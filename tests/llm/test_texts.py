@@ -343,3 +343,12 @@ def test_no_label_rejects_no_letters(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r["doc_id"] for r in language.keep_identified(docs.where("lang IS NULL")).collect()} == set(range(20))
     assert {r["doc_id"] for r in language.keep_identified(docs).collect()} >= set(range(20))
+
+
+def test_long_runs_are_found_wherever_they_begin():
+    from tallyframe.llm.packing import LONG_RUN, has_long_run
+
+    for before in (0, 1, 999, 1000, 1001, 1999, 2345):
+        for n in (1999, 2000, 2001, 2999):
+            for text in ("b " * before + "é" * n, " " * before + "x" * n + " y" * 700, "x" * before + " " + "y" * n):
+                assert has_long_run(text) == (LONG_RUN.search(text) is not None)
