@@ -284,16 +284,14 @@ means AS (SELECT x.draw, sum(weight * x.mult * y.mult) / sum(x.mult * y.mult) AS
 ranked AS (SELECT mean, row_number() OVER (ORDER BY mean) - 1 AS r, count(*) OVER () AS n FROM means)
 SELECT round(min(mean) FILTER (r = floor(0.025 * n)), 6) AS low, round(min(mean) FILTER (r = floor(0.975 * n)), 6) AS high, count(*) AS draws FROM ranked""")
 def cluster_bootstrap(spark, sf, draws=BOOTSTRAP):
-    """Each draw's mean is summed over a member's ties first, so that ties by draws are not shuffled."""
-    s = kept(spark, sf)
+    """Each draw's mean is summed up in the tiles of members, so that neither ties nor ties by draws are rows."""
+    s = reliable(kept(spark, sf))
     w0 = Window.partitionBy(F.lit(0))
     members = global_rank(s.select("member").distinct(), ["member"], "i").withColumn("i", F.col("i") - 1)
     m = members.crossJoin(F.broadcast(members.agg(F.count("*").alias("n"))))
     pick = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("cluster"), "draw", "i")), 1, 8), 16, 10).cast("long") % F.col("n")
     picks = m.crossJoin(spark.range(draws).withColumnRenamed("id", "draw")).select("draw", pick.alias("i")).join(m.select("i", "member"), "i").groupBy("draw", "member").agg(F.count("*").alias("mult"))
-    t = V.agreement_ties(s, MIN_SHARED).join(picks.toDF("draw", "target", "my"), "target")
-    t = t.groupBy("source", "draw").agg(F.sum(F.col("weight") * F.col("my")).alias("top"), F.sum("my").alias("bottom")).join(picks.toDF("draw", "source", "mx"), ["draw", "source"])
-    means = t.groupBy("draw").agg((F.sum(F.col("top") * F.col("mx")) / F.sum(F.col("bottom") * F.col("mx"))).alias("mean"))
+    means = V.bootstrap_sums(s, picks, draws, MIN_SHARED).where("bottom > 0").select("draw", (F.col("top") / F.col("bottom")).alias("mean"))
     r = means.withColumn("r", F.row_number().over(w0.orderBy("mean")) - 1).withColumn("n", F.count("*").over(w0))
     at = lambda q: F.round(F.min(F.when(F.col("r") == F.floor(F.col("n") * q), F.col("mean"))), 6)
     return r.agg(at(0.025).alias("low"), at(0.975).alias("high"), F.count("*").alias("draws"))
