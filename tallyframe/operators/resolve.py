@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Callable, Iterator
 from functools import reduce
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -62,11 +64,13 @@ def too_far_apart(a_year: Column, b_year: Column, born: Column, most: int = 40)
     return born.isNull() & F.coalesce(F.abs(a_year - b_year) > most, F.lit(False))
 
 
-#: Rows of a component that one task resolves in order, at most; larger components take one round of joins for each chamber of each source.
-IN_ORDER = 1_000_000
+#: Rows of a component that one task resolves in order, at most: it holds classes of rows, and larger components take one round of joins for each chamber of each source.
+IN_ORDER = 100_000_000
+#: Rows whose refusals are listed together.
+BATCH_ROWS = 1_000
 
 
-def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order: int = IN_ORDER) -> tuple[DataFrame, DataFrame]:
+def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order: int = IN_ORDER, refusals: bool = True) -> tuple[DataFrame, DataFrame]:
     """(resolved, refused): rows joined to persons, one after another in order of trust of their sources and then of seq.
 
     rows: source, seq, source_key, ar_key, lat_key (null if unknown), chamber, year, born. A row with the source and source_key of an earlier one is that
@@ -76,10 +80,10 @@ def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order:
     the source and seq of the first row, as 'source:seq', and has the first Latin key and birth date that any of its rows brought.
 
     resolved: source, seq, chamber, person, method, confidence. refused: person, source, seq, chamber_a, chamber_b, years_apart, for each earlier row
-    that a row met on its way to its match and that lies too far apart. Rows of other sources are left out.
+    that a row met on its way to its match and that lies too far apart, which may be a good part of all before it; without refusals none are listed. Rows of other sources are left out.
 
     Rows that share no key never meet: they fall into components, found by contraction, and each component is resolved in order by one task, which reads
-    it sorted and holds its persons and keys. Components of over in_order rows (very common names) go through rounds(), where rows of one round do not see each other.
+    it sorted and holds classes of rows by what is known of their persons. Components of over in_order rows go through rounds(), where rows of one round do not see each other.
     """
     known = rows.where(F.col("source").isin(*sources)).select("source", "seq", "source_key", "ar_key", "lat_key", "chamber", "year", "born")
     rank = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int").alias("rank")
@@ -89,7 +93,11 @@ def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order:
     placed = tabled(keyed.join(roots, keyed["first"] == roots["node"], "left").withColumn("component", F.coalesce("root", "first")).drop("keys", "first", "node", "root"))
     release(keyed, roots)
     large = tabled(placed.groupBy("component").count().where(F.col("count") > in_order).select("component"))
-    found = tabled(in_turn(placed.join(F.broadcast(large), "component", "left_anti"), most_years))
+    turns = tabled(in_turn(placed.join(F.broadcast(large), "component", "left_anti"), most_years, refusals))
+    # The task in order lists a row's refusals beside it, and those who read them make rows of them.
+    own = turns.withColumns({"other": F.lit(None).cast(turns.schema["chamber"].dataType), "years_apart": F.lit(None).cast(placed.schema["year"].dataType)}).drop("r_person", "r_chamber", "r_years")
+    listed = turns.select("source", "seq", "chamber", F.inline(F.arrays_zip("r_person", "r_chamber", "r_years"))).select(F.col("r_person").alias("person"), "source", "seq", "chamber", F.lit(None).cast("string").alias("method"), F.col("r_chamber").alias("other"), F.col("r_years").alias("years_apart"))
+    found = own.unionByName(listed)
     if not large.isEmpty():
         found = tabled(found.unionByName(rounds(placed.join(F.broadcast(large), "component", "left_semi"), most_years)))
     release(placed, large)
@@ -98,73 +106,167 @@ def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order:
     return resolved, found.where("method IS NULL").select("person", "source", "seq", F.col("other").alias("chamber_a"), F.col("chamber").alias("chamber_b"), "years_apart")
 
 
+class Person:
+    """name, the first Latin key and whether a birth date is known; and, while either may still come, the entries that then change their class."""
+
+    __slots__ = ("name", "lat", "born", "open")
+
+    def __init__(self, name: str):
+        self.name, self.lat, self.born, self.open = name, None, False, []
+
+
+class Refused:
+    """Refusals as three lists."""
+
+    def __init__(self):
+        self.persons, self.chambers, self.years = [], [], []
+
+    def add(self, persons: list[str], chamber, years: int) -> None:
+        self.persons += persons
+        self.chambers += [chamber] * len(persons)
+        self.years += [years] * len(persons)
+
+
+class Entries:
+    """The rows of one key, as entries (place, person) by chamber, year and what is known of their persons, so that a row looks at classes and not at rows.
+
+    first: by Latin key of the person, then by (chamber, year, born). Of classes whose persons cannot change any more only the first entry is kept. unborn: by
+    (chamber, year), those without a birth date, which are refused if they lie too far apart.
+    """
+
+    def __init__(self, by_lat: bool):
+        self.by_lat = by_lat
+        self.first: dict[str | None, dict[tuple, list[tuple]]] = {}
+        self.unborn: dict[tuple, tuple[list[int], list[str]]] = {}  # places and names
+
+    def put(self, at: int, person: Person, chamber, year) -> None:
+        lat = person.lat if self.by_lat else None
+        of = self.first.setdefault(lat, {}).setdefault((chamber, year, person.born), [])
+        if person.born and (lat is not None or not self.by_lat):
+            if not of or at < of[0][0]:
+                of[:] = [(at, person)]
+        else:
+            insort(of, (at, person), key=itemgetter(0))
+        if not person.born:
+            ats, names = self.unborn.setdefault((chamber, year), ([], []))
+            n = bisect_left(ats, at)
+            ats.insert(n, at)
+            names.insert(n, person.name)
+
+    def take(self, at: int, person: Person, chamber, year) -> None:
+        """The entry leaves, before what is known of its person changes."""
+        # A class that keeps its first entry only may have lost this one.
+        classes, key = self.first[person.lat if self.by_lat else None], (chamber, year, person.born)
+        of = classes.get(key, [])
+        n = bisect_left(of, at, key=itemgetter(0))
+        if n < len(of) and of[n][0] == at:
+            del of[n]
+            if not of:
+                del classes[key]
+        if not person.born:
+            ats, names = self.unborn[chamber, year]
+            n = bisect_left(ats, at)
+            del ats[n], names[n]
+            if not ats:
+                del self.unborn[chamber, year]
+
+    def hit(self, lat_key, chamber, far: Callable, refused: Refused | None) -> Person | None:
+        """The person of the first entry that a row matches; what it meets before and is too far apart goes to refused, if that is asked for."""
+        lats = self.first if not self.by_lat or lat_key is None else [x for x in (lat_key, None) if x in self.first]
+        best = None
+        for lat in lats:
+            for (there, then, born), of in self.first[lat].items():
+                if there != chamber and (best is None or of[0][0] < best[0]) and (born or not far(then)):
+                    best = of[0]
+        for (there, then), (ats, names) in self.unborn.items() if refused is not None else ():
+            if there != chamber and (years := far(then)):
+                refused.add(names if best is None else names[: bisect_left(ats, best[0])], there, years)
+        return best[1] if best is not None else None
+
+
 class Resolver:
-    """The rows of one component, in order."""
+    """The rows of one component, in order. What it holds grows with classes of entries and persons of whom not all is known, not with rows."""
 
     def __init__(self, most_years: int):
-        self.most_years = most_years
-        self.persons: list[list] = []  # name, Latin key, birth date
-        self.by_source_key: dict[tuple, int] = {}
-        self.by_key: dict[tuple, list[tuple]] = {}  # (person, chamber, year) for each row
-
-    def take(self, source, seq, source_key, ar_key, lat_key, chamber, year, born) -> tuple[str, str, list[tuple]]:
-        """(person, method, refusals as (person, chamber, years)) of the next row."""
-        refused: list[tuple] = []
+        self.most_years, self.count = most_years, 0
+        self.by_source_key: dict[tuple, Person] = {}
+        self.by_key: dict[tuple, Entries] = {}
+
+    def take(self, source, seq, source_key, ar_key, lat_key, chamber, year, born, more: bool, refused: Refused | None = None) -> tuple[str, str]:
+        """(person, method) of the next row, whose refusals are put to refused. more: whether its source_key comes again."""
         person = self.by_source_key.get((source, source_key)) if source_key is not None else None
         if person is not None:
             method = "source_key"
+            self._known(person, lat_key, born)
         else:
             person, method = self._by_name(ar_key, lat_key, chamber, year, refused)
             if person is None:
-                person, method = len(self.persons), "source_id"
-                self.persons.append([f"{source}:{seq}", None, None])
-            if source_key is not None:
-                self.by_source_key[source, source_key] = person
+                person, method = Person(f"{source}:{seq}"), "source_id"
+            self._known(person, lat_key, born)
             for kind, key in (("ar", ar_key), ("lat", lat_key)):
                 if key is not None:
-                    self.by_key.setdefault((kind, key), []).append((person, chamber, year))
-        own = self.persons[person]
-        own[1] = lat_key if own[1] is None else own[1]
-        own[2] = born if own[2] is None else own[2]
-        return own[0], method, refused
+                    entries = self.by_key.get((kind, key))
+                    if entries is None:
+                        entries = self.by_key[kind, key] = Entries(kind == "ar")
+                    entries.put(self.count, person, chamber, year)
+                    if person.open is not None:
+                        person.open.append((entries, self.count, chamber, year))
+            self.count += 1
+        if source_key is not None:
+            if more:
+                self.by_source_key[source, source_key] = person
+            else:
+                self.by_source_key.pop((source, source_key), None)
+        return person.name, method
+
+    def _known(self, person: Person, lat_key, born) -> None:
+        lat = lat_key if person.lat is None else person.lat
+        born = person.born or born is not None
+        if (lat, born) != (person.lat, person.born):
+            for entries, at, chamber, year in person.open:
+                entries.take(at, person, chamber, year)
+            person.lat, was_open, person.born = lat, person.open, born
+            for entries, at, chamber, year in was_open:
+                entries.put(at, person, chamber, year)
+            if lat is not None and born:
+                person.open = None
+
+    def _by_name(self, ar_key, lat_key, chamber, year, refused: Refused | None) -> tuple[Person | None, str]:
+        def far(then) -> int:
+            """How many years lie between, if these are too many."""
+            apart = abs(year - then) if year is not None and then is not None else 0
+            return apart if apart > self.most_years else 0
 
-    def _by_name(self, ar_key, lat_key, chamber, year, refused: list[tuple]) -> tuple[int | None, str]:
         for kind, key in (("ar", ar_key), ("lat", lat_key)):
-            for person, there, then in self.by_key.get((kind, key), ()) if key is not None else ():
-                name, lat, born = self.persons[person]
-                if there == chamber:
-                    continue
-                if born is None and year is not None and then is not None and abs(year - then) > self.most_years:
-                    refused.append((name, there, abs(year - then)))
-                    continue
-                if kind == "lat":
-                    return person, "normalised_name_lat"
-                if lat_key is None or lat is None:
-                    return person, "normalised_name_ar"
-                if lat_key == lat:
-                    return person, "normalised_name_ar+lat"
+            entries = self.by_key.get((kind, key)) if key is not None else None
+            if entries is not None and (person := entries.hit(lat_key, chamber, far, refused)) is not None:
+                return person, "normalised_name_lat" if kind == "lat" else "normalised_name_ar" if lat_key is None or person.lat is None else "normalised_name_ar+lat"
         return None, ""
 
 
-def in_turn(placed: DataFrame, most_years: int) -> DataFrame:
-    """(person, source, seq, chamber, method, other, years_apart): every row, and every refusal with a null method. Components stay together, each is read in order."""
+def in_turn(placed: DataFrame, most_years: int, refusals: bool) -> DataFrame:
+    """(person, source, seq, chamber, method, refused), the last one as lists: every row. Components stay together, each is read in order."""
     kinds = dict(placed.dtypes)
-    schema = f"person string, source {kinds['source']}, seq {kinds['seq']}, chamber {kinds['chamber']}, method string, other {kinds['chamber']}, years_apart {kinds['year']}"
-    fields = ("component", "source", "seq", "source_key", "ar_key", "lat_key", "chamber", "year", "born")
+    schema = f"person string, source {kinds['source']}, seq {kinds['seq']}, chamber {kinds['chamber']}, method string, r_person array<string>, r_chamber array<{kinds['chamber']}>, r_years array<{kinds['year']}>"
+    fields = ("component", "source", "seq", "source_key", "ar_key", "lat_key", "chamber", "year", "born", "more")
+    # Rows without a source_key are each alone, lest all of them meet in one place.
+    alike = Window.partitionBy("source", "source_key", F.when(F.col("source_key").isNull(), F.col("seq"))).orderBy("seq")
+    placed = placed.withColumn("more", F.lead(F.lit(True)).over(alike).isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, resolver = None, Resolver(most_years)
-        for batch in batches:
-            out: list[tuple] = []
-            for component, *row in zip(*(batch.column(c).to_pylist() for c in fields), strict=True):
-                if component != at:
-                    at, resolver = component, Resolver(most_years)
-                person, method, refused = resolver.take(*row)
-                source, seq, chamber = row[0], row[1], row[5]
-                out.append((person, source, seq, chamber, method, None, None))
-                out += [(p, source, seq, chamber, None, there, years) for p, there, years in refused]
-            arrays = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), target, strict=True)] if out else [pa.array([], f.type) for f in target]
-            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                out, refused, offsets = [], Refused(), [0]
+                for component, *row in zip(*(batch.column(c).to_pylist() for c in fields), strict=True):
+                    if component != at:
+                        at, resolver = component, Resolver(most_years)
+                    out.append(resolver.take(*row, refused if refusals else None))
+                    offsets.append(len(refused.persons))
+                names = [pa.array(c, pa.string()) for c in zip(*out, strict=True)]
+                lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, target.field(c).type.value_type)) for c, x in (("r_person", refused.persons), ("r_chamber", refused.chambers), ("r_years", refused.years))]
+                yield pa.RecordBatch.from_arrays([names[0], *[batch.column(c) for c in ("source", "seq", "chamber")], names[1], *lists], schema=target)
 
     target = to_arrow_schema(T.StructType.fromDDL(schema))
     return placed.repartition("component").sortWithinPartitions("component", "rank", "seq").select(*fields).mapInArrow(run, schema)

@@ -71,12 +71,12 @@ def people(spark, sf):
 
 @query("resolve_entities", RESOLVE + " SELECT source, seq, person, method, confidence FROM resolved")
 def resolve_entities(spark, sf):
-    return R.resolve(people(spark, sf), ["a", "b", "c"])[0].drop("chamber")
+    return R.resolve(people(spark, sf), ["a", "b", "c"], refusals=False)[0].drop("chamber")
 
 
 @query("match_review", RESOLVE + " SELECT person, source, seq, chamber, method, confidence, 'confirm this is the same person' AS action_required FROM resolved WHERE method NOT IN ('source_id', 'source_key')")
 def match_review(spark, sf):
-    return R.match_review(R.resolve(people(spark, sf), ["a", "b", "c"])[0])
+    return R.match_review(R.resolve(people(spark, sf), ["a", "b", "c"], refusals=False)[0])
 
 
 @query("match_refusals", RESOLVE + " SELECT person, source, seq, chamber_a, chamber_b, years_apart FROM far")
