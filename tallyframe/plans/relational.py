@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from tallyframe.functions.digests import SIDE_BY_SIDE, Endings
 from tallyframe.operators import quality as Q
 from tallyframe.operators import sketches as K
 from tallyframe.operators import stats as T
@@ -17,8 +23,10 @@ from .registry import query
 
 #: Draws of the permutation test, as in the reference.
 N_PERM = 10_000
-#: Rows by draws for each partition; standard deviations and spare rows around the k-th md5 value that are ranked.
-ROWS_EACH, RANK_SIGMAS, RANK_SPARE = 5_000_000, 8, 40
+#: Rows by draws for each partition, at most and (where cores would be idle) at least; standard deviations and spare rows around the k-th md5 value that are ranked.
+ROWS_EACH, LEAST_EACH, RANK_SIGMAS, RANK_SPARE = 80_000_000, 5_000_000, 8, 40
+#: Ranked rows that leave a task together.
+NEAR_ROWS = 1 << 17
 
 
 def whole():
@@ -406,18 +414,42 @@ def permutation_test(spark, sf, draws=N_PERM):
     """Draws without replacement by md5 ranks; p = (k + 1) / (n + 1).
 
     md5 values are uniform, so the k-th smallest of n lies close to k / n of their range. Values clearly below are summed where they are, those
-    clearly above are left, and only those around it are shuffled and ranked. A draw whose k-th value lies elsewhere stops the query.
+    clearly above are left, and only those around it are shuffled and ranked. Each task hashes its rows side by side. A draw whose k-th value lies elsewhere stops the query.
     """
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("x"), (F.col("c_mktsegment") == "BUILDING").alias("g"))
     n, k, observed = c.agg(F.count("*"), F.count_if("g"), F.avg(F.when(F.col("g"), F.col("x")))).first()
     share = k / max(n, 1)
     slack = (RANK_SIGMAS * math.sqrt(n * share * (1 - share)) + RANK_SPARE) / max(n, 1)
-    low, high = (f"{int(f * 16**8):08x}" if f < 1 else "g" for f in (max(share - slack, 0.0), share + slack))
-    spread = c.select("id", "x").repartition(max(1, math.ceil(n * draws / ROWS_EACH)), "id")
-    drawn = spread.crossJoin(F.broadcast(spark.range(draws).withColumnRenamed("id", "draw")))
-    near = drawn.withColumn("m", F.md5(F.concat_ws("|", F.lit("perm"), "draw", "id"))).where(F.col("m") < high)
-    kept = lambda c: F.when(F.col("m") >= low, c)
-    sums = near.groupBy("draw", kept(F.unhex("m")).alias("m"), kept(F.col("id")).alias("id")).agg(F.count("*").alias("rows"), F.count("x").alias("values"), F.sum("x").alias("total"))
+    low, high = (min(int(f * 16**8), 16**8) for f in (max(share - slack, 0.0), share + slack))
+    parts = max(min(math.ceil(n * draws / LEAST_EACH), spark.sparkContext.defaultParallelism), math.ceil(n * draws / ROWS_EACH), 1)
+    spread = c.select("id", "x").repartition(parts, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sure = np.zeros((3, draws))
+        for whole in batches:
+            for batch in (whole.slice(at, SIDE_BY_SIDE) for at in range(0, whole.num_rows, SIDE_BY_SIDE)):
+                ids, x = batch.column("id"), batch.column("x")
+                there = x.is_valid().to_numpy(zero_copy_only=False).astype(float)
+                of = np.stack([np.ones(len(x)), there, x.fill_null(0.0).to_numpy()])
+                endings = Endings(["" if i is None else f"|{i}" for i in ids.to_pylist()])
+                near = []
+                for draw in range(draws):
+                    head = endings.heads(f"perm|{draw}") >> np.uint64(32)
+                    sure[:, draw] += of @ (head < low)
+                    near.append(np.flatnonzero((head >= low) & (head < high)))
+                drawn, at = np.repeat(np.arange(draws), [len(i) for i in near]), np.concatenate(near)
+                for some in (slice(i, i + NEAR_ROWS) for i in range(0, len(at), NEAR_ROWS)):
+                    rows, values, totals = of[:, at[some]]
+                    yield pa.RecordBatch.from_arrays([pa.array(drawn[some]), ids.take(pa.array(at[some])), pa.array([True]).take(pa.array(np.zeros(len(rows), int))), *sums_of(rows, values, totals)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(draws)), pa.nulls(draws, pa.int64()), pa.array(np.zeros(draws, bool)), *sums_of(*sure)], schema=schema)
+
+    def sums_of(rows: np.ndarray, values: np.ndarray, totals: np.ndarray) -> list[pa.Array]:
+        return [pa.array(rows.astype(np.int64)), pa.array(values.astype(np.int64)), pa.array(totals, mask=values == 0)]
+
+    columns = "draw long, id long, near boolean, rows long, values long, total double"
+    schema = to_arrow_schema(T_.StructType.fromDDL(columns))
+    md5 = F.when(F.col("near"), F.unhex(F.md5(F.concat_ws("|", F.lit("perm"), "draw", "id"))))
+    sums = spread.mapInArrow(run, columns).groupBy("draw", md5.alias("m"), "id").agg(*[F.sum(v).alias(v) for v in ("rows", "values", "total")])
     upto = F.sum("rows").over(Window.partitionBy("draw").orderBy(F.asc_nulls_first("m"), "id"))
     taken = lambda c: F.sum(F.when(F.col("upto") <= k, F.col(c)))
     m = sums.withColumn("upto", upto).groupBy("draw").agg(F.coalesce(taken("rows"), F.lit(0)).alias("rows"), F.try_divide(taken("total"), taken("values")).alias("mean"))

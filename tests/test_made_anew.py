@@ -1,11 +1,13 @@
 """What grows with pairs, rounds or rows of a key is made anew, looked up or left out, and results stay the same."""
 
+import hashlib
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from tallyframe.functions.digests import Endings
 from tallyframe.operators import graph as G
 from tallyframe.operators import resolve as R
 from tallyframe.operators import spectral
@@ -97,3 +99,12 @@ def test_resolver_is_that_of_plain_lists():
             more = any(x[0] == source and x[2] == key for x in rows[i + 1 :])
             assert resolver.take(*rows[i], more, got) == (who, how)
             assert sorted(zip(got.persons, map(str, got.chambers), got.years, strict=True)) == sorted((p, str(c), y) for p, c, y in refused)
+
+
+@pytest.mark.parametrize("texts", [[f"|{i}" for i in (*range(0, 3000, 7), 10**6, 10**18)] + ["", "|\u00e9"], [""], []])
+def test_md5_of_many_texts(texts):
+    endings = Endings(texts)
+    for begun in ("", "perm|0", "perm|17", "null|123", "null|9999|1234"):
+        assert endings.heads(begun).tolist() == [int(hashlib.md5((begun + t).encode()).hexdigest()[:16], 16) for t in texts]
+    with pytest.raises(ValueError):
+        Endings(["x" * 50]).heads("beyond")
