@@ -202,7 +202,9 @@ def disparity(ties: DataFrame) -> DataFrame:
 
     (1 - share) ** (ties - 1) at each end; the smaller one counts. A tie that is an end's only one says nothing there (1). Ties with p below a level are the backbone.
     """
-    ends = both_ways(ties).groupBy(F.col("source").alias("member")).agg(F.count("*").alias("k"), F.sum("weight").alias("s"))
+    # Written, as ties are read twice; what their ends come to goes beside them, so that none is sorted or moved.
+    ties = tabled(ties)
+    ends = beside(both_ways(ties).groupBy(F.col("source").alias("member")).agg(F.count("*").alias("k"), F.sum("weight").alias("s")))
     a, b = ends.toDF("source", "ka", "sa"), ends.toDF("target", "kb", "sb")
     chance = lambda k, s: F.when(F.col(k) > 1, F.pow(1 - F.col("weight") / F.col(s), F.col(k) - 1)).otherwise(1.0)
     return ties.join(a, "source").join(b, "target").select("source", "target", "weight", F.least(chance("ka", "sa"), chance("kb", "sb")).alias("p"))

@@ -11,7 +11,7 @@ from tallyframe.operators import communities as C
 from tallyframe.operators import graph as G
 from tallyframe.operators import spectral
 from tallyframe.operators import votes as V
-from tallyframe.operators.projection import cosign
+from tallyframe.operators.projection import signed_edges
 from tallyframe.operators.stats import wilson
 from tallyframe.sources.shared import reliable
 from tallyframe.sources.tables import load
@@ -277,7 +277,7 @@ SIGNED = "signed AS (SELECT DISTINCT l_orderkey AS doc, l_suppkey AS signer FROM
 
 def sponsored(spark, sf):
     """Ties of suppliers by the orders that both serve."""
-    return cosign(load(spark, sf, "lineitem"), "l_orderkey", "l_suppkey").select("source", "target", "weight")
+    return signed_edges(load(spark, sf, "lineitem"), "l_orderkey", "l_suppkey").select("source", "target", "weight")
 
 
 @query("disparity_filter", f"""WITH {SIGNED}, {SPONSORED}, ends AS (SELECT source AS member, weight FROM sponsored UNION ALL SELECT target, weight FROM sponsored), e AS (SELECT member, count(*) AS k, sum(weight) AS s FROM ends GROUP BY 1),
