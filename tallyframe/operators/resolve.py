@@ -64,13 +64,11 @@ def too_far_apart(a_year: Column, b_year: Column, born: Column, most: int = 40)
     return born.isNull() & F.coalesce(F.abs(a_year - b_year) > most, F.lit(False))
 
 
-#: Rows of a component that one task resolves in order, at most: it holds classes of rows, and larger components take one round of joins for each chamber of each source.
-IN_ORDER = 100_000_000
 #: Rows whose refusals are listed together.
 BATCH_ROWS = 1_000
 
 
-def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order: int = IN_ORDER, refusals: bool = True) -> tuple[DataFrame, DataFrame]:
+def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order: int | None = None, refusals: bool = True) -> tuple[DataFrame, DataFrame]:
     """(resolved, refused): rows joined to persons, one after another in order of trust of their sources and then of seq.
 
     rows: source, seq, source_key, ar_key, lat_key (null if unknown), chamber, year, born. A row with the source and source_key of an earlier one is that
@@ -83,7 +81,8 @@ def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order:
     that a row met on its way to its match and that lies too far apart, which may be a good part of all before it; without refusals none are listed. Rows of other sources are left out.
 
     Rows that share no key never meet: they fall into components, found by contraction, and each component is resolved in order by one task, which reads
-    it sorted and holds classes of rows by what is known of their persons. Components of over in_order rows go through rounds(), where rows of one round do not see each other.
+    it sorted and holds classes of rows by what is known of their persons, however large it is. Only a caller that names in_order sends components of over so many rows
+    through rounds(), where rows of one round do not see each other, so that the results are others.
     """
     known = rows.where(F.col("source").isin(*sources)).select("source", "seq", "source_key", "ar_key", "lat_key", "chamber", "year", "born")
     rank = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int").alias("rank")
@@ -92,15 +91,15 @@ def resolve(rows: DataFrame, sources: list[str], most_years: int = 40, in_order:
     roots = contract(keyed.select(F.col("first").alias("a"), F.explode("keys").alias("b")))
     placed = tabled(keyed.join(roots, keyed["first"] == roots["node"], "left").withColumn("component", F.coalesce("root", "first")).drop("keys", "first", "node", "root"))
     release(keyed, roots)
-    large = tabled(placed.groupBy("component").count().where(F.col("count") > in_order).select("component"))
-    turns = tabled(in_turn(placed.join(F.broadcast(large), "component", "left_anti"), most_years, refusals))
+    large = tabled(placed.groupBy("component").count().where(F.col("count") > in_order).select("component")) if in_order is not None else None
+    turns = tabled(in_turn(placed if large is None else placed.join(F.broadcast(large), "component", "left_anti"), most_years, refusals))
     # The task in order lists a row's refusals beside it, and those who read them make rows of them.
     own = turns.withColumns({"other": F.lit(None).cast(turns.schema["chamber"].dataType), "years_apart": F.lit(None).cast(placed.schema["year"].dataType)}).drop("r_person", "r_chamber", "r_years")
     listed = turns.select("source", "seq", "chamber", F.inline(F.arrays_zip("r_person", "r_chamber", "r_years"))).select(F.col("r_person").alias("person"), "source", "seq", "chamber", F.lit(None).cast("string").alias("method"), F.col("r_chamber").alias("other"), F.col("r_years").alias("years_apart"))
     found = own.unionByName(listed)
-    if not large.isEmpty():
+    if large is not None and not large.isEmpty():
         found = tabled(found.unionByName(rounds(placed.join(F.broadcast(large), "component", "left_semi"), most_years)))
-    release(placed, large)
+    release(placed, *([large] if large is not None else []))
     confidence = F.when(F.col("method").isin("source_id", "source_key", "normalised_name_ar+lat"), "high").otherwise("medium").alias("confidence")
     resolved = found.where("method IS NOT NULL").select("source", "seq", "chamber", "person", "method", confidence)
     return resolved, found.where("method IS NULL").select("person", "source", "seq", F.col("other").alias("chamber_a"), F.col("chamber").alias("chamber_b"), "years_apart")
@@ -273,7 +272,7 @@ def in_turn(placed: DataFrame, most_years: int, refusals: bool) -> DataFrame:
 
 
 def rounds(rows: DataFrame, most_years: int) -> DataFrame:
-    """As in_turn(), for components that are too large for a task: one round of joins for each chamber of each source, in order of trust and chamber.
+    """Coarser than in_turn(), for callers that ask for it: one round of joins for each chamber of each source, in order of trust and chamber.
 
     What a round sees of a person is what was known before it, and of rows with one source_key the first one of a round is resolved and the others follow. Rows are
     appended to one table and persons carried forward, so that a round reads each once.
