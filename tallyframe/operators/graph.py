@@ -44,8 +44,12 @@ def nearest_k(ties: DataFrame, k: int = 3) -> DataFrame:
 
 def assortativity(ties: DataFrame, blocs: DataFrame) -> DataFrame:
     """One row: (trace - sum of squared margins) / (1 - the same); ties with an unlabelled end are dropped."""
-    e = with_blocs(both_ways(ties), blocs).where("bloc_a IS NOT NULL AND bloc_b IS NOT NULL").groupBy("bloc_a", "bloc_b").agg(F.count("*").alias("n"))
-    e = reliable(e)
+    return assortativity_of(with_blocs(both_ways(ties), blocs).groupBy("bloc_a", "bloc_b").agg(F.count("*").alias("n")))
+
+
+def assortativity_of(e: DataFrame) -> DataFrame:
+    """assortativity() of counted ties: (bloc_a, bloc_b, n), each tie from both ends."""
+    e = reliable(e.where("bloc_a IS NOT NULL AND bloc_b IS NOT NULL"))
     total = e.agg(F.sum("n").alias("total"))
     same = e.agg(F.sum(F.when(F.col("bloc_a") == F.col("bloc_b"), F.col("n")).otherwise(0)).alias("same"))
     margin = e.groupBy("bloc_a").agg(F.sum("n").alias("m")).agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("squares"))
@@ -60,6 +64,18 @@ def modularity(ties: DataFrame, blocs: DataFrame) -> DataFrame:
     total = ties.agg(F.sum("weight").alias("m"))
     inside = t.where("bloc_a = bloc_b").groupBy(F.col("bloc_a").alias("bloc")).agg(F.sum("weight").alias("inside"))
     strength = both_ways(ties).withColumnRenamed("source", "member").join(blocs, "member").groupBy("bloc").agg(F.sum("weight").alias("d"))
+    return _modularity(strength, inside, total)
+
+
+def modularity_of(e: DataFrame) -> DataFrame:
+    """modularity() of summed ties: (bloc, other, weight), each tie from both ends."""
+    e = reliable(e)
+    own = e.where("bloc IS NOT NULL").groupBy("bloc")
+    inside = own.agg((F.sum(F.when(F.col("bloc") == F.col("other"), F.col("weight"))) / 2).alias("inside"))
+    return _modularity(own.agg(F.sum("weight").alias("d")), inside, e.agg((F.sum("weight") / 2).alias("m")))
+
+
+def _modularity(strength: DataFrame, inside: DataFrame, total: DataFrame) -> DataFrame:
     q = strength.join(inside, "bloc", "left").crossJoin(F.broadcast(total))
     return q.agg(F.round(F.sum(F.coalesce("inside", F.lit(0.0)) / F.col("m") - F.pow(F.col("d") / (2 * F.col("m")), 2)), 6).alias("modularity"))
 

@@ -18,7 +18,7 @@ from tallyframe.sources.tables import load
 
 from .inputs import AGREEMENT, BLOCS, blocs, sides
 from .registry import query
-from .votes import MIN_CAST, MIN_SHARED, contested_ties
+from .votes import MIN_CAST, MIN_SHARED, contested_ties, tie_tiles
 
 LEVEL = 0.55
 STRONG = AGREEMENT + f", strong AS (SELECT * FROM ties WHERE weight >= {LEVEL})"
@@ -33,6 +33,15 @@ def strong(spark, sf):
     return ties(spark, sf).where(F.col("weight") >= LEVEL)
 
 
+def strong_tiles(spark, sf):
+    return tie_tiles(spark, sf, LEVEL)
+
+
+def bloc_ties(spark, sf):
+    """(bloc, other, n, weight) of strong ties from both ends."""
+    return strong_tiles(spark, sf).bloc_sums(blocs(spark, sf))
+
+
 @query("threshold_graph", f"WITH {STRONG} SELECT source, target, weight FROM strong")
 def threshold_graph(spark, sf):
     return strong(spark, sf).select("source", "target", "weight")
@@ -161,12 +170,15 @@ SELECT bloc_a, bloc_b, coalesce(n, 0) AS observed, possible::BIGINT AS possible,
 
 @query("mixing_matrix", MIX)
 def mixing_matrix(spark, sf):
-    b, t = blocs(spark, sf), strong(spark, sf)
+    b = blocs(spark, sf)
+    t = reliable(strong_tiles(spark, sf).bloc_sums(b))
     s = b.groupBy("bloc").agg(F.count("*").alias("n"))
     grid = s.toDF("bloc_a", "na").crossJoin(s.toDF("bloc_b", "nb")).where("bloc_a <= bloc_b")
     grid = grid.withColumn("possible", F.when(F.col("bloc_a") == F.col("bloc_b"), F.col("na") * (F.col("na") - 1) / 2).otherwise(F.col("na") * F.col("nb")).cast("double"))
-    o = G.with_blocs(t, b).groupBy(F.least("bloc_a", "bloc_b").alias("bloc_a"), F.greatest("bloc_a", "bloc_b").alias("bloc_b")).agg(F.count("*").alias("n"))
-    whole = t.agg(F.count("*").alias("edges")).crossJoin(grid.agg(F.sum("possible").alias("all"))).select((F.col("edges") / F.col("all")).alias("density"))
+    # Each tie is counted from both ends.
+    half = (F.coalesce(F.sum("n"), F.lit(0)) / 2).cast("long")
+    o = t.where("bloc IS NOT NULL AND other IS NOT NULL").groupBy(F.least("bloc", "other").alias("bloc_a"), F.greatest("bloc", "other").alias("bloc_b")).agg(half.alias("n"))
+    whole = t.agg(half.alias("edges")).crossJoin(grid.agg(F.sum("possible").alias("all"))).select((F.col("edges") / F.col("all")).alias("density"))
     n = F.coalesce("n", F.lit(0))
     return grid.join(o, ["bloc_a", "bloc_b"], "left").crossJoin(whole).select("bloc_a", "bloc_b", n.cast("long").alias("observed"), F.col("possible").cast("long").alias("possible"), F.round(F.try_divide(F.try_divide(n.cast("double"), F.col("possible")), F.col("density")), 6).alias("ratio"))
 

@@ -43,6 +43,12 @@ def contested_ties(spark, sf):
     return V.agreement_ties(s, MIN_SHARED, V.contested_divisions(s, MIN_CAST))
 
 
+def tie_tiles(spark, sf, level=None, kind=V.ROUNDED):
+    """As contested_ties(), which are summed up or picked where they are made."""
+    s = reliable(sides(spark, sf))
+    return V.Ties(s, MIN_SHARED, V.contested_divisions(s, MIN_CAST), level, kind=kind)
+
+
 @query("contested_filter", f"WITH {CONTESTED} SELECT division, count(*) AS cast_votes, count(*) FILTER (side = 1) AS yes FROM cast_ GROUP BY 1")
 def contested_filter(spark, sf):
     return V.contested_divisions(sides(spark, sf), MIN_CAST)
