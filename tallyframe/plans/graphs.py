@@ -56,9 +56,10 @@ def edge_attr_join(spark, sf):
 FROM blocs m LEFT JOIN both_ ON source = m.member LEFT JOIN blocs o ON o.member = target GROUP BY 1, 2""")
 def degree_stats(spark, sf):
     b = blocs(spark, sf)
-    e = G.with_blocs(G.both_ways(strong(spark, sf)), b).where("bloc_b IS NOT NULL")
     # Ties are summed before they meet the members without any.
-    own = e.groupBy(F.col("source").alias("member")).agg(F.count("*").alias("degree"), F.sum("weight").alias("strength"), F.count_if(F.col("bloc_a") != F.col("bloc_b")).alias("cross_degree"))
+    e = strong_tiles(spark, sf).bloc_sums(b, members=True)
+    known = F.col("other").isNotNull()
+    own = e.groupBy("member").agg(F.sum("n").alias("degree"), F.sum("weight").alias("strength"), F.sum(F.when(known & (F.col("bloc") != F.col("other")), F.col("n"))).alias("cross_degree"))
     n = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return b.join(own, "member", "left").select("member", "bloc", n("degree"), F.round(F.coalesce("strength", F.lit(0.0)), 6).alias("strength"), n("cross_degree"))
 
