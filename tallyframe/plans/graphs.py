@@ -101,8 +101,11 @@ mixed AS (SELECT a.draw, a.member, b.bloc FROM drawn a JOIN drawn b ON a.draw =
 v AS (SELECT draw, bloc, (external - internal) / (external + internal)::DOUBLE AS ei FROM c)
 SELECT bloc, count(*) AS draws, round(avg(ei), 6) AS mean, round(quantile_cont(ei, 0.025), 6) AS p2_5, round(quantile_cont(ei, 0.975), 6) AS p97_5 FROM v GROUP BY 1""")
 def ei_null(spark, sf, draws=EI_DRAWS):
-    c = G.ei_counts_by_draw(strong(spark, sf), G.shuffled_labels(blocs(spark, sf), draws, "ei"))
-    v = c.withColumn("ei", (F.col("external") - F.col("internal")) / (F.col("external") + F.col("internal")))
+    b = blocs(spark, sf)
+    names = reliable(b.select("bloc").distinct().withColumn("k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("bloc")) - 1))
+    labels = reliable(V.dealt_labels(b.join(names, "bloc").select("member", "k"), draws, "ei"))
+    c = strong_tiles(spark, sf).internal_by_draw(labels, draws, max(names.count(), 1)).where("ends > 0").join(F.broadcast(names), "k")
+    v = c.withColumn("ei", (F.col("ends") - 2 * F.col("internal")) / F.col("ends"))
     return v.groupBy("bloc").agg(F.count("*").alias("draws"), F.round(F.avg("ei"), 6).alias("mean"), F.round(F.percentile("ei", 0.025), 6).alias("p2_5"), F.round(F.percentile("ei", 0.975), 6).alias("p97_5"))
 
 
