@@ -144,7 +144,7 @@ c AS (SELECT bloc, community % 5 AS community, count(*) AS n FROM best JOIN bloc
 SELECT community, sum(n)::BIGINT AS members, max(n) AS largest, round(max(n) / sum(n)::DOUBLE, 6) AS purity FROM c GROUP BY 1""")
 def crosstab_purity(spark, sf):
     """Purity of groups (here: of each member's strongest tie, in five classes) against blocs."""
-    best = G.nearest_k(strong(spark, sf), 1).select(F.col("source").alias("member"), (F.col("target") % 5).alias("community"))
+    best = strong_tiles(spark, sf).nearest(1).select(F.col("source").alias("member"), (F.col("target") % 5).alias("community"))
     c = best.join(blocs(spark, sf), "member").groupBy("bloc", "community").agg(F.count("*").alias("n"))
     return c.groupBy("community").agg(F.sum("n").alias("members"), F.max("n").alias("largest"), F.round(F.max("n") / F.sum("n"), 6).alias("purity"))
 
