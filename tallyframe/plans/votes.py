@@ -248,24 +248,22 @@ def scaling_inputs(spark, sf):
 
 
 def gram(spark, sf):
-    """Inner products of members' sides, columns centred with non-votes as zeros: one row for source <= target that share a division."""
-    raw, own, q = gram_parts(spark, sf)
-    x, y = own.toDF("source", "x"), own.toDF("target", "y")
-    return raw.join(x, "source").join(y, "target").select("source", "target", (F.col("g") - F.col("x") - F.col("y") + F.lit(q)).alias("gram"))
+    """Inner products of members' sides, columns centred with non-votes as zeros: one row for source <= target that share a division. Pairs carry what centring takes off at either end, so that none is moved."""
+    c, own, q = centred(spark, sf)
+    raw = V.Ties(c, 1, kind=V.PRODUCT).pairs(own).select("source", "target", F.col("value").alias("g"), F.col("a_s").alias("x"), F.col("b_s").alias("y"))
+    oneself = c.groupBy("member").agg(F.count("*").cast("double").alias("g")).join(own, "member").select(F.col("member").alias("source"), F.col("member").alias("target"), "g", F.col("s").alias("x"), F.col("s").alias("y"))
+    return raw.unionByName(oneself).select("source", "target", (F.col("g") - F.col("x") - F.col("y") + F.lit(q)).alias("gram"))
 
 
-def gram_parts(spark, sf):
-    """(source, target, g): inner products before centring; (member, s): what centring takes off for each member; and the sum of squared means."""
+def centred(spark, sf):
+    """Sides of active members; (member, s): what centring takes off for each; and the sum of squared means."""
     s = kept(spark, sf)
     active = s.groupBy("member").count().where("count >= 30").select("member")
     c = reliable(s.join(active, "member", "left_semi"))
     n = c.select("member").distinct().count()
     means = reliable(c.groupBy("division").agg((F.sum("side") / F.lit(max(n, 1))).alias("mean")))
-    own = c.join(means, "division").groupBy("member").agg(F.sum(F.col("side") * F.col("mean")).alias("s"))
-    q = means.agg(F.coalesce(F.sum(F.col("mean") * F.col("mean")), F.lit(0.0)).alias("q")).first()["q"]
-    # Sides alike less sides unlike; with oneself all are alike.
-    pairs = V.agreement(c, 1).select("source", "target", (2 * F.col("agreed") - F.col("shared")).alias("g"))
-    return pairs.unionByName(c.groupBy(F.col("member").alias("source")).agg(F.count("*").alias("g")).withColumn("target", F.col("source"))), own, q
+    own = reliable(c.join(means, "division").groupBy("member").agg(F.sum(F.col("side") * F.col("mean")).alias("s")))
+    return c, own, means.agg(F.coalesce(F.sum(F.col("mean") * F.col("mean")), F.lit(0.0)).alias("q")).first()["q"]
 
 
 @query("rollcall_scaling")
