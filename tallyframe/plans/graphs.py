@@ -82,7 +82,7 @@ def assortativity(spark, sf):
 d AS (SELECT bloc, sum(weight) AS d FROM both_ JOIN blocs ON member = source GROUP BY 1)
 SELECT round(sum(coalesce(inside, 0) / m - pow(d / (2 * m), 2)), 6) AS modularity FROM d LEFT JOIN i USING (bloc), t""")
 def modularity(spark, sf):
-    return G.modularity(strong(spark, sf), blocs(spark, sf))
+    return G.modularity_of(bloc_ties(spark, sf))
 
 
 #: Shuffles of the labels, as in the reference.
