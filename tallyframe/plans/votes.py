@@ -121,7 +121,7 @@ def agreement_over_time(spark, sf):
 
 @query("agreement_by_block", f"WITH {CONTESTED}{CHUNKS.format(4)}{CHUNK_PAIRS.format(12)} SELECT chunk, source, target, shared, round(agreed / shared::DOUBLE, 6) AS weight FROM chunk_pairs")
 def agreement_by_block(spark, sf):
-    return V.agreement(with_chunk(spark, sf, 4), 12, ["chunk"]).select("chunk", "source", "target", "shared", V.share().alias("weight"))
+    return V.Ties(reliable(with_chunk(spark, sf, 4)), 12, by=["chunk"]).pairs().withColumnRenamed("value", "weight")
 
 
 @query("balanced_panel", f"""WITH {CONTESTED}{CHUNKS.format(4)}{CHUNK_PAIRS.format(15)}, whole AS (SELECT source, target FROM chunk_pairs GROUP BY 1, 2 HAVING count(*) = 4)
