@@ -75,7 +75,7 @@ def density(spark, sf):
 t AS (SELECT sum(n)::DOUBLE AS t, sum(n) FILTER (a = b)::DOUBLE AS same FROM e), m AS (SELECT sum(m * m) AS sq FROM (SELECT sum(n)::DOUBLE AS m FROM e GROUP BY a))
 SELECT round((coalesce(same, 0) / t - sq / (t * t)) / nullif(1 - sq / (t * t), 0), 6) AS assortativity FROM t, m""")
 def assortativity(spark, sf):
-    return G.assortativity(strong(spark, sf), blocs(spark, sf))
+    return G.assortativity_of(bloc_ties(spark, sf).select(F.col("bloc").alias("bloc_a"), F.col("other").alias("bloc_b"), "n"))
 
 
 @query("modularity", f"""WITH {STRONG}{BOTH}, {BLOCS}, t AS (SELECT sum(weight) AS m FROM strong), i AS (SELECT x.bloc, sum(weight) AS inside FROM strong JOIN blocs x ON x.member = source JOIN blocs y ON y.member = target AND y.bloc = x.bloc GROUP BY 1),
