@@ -155,9 +155,10 @@ FROM both_ JOIN blocs x ON x.member = source JOIN blocs y ON y.member = target J
 def broker_residual(spark, sf):
     b = blocs(spark, sf)
     sizes = b.groupBy("bloc").agg(F.count("*").alias("size")).withColumn("n", F.sum("size").over(Window.partitionBy(F.lit(0))))
-    t = G.with_blocs(G.both_ways(strong(spark, sf)), b).where("bloc_b IS NOT NULL")
-    own = t.groupBy("source", "bloc_a").agg(F.count("*").alias("degree"), F.avg((F.col("bloc_a") != F.col("bloc_b")).cast("double")).alias("cross")).join(sizes, F.col("bloc_a") == F.col("bloc"))
-    return own.select(F.col("source").alias("member"), "degree", F.round(F.col("cross") - (F.col("n") - F.col("size")) / (F.col("n") - 1), 6).alias("residual"))
+    t = strong_tiles(spark, sf).bloc_sums(b, members=True).where("other IS NOT NULL")
+    cross = F.sum(F.when(F.col("bloc") != F.col("other"), F.col("n")).otherwise(0)) / F.sum("n")
+    own = t.groupBy("member", "bloc").agg(F.sum("n").alias("degree"), cross.alias("cross")).join(sizes, "bloc")
+    return own.select("member", "degree", F.round(F.col("cross") - (F.col("n") - F.col("size")) / (F.col("n") - 1), 6).alias("residual"))
 
 
 @query("within_cross_gap", f"WITH {AGREEMENT}, {BLOCS} SELECT x.bloc = y.bloc AS within, count(*) AS pairs, round(avg(weight), 6) AS mean FROM ties JOIN blocs x ON x.member = source JOIN blocs y ON y.member = target GROUP BY 1")
