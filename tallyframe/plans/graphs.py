@@ -49,7 +49,7 @@ def threshold_graph(spark, sf):
 
 @query("edge_attr_join", f"WITH {STRONG}, {BLOCS} SELECT source, target, x.bloc AS bloc_a, y.bloc AS bloc_b FROM strong LEFT JOIN blocs x ON x.member = source LEFT JOIN blocs y ON y.member = target")
 def edge_attr_join(spark, sf):
-    return G.with_blocs(strong(spark, sf), blocs(spark, sf)).select("source", "target", "bloc_a", "bloc_b")
+    return strong_tiles(spark, sf).pairs(blocs(spark, sf)).select("source", "target", F.col("a_bloc").alias("bloc_a"), F.col("b_bloc").alias("bloc_b"))
 
 
 @query("degree_stats", f"""WITH {STRONG}{BOTH}, {BLOCS} SELECT m.member, m.bloc, count(target) AS degree, round(coalesce(sum(weight), 0.0), 6) AS strength, count(*) FILTER (o.bloc <> m.bloc) AS cross_degree
