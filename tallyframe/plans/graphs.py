@@ -92,7 +92,8 @@ EI = "SELECT {0}x.bloc, count(*) FILTER (x.bloc = y.bloc) AS internal, count(*)
 
 @query("ei_index", f"WITH {STRONG}{BOTH}, {BLOCS}, c AS ({EI.format('', 'blocs', '')}) SELECT bloc, internal, external, round((external - internal) / nullif(external + internal, 0)::DOUBLE, 6) AS ei FROM c")
 def ei_index(spark, sf):
-    c = G.ei_counts(strong(spark, sf), blocs(spark, sf))
+    same = F.col("bloc") == F.col("other")
+    c = bloc_ties(spark, sf).where(same.isNotNull()).groupBy("bloc").agg(F.sum(F.when(same, F.col("n")).otherwise(0)).alias("internal"), F.sum(F.when(~same, F.col("n")).otherwise(0)).alias("external"))
     return c.select("bloc", "internal", "external", F.round(F.try_divide((F.col("external") - F.col("internal")).cast("double"), F.col("external") + F.col("internal")), 6).alias("ei"))
 
 
