@@ -44,7 +44,7 @@ def bloc_ties(spark, sf):
 
 @query("threshold_graph", f"WITH {STRONG} SELECT source, target, weight FROM strong")
 def threshold_graph(spark, sf):
-    return strong(spark, sf).select("source", "target", "weight")
+    return strong_tiles(spark, sf).pairs().select("source", "target", F.col("value").alias("weight"))
 
 
 @query("edge_attr_join", f"WITH {STRONG}, {BLOCS} SELECT source, target, x.bloc AS bloc_a, y.bloc AS bloc_b FROM strong LEFT JOIN blocs x ON x.member = source LEFT JOIN blocs y ON y.member = target")
