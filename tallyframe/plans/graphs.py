@@ -124,7 +124,7 @@ FROM near JOIN blocs x ON x.member = source JOIN blocs y ON y.member = target JO
 def alignment_lift(spark, sf):
     b = blocs(spark, sf)
     sizes = b.groupBy("bloc").agg(F.count("*").alias("size")).withColumn("n", F.sum("size").over(Window.partitionBy(F.lit(0))))
-    t = G.with_blocs(G.nearest_k(ties(spark, sf)), b).join(sizes, F.col("bloc_a") == F.col("bloc"))
+    t = G.with_blocs(tie_tiles(spark, sf).nearest(3), b).join(sizes, F.col("bloc_a") == F.col("bloc"))
     return t.groupBy("bloc").agg(F.count("*").alias("links"), F.round(F.avg((F.col("bloc_a") == F.col("bloc_b")).cast("double")), 6).alias("own_share"), F.round((F.max("size") - 1) / (F.max("n") - 1), 6).alias("chance"))
 
 
