@@ -113,10 +113,9 @@ CHUNK_PAIRS = """, chunk_pairs AS (SELECT chunk, a.member AS source, b.member AS
 @query("agreement_over_time", f"""WITH {CONTESTED}{CHUNKS.format(6)}{CHUNK_PAIRS.format(12)}, {BLOCS}
 SELECT chunk, x.bloc = y.bloc AS within, count(*) AS pairs, round(avg(agreed / shared::DOUBLE), 6) AS mean_agreement FROM chunk_pairs JOIN blocs x ON x.member = source JOIN blocs y ON y.member = target GROUP BY 1, 2""")
 def agreement_over_time(spark, sf):
-    b = beside(blocs(spark, sf))
-    p = V.agreement(with_chunk(spark, sf, 6), 12, ["chunk"])
-    t = p.join(b.toDF("source", "ba"), "source").join(b.toDF("target", "bb"), "target")
-    return t.groupBy("chunk", (F.col("ba") == F.col("bb")).alias("within")).agg(F.count("*").alias("pairs"), F.round(F.avg(F.col("agreed") / F.col("shared")), 6).alias("mean_agreement"))
+    t = V.Ties(reliable(with_chunk(spark, sf, 6)), 12, by=["chunk"], kind=V.EXACT).bloc_sums(blocs(spark, sf)).where("bloc IS NOT NULL AND other IS NOT NULL")
+    # Each pair is summed from both ends.
+    return t.groupBy("chunk", (F.col("bloc") == F.col("other")).alias("within")).agg((F.sum("n") / 2).cast("long").alias("pairs"), F.round(F.sum("weight") / F.sum("n"), 6).alias("mean_agreement"))
 
 
 @query("agreement_by_block", f"WITH {CONTESTED}{CHUNKS.format(4)}{CHUNK_PAIRS.format(12)} SELECT chunk, source, target, shared, round(agreed / shared::DOUBLE, 6) AS weight FROM chunk_pairs")
