@@ -115,7 +115,7 @@ NEAREST = ", sym AS (SELECT source, target, weight FROM ties UNION ALL SELECT ta
 
 @query("nearest_k", f"WITH {AGREEMENT}{NEAREST} SELECT source, target, weight, rank FROM near")
 def nearest_k(spark, sf):
-    return G.nearest_k(ties(spark, sf)).select("source", "target", "weight", F.col("rank").cast("long").alias("rank"))
+    return tie_tiles(spark, sf).nearest(3).select("source", "target", "weight", F.col("rank").cast("long").alias("rank"))
 
 
 @query("alignment_lift", f"""WITH {AGREEMENT}{NEAREST}, {BLOCS}, n AS (SELECT count(*) AS n FROM blocs), s AS (SELECT bloc, count(*) AS size FROM blocs GROUP BY 1)
